@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 
 from shopcube.functions.money import MONEY, PRICE
 
-ZERO = F.lit(0).cast(PRICE)
+def _zero() -> F.Column:
+    return F.lit(0).cast(PRICE)
 
 
 def voucher_total(seller, platform) -> F.Column:
     """seller + platform voucher, each defaulting to 0."""
-    return (F.coalesce(seller, ZERO) + F.coalesce(platform, ZERO)).cast(PRICE)
+    return (F.coalesce(seller, _zero()) + F.coalesce(platform, _zero())).cast(PRICE)
 
 
 def buyer_paid_price(total, vouchers, shipping) -> F.Column:
     """order_total_price - voucher_total + shipping_fee (fee defaults to 0)."""
-    return (total - vouchers + F.coalesce(shipping, ZERO)).cast(PRICE)
+    return (total - vouchers + F.coalesce(shipping, _zero())).cast(PRICE)
 
 
 def order_rollup(items: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, products: DataFrame | None =
         F.col("total_item_price").alias("gross_sales_amount"),
         F.col("item_voucher_discount").alias("discount_amount"),
         F.col("paid_price").alias("net_sales_amount"),
-        ZERO.alias("shipping_revenue"),
+        _zero().alias("shipping_revenue"),
         "tax_amount",
         F.col("item_price").alias("unit_price"),
         F.col("is_cancelled"),

@@ -72,3 +72,10 @@ class Model:
     def usage(self) -> DataFrame:
         from shopcube.operators import vouchers
         return vouchers.voucher_usage(self.items, self.orders)
+
+    @cached_property
+    def kpi(self):
+        """Cleaned KPI feed (daily, period, quarantine) from the derived export."""
+        from shopcube.operators.kpi import clean_kpi_feed
+        from shopcube.sources.kpi_feed import kpi_feed_text
+        return clean_kpi_feed(kpi_feed_text(self.priced_orders))

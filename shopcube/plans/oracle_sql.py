@@ -149,3 +149,42 @@ def with_(*blocks: str) -> str:
 
 BASE = (ITEMS, ORDERS)
 FULL = (ITEMS, ORDERS, FIRST, PRICED)
+
+
+def kpi_aggs(group_cols: str) -> str:
+    """Daily/period KPI aggregates over ``priced`` (the values the export writes)."""
+    return f"""
+  SELECT CASE platform_key WHEN 1 THEN 'Lazada' ELSE 'Shopee' END AS platform, {group_cols},
+         COALESCE(SUM(buyer_paid_price) FILTER (WHERE NOT is_cancelled), 0) AS rev,
+         COUNT(DISTINCT customer_key) AS visitors,
+         COUNT(DISTINCT customer_key) FILTER (WHERE NOT is_cancelled) AS buyers,
+         COUNT(*) FILTER (WHERE NOT is_cancelled) AS orders,
+         SUM(line_count) AS pageviews,
+         COALESCE(SUM(items_count) FILTER (WHERE NOT is_cancelled), 0) AS units,
+         COUNT(DISTINCT customer_key) FILTER (WHERE voucher_total > 0) AS atc_users,
+         SUM(items_count) AS atc_units,
+         NULLIF(COUNT(*) FILTER (WHERE has_return), 0) AS wishlists,
+         NULLIF(COUNT(DISTINCT customer_key) FILTER (WHERE has_return), 0) AS wishlist_users,
+         COALESCE(SUM(order_total_price) FILTER (WHERE is_cancelled), 0) AS cancelled,
+         COALESCE(SUM(buyer_paid_price) FILTER (WHERE NOT is_cancelled AND has_return), 0) AS refunds
+  FROM priced"""
+
+
+def half_up(num_cents: str, den: str, out_scale_factor: str = "0.01") -> str:
+    """round-half-up(num_cents / den) as an exact decimal, NULL when den = 0."""
+    return (f"CAST(CAST(({num_cents} * 2 + {den}) // (2 * NULLIF({den}, 0)) AS DECIMAL(18,0))"
+            f" * {out_scale_factor} AS DOUBLE)")
+
+
+KPI_MEASURES = f"""
+       CAST(rev AS DOUBLE) AS total_sales_value, CAST(visitors AS INTEGER) AS visitors,
+       CAST(buyers AS INTEGER) AS buyers, CAST(orders AS INTEGER) AS total_orders,
+       CAST(pageviews AS INTEGER) AS pageviews, CAST(units AS INTEGER) AS units_sold,
+       {half_up('CAST(buyers AS BIGINT) * 10000', 'visitors', '0.0001')} AS conversion_rate,
+       {half_up('CAST(rev * 100 AS BIGINT)', 'buyers')} AS revenue_per_buyer,
+       {half_up('CAST(rev * 100 AS BIGINT)', 'visitors')} AS visitor_value,
+       CAST(atc_users AS INTEGER) AS add_to_cart_users, CAST(atc_units AS INTEGER) AS add_to_cart_units,
+       CAST(wishlists AS INTEGER) AS wishlists, CAST(wishlist_users AS INTEGER) AS wishlist_users,
+       {half_up('CAST(rev * 100 AS BIGINT)', 'orders')} AS average_order_value,
+       {half_up('CAST(units AS BIGINT) * 100', 'orders')} AS average_basket_size,
+       CAST(cancelled AS DOUBLE) AS cancelled_amount, CAST(refunds AS DOUBLE) AS return_refund_amount"""

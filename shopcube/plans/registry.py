@@ -242,3 +242,84 @@ def q_dim_customers(spark, d):
     money = {"total_spent", "average_order_value", "customer_lifetime_value"}
     return c.select(*[F.col(x).cast("double").alias(x) if x in money else F.col(x)
                       for x in c.columns])
+
+
+# ---------------------------------------------------------------------------
+# Phase 2: daily-KPI feed
+# ---------------------------------------------------------------------------
+
+def doubles(df: DataFrame) -> DataFrame:
+    """Report decimals as double (exact sums/ratios, engine-neutral type)."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+KPI_DAILY = "kd AS (" + O.kpi_aggs("order_date AS date") + " GROUP BY platform_key, order_date)"
+KPI_PERIOD = ("kp AS (" + O.kpi_aggs("CAST(date_trunc('month', order_date) AS DATE) AS period_start")
+              + " GROUP BY platform_key, date_trunc('month', order_date))")
+KPI_MEASURE_NAMES = ["total_sales_value", "visitors", "buyers", "total_orders", "pageviews",
+                     "units_sold", "conversion_rate", "revenue_per_buyer", "visitor_value",
+                     "add_to_cart_users", "add_to_cart_units", "wishlists", "wishlist_users",
+                     "average_order_value", "average_basket_size", "cancelled_amount",
+                     "return_refund_amount"]
+
+
+@query("kpi_daily", O.with_(*O.FULL, KPI_DAILY) + "SELECT platform, date," + O.KPI_MEASURES
+       + " FROM kd")
+def q_kpi_daily(spark, d):
+    k = _m(spark, d).kpi.daily
+    return doubles(k.select("platform", "date", *KPI_MEASURE_NAMES))
+
+
+@query("kpi_period", O.with_(*O.FULL, KPI_PERIOD)
+       + "SELECT platform, period_start, last_day(period_start) AS period_end," + O.KPI_MEASURES
+       + " FROM kp")
+def q_kpi_period(spark, d):
+    k = _m(spark, d).kpi.period
+    return doubles(k.select("platform", "period_start", "period_end", *KPI_MEASURE_NAMES))
+
+
+@query("kpi_rollup", O.with_(*O.FULL, KPI_DAILY) + f"""
+SELECT platform, CAST(date_trunc('month', date) AS DATE) AS period_start, MAX(date) AS last_day,
+       COUNT(*) AS days, CAST(SUM(rev) AS DOUBLE) AS total_sales_value,
+       CAST(SUM(orders) AS BIGINT) AS total_orders, CAST(SUM(pageviews) AS BIGINT) AS pageviews,
+       CAST(SUM(units) AS BIGINT) AS units_sold, CAST(SUM(atc_units) AS BIGINT) AS add_to_cart_units,
+       CAST(SUM(wishlists) AS BIGINT) AS wishlists, CAST(SUM(cancelled) AS DOUBLE) AS cancelled_amount,
+       CAST(SUM(refunds) AS DOUBLE) AS return_refund_amount,
+       {O.half_up('CAST(SUM(rev) * 100 AS BIGINT)', 'SUM(orders)')} AS average_order_value,
+       {O.half_up('CAST(SUM(units) AS BIGINT) * 100', 'SUM(orders)')} AS average_basket_size
+FROM kd GROUP BY platform, date_trunc('month', date)
+""")
+def q_kpi_rollup(spark, d):
+    from shopcube.operators.kpi import rollup_kpis
+    return doubles(rollup_kpis(_m(spark, d).kpi.daily))
+
+
+_RECON = [("total_sales_value", "rev", "DOUBLE"), ("total_orders", "orders", "BIGINT"),
+          ("pageviews", "pageviews", "BIGINT"), ("units_sold", "units", "BIGINT"),
+          ("add_to_cart_units", "atc_units", "BIGINT"), ("wishlists", "wishlists", "BIGINT"),
+          ("cancelled_amount", "cancelled", "DOUBLE"), ("return_refund_amount", "refunds", "DOUBLE")]
+
+
+@query("kpi_reconcile", O.with_(*O.FULL, KPI_DAILY, KPI_PERIOD) + """
+SELECT p.platform, lower(p.platform) || '-' || strftime(p.period_start, '%Y-%m') AS source_file,
+       p.period_start, last_day(p.period_start) AS period_end, COUNT(d.date) AS days, """
+       + ", ".join(f"CAST(p.{s} - COALESCE(SUM(d.{s}), 0) AS {t}) AS diff_{c}" for c, s, t in _RECON)
+       + ", " + " AND ".join(f"COALESCE(p.{s} = COALESCE(SUM(d.{s}), 0), TRUE)" for c, s, t in _RECON)
+       + """ AS reconciled
+FROM kp p LEFT JOIN kd d ON p.platform = d.platform
+  AND d.date BETWEEN p.period_start AND last_day(p.period_start)
+GROUP BY p.platform, p.period_start, """ + ", ".join(f"p.{s}" for _, s, _ in _RECON))
+def q_kpi_reconcile(spark, d):
+    from shopcube.operators.kpi import reconcile_kpis
+    k = _m(spark, d).kpi
+    return doubles(reconcile_kpis(k.daily, k.period))
+
+
+@query("kpi_quarantine")
+def q_kpi_quarantine(spark, d):
+    """Rows the cleaning rejected, by reason (empty on a well-formed export)."""
+    q = _m(spark, d).kpi.quarantine
+    return q.groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("rows"))
