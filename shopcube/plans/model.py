@@ -79,3 +79,6 @@ class Model:
         from shopcube.operators.kpi import clean_kpi_feed
         from shopcube.sources.kpi_feed import kpi_feed_text
         return clean_kpi_feed(kpi_feed_text(self.priced_orders))
+
+    def transactions(self, price_col: str = "buyer_paid_price") -> DataFrame:
+        return canonical.transactions(self.t, self.priced_orders, price_col)

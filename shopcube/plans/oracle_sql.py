@@ -188,3 +188,27 @@ KPI_MEASURES = f"""
        {half_up('CAST(rev * 100 AS BIGINT)', 'orders')} AS average_order_value,
        {half_up('CAST(units AS BIGINT) * 100', 'orders')} AS average_basket_size,
        CAST(cancelled AS DOUBLE) AS cancelled_amount, CAST(refunds AS DOUBLE) AS return_refund_amount"""
+
+TX = """
+top_line AS (
+  SELECT order_key, product_key FROM (
+    SELECT order_key, product_key,
+           row_number() OVER (PARTITION BY order_key ORDER BY gross DESC, product_key) AS rn
+    FROM items) WHERE rn = 1),
+tx AS (
+  SELECT CAST(p.order_key AS VARCHAR) AS transaction_id, pt.p_name AS product_name,
+         p.items_count AS quantity, p.buyer_paid_price AS paid, p.order_total_price AS list,
+         c.c_name AS customer_name, p.order_ts AS transaction_date,
+         CASE p.platform_key WHEN 1 THEN 'Lazada' ELSE 'Shopee' END AS source, p.platform_key
+  FROM priced p LEFT JOIN top_line t ON p.order_key = t.order_key
+  LEFT JOIN part pt ON t.product_key = pt.p_partkey
+  LEFT JOIN customer c ON p.customer_key = c.c_custkey),
+combined AS (
+  SELECT transaction_id, product_name, quantity, paid AS price,
+         CASE WHEN platform_key = 1 THEN customer_name END AS customer_name,
+         transaction_date, source
+  FROM tx),
+target AS (
+  SELECT transaction_id, product_name, quantity, list AS price, customer_name, transaction_date, source
+  FROM tx WHERE transaction_date < TIMESTAMP '2000-01-01'),
+batch AS (SELECT * FROM combined WHERE transaction_date >= TIMESTAMP '1999-01-01')"""

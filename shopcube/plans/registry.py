@@ -323,3 +323,80 @@ def q_kpi_quarantine(spark, d):
     """Rows the cleaning rejected, by reason (empty on a well-formed export)."""
     q = _m(spark, d).kpi.quarantine
     return q.groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------------------
+# Phase 3: loading, keys, quality
+# ---------------------------------------------------------------------------
+
+TX_OUT = ["transaction_id", "product_name", "quantity", "CAST(price AS DOUBLE) AS price",
+          "customer_name", "transaction_date", "source"]
+INITIAL_CUTOFF = "2000-01-01"     # orders before this date form the initial load
+BATCH_FROM = "1999-01-01"         # the incremental batch re-extracts from this date
+
+
+def _feeds(m: Model):
+    from shopcube.operators.load import combine_feeds
+    from shopcube.sources.canonical import marketplace_feeds
+    a, b = marketplace_feeds(m.transactions("buyer_paid_price"))
+    return combine_feeds(a, b)
+
+
+def _upsert_inputs(m: Model):
+    from shopcube.sources.canonical import TRANSACTION_COLUMNS
+    target = (m.transactions("order_total_price")
+              .filter(F.col("transaction_date") < F.lit(INITIAL_CUTOFF).cast("timestamp_ntz"))
+              .select(*TRANSACTION_COLUMNS))
+    batch = _feeds(m).filter(F.col("transaction_date") >= F.lit(BATCH_FROM).cast("timestamp_ntz"))
+    return target, batch
+
+
+@query("combined_transactions", O.with_(*O.FULL, O.TX) + "SELECT " + ", ".join(TX_OUT)
+       + " FROM combined")
+def q_combined_transactions(spark, d):
+    return doubles(_feeds(_m(spark, d)))
+
+
+@query("upsert_transactions", O.with_(*O.FULL, O.TX) + "SELECT " + ", ".join(TX_OUT) + """
+FROM (SELECT * FROM target WHERE transaction_id NOT IN (SELECT transaction_id FROM batch)
+      UNION ALL SELECT * FROM batch)
+""")
+def q_upsert_transactions(spark, d):
+    from shopcube.operators.load import upsert
+    target, batch = _upsert_inputs(_m(spark, d))
+    return doubles(upsert(target, batch, "transaction_id").merged)
+
+
+@query("upsert_report", O.with_(*O.FULL, O.TX) + """
+SELECT COUNT(*) FILTER (WHERE b.transaction_id IS NOT NULL AND t.transaction_id IS NULL) AS inserted,
+       COUNT(*) FILTER (WHERE b.transaction_id IS NOT NULL AND t.transaction_id IS NOT NULL) AS updated,
+       COUNT(*) FILTER (WHERE b.transaction_id IS NULL) AS unchanged,
+       COUNT(*) AS total_after
+FROM target t FULL JOIN batch b ON t.transaction_id = b.transaction_id
+""")
+def q_upsert_report(spark, d):
+    from shopcube.operators.load import upsert_counts
+    target, batch = _upsert_inputs(_m(spark, d))
+    return upsert_counts(target, batch, "transaction_id")
+
+
+@query("surrogate_keys", """
+WITH first_load AS (
+  SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS sk
+  FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS customer_id FROM orders
+        WHERE o_orderdate < TIMESTAMP '1996-01-01')),
+second AS (
+  SELECT customer_id, (SELECT COUNT(*) FROM first_load) + row_number() OVER (ORDER BY customer_id) AS sk
+  FROM (SELECT CAST(c_custkey AS VARCHAR) AS customer_id FROM customer)
+  WHERE customer_id NOT IN (SELECT customer_id FROM first_load))
+SELECT customer_id, CAST(sk AS BIGINT) AS sk FROM first_load UNION ALL SELECT customer_id, sk FROM second
+""")
+def q_surrogate_keys(spark, d):
+    """Dense keys for customers seen in an early load, then the rest keep
+    counting from there -- existing keys never change."""
+    from shopcube.operators.dims import assign_surrogate_keys
+    m = _m(spark, d)
+    early = (m.t.orders.filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+             .select(F.col("o_custkey").cast("string").alias("customer_id")))
+    first = assign_surrogate_keys(early, "customer_id")
+    return assign_surrogate_keys(m.customers.select("customer_id"), "customer_id", existing=first)

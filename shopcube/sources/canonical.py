@@ -135,3 +135,45 @@ def customers(t: Tables) -> DataFrame:
                  F.col("c_mktsegment").alias("market_segment"),
                  (F.col("c_acctbal") > 0).alias("is_active"),
              ))
+
+
+TRANSACTION_COLUMNS = ["transaction_id", "product_name", "quantity", "price", "customer_name",
+                       "transaction_date", "source"]
+
+
+def transactions(t: Tables, priced_orders: DataFrame, price_col: str = "buyer_paid_price"
+                 ) -> DataFrame:
+    """Standardised transactions (one per order) with the loader's 7 columns.
+
+    product_name is the order's top line by gross (ties: lowest product key),
+    chosen with a grouped max_by (partial aggregation, no window).
+    """
+    items = order_items(t)
+    top = (items.groupBy("order_key")
+           .agg(F.max_by("product_key", F.struct(F.col("total_item_price"),
+                                                 -F.col("product_key"))).alias("product_key")))
+    names = t.part.select(F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_name"))
+    cust = t.customer.select(F.col("c_custkey").alias("customer_key"),
+                             F.col("c_name").alias("customer_name"))
+    from shopcube.functions.calendar import PLATFORMS
+    src = F.when(F.col("platform_key") == PLATFORMS[0][0], PLATFORMS[0][1]).otherwise(PLATFORMS[1][1])
+    return (priced_orders.join(top, "order_key", "left")
+            .join(names, "product_key", "left")
+            .join(cust, "customer_key", "left")
+            .select(F.col("order_key").cast("string").alias("transaction_id"),
+                    "product_name",
+                    F.col("items_count").cast("int").alias("quantity"),
+                    F.col(price_col).cast(PRICE).alias("price"),
+                    "customer_name",
+                    F.col("order_ts").alias("transaction_date"),
+                    src.alias("source"),
+                    "platform_key"))
+
+
+def marketplace_feeds(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split standardised transactions into the two marketplace feeds as they
+    arrive: the second feed has its own column order and no customer name."""
+    a = tx.filter(F.col("platform_key") == 1).select(*TRANSACTION_COLUMNS)
+    b = tx.filter(F.col("platform_key") == 2).select(
+        "source", "transaction_date", "transaction_id", "price", "quantity", "product_name")
+    return a, b
