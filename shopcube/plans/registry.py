@@ -400,3 +400,66 @@ def q_surrogate_keys(spark, d):
              .select(F.col("o_custkey").cast("string").alias("customer_id")))
     first = assign_surrogate_keys(early, "customer_id")
     return assign_surrogate_keys(m.customers.select("customer_id"), "customer_id", existing=first)
+
+
+SEGMENTS = ["New", "Regular", "VIP", "Inactive"]
+TIERS = ["Gold", "Silver", "Bronze"]
+STATUSES = ["completed", "open", "cancelled"]
+
+
+@query("quality_report", O.with_(*O.FULL, O.CUSTOMERS) + """
+SELECT 'orders' AS table_name, 'unique' AS rule, 'order_key' AS column_name,
+       (SELECT COUNT(*) FROM (SELECT order_key FROM ords GROUP BY 1 HAVING COUNT(*) > 1)) AS failures
+UNION ALL SELECT 'orders', 'not_null', 'order_date', COUNT(*) FILTER (WHERE order_date IS NULL) FROM ords
+UNION ALL SELECT 'orders', 'not_null', 'customer_key', COUNT(*) FILTER (WHERE customer_key IS NULL) FROM ords
+UNION ALL SELECT 'orders', 'allowed_values', 'order_status', COUNT(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P')) FROM orders
+UNION ALL SELECT 'orders', 'foreign_key', 'customer_key',
+       COUNT(*) FROM ords WHERE customer_key NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'order_items', 'foreign_key', 'order_key',
+       COUNT(*) FROM items WHERE order_key NOT IN (SELECT order_key FROM ords)
+UNION ALL SELECT 'order_items', 'foreign_key', 'product_key',
+       COUNT(*) FROM items WHERE product_key NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'order_items', 'not_null', 'quantity', COUNT(*) FILTER (WHERE quantity IS NULL) FROM items
+UNION ALL SELECT 'order_items', 'not_null', 'total_item_price', COUNT(*) FILTER (WHERE gross IS NULL) FROM items
+UNION ALL SELECT 'orders_priced', 'price_identity', 'buyer_paid_price',
+       COUNT(*) FILTER (WHERE NOT COALESCE(buyer_paid_price = order_total_price - voucher_total
+                                           + COALESCE(shipping_fee, 0), FALSE)) FROM priced
+UNION ALL SELECT 'orders_priced', 'default_applied', 'voucher_total',
+       COUNT(*) FILTER (WHERE voucher_total IS NULL) FROM priced
+UNION ALL SELECT 'dim_customers', 'unique', 'customer_id',
+       (SELECT COUNT(*) FROM (SELECT customer_id FROM dim_customers GROUP BY 1 HAVING COUNT(*) > 1))
+UNION ALL SELECT 'dim_customers', 'allowed_values', 'customer_segment',
+       COUNT(*) FILTER (WHERE customer_segment NOT IN ('New', 'Regular', 'VIP', 'Inactive')) FROM dim_customers
+UNION ALL SELECT 'dim_customers', 'allowed_values', 'ltv_tier',
+       COUNT(*) FILTER (WHERE ltv_tier NOT IN ('Gold', 'Silver', 'Bronze')) FROM dim_customers
+UNION ALL SELECT 'dim_products', 'unique', 'sku_id',
+       (SELECT COUNT(*) FROM (SELECT p_partkey FROM part GROUP BY 1 HAVING COUNT(*) > 1))
+UNION ALL SELECT 'sales_summary', 'unique', 'time_key,platform_key',
+       (SELECT COUNT(*) FROM (SELECT time_key, platform_key
+                              FROM (SELECT time_key, order_date, platform_key FROM priced GROUP BY 1, 2, 3)
+                              GROUP BY 1, 2 HAVING COUNT(*) > 1))
+""")
+def q_quality_report(spark, d):
+    from shopcube.operators import quality as Q
+    from shopcube.operators.marts import sales_summary
+    m = _m(spark, d)
+    o, items, po = m.orders, m.items, m.priced_orders
+    identity = F.col("buyer_paid_price") == (F.col("order_total_price") - F.col("voucher_total")
+                                             + F.coalesce("shipping_fee", F.lit(0)))
+    return Q.quality_report(
+        Q.unique_check(o, "orders", ["order_key"]),
+        Q.row_checks(o, "orders", Q.not_null("order_date", "customer_key")
+                     + Q.one_of("order_status", STATUSES)),
+        Q.orphan_check(o, "orders", "customer_key", m.customers, "customer_key"),
+        Q.orphan_check(items, "order_items", "order_key", o, "order_key"),
+        Q.orphan_check(items, "order_items", "product_key", m.products, "product_key"),
+        Q.row_checks(items, "order_items", Q.not_null("quantity", "total_item_price")),
+        Q.row_checks(po, "orders_priced",
+                     Q.holds("price_identity", "buyer_paid_price", identity)
+                     + Q.holds("default_applied", "voucher_total", F.col("voucher_total").isNotNull())),
+        Q.unique_check(m.dim_customers, "dim_customers", ["customer_id"]),
+        Q.row_checks(m.dim_customers, "dim_customers", Q.one_of("customer_segment", SEGMENTS)
+                     + Q.one_of("ltv_tier", TIERS)),
+        Q.unique_check(m.products, "dim_products", ["sku_id"]),
+        Q.unique_check(sales_summary(po, o), "sales_summary", ["time_key", "platform_key"]),
+    )
