@@ -39,3 +39,98 @@ def voucher_usage(items: DataFrame, orders: DataFrame) -> DataFrame:
                     "order_value_after_discount",
                     F.col("order_ts").alias("usage_date"),
                     F.coalesce("is_first_order", F.lit(False)).alias("first_time_customer")))
+
+
+def _validity_years(vouchers: DataFrame) -> DataFrame:
+    """One row per (voucher, calendar year its window touches): turns the
+    date-range join into an equi join on year plus a residual filter."""
+    return vouchers.select(
+        "*", F.explode(F.sequence(F.year("start_date"), F.year("end_date"))).alias("_year"))
+
+
+def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
+                        usage: DataFrame) -> DataFrame:
+    """Per voucher, how many live orders were eligible (inside the
+    window, spend >= minimum) and how many actual uses were valid.
+
+    The vouchers are a bounded dimension (one row per campaign) and are
+    broadcast; the range condition becomes an equi join on year.
+    """
+    v = F.broadcast(_validity_years(vouchers.select("voucher_key", "start_date", "end_date",
+                                                    "minimum_spend")))
+    live = (priced_orders.filter(F.col("is_cancelled") == F.lit(False))
+            .select("order_key", "order_ts", "order_total_price",
+                    F.year("order_ts").alias("_year")))
+    elig = (live.join(v, "_year")
+            .where(F.col("order_ts").between(F.col("start_date"), F.col("end_date"))
+                   & (F.col("order_total_price") >= F.col("minimum_spend")))
+            .groupBy("voucher_key").agg(F.count(F.lit(1)).alias("eligible_orders")))
+    vu = usage.join(F.broadcast(vouchers.select("voucher_key", "start_date", "end_date",
+                                                "minimum_spend")), "voucher_key")
+    in_window = F.col("usage_date").between(F.col("start_date"), F.col("end_date"))
+    spend_ok = F.col("order_value_before_discount") >= F.col("minimum_spend")
+    uses = vu.groupBy("voucher_key").agg(
+        F.count(F.lit(1)).alias("uses"),
+        F.count_if(in_window & spend_ok).alias("valid_uses"),
+        F.count_if(~in_window).alias("outside_window"),
+        F.count_if(in_window & ~spend_ok).alias("below_minimum"))
+    return (F.broadcast(vouchers.select("voucher_key", "voucher_code"))
+            .join(elig, "voucher_key", "left").join(uses, "voucher_key", "left")
+            .select("voucher_key", "voucher_code",
+                    *[F.coalesce(c, F.lit(0)).alias(c) for c in
+                      ["eligible_orders", "uses", "valid_uses", "outside_window",
+                       "below_minimum"]]))
+
+
+def entitled_discount(value_before, vtype, pct, fixed, cap) -> F.Column:
+    """percentage of the order value or a fixed amount, capped by the
+    voucher's maximum discount; never more than the order value."""
+    raw = F.when(vtype == "percentage", (value_before * pct / 100).cast(PRICE)) \
+        .otherwise(fixed)
+    return F.least(raw, F.coalesce(cap, raw), value_before).cast(PRICE)
+
+
+def voucher_discounts(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
+    """F10 per voucher: entitled discount before and after the cap."""
+    v = vouchers.select("voucher_key", "voucher_type", "discount_percentage", "discount_value",
+                        "maximum_discount")
+    u = usage.join(F.broadcast(v), "voucher_key")
+    before = F.col("order_value_before_discount")
+    raw = F.when(F.col("voucher_type") == "percentage",
+                 (before * F.col("discount_percentage") / 100).cast(PRICE)) \
+        .otherwise(F.col("discount_value"))
+    capped = entitled_discount(before, F.col("voucher_type"), F.col("discount_percentage"),
+                               F.col("discount_value"), F.col("maximum_discount"))
+    return (u.groupBy("voucher_key")
+            .agg(F.count(F.lit(1)).alias("uses"),
+                 F.sum(raw).cast("double").alias("uncapped_discount"),
+                 F.sum(capped).cast("double").alias("entitled_discount"),
+                 F.count_if(raw > F.col("maximum_discount")).alias("capped_uses"),
+                 F.sum("discount_amount").cast("double").alias("applied_discount")))
+
+
+def voucher_limits(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
+    """usage limits, first come first served, every use kept and flagged.
+
+    A use is accepted when it is among the customer's first
+    ``usage_limit_per_customer`` uses of the voucher and, among the uses
+    that pass that test, among the voucher's first ``usage_limit``.  Both
+    ranks come from :func:`running_aggregates`, so a voucher (or customer)
+    holding a third of all uses is spread over many tasks.
+    """
+    from shopcube.operators.sequence import group_rank
+    v = F.broadcast(vouchers.select("voucher_key", "usage_limit", "usage_limit_per_customer"))
+    u = usage.select("voucher_key", "customer_key", "order_key", "usage_date").join(v, "voucher_key")
+    order = ["usage_date", "order_key"]
+    per_cust = group_rank(u, ["voucher_key", "customer_key"], order, "customer_rank")
+    per_cust = per_cust.withColumn(
+        "within_customer_limit",
+        F.col("customer_rank") <= F.coalesce("usage_limit_per_customer", F.col("customer_rank")))
+    ok = per_cust.filter("within_customer_limit")
+    ranked = group_rank(ok, ["voucher_key"], order, "voucher_rank")
+    flagged = (per_cust.filter(~F.col("within_customer_limit"))
+               .withColumn("voucher_rank", F.lit(None).cast("bigint"))
+               .unionByName(ranked))
+    accepted = F.col("within_customer_limit") & (
+        F.col("voucher_rank") <= F.coalesce("usage_limit", F.col("voucher_rank")))
+    return flagged.withColumn("accepted", accepted)

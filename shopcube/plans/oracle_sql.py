@@ -212,3 +212,20 @@ target AS (
   SELECT transaction_id, product_name, quantity, list AS price, customer_name, transaction_date, source
   FROM tx WHERE transaction_date < TIMESTAMP '2000-01-01'),
 batch AS (SELECT * FROM combined WHERE transaction_date >= TIMESTAMP '1999-01-01')"""
+
+HISTORY = """
+hist0 AS (
+  SELECT customer_key, order_date, COUNT(*) AS n, SUM(buyer_paid_price) AS s
+  FROM priced WHERE NOT is_cancelled GROUP BY customer_key, order_date),
+hist AS (
+  SELECT customer_key, order_date AS valid_from,
+         SUM(n) OVER w AS orders_to_date, CAST(SUM(s) OVER w AS DECIMAL(12,2)) AS spent_to_date,
+         MAX(order_date) OVER (PARTITION BY customer_key ORDER BY order_date
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_order_date
+  FROM hist0
+  WINDOW w AS (PARTITION BY customer_key ORDER BY order_date
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+hist2 AS (
+  SELECT *, CASE WHEN orders_to_date <= 1 THEN 'New' WHEN spent_to_date >= 3000000 THEN 'VIP'
+                 ELSE 'Regular' END AS segment
+  FROM hist)"""

@@ -463,3 +463,118 @@ def q_quality_report(spark, d):
         Q.unique_check(m.products, "dim_products", ["sku_id"]),
         Q.unique_check(sales_summary(po, o), "sales_summary", ["time_key", "platform_key"]),
     )
+
+
+# ---------------------------------------------------------------------------
+# Phase 4: vouchers, customer state over time
+# ---------------------------------------------------------------------------
+
+@query("customer_state_before_order", O.with_(*O.FULL) + """
+SELECT customer_key, order_key, order_date,
+       COUNT(*) OVER w AS prior_orders,
+       CAST(COALESCE(SUM(buyer_paid_price) OVER w, 0) AS DOUBLE) AS prior_spent,
+       MAX(order_date) OVER w AS previous_order_date
+FROM priced WHERE NOT is_cancelled
+WINDOW w AS (PARTITION BY customer_key ORDER BY order_ts, order_key
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+""")
+def q_customer_state_before_order(spark, d):
+    from shopcube.operators.history import state_before_order
+    return doubles(state_before_order(_m(spark, d).priced_orders))
+
+
+@query("customer_history", O.with_(*O.FULL, O.HISTORY) + """
+SELECT customer_key, valid_from, CAST(orders_to_date AS BIGINT) AS orders_to_date,
+       CAST(spent_to_date AS DOUBLE) AS spent_to_date, previous_order_date, segment
+FROM hist2
+""")
+def q_customer_history(spark, d):
+    from shopcube.operators.history import customer_history
+    return doubles(customer_history(_m(spark, d).priced_orders))
+
+
+@query("voucher_usage", O.with_(*O.FULL, O.USAGE, O.HISTORY) + """
+SELECT u.usage_key, u.voucher_key, u.order_key, u.customer_key, u.time_key, u.voucher_code,
+       CAST(u.discount_amount AS DOUBLE) AS discount_amount,
+       CAST(u.order_value_before_discount AS DOUBLE) AS order_value_before_discount,
+       CAST(u.order_value_after_discount AS DOUBLE) AS order_value_after_discount,
+       u.usage_date, u.first_time_customer,
+       CASE WHEN h.segment IS NULL THEN 'New'
+            WHEN date_diff('day', h.valid_from, CAST(u.usage_date AS DATE)) > 365 THEN 'Inactive'
+            ELSE h.segment END AS customer_segment_at_usage
+FROM usage u ASOF LEFT JOIN hist2 h
+  ON u.customer_key = h.customer_key AND CAST(u.usage_date AS DATE) > h.valid_from
+""")
+def q_voucher_usage(spark, d):
+    """F07 + J08: usage rows with the customer's segment as of the usage."""
+    from shopcube.operators.history import customer_history, segment_as_of
+    m = _m(spark, d)
+    return doubles(segment_as_of(m.usage, customer_history(m.priced_orders)))
+
+
+@query("voucher_eligibility", O.with_(*O.FULL, O.USAGE, O.VOUCHERS) + """,
+elig AS (
+  SELECT v.voucher_key, COUNT(*) AS n FROM priced p JOIN vouchers v
+    ON p.order_ts BETWEEN v.start_date AND v.end_date AND p.order_total_price >= v.minimum_spend
+  WHERE NOT p.is_cancelled GROUP BY v.voucher_key),
+uses AS (
+  SELECT u.voucher_key, COUNT(*) AS uses,
+         COUNT(*) FILTER (WHERE u.usage_date BETWEEN v.start_date AND v.end_date
+                          AND u.order_value_before_discount >= v.minimum_spend) AS valid_uses,
+         COUNT(*) FILTER (WHERE NOT (u.usage_date BETWEEN v.start_date AND v.end_date)) AS outside_window,
+         COUNT(*) FILTER (WHERE u.usage_date BETWEEN v.start_date AND v.end_date
+                          AND u.order_value_before_discount < v.minimum_spend) AS below_minimum
+  FROM usage u JOIN vouchers v ON u.voucher_key = v.voucher_key GROUP BY u.voucher_key)
+SELECT v.voucher_key, v.voucher_code, COALESCE(e.n, 0) AS eligible_orders,
+       COALESCE(s.uses, 0) AS uses, COALESCE(s.valid_uses, 0) AS valid_uses,
+       COALESCE(s.outside_window, 0) AS outside_window, COALESCE(s.below_minimum, 0) AS below_minimum
+FROM vouchers v LEFT JOIN elig e ON v.voucher_key = e.voucher_key
+LEFT JOIN uses s ON v.voucher_key = s.voucher_key
+""")
+def q_voucher_eligibility(spark, d):
+    from shopcube.operators.vouchers import voucher_eligibility
+    m = _m(spark, d)
+    return voucher_eligibility(m.vouchers, m.priced_orders, m.usage)
+
+
+@query("voucher_discounts", O.with_(*O.FULL, O.USAGE, O.VOUCHERS) + """,
+r AS (
+  SELECT u.voucher_key, u.order_value_before_discount AS before, u.discount_amount, v.maximum_discount,
+         CASE WHEN v.voucher_type = 'percentage'
+              THEN CAST(u.order_value_before_discount * v.discount_percentage * 0.01 AS DECIMAL(10,2))
+              ELSE v.discount_value END AS raw
+  FROM usage u JOIN vouchers v ON u.voucher_key = v.voucher_key)
+SELECT voucher_key, COUNT(*) AS uses, CAST(SUM(raw) AS DOUBLE) AS uncapped_discount,
+       CAST(SUM(CAST(least(raw, COALESCE(maximum_discount, raw), before) AS DECIMAL(10,2))) AS DOUBLE)
+         AS entitled_discount,
+       COUNT(*) FILTER (WHERE raw > maximum_discount) AS capped_uses,
+       CAST(SUM(discount_amount) AS DOUBLE) AS applied_discount
+FROM r GROUP BY voucher_key
+""")
+def q_voucher_discounts(spark, d):
+    from shopcube.operators.vouchers import voucher_discounts
+    m = _m(spark, d)
+    return voucher_discounts(m.vouchers, m.usage)
+
+
+@query("voucher_limits", O.with_(*O.FULL, O.USAGE, O.VOUCHERS) + """,
+pc AS (
+  SELECT u.voucher_key, u.customer_key, u.order_key, u.usage_date, v.usage_limit,
+         v.usage_limit_per_customer,
+         row_number() OVER (PARTITION BY u.voucher_key, u.customer_key ORDER BY u.usage_date, u.order_key)
+           AS customer_rank
+  FROM usage u JOIN vouchers v ON u.voucher_key = v.voucher_key),
+ok AS (
+  SELECT order_key, voucher_key,
+         row_number() OVER (PARTITION BY voucher_key ORDER BY usage_date, order_key) AS voucher_rank
+  FROM pc WHERE customer_rank <= usage_limit_per_customer)
+SELECT pc.voucher_key, pc.customer_key, pc.order_key, pc.usage_date, pc.usage_limit,
+       pc.usage_limit_per_customer, pc.customer_rank,
+       pc.customer_rank <= pc.usage_limit_per_customer AS within_customer_limit, ok.voucher_rank,
+       pc.customer_rank <= pc.usage_limit_per_customer AND ok.voucher_rank <= pc.usage_limit AS accepted
+FROM pc LEFT JOIN ok ON pc.order_key = ok.order_key AND pc.voucher_key = ok.voucher_key
+""")
+def q_voucher_limits(spark, d):
+    from shopcube.operators.vouchers import voucher_limits
+    m = _m(spark, d)
+    return voucher_limits(m.vouchers, m.usage)
