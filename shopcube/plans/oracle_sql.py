@@ -229,3 +229,46 @@ hist2 AS (
   SELECT *, CASE WHEN orders_to_date <= 1 THEN 'New' WHEN spent_to_date >= 3000000 THEN 'VIP'
                  ELSE 'Regular' END AS segment
   FROM hist)"""
+
+EVENTS = """
+ev AS (
+  SELECT event_id, ts, user_id AS customer_key, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_key,
+         CAST(user_id % 2 + 1 AS INTEGER) AS platform_key,
+         CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS time_key
+  FROM events),
+ev1 AS (SELECT *, lag(ts) OVER (PARTITION BY customer_key ORDER BY ts, event_id) AS prev FROM ev),
+ev2 AS (SELECT *, CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN ts END AS st FROM ev1),
+sess AS (
+  SELECT *, MAX(st) OVER (PARTITION BY customer_key ORDER BY ts, event_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_start
+  FROM ev2),
+traffic AS (
+  SELECT time_key, product_key, customer_key, platform_key,
+         COUNT(*) FILTER (WHERE event_type = 'view') AS page_views,
+         COUNT(DISTINCT session_start) AS visits,
+         NULLIF(COUNT(*) FILTER (WHERE event_type = 'click'), 0) AS add_to_cart_count,
+         NULLIF(COUNT(*) FILTER (WHERE event_type = 'wishlist'), 0) AS wishlist_add_count
+  FROM sess GROUP BY time_key, product_key, customer_key, platform_key),
+activity AS (
+  SELECT event_id AS activity_event_key, time_key, customer_key, platform_key,
+         CASE event_type WHEN 'signup' THEN 'SHOP_FOLLOWED' WHEN 'error' THEN 'CHAT_SENT'
+              WHEN 'purchase' THEN 'COUPON_CLAIMED' END AS activity_type,
+         CASE WHEN event_type = 'error' THEN CAST(floor(value) AS INTEGER) END AS chat_response_time_seconds,
+         CASE WHEN event_type = 'signup' THEN 1 END AS follower_count_change
+  FROM ev WHERE event_type IN ('signup', 'error', 'purchase'))"""
+
+FACT_ORDERS = """
+fact_orders AS (
+  SELECT i.order_key, i.line_number, o.time_key, i.product_key, o.customer_key, o.platform_key,
+         i.net AS paid_price, i.quantity AS item_quantity, o.cancellation_reason, i.return_reason,
+         CAST(i.net * 0.05 AS DECIMAL(12,2)) AS commission,
+         CAST(CASE WHEN i.voucher_side = 'platform' THEN i.discount END AS DECIMAL(12,2)) AS subsidy
+  FROM items i JOIN ords o ON i.order_key = o.order_key)"""
+
+FACT = """
+fact AS (
+  SELECT o.time_key, o.customer_key, i.product_key, i.order_key, i.voucher_key, o.platform_key,
+         i.quantity, i.gross, i.discount, i.net, i.unit_price, o.is_cancelled, i.is_returned,
+         o.order_ts, o.order_date
+  FROM items i JOIN ords o ON i.order_key = o.order_key)"""

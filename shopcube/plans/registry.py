@@ -578,3 +578,269 @@ def q_voucher_limits(spark, d):
     from shopcube.operators.vouchers import voucher_limits
     m = _m(spark, d)
     return voucher_limits(m.vouchers, m.usage)
+
+
+# ---------------------------------------------------------------------------
+# Phase 4/5: facts from schema B, cube/rollup, traffic, rankings, analytics
+# ---------------------------------------------------------------------------
+
+@query("fact_orders", O.with_(*O.BASE, O.FACT_ORDERS) + """
+SELECT order_key, line_number, time_key, product_key, customer_key, platform_key,
+       CAST(paid_price AS DOUBLE) AS paid_price, item_quantity, cancellation_reason, return_reason,
+       CAST(commission AS DOUBLE) AS seller_commission_fee,
+       CAST(subsidy AS DOUBLE) AS platform_subsidy_amount,
+       CAST(CAST(paid_price - commission AS DECIMAL(12,2)) AS DOUBLE) AS seller_payout
+FROM fact_orders
+""")
+def q_fact_orders(spark, d):
+    from shopcube.operators.facts import fact_orders
+    m = _m(spark, d)
+    return doubles(fact_orders(m.items, m.orders))
+
+
+def _fact_year(m: Model) -> DataFrame:
+    return m.fact.withColumn("year", (F.col("time_key") / 10000).cast("int"))
+
+
+@query("sales_cube", O.with_(*O.BASE, O.FACT) + """
+SELECT year, platform_key, is_returned,
+       GROUPING_ID(year, platform_key, is_returned) AS grouping_id, COUNT(*) AS row_count,
+       CAST(SUM(quantity) AS DOUBLE) AS total_quantity, CAST(SUM(net) AS DOUBLE) AS net_sales
+FROM (SELECT *, time_key // 10000 AS year FROM fact)
+GROUP BY CUBE (year, platform_key, is_returned)
+""")
+def q_sales_cube(spark, d):
+    from shopcube.operators.marts import sales_cube
+    return sales_cube(_fact_year(_m(spark, d)), ["year", "platform_key", "is_returned"])
+
+
+@query("time_rollup", O.with_(*O.BASE, O.FACT) + """
+SELECT year, quarter, month, GROUPING_ID(year, quarter, month) AS grouping_id, COUNT(*) AS row_count,
+       CAST(SUM(quantity) AS DOUBLE) AS total_quantity, CAST(SUM(net) AS DOUBLE) AS net_sales
+FROM (SELECT *, time_key // 10000 AS year, ((time_key // 100) % 100 + 2) // 3 AS quarter,
+             (time_key // 100) % 100 AS month FROM fact)
+GROUP BY ROLLUP (year, quarter, month)
+""")
+def q_time_rollup(spark, d):
+    from shopcube.operators.marts import sales_cube
+    f = _fact_year(_m(spark, d))
+    month = (F.col("time_key") / 100).cast("int") % 100
+    f = f.withColumn("month", month).withColumn("quarter", ((month + 2) / 3).cast("int"))
+    return sales_cube(f, ["year", "quarter", "month"], rollup=True)
+
+
+@query("fact_traffic", O.with_(O.EVENTS) + "SELECT * FROM traffic")
+def q_fact_traffic(spark, d):
+    from shopcube.operators.traffic import fact_traffic
+    return fact_traffic(_m(spark, d).t.events)
+
+
+@query("visits", O.with_(O.EVENTS) + """
+SELECT customer_key, session_start, MAX(ts) AS last_event, COUNT(*) AS events
+FROM sess GROUP BY customer_key, session_start
+""")
+def q_visits(spark, d):
+    from shopcube.operators.traffic import sessions
+    return sessions(_m(spark, d).t.events)
+
+
+@query("fact_activity", O.with_(O.EVENTS) + "SELECT * FROM activity")
+def q_fact_activity(spark, d):
+    from shopcube.operators.traffic import fact_activity
+    return fact_activity(_m(spark, d).t.events)
+
+
+@query("traffic_totals", O.with_(O.EVENTS) + """
+SELECT time_key, platform_key, CAST(SUM(page_views) AS BIGINT) AS page_views,
+       CAST(SUM(visits) AS BIGINT) AS visits, CAST(SUM(add_to_cart_count) AS BIGINT) AS add_to_cart,
+       CAST(SUM(wishlist_add_count) AS BIGINT) AS wishlist_adds,
+       COUNT(DISTINCT product_key) AS products_viewed
+FROM traffic GROUP BY time_key, platform_key
+""")
+def q_traffic_totals(spark, d):
+    from shopcube.operators.traffic import fact_traffic, traffic_totals
+    return traffic_totals(fact_traffic(_m(spark, d).t.events))
+
+
+@query("activity_daily", O.with_(O.EVENTS) + """,
+daily AS (
+  SELECT platform_key, time_key, COUNT(*) FILTER (WHERE activity_type = 'CHAT_SENT') AS chats,
+         CAST(SUM(chat_response_time_seconds) AS DOUBLE)
+           / NULLIF(CAST(COUNT(chat_response_time_seconds) AS DOUBLE), 0) AS avg_chat_response_seconds,
+         COALESCE(SUM(follower_count_change), 0) AS follower_net_change
+  FROM activity GROUP BY platform_key, time_key)
+SELECT *, CAST(SUM(follower_net_change) OVER (PARTITION BY platform_key ORDER BY time_key
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS followers_running_total
+FROM daily
+""")
+def q_activity_daily(spark, d):
+    from shopcube.operators.traffic import activity_daily, fact_activity
+    return activity_daily(fact_activity(_m(spark, d).t.events))
+
+
+@query("usage_pattern", O.with_(*O.BASE, O.FIRST, O.USAGE) + """
+SELECT hour(usage_date) AS hour, isodow(usage_date) AS day_of_week, COUNT(*) AS uses,
+       CAST(SUM(discount_amount) AS DOUBLE) AS discount_total
+FROM usage GROUP BY 1, 2
+""")
+def q_usage_pattern(spark, d):
+    from shopcube.operators.analytics import usage_pattern
+    return usage_pattern(_m(spark, d).usage)
+
+
+@query("reason_totals", O.with_(*O.BASE, O.FACT_ORDERS) + """
+SELECT 'cancellation' AS reason_type, cancellation_reason AS reason, COUNT(*) AS lines,
+       CAST(SUM(paid_price) AS DOUBLE) AS amount
+FROM fact_orders WHERE cancellation_reason IS NOT NULL GROUP BY cancellation_reason
+UNION ALL
+SELECT 'return', return_reason, COUNT(*), CAST(SUM(paid_price) AS DOUBLE)
+FROM fact_orders WHERE return_reason IS NOT NULL GROUP BY return_reason
+""")
+def q_reason_totals(spark, d):
+    from shopcube.operators.analytics import reason_totals
+    from shopcube.operators.facts import fact_orders
+    m = _m(spark, d)
+    return reason_totals(fact_orders(m.items, m.orders))
+
+
+@query("revenue_trend", "WITH summary AS (" + SUMMARY_SQL + """)
+SELECT platform, date, net_revenue,
+       lag(net_revenue) OVER w AS prev_net_revenue,
+       net_revenue - lag(net_revenue) OVER w AS change_net_revenue,
+       SUM(net_revenue) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+         / COUNT(net_revenue) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg7_net_revenue
+FROM summary WINDOW w AS (PARTITION BY platform ORDER BY date)
+""")
+def q_revenue_trend(spark, d):
+    from shopcube.operators.windows import daily_trend
+    s = _m(spark, d).summary.select("platform", "date", "net_revenue")
+    return daily_trend(s, "platform", "date", "net_revenue")
+
+
+PRODUCT_SALES = """,
+psales AS (
+  SELECT f.product_key, p.p_type AS category, p.p_name AS product_name,
+         CAST(SUM(f.net) AS DOUBLE) AS net_sales, CAST(SUM(f.quantity) AS BIGINT) AS units
+  FROM fact f JOIN part p ON f.product_key = p.p_partkey
+  WHERE NOT f.is_cancelled GROUP BY f.product_key, p.p_type, p.p_name)"""
+
+
+def _product_sales(m: Model) -> DataFrame:
+    live = m.fact.filter(F.col("is_cancelled") == F.lit(False))
+    s = live.groupBy("product_key").agg(F.sum("net_sales_amount").cast("double").alias("net_sales"),
+                                        F.sum("quantity_sold").cast("bigint").alias("units"))
+    return s.join(m.products.select("product_key", "category", "product_name"), "product_key")
+
+
+@query("top_products_per_category", O.with_(*O.BASE, O.FACT) + PRODUCT_SALES + """
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY net_sales DESC, product_key) AS rank
+  FROM psales) WHERE rank <= 3
+""")
+def q_top_products_per_category(spark, d):
+    from shopcube.operators.windows import top_n_per_group
+    s = _product_sales(_m(spark, d))
+    return top_n_per_group(s, ["category"], [F.col("net_sales").desc(), F.col("product_key")], 3)
+
+
+@query("best_sellers", O.with_(*O.BASE, O.FACT) + PRODUCT_SALES + """
+SELECT * FROM psales ORDER BY units DESC, product_key LIMIT 10
+""")
+def q_best_sellers(spark, d):
+    from shopcube.operators.windows import top_k
+    s = _product_sales(_m(spark, d))
+    return top_k(s, [F.col("units").desc(), F.col("product_key")], 10)
+
+
+@query("cohort_retention", O.with_(O.ORDERS) + """,
+m AS (SELECT DISTINCT customer_key, CAST(date_trunc('month', order_date) AS DATE) AS month FROM ords),
+f AS (SELECT customer_key, MIN(month) AS cohort FROM m GROUP BY customer_key)
+SELECT f.cohort, CAST(date_diff('month', f.cohort, m.month) AS INTEGER) AS months_since,
+       COUNT(*) AS customers
+FROM m JOIN f ON m.customer_key = f.customer_key GROUP BY 1, 2
+""")
+def q_cohort_retention(spark, d):
+    from shopcube.operators.analytics import cohort_retention
+    return cohort_retention(_m(spark, d).orders)
+
+
+@query("inventory_turnover", O.with_(*O.BASE, O.FACT) + """
+SELECT p.p_partkey AS product_key, p.p_size AS stock_on_hand,
+       CAST(COALESCE(s.units, 0) AS BIGINT) AS units_sold,
+       CAST(COALESCE(s.units, 0) AS DOUBLE) / NULLIF(CAST(p.p_size AS DOUBLE), 0) AS turnover
+FROM part p LEFT JOIN (SELECT product_key, SUM(quantity) AS units FROM fact WHERE NOT is_cancelled
+                       GROUP BY product_key) s ON p.p_partkey = s.product_key
+""")
+def q_inventory_turnover(spark, d):
+    from shopcube.operators.analytics import inventory_turnover
+    m = _m(spark, d)
+    return inventory_turnover(m.fact, m.products)
+
+
+@query("discount_rate", O.with_(*O.BASE, O.FACT) + """
+SELECT time_key // 10000 AS year, platform_key, CAST(SUM(discount) AS DOUBLE) AS total_discounts,
+       CAST(SUM(gross) AS DOUBLE) AS gross_sales,
+       CAST(SUM(discount) AS DOUBLE) / NULLIF(CAST(SUM(gross) AS DOUBLE), 0) AS discount_rate
+FROM fact WHERE NOT is_cancelled GROUP BY 1, 2
+""")
+def q_discount_rate(spark, d):
+    from shopcube.operators.analytics import discount_rate
+    return discount_rate(_m(spark, d).fact)
+
+
+@query("product_identity", O.with_(*O.BASE, O.FACT) + """,
+a AS (SELECT DISTINCT product_key FROM fact WHERE platform_key = 1),
+b AS (SELECT DISTINCT product_key FROM fact WHERE platform_key = 2)
+SELECT COALESCE(a.product_key, b.product_key) AS product_key,
+       CASE WHEN a.product_key IS NOT NULL THEN 'L-' || CAST(a.product_key AS VARCHAR) END AS lazada_item_id,
+       CASE WHEN b.product_key IS NOT NULL THEN 'S-' || CAST(b.product_key AS VARCHAR) END AS shopee_item_id,
+       p.p_name AS product_name, p.p_type AS category_l2
+FROM a FULL JOIN b ON a.product_key = b.product_key
+LEFT JOIN part p ON COALESCE(a.product_key, b.product_key) = p.p_partkey
+""")
+def q_product_identity(spark, d):
+    from shopcube.operators.analytics import product_identity
+    m = _m(spark, d)
+    return product_identity(m.fact, m.products)
+
+
+@query("voucher_products", O.with_(*O.BASE, O.VOUCHERS) + """
+SELECT DISTINCT v.voucher_key, p.p_partkey AS product_key,
+       'V' || lpad(CAST(v.voucher_key AS VARCHAR), 3, '0') AS voucher_id,
+       'SKU-' || CAST(p.p_partkey AS VARCHAR) AS sku_id,
+       CAST(v.discount_value AS DOUBLE) AS discount_value,
+       CAST(v.discount_percentage AS DOUBLE) AS discount_percentage
+FROM (SELECT *, unnest(CAST(applicable_categories AS JSON)::VARCHAR[]) AS category FROM vouchers) v
+JOIN part p ON p.p_type = v.category
+""")
+def q_voucher_products(spark, d):
+    from shopcube.operators.analytics import voucher_products
+    m = _m(spark, d)
+    return doubles(voucher_products(m.vouchers, m.products))
+
+
+@query("voucher_status", O.with_(*O.BASE, O.VOUCHERS) + """
+SELECT voucher_key, voucher_code, start_date, end_date,
+       CASE WHEN a.d > end_date THEN 'Expired' WHEN a.d < start_date THEN 'Inactive' ELSE 'Active' END
+         AS status
+FROM vouchers, (SELECT CAST(MAX(o_orderdate) AS TIMESTAMP) AS d FROM orders) a
+""")
+def q_voucher_status(spark, d):
+    from shopcube.operators.analytics import voucher_status
+    m = _m(spark, d)
+    as_of = m.orders.agg(F.max("order_ts")).scalar()
+    v = m.vouchers
+    return v.select("voucher_key", "voucher_code", "start_date", "end_date",
+                    voucher_status(as_of, F.col("start_date"), F.col("end_date")).alias("status"))
+
+
+@query("headline_totals", O.with_(*O.FULL) + """
+SELECT COUNT(*) AS orders_with_lines,
+       CAST(SUM(buyer_paid_price) FILTER (WHERE NOT is_cancelled) AS DOUBLE) AS net_revenue,
+       (SELECT COUNT(*) FROM lineitem) AS order_items, (SELECT COUNT(*) FROM customer) AS customers,
+       (SELECT COUNT(*) FROM part) AS products
+FROM priced
+""")
+def q_headline_totals(spark, d):
+    from shopcube.operators.analytics import headline_totals
+    return headline_totals(_m(spark, d))
