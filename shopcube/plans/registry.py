@@ -844,3 +844,101 @@ FROM priced
 def q_headline_totals(spark, d):
     from shopcube.operators.analytics import headline_totals
     return headline_totals(_m(spark, d))
+
+
+COLOUR_SQL = "['red', 'blue', 'green', 'black', 'white', 'yellow', 'pink', 'purple', 'orange', " \
+             "'brown', 'grey', 'gray', 'silver', 'gold']"
+SIZE_SQL = "['small', 'medium', 'large', 'xs', 's', 'm', 'l', 'xl', 'xxl']"
+
+
+@query("dim_products", O.with_(*O.BASE, O.FACT) + f""",
+live AS (SELECT * FROM fact WHERE NOT is_cancelled),
+roll AS (SELECT product_key, SUM(quantity) AS qty, SUM(net) AS amount, MIN(order_date) AS first_sold_date,
+                MAX(order_date) AS last_sold_date FROM live GROUP BY product_key),
+latest AS (SELECT product_key, unit_price FROM (
+             SELECT product_key, unit_price, row_number() OVER (PARTITION BY product_key
+                    ORDER BY order_ts DESC, order_key DESC, unit_price DESC) AS rn FROM live) WHERE rn = 1),
+p AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, CAST(p_retailprice AS DECIMAL(10,2)) AS price,
+             CASE WHEN p_size <= 45 THEN CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 0.6 AS DECIMAL(10,2)) END
+               AS cost,
+             regexp_split_to_array(lower(p_name), '[^a-z0-9]+') AS words FROM part),
+as_of AS (SELECT MAX(CAST(o_orderdate AS DATE)) AS d FROM orders)
+SELECT p.p_partkey AS product_key, 'SKU-' || CAST(p.p_partkey AS VARCHAR) AS sku_id,
+       p.p_name AS product_name, p.p_brand || '-' || CAST(p.p_partkey AS VARCHAR) AS product_sku,
+       p.p_type AS category, p.p_brand AS brand,
+       CAST(COALESCE(l.unit_price, p.price) AS DOUBLE) AS last_price, CAST(p.cost AS DOUBLE) AS cost_price,
+       CAST((COALESCE(l.unit_price, p.price) - p.cost) * 100 AS DOUBLE)
+         / NULLIF(CAST(COALESCE(l.unit_price, p.price) AS DOUBLE), 0) AS margin_percentage,
+       COALESCE(NULLIF(regexp_extract(lower(p.p_name), 'colou?r\\s*[:=]\\s*([a-z]+)', 1), ''),
+                list_filter(p.words, lambda w: list_contains({COLOUR_SQL}, w))[1]) AS color_family,
+       COALESCE(NULLIF(regexp_extract(lower(p.p_name), 'size\\s*[:=]\\s*([a-z0-9]+)', 1), ''),
+                list_filter(p.words, lambda w: list_contains({SIZE_SQL}, w))[1]) AS size,
+       CAST(COALESCE(r.qty, 0) AS BIGINT) AS total_sales_quantity,
+       CAST(COALESCE(r.amount, 0) AS DOUBLE) AS total_sales_amount,
+       {O.half_up('CAST(r.amount * 100 AS BIGINT)', 'r.qty')} AS average_selling_price,
+       r.first_sold_date, r.last_sold_date,
+       CASE WHEN r.last_sold_date IS NULL OR date_diff('day', r.last_sold_date, (SELECT d FROM as_of)) > 730
+              THEN 'Discontinued'
+            WHEN date_diff('day', r.last_sold_date, (SELECT d FROM as_of)) > 180 THEN 'Inactive'
+            ELSE 'Active' END AS inventory_status,
+       p.p_size AS stock_on_hand
+FROM p LEFT JOIN roll r ON p.p_partkey = r.product_key LEFT JOIN latest l ON p.p_partkey = l.product_key
+""")
+def q_dim_products(spark, d):
+    from shopcube.operators.dims import build_dim_products
+    m = _m(spark, d)
+    return doubles(build_dim_products(m.products, m.fact, m.orders, m.as_of))
+
+
+@query("display_format", O.with_(*O.BASE, O.FACT) + """,
+s AS (SELECT p.p_partkey AS product_key, CAST(SUM(f.net) * 100 AS BIGINT) AS n, SUM(f.quantity) AS q
+      FROM part p LEFT JOIN fact f ON f.product_key = p.p_partkey AND NOT f.is_cancelled
+      GROUP BY p.p_partkey)
+SELECT product_key,
+       CASE WHEN n IS NULL THEN 'N/A' WHEN n % 100 = 0 THEN format('{:,}', n // 100)
+            ELSE CAST(CAST(n AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,4))::VARCHAR END AS net_sales_display,
+       CASE WHEN n IS NULL OR q IS NULL OR q = 0 THEN 'N/A'
+            WHEN n % (100 * q) = 0 THEN format('{:,}', n // (100 * q))
+            ELSE CAST(CAST((n * 200 + q) // (2 * q) AS DECIMAL(38,0)) * 0.0001 AS DECIMAL(38,4))::VARCHAR
+       END AS revenue_per_unit_display
+FROM s
+""")
+def q_display_format(spark, d):
+    """Display strings for money and per-unit values."""
+    from shopcube.operators.analytics import display_value
+    m = _m(spark, d)
+    live = m.fact.filter(F.col("is_cancelled") == F.lit(False))
+    s = live.groupBy("product_key").agg(F.sum("net_sales_amount").alias("n"),
+                                        F.sum("quantity_sold").alias("q"))
+    j = m.products.select("product_key").join(s, "product_key", "left")
+    rpu = F.col("n") / F.nullif(F.col("q").cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return j.select("product_key", display_value(F.col("n")).alias("net_sales_display"),
+                    display_value(rpu).alias("revenue_per_unit_display"))
+
+
+@query("upload_summary", O.with_(*O.FULL, KPI_DAILY) + """
+SELECT 'Processed ' || CAST(COUNT(*) AS VARCHAR) || ' rows from ' || platform AS message,
+       COUNT(*) AS rows_processed, 19 AS column_count,
+       'platform,source_file,date,total_sales_value,visitors,buyers,total_orders,pageviews,units_sold,conversion_rate,revenue_per_buyer,visitor_value,add_to_cart_users,add_to_cart_units,wishlists,wishlist_users,average_order_value,average_basket_size,cancelled_amount,return_refund_amount' AS columns
+FROM kd GROUP BY platform
+""")
+def q_upload_summary(spark, d):
+    """The upload result envelope per marketplace (message, row count,
+    column list); records themselves are written, never collected."""
+    daily = _m(spark, d).kpi.daily
+    cols = daily.columns
+    return (daily.groupBy("platform").agg(F.count(F.lit(1)).alias("rows_processed"))
+            .select(F.format_string("Processed %d rows from %s", "rows_processed", "platform")
+                    .alias("message"), "rows_processed",
+                    F.lit(len(cols) - 1).alias("column_count"), F.lit(",".join(cols)).alias("columns")))
+
+
+@query("kpi_preview", O.with_(*O.FULL, KPI_DAILY) + """
+SELECT platform, date, CAST(rev AS DOUBLE) AS total_sales_value, CAST(orders AS INTEGER) AS total_orders
+FROM kd ORDER BY platform, date LIMIT 5
+""")
+def q_kpi_preview(spark, d):
+    """The first rows of the cleaned feed in a stated order (a preview)."""
+    k = _m(spark, d).kpi.daily
+    return doubles(k.select("platform", "date", "total_sales_value", "total_orders")
+                   .orderBy("platform", "date").limit(5))
