@@ -942,3 +942,41 @@ def q_kpi_preview(spark, d):
     k = _m(spark, d).kpi.daily
     return doubles(k.select("platform", "date", "total_sales_value", "total_orders")
                    .orderBy("platform", "date").limit(5))
+
+
+# ---------------------------------------------------------------------------
+# Phase 5: streaming jobs, run incrementally to completion
+# ---------------------------------------------------------------------------
+
+def _stream_to_snapshot(spark, stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
+    from shopcube.session import scratch_path
+    from shopcube.streaming.jobs import complete_to_table, latest_snapshot, run_available_now
+    out = scratch_path(spark, f"{name}-out")
+    run_available_now(stream, scratch_path(spark, f"{name}-ckpt"), mode, sink=complete_to_table(out))
+    return latest_snapshot(spark, out)
+
+
+@query("stream_event_rollup", O.with_(O.EVENTS) + """
+SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS events,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value_total
+FROM (SELECT DISTINCT ON (event_id) * FROM ev) GROUP BY 1, 2
+""")
+def q_stream_event_rollup(spark, d):
+    """S03 + S04: the streaming daily roll-up (de-duplicated), complete mode."""
+    from shopcube.streaming.jobs import event_rollup_stream, event_stream
+    s = event_rollup_stream(event_stream(spark, f"{d}/events.parquet*"))
+    return _stream_to_snapshot(spark, s.drop("approx_users"), "event-rollup")
+
+
+@query("stream_sessions", O.with_(O.EVENTS) + """
+SELECT customer_key AS user_id, session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end,
+       COUNT(*) AS events
+FROM sess GROUP BY customer_key, session_start
+""")
+def q_stream_sessions(spark, d):
+    """Visits from the event stream via session windows."""
+    from shopcube.streaming.jobs import event_stream, session_stream
+    s = session_stream(event_stream(spark, f"{d}/events.parquet*"))
+    snap = _stream_to_snapshot(spark, s, "sessions")
+    return snap.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "events")
