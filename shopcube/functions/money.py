@@ -55,3 +55,22 @@ def unit_price(gross, qty) -> Column:
     half-cent tie unless it is the tie itself, so ``round`` is exact.
     """
     return F.round(col_(gross) / col_(qty).cast("decimal(10,0)"), 2).cast(PRICE)
+
+
+def money_from_double(c, t: str = MONEY) -> Column:
+    """A non-negative amount stored as double (2 decimals) -> exact decimal,
+    via integer cents: floor(x*100 + 0.5) stays in primitive arithmetic,
+    while a double->decimal cast goes through BigDecimal for every row."""
+    cents = F.floor(col_(c) * 100 + 0.5).cast("long")
+    return (cents.cast("decimal(16,0)") * dec("0.01")).cast(t)
+
+
+def msum(c, t: str = "decimal(20,2)") -> Column:
+    """Exact sum of a scale-2 decimal, accumulated as long cents.
+
+    ``sum(decimal(12,2))`` keeps a decimal(22,2) buffer (BigDecimal per row);
+    a long buffer keeps the aggregation compact.  Overflow (beyond 9.2e16 in
+    currency units per group) raises under ANSI mode instead of wrapping.
+    """
+    cents = F.sum((col_(c) * 100).cast("long"))
+    return (cents.cast("decimal(19,0)") * dec("0.01")).cast(t)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shopcube.functions.calendar import (DEFAULT_HOLIDAYS, PLATFORMS, calendar_columns,
                                          is_recurring_holiday)
-from shopcube.functions.money import MONEY, PRICE, dec, safe_div
+from shopcube.functions.money import MONEY, PRICE, dec, msum, safe_div
 
 
 # --------------------------------------------------------------------------
@@ -99,7 +99,7 @@ def customer_rollup(priced_orders: DataFrame) -> DataFrame:
     live = priced_orders.filter(F.col("is_cancelled") == F.lit(False))
     return (live.groupBy("customer_key")
             .agg(F.count(F.lit(1)).alias("total_orders"),
-                 F.sum("buyer_paid_price").alias("spent"),
+                 msum("buyer_paid_price").alias("spent"),
                  F.min("order_date").alias("first_order_date"),
                  F.max("order_date").alias("last_order_date")))
 
@@ -166,7 +166,7 @@ def product_rollup(fact: DataFrame, orders: DataFrame) -> DataFrame:
     live = fact.filter(F.col("is_cancelled") == F.lit(False)).join(o, "order_key")
     return (live.groupBy("product_key")
             .agg(F.sum("quantity_sold").alias("qty"),
-                 F.sum("net_sales_amount").alias("amount"),
+                 msum("net_sales_amount").alias("amount"),
                  F.min("order_date").alias("first_sold_date"),
                  F.max("order_date").alias("last_sold_date"),
                  # total order on (ts, order, price) so ties resolve identically everywhere

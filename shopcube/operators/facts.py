@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.functions.money import MONEY, PRICE
+from shopcube.functions.money import MONEY, PRICE, msum
 
 def _zero() -> F.Column:
     return F.lit(0).cast(PRICE)
@@ -32,11 +32,11 @@ def order_rollup(items: DataFrame) -> DataFrame:
     """per-order totals from the items (partial aggregation before shuffle)."""
     disc = F.col("item_voucher_discount")
     return items.groupBy("order_key").agg(
-        F.sum("total_item_price").cast(PRICE).alias("order_total_price"),
-        F.sum(F.when(F.col("voucher_side") == "seller", disc)).cast(PRICE).alias("voucher_seller"),
-        F.sum(F.when(F.col("voucher_side") == "platform", disc)).cast(PRICE).alias("voucher_platform"),
+        msum("total_item_price", PRICE).alias("order_total_price"),
+        msum(F.when(F.col("voucher_side") == "seller", disc), PRICE).alias("voucher_seller"),
+        msum(F.when(F.col("voucher_side") == "platform", disc), PRICE).alias("voucher_platform"),
         F.sum("quantity").cast("int").alias("items_count"),
-        F.sum("tax_amount").cast(MONEY).alias("tax_total"),
+        msum("tax_amount", MONEY).alias("tax_total"),
         F.max("is_returned").alias("has_return"),
         F.count(F.lit(1)).alias("line_count"),
     )

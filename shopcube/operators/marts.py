@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.functions.money import safe_div
+from shopcube.functions.money import msum, safe_div
 from shopcube.operators.facts import flag_first_orders
 
 
@@ -29,15 +29,15 @@ def sales_summary(priced_orders: DataFrame, orders: DataFrame | None = None) ->
         F.count_if(~live).alias("cancelled_orders"),
         F.count_if(live & ret).alias("returned_orders"),
         F.sum(F.when(live, F.col("items_count"))).alias("items"),
-        F.sum(F.when(live, F.col("order_total_price"))).alias("gross"),
-        F.sum(F.when(live, F.col("voucher_total"))).alias("disc"),
-        F.sum(F.when(live, F.col("buyer_paid_price"))).alias("net"),
-        F.sum(F.when(live, F.coalesce("shipping_fee", F.lit(0)))).alias("ship"),
+        msum(F.when(live, F.col("order_total_price"))).alias("gross"),
+        msum(F.when(live, F.col("voucher_total"))).alias("disc"),
+        msum(F.when(live, F.col("buyer_paid_price"))).alias("net"),
+        msum(F.when(live, F.coalesce("shipping_fee", F.lit(0)))).alias("ship"),
         F.count_if(live).alias("live_orders"),
         F.countDistinct("customer_key").alias("unique_customers"),
         F.count_if(F.col("is_first_order")).alias("new_customers"),
         F.count_if(vou).alias("vouchers_used"),
-        F.sum(F.when(vou, F.col("voucher_total"))).alias("vdisc"),
+        msum(F.when(vou, F.col("voucher_total"))).alias("vdisc"),
     )
     return g.select(
         "time_key", F.col("order_date").alias("date"), "platform_key",

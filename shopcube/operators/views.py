@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.functions.money import avg_d, safe_div, sum_d
+from shopcube.functions.money import avg_d, msum, safe_div, sum_d
 
 
 def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
@@ -19,10 +19,10 @@ def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
                    .groupBy("product_key")
                    .agg(F.countDistinct("order_key").alias("orders_count"),
                         F.sum("quantity_sold").alias("qty"),
-                        F.sum("gross_sales_amount").alias("gross"),
-                        F.sum("discount_amount").alias("disc"),
-                        F.sum("net_sales_amount").alias("net"),
-                        F.sum("unit_price").alias("sum_price"),
+                        msum("gross_sales_amount").alias("gross"),
+                        msum("discount_amount").alias("disc"),
+                        msum("net_sales_amount").alias("net"),
+                        msum("unit_price").alias("sum_price"),
                         F.count("unit_price").alias("n_price")))
     p = products.select("product_key", "product_name", "product_sku", "category")
     return (per_product.join(p, "product_key", "inner")
@@ -40,9 +40,9 @@ def voucher_effectiveness(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
     per_voucher = (usage.groupBy("voucher_key")
                    .agg(F.count("usage_key").alias("total_usage"),
                         F.countDistinct("customer_key").alias("unique_customers"),
-                        F.sum("discount_amount").alias("disc"),
+                        msum("discount_amount").alias("disc"),
                         F.count("discount_amount").alias("n_disc"),
-                        F.sum("order_value_after_discount").alias("after"),
+                        msum("order_value_after_discount").alias("after"),
                         F.count(F.when(F.col("first_time_customer"), 1))
                         .alias("new_customer_acquisitions")))
     v = vouchers.select("voucher_key", "voucher_code", "voucher_name", "voucher_type",
@@ -63,8 +63,8 @@ def voucher_effectiveness(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
 def voucher_roi(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
     """(order value generated - discount given) / discount given per voucher."""
     per_voucher = (usage.groupBy("voucher_key")
-                   .agg(F.sum("order_value_after_discount").alias("after"),
-                        F.sum("discount_amount").alias("disc")))
+                   .agg(msum("order_value_after_discount").alias("after"),
+                        msum("discount_amount").alias("disc")))
     return (F.broadcast(vouchers.select("voucher_key", "voucher_code"))
             .join(per_voucher, "voucher_key", "left")
             .select("voucher_key", "voucher_code",

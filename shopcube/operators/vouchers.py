@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.functions.money import PRICE
+from shopcube.functions.money import PRICE, msum
 from shopcube.operators.facts import first_order_keys
 
 
@@ -26,9 +26,9 @@ def voucher_usage(items: DataFrame, orders: DataFrame) -> DataFrame:
     """
     used = items.filter(F.col("voucher_key").isNotNull())
     per_order = (used.groupBy("voucher_key", "order_key")
-                 .agg(F.sum("item_voucher_discount").cast(PRICE).alias("discount_amount"),
-                      F.sum("total_item_price").cast(PRICE).alias("order_value_before_discount"),
-                      F.sum("paid_price").cast(PRICE).alias("order_value_after_discount")))
+                 .agg(msum("item_voucher_discount", PRICE).alias("discount_amount"),
+                      msum("total_item_price", PRICE).alias("order_value_before_discount"),
+                      msum("paid_price", PRICE).alias("order_value_after_discount")))
     o = (orders.select("order_key", "customer_key", "time_key", "order_ts")
          .join(first_order_keys(orders), "order_key", "left"))
     return (per_order.join(o, "order_key", "inner")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcube.functions.calendar import time_key
-from shopcube.functions.money import MONEY, PRICE, RATE, dec, unit_price
+from shopcube.functions.money import MONEY, PRICE, RATE, dec, money_from_double, unit_price
 from shopcube.sources.tables import Tables
 
 # Cancellation reasons by order priority, return reasons by
@@ -49,8 +49,8 @@ def _map_expr(c, mapping: dict):
 def order_items(t: Tables) -> DataFrame:
     """Order_Items at line grain with exact decimal pricing."""
     li = t.lineitem
-    gross = F.col("l_extendedprice").cast(MONEY)
-    rate = F.col("l_discount").cast(RATE)
+    gross = money_from_double("l_extendedprice", MONEY)
+    rate = money_from_double("l_discount", RATE)
     discount = (gross * rate).cast(MONEY)
     qty = F.col("l_quantity").cast("int")
     returned = F.col("l_returnflag") == "R"
@@ -64,7 +64,7 @@ def order_items(t: Tables) -> DataFrame:
         gross.alias("total_item_price"),
         discount.alias("item_voucher_discount"),
         (gross - discount).cast(MONEY).alias("paid_price"),
-        ((gross - discount) * F.col("l_tax").cast(RATE)).cast(PRICE).alias("tax_amount"),
+        ((gross - discount) * money_from_double("l_tax", RATE)).cast(PRICE).alias("tax_amount"),
         F.when(rate > 0, (rate * 100).cast("int")).alias("voucher_key"),
         F.when(F.col("l_linenumber") % 2 == 1, "seller").otherwise("platform").alias("voucher_side"),
         returned.alias("is_returned"),
@@ -99,7 +99,7 @@ def orders(t: Tables) -> DataFrame:
 def products(t: Tables) -> DataFrame:
     """Product master: one row per part; cost 60% of list, unknown above size 45."""
     p = t.part
-    price = F.col("p_retailprice").cast(PRICE)
+    price = money_from_double("p_retailprice", PRICE)
     return p.select(
         F.col("p_partkey").alias("product_key"),
         F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("sku_id"),

@@ -14,30 +14,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcube.operators.dims import with_platform_name
+from shopcube.functions.money import msum
 from shopcube.operators.kpi import HEADER
 
 
-def _aggs():
+def _customer_sums():
+    """Per-customer partial sums and flags (level 1 of the two-level plan)."""
     live = F.col("is_cancelled") == F.lit(False)
     ret = F.col("has_return")
-    cust = F.col("customer_key")
-    zero = F.lit(0).cast("decimal(10,2)")
     return [
-        F.coalesce(F.sum(F.when(live, F.col("buyer_paid_price"))), zero).alias("rev"),
-        F.countDistinct(cust).alias("visitors"),
-        F.countDistinct(F.when(live, cust)).alias("buyers"),
+        msum(F.when(live, F.col("buyer_paid_price"))).alias("rev"),
         F.count_if(live).alias("orders"),
         F.sum("line_count").alias("pageviews"),
-        F.coalesce(F.sum(F.when(live, F.col("items_count"))), F.lit(0)).alias("units"),
-        F.countDistinct(F.when(F.col("voucher_total") > 0, cust)).alias("atc_users"),
+        F.sum(F.when(live, F.col("items_count"))).alias("units"),
         F.sum("items_count").alias("atc_units"),
         F.count_if(ret).alias("wishlists"),
-        F.countDistinct(F.when(ret, cust)).alias("wishlist_users"),
-        F.coalesce(F.sum(F.when(~live, F.col("order_total_price"))), zero).alias("cancelled"),
-        F.coalesce(F.sum(F.when(live & ret, F.col("buyer_paid_price"))), zero).alias("refunds"),
+        msum(F.when(~live, F.col("order_total_price"))).alias("cancelled"),
+        msum(F.when(live & ret, F.col("buyer_paid_price"))).alias("refunds"),
+        F.max(live).alias("is_buyer"),
+        F.max(F.col("voucher_total") > 0).alias("is_atc"),
+        F.max(ret).alias("is_wish"),
     ]
 
 
+SUMS = ["rev", "orders", "pageviews", "units", "atc_units", "wishlists", "cancelled", "refunds"]
+FLAGS = ["is_buyer", "is_atc", "is_wish"]
+
+
+def _regroup(df: DataFrame, keys: list) -> DataFrame:
+    """Re-aggregate per-customer rows at a coarser customer grain."""
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS],
+                                 *[F.max(c).alias(c) for c in FLAGS])
+
+
+def _people(df: DataFrame, keys: list) -> DataFrame:
+    """Level 2: one row per customer per group, so distinct people are plain
+    counts -- no Expand of the order rows, partial aggregation throughout."""
+    zero = F.lit(0).cast("decimal(10,2)")
+    return df.groupBy(*keys).agg(
+        F.coalesce(F.sum("rev"), zero).alias("rev"),
+        F.count(F.lit(1)).alias("visitors"),
+        F.count_if("is_buyer").alias("buyers"),
+        F.sum("orders").alias("orders"),
+        F.sum("pageviews").alias("pageviews"),
+        F.coalesce(F.sum("units"), F.lit(0)).alias("units"),
+        F.count_if("is_atc").alias("atc_users"),
+        F.sum("atc_units").alias("atc_units"),
+        F.sum("wishlists").alias("wishlists"),
+        F.count_if("is_wish").alias("wishlist_users"),
+        F.coalesce(F.sum("cancelled"), zero).alias("cancelled"),
+        F.coalesce(F.sum("refunds"), zero).alias("refunds"))
+
+
 def _half_up(num, den, scale=2):
     d = F.nullif(den.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
     return F.round(num.cast("decimal(20,2)") / d, scale)
@@ -72,11 +100,14 @@ def kpi_feed_text(priced_orders: DataFrame) -> DataFrame:
     o = with_platform_name(priced_orders, spark).withColumn(
         "month", F.trunc("order_date", "month"))
     file_ = F.concat_ws("-", F.lower("platform"), F.date_format("month", "yyyy-MM"))
-    days = o.groupBy("platform", "platform_key", "month", "order_date").agg(*_aggs())
+    per_day = o.groupBy("platform", "platform_key", "month", "order_date", "customer_key") \
+        .agg(*_customer_sums())
+    days = _people(per_day, ["platform", "platform_key", "month", "order_date"])
     day_text = F.when(F.col("platform_key") == 1, F.date_format("order_date", "dd/MM/yyyy")) \
         .otherwise(F.date_format("order_date", "yyyy-MM-dd"))
     day_rows = days.select("platform", file_.alias("source_file"), *_text_cells(day_text))
-    months = o.groupBy("platform", "platform_key", "month").agg(*_aggs())
+    per_month = _regroup(per_day, ["platform", "platform_key", "month", "customer_key"])
+    months = _people(per_month, ["platform", "platform_key", "month"])
     period_text = F.concat(F.date_format("month", "yyyy-MM-dd"), F.lit("~"),
                            F.date_format(F.last_day("month"), "yyyy-MM-dd"))
     period_rows = months.select("platform", file_.alias("source_file"), *_text_cells(period_text))
