@@ -76,9 +76,13 @@ class Model:
     @cached_property
     def kpi(self):
         """Cleaned KPI feed (daily, period, quarantine) from the derived export."""
+        from shopcube.operators.dims import checkpointed
         from shopcube.operators.kpi import clean_kpi_feed
         from shopcube.sources.kpi_feed import kpi_feed_text
-        return clean_kpi_feed(kpi_feed_text(self.priced_orders))
+        # the export is one row per platform-day: small and bounded by the
+        # calendar; writing it once lets day, period and quarantine rows be
+        # cleaned from the file instead of re-aggregating the orders per branch
+        return clean_kpi_feed(checkpointed(kpi_feed_text(self.priced_orders)))
 
     def transactions(self, price_col: str = "buyer_paid_price") -> DataFrame:
         return canonical.transactions(self.t, self.priced_orders, price_col)
