@@ -166,3 +166,8 @@ def load_with_upsert(spark: SparkSession, source: DataFrame, root: str, key: str
     counts = upsert_counts(cur, res.source, key).first().asDict()
     v = write_version(res.merged, root)
     return {"version": v, "inserted": counts["inserted"], "updated": counts["updated"]}
+
+
+def export_json(df: DataFrame, path: str) -> None:
+    """Records as JSON lines, written by the executors (no driver collect)."""
+    df.write.mode("overwrite").json(path)
