@@ -57,3 +57,41 @@ def segment_as_of(usage: DataFrame, history: DataFrame, rules: SegmentRules = Se
            .otherwise(F.col("_h_segment")))
     return j.withColumn("customer_segment_at_usage", seg).drop("_at_day", "_h_segment",
                                                                "_h_valid_from")
+
+
+def segment_at_usage(usage: DataFrame, priced_orders: DataFrame,
+                     rules: SegmentRules = SegmentRules(), at: str = "usage_date") -> DataFrame:
+    """J08 in one skew-safe pass: the same result as
+    ``segment_as_of(usage, customer_history(priced_orders))``.
+
+    Usage rows are merged into each customer's sequence of live order days,
+    sorted before that day's orders; running sums over the preceding rows are
+    then exactly the customer's state at the end of the previous order day.
+    """
+    live = priced_orders.filter(F.col("is_cancelled") == F.lit(False))
+    days = (live.groupBy("customer_key", F.col("order_date").alias("_day"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("buyer_paid_price").alias("_s"))
+            .select("customer_key", "_day", F.lit(1).alias("_side"), "_n", "_s",
+                    F.col("_day").alias("_hday"),
+                    F.lit(None).cast(_row_type(usage)).alias("_u")))
+    u = usage.select("customer_key", F.to_date(at).alias("_day"), F.lit(0).alias("_side"),
+                     F.lit(None).cast("bigint").alias("_n"),
+                     F.lit(None).cast(days.schema["_s"].dataType).alias("_s"),
+                     F.lit(None).cast("date").alias("_hday"),
+                     F.struct(*[F.col(f"`{c}`") for c in usage.columns]).alias("_u"))
+    r = running_aggregates(days.unionByName(u), ["customer_key"], ["_day", "_side"],
+                           sums=["_n", "_s"], maxes=["_hday"])
+    prior_n = F.coalesce(F.col("prior_sum__n"), F.lit(0))
+    prior_s = F.coalesce(F.col("prior_sum__s"), F.lit(0)).cast(MONEY)
+    last = F.col("prior_max__hday")
+    seg = (F.when(last.isNull(), "New")
+           .when(F.datediff("_day", last) > rules.inactive_days, "Inactive")
+           .when(prior_n <= rules.new_max_orders, "New")
+           .when(prior_s >= dec(rules.vip_min_spent), "VIP").otherwise("Regular"))
+    return (r.filter(F.col("_side") == 0)
+            .select("_u.*", seg.alias("customer_segment_at_usage")))
+
+
+def _row_type(df: DataFrame):
+    from pyspark.sql import types as T
+    return T.StructType(df.schema.fields)

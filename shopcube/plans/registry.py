@@ -507,9 +507,9 @@ FROM usage u ASOF LEFT JOIN hist2 h
 """)
 def q_voucher_usage(spark, d):
     """F07 + J08: usage rows with the customer's segment as of the usage."""
-    from shopcube.operators.history import customer_history, segment_as_of
+    from shopcube.operators.history import segment_at_usage
     m = _m(spark, d)
-    return doubles(segment_as_of(m.usage, customer_history(m.priced_orders)))
+    return doubles(segment_at_usage(m.usage, m.priced_orders))
 
 
 @query("voucher_eligibility", O.with_(*O.FULL, O.USAGE, O.VOUCHERS) + """,

@@ -32,3 +32,14 @@ def test_query_matches_oracle(spark, con, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["exact"], r
+
+
+def test_one_pass_segment_equals_asof_path(spark):
+    from shopcube.operators.history import customer_history, segment_as_of, segment_at_usage
+    from shopcube.plans.model import Model
+    m = Model(spark, SF001)
+    a = segment_at_usage(m.usage, m.priced_orders)
+    b = segment_as_of(m.usage, customer_history(m.priced_orders))
+    key = lambda df: sorted(map(tuple, df.select("usage_key", "customer_segment_at_usage")  # noqa
+                                .collect()))
+    assert key(a) == key(b)
