@@ -52,14 +52,32 @@ def dedupe_last(df: DataFrame, key: list[str], order_by: str) -> DataFrame:
     A grouped max_by over a struct: partially aggregated before the shuffle,
     so a key repeated millions of times never gathers in one task.
     """
+    return _one_per_key(df, key, order_by, fail_on_duplicate=False)
+
+
+def _one_per_key(df: DataFrame, key: list[str], order_by: str | None,
+                 fail_on_duplicate: bool) -> DataFrame:
+    """One row per key in a single grouped pass.  With ``fail_on_duplicate``
+    a repeated key fails the job from inside the plan (``raise_error`` on the
+    key column), so the batch is validated by the same job that merges it --
+    no separate probe job -- and nothing is committed."""
     others = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*others), F.struct(F.col(order_by), *[F.col(c) for c in others]))
-    return df.groupBy(*key).agg(best.alias("_r")).select(*key, *[F.col(f"_r.{c}").alias(c)
-                                                                 for c in others])
+    order = [F.col(order_by)] if order_by else []
+    best = F.max_by(F.struct(*others), F.struct(*order, *[F.col(c) for c in others]))
+    g = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), best.alias("_r"))
+    if fail_on_duplicate:
+        msg = F.concat(F.lit("duplicate key in batch: "),
+                       F.concat_ws(",", *[F.col(k).cast("string") for k in key]))
+        keys = [F.when(F.col("_n") > 1, F.raise_error(msg).cast(df.schema[k].dataType))
+                .otherwise(F.col(k)).alias(k) for k in key]
+    else:
+        keys = [F.col(k) for k in key]
+    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def check_unique(df: DataFrame, key: list[str]) -> None:
-    """L04 mode 'error': raise if any key repeats (the batch is rejected whole)."""
+    """Eager duplicate probe (one small job) for callers that want the error
+    before planning anything else; :func:`upsert` validates in-plan instead."""
     dup = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"duplicate key in batch: {dup[0].asDict()}")
@@ -76,17 +94,20 @@ def upsert(target: DataFrame, source: DataFrame, key: str | list[str],
     """INSERT ... ON CONFLICT (key) DO UPDATE SET every other column.
 
     Updates overwrite all non-key columns, NULLs included; new keys insert;
-    target rows without a matching key stay.  Planned as one anti join and a
-    union (sort-merge on the key at scale; AQE splits skewed partitions).
+    target rows without a matching key stay.  The batch is grouped by key
+    once (validating or de-duplicating it), and that same key partitioning
+    feeds the anti join with the target (sort-merge on the key at scale).
+    ``on_duplicate='error'`` fails the executing job on a repeated key, as
+    the database statement would; ``'last'`` keeps the greatest ``order_by``.
     """
     key = [key] if isinstance(key, str) else list(key)
     src = align_to(source, target.schema, defaults)
     if on_duplicate == "error":
-        check_unique(src, key)
+        src = _one_per_key(src, key, order_by, fail_on_duplicate=True)
     elif on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by")
-        src = dedupe_last(src, key, order_by).select(*target.columns)
+        src = _one_per_key(src, key, order_by, fail_on_duplicate=False)
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'last', not {on_duplicate!r}")
     kept = target.join(src.select(*key), key, "left_anti")
@@ -154,11 +175,8 @@ def load_with_upsert(spark: SparkSession, source: DataFrame, root: str, key: str
     """
     cur = read_current(spark, root)
     if cur is None:
-        src = source
-        if on_duplicate == "error":
-            check_unique(src, [key] if isinstance(key, str) else key)
-        else:
-            src = dedupe_last(src, [key] if isinstance(key, str) else key, order_by)
+        keys = [key] if isinstance(key, str) else list(key)
+        src = _one_per_key(source, keys, order_by, fail_on_duplicate=on_duplicate == "error")
         v = write_version(src, root)
         return {"version": v, "inserted": spark.read.parquet(f"{root}/v={v:06d}").count(),
                 "updated": 0}

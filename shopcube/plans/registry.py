@@ -335,19 +335,24 @@ INITIAL_CUTOFF = "2000-01-01"     # orders before this date form the initial loa
 BATCH_FROM = "1999-01-01"         # the incremental batch re-extracts from this date
 
 
-def _feeds(m: Model):
+def _feeds(m: Model, tx: DataFrame | None = None):
     from shopcube.operators.load import combine_feeds
     from shopcube.sources.canonical import marketplace_feeds
-    a, b = marketplace_feeds(m.transactions("buyer_paid_price"))
+    a, b = marketplace_feeds(tx if tx is not None else m.transactions("buyer_paid_price"))
     return combine_feeds(a, b)
 
 
 def _upsert_inputs(m: Model):
+    """Initial load: list prices of orders before the cutoff; batch: the
+    marketplace feeds (paid prices) re-extracted from an earlier date.  Both
+    come from one transactions frame, so its joins are planned once."""
     from shopcube.sources.canonical import TRANSACTION_COLUMNS
-    target = (m.transactions("order_total_price")
-              .filter(F.col("transaction_date") < F.lit(INITIAL_CUTOFF).cast("timestamp_ntz"))
+    tx = m.transactions("buyer_paid_price")
+    target = (tx.filter(F.col("transaction_date") < F.lit(INITIAL_CUTOFF).cast("timestamp_ntz"))
+              .withColumn("price", F.col("list_price"))
               .select(*TRANSACTION_COLUMNS))
-    batch = _feeds(m).filter(F.col("transaction_date") >= F.lit(BATCH_FROM).cast("timestamp_ntz"))
+    batch = _feeds(m, tx).filter(
+        F.col("transaction_date") >= F.lit(BATCH_FROM).cast("timestamp_ntz"))
     return target, batch
 
 

@@ -164,6 +164,7 @@ def transactions(t: Tables, priced_orders: DataFrame, price_col: str = "buyer_pa
                     "product_name",
                     F.col("items_count").cast("int").alias("quantity"),
                     F.col(price_col).cast(PRICE).alias("price"),
+                    F.col("order_total_price").cast(PRICE).alias("list_price"),
                     "customer_name",
                     F.col("order_ts").alias("transaction_date"),
                     src.alias("source"),
