@@ -345,9 +345,12 @@ def _feeds(m: Model, tx: DataFrame | None = None):
 def _upsert_inputs(m: Model):
     """Initial load: list prices of orders before the cutoff; batch: the
     marketplace feeds (paid prices) re-extracted from an earlier date.  Both
-    come from one transactions frame, so its joins are planned once."""
+    come from one staged transactions frame, so its joins run once."""
+    from shopcube.operators.dims import checkpointed
     from shopcube.sources.canonical import TRANSACTION_COLUMNS
-    tx = m.transactions("buyer_paid_price")
+    # L01 staging: the extracted transactions are written once (as the
+    # loader stages a batch before merging) and every branch reads the stage
+    tx = checkpointed(m.transactions("buyer_paid_price"))
     target = (tx.filter(F.col("transaction_date") < F.lit(INITIAL_CUTOFF).cast("timestamp_ntz"))
               .withColumn("price", F.col("list_price"))
               .select(*TRANSACTION_COLUMNS))
