@@ -986,5 +986,4 @@ def q_stream_sessions(spark, d):
     from shopcube.streaming.jobs import event_stream, session_stream
     s = session_stream(event_stream(spark, f"{d}/events.parquet*"))
     snap = _stream_to_snapshot(spark, s, "sessions")
-    return snap.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
-                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "events")
+    return snap.select("user_id", "session_start", "session_end", "events")

@@ -7,8 +7,11 @@
 * S05 :func:`session_stream`      -- visits from live events (session windows).
 * S06 :func:`alert_stream`        -- threshold alerts on the daily roll-up.
 
-Event time: the driver's ``ts`` is TIMESTAMP_NTZ, which watermarks reject,
-so it is read as a UTC TIMESTAMP.  Exact distinct counts are not available
+Event time: the driver's ``ts`` is TIMESTAMP_NTZ, which watermarks reject.
+It is turned into a TIMESTAMP whose instant is the wall-clock time read as
+UTC (:func:`from_wall`), independent of the session time zone, so day
+windows align with calendar days and 30-minute gaps never cross a DST jump;
+results are turned back into wall-clock values (:func:`to_wall`).  Exact distinct counts are not available
 on streams; visitor counts use ``approx_count_distinct``.
 """
 
@@ -22,13 +25,28 @@ from shopcube.sources.kpi_csv import raw_schema
 from shopcube.operators.kpi import PLATFORM_HEADERS
 
 
+def _tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
+def from_wall(c, tz: str):
+    """TIMESTAMP_NTZ wall clock -> TIMESTAMP at that wall clock in UTC."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), c).cast("timestamp")
+
+
+def to_wall(c, tz: str):
+    """Inverse of :func:`from_wall`."""
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), c.cast("timestamp_ntz"))
+
+
 def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return r.parquet(path).withColumn("ts", from_wall(F.col("ts"), tz))
 
 
 def dedup_events(events: DataFrame, watermark: str = "1 day") -> DataFrame:
@@ -45,7 +63,8 @@ def event_rollup_stream(events: DataFrame, watermark: str = "1 day",
                  # exact decimal sum: independent of micro-batch and partition order
                  F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("value_total"),
                  F.approx_count_distinct("user_id").alias("approx_users"))
-            .select(F.to_date(F.col("w.start")).alias("day"), "event_type", "events",
+            .select(F.to_date(to_wall(F.col("w.start"), _tz(events))).alias("day"),
+                    "event_type", "events",
                     "value_total", "approx_users"))
 
 
@@ -55,8 +74,8 @@ def session_stream(events: DataFrame, gap: str = "30 minutes", watermark: str =
     return (events.withWatermark("ts", watermark)
             .groupBy(F.session_window("ts", gap).alias("s"), "user_id")
             .agg(F.count(F.lit(1)).alias("events"))
-            .select("user_id", F.col("s.start").alias("session_start"),
-                    F.col("s.end").alias("session_end"), "events"))
+            .select("user_id", to_wall(F.col("s.start"), _tz(events)).alias("session_start"),
+                    to_wall(F.col("s.end"), _tz(events)).alias("session_end"), "events"))
 
 
 def alert_stream(rollup: DataFrame, event_type: str = "error", min_events: int = 100

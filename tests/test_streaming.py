@@ -57,3 +57,20 @@ def test_event_rollup_complete_equals_batch_and_alerts(spark):
     assert key(snap) == key(exp)
     alerts = alert_stream(snap, "view", 1)
     assert alerts.count() == exp.filter("event_type = 'view'").count()
+
+
+def test_event_days_do_not_depend_on_session_time_zone(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    exp = sorted(map(tuple, ev.groupBy(F.to_date("ts").alias("day"), "event_type")
+                     .agg(F.count("*").alias("events")).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        s = event_rollup_stream(event_stream(spark, f"{SF001}/events.parquet*"))
+        out = scratch_path(spark, "tz-rollup")
+        run_available_now(s, scratch_path(spark, "tz-ck"), "complete", sink=complete_to_table(out))
+        got = sorted(map(tuple, latest_snapshot(spark, out).select("day", "event_type", "events")
+                         .collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == exp
