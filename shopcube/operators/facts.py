@@ -56,13 +56,15 @@ def price_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
 def first_order_keys(orders: DataFrame) -> DataFrame:
     """The first order of every customer, by (order_ts, order_key).
 
-    A grouped ``min(struct)`` instead of a window: partial aggregation keeps a
-    customer with millions of orders from landing in one task.  The result is
-    keyed by order_key, so joining it back is skew-free.
+    A grouped minimum instead of a window: partial aggregation keeps a
+    customer with millions of orders from landing in one task.  (time, key)
+    is packed into one exact decimal so the aggregate stays hash-based.  The
+    result is keyed by order_key, so joining it back is skew-free.
     """
-    return (orders.groupBy("customer_key")
-            .agg(F.min(F.struct("order_ts", "order_key")).alias("f"))
-            .select(F.col("f.order_key").alias("order_key"),
+    from shopcube.functions.keys import pack_time_key, unpack_key
+    first = F.min(pack_time_key(F.col("order_ts"), F.col("order_key")))
+    return (orders.groupBy("customer_key").agg(first.alias("f"))
+            .select(unpack_key(F.col("f")).alias("order_key"),
                     F.lit(True).alias("is_first_order")))
 
 

@@ -493,7 +493,8 @@ def q_customer_state_before_order(spark, d):
 
 @query("customer_history", O.with_(*O.FULL, O.HISTORY) + """
 SELECT customer_key, valid_from, CAST(orders_to_date AS BIGINT) AS orders_to_date,
-       CAST(spent_to_date AS DOUBLE) AS spent_to_date, previous_order_date, segment
+       CAST(spent_to_date AS DOUBLE) AS spent_to_date, previous_order_date, segment,
+       lead(valid_from) OVER (PARTITION BY customer_key ORDER BY valid_from) AS valid_to
 FROM hist2
 """)
 def q_customer_history(spark, d):
