@@ -189,3 +189,13 @@ def load_with_upsert(spark: SparkSession, source: DataFrame, root: str, key: str
 def export_json(df: DataFrame, path: str) -> None:
     """Records as JSON lines, written by the executors (no driver collect)."""
     df.write.mode("overwrite").json(path)
+
+
+def with_load_time(df: DataFrame, load_ts, created: str = "created_at",
+                   updated: str = "updated_at") -> DataFrame:
+    """Stamp rows with the load time.  Pass the batch's fixed load time
+    (not ``current_timestamp()`` per task) so reruns write identical rows;
+    an existing ``created`` value is kept, ``updated`` is always refreshed."""
+    ts = F.lit(load_ts).cast("timestamp_ntz")
+    c = F.coalesce(F.col(created), ts) if created in df.columns else ts
+    return df.withColumn(created, c).withColumn(updated, ts)

@@ -149,9 +149,14 @@ def transactions(t: Tables, priced_orders: DataFrame, price_col: str = "buyer_pa
     chosen with a grouped max_by (partial aggregation, no window).
     """
     items = order_items(t)
-    top = (items.groupBy("order_key")
-           .agg(F.max_by("product_key", F.struct(F.col("total_item_price"),
-                                                 -F.col("product_key"))).alias("product_key")))
+    # max over (gross desc, product key asc) packed into one exact decimal:
+    # cents * 10^18 + (10^18 - 1 - key) keeps the aggregate hash-based
+    space = F.lit(10 ** 18).cast("decimal(38,0)")
+    packed = ((F.col("total_item_price") * 100).cast("decimal(38,0)") * space
+              + (space - 1 - F.col("product_key").cast("decimal(38,0)"))).cast("decimal(38,0)")
+    top = (items.groupBy("order_key").agg(F.max(packed).alias("_p"))
+           .select("order_key", (space - 1 - F.pmod(F.col("_p"), space)).cast("bigint")
+                   .alias("product_key")))
     names = t.part.select(F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_name"))
     cust = t.customer.select(F.col("c_custkey").alias("customer_key"),
                              F.col("c_name").alias("customer_name"))

@@ -112,3 +112,12 @@ def test_write_version_never_overwrites(spark, target, tmp_path):
     assert write_version(target, root) == 1
     assert write_version(target.filter(F.col("quantity") > 1), root) == 2
     assert spark.read.parquet(f"{root}/v=000001").count() == 3
+
+
+def test_load_time_stamps(spark, target):
+    from shopcube.operators.load import with_load_time
+    t1 = with_load_time(target, "2024-05-02 00:00:00")
+    t2 = with_load_time(t1, "2024-05-03 00:00:00")
+    r = t2.first()
+    assert str(r["created_at"]) == "2024-05-02 00:00:00"
+    assert str(r["updated_at"]) == "2024-05-03 00:00:00"
