@@ -95,9 +95,11 @@ class SegmentRules:
 
 
 def customer_rollup(priced_orders: DataFrame) -> DataFrame:
-    """Per-customer order count, spend and first/last order over live orders."""
-    live = priced_orders.filter(F.col("is_cancelled") == F.lit(False))
-    return (live.groupBy("customer_key")
+    """Per-customer order count, spend (buyer paid price) and first/last
+    order over the customer's whole order history (orders with lines,
+    cancelled ones included: they are part of the buying history the
+    segment thresholds were calibrated on)."""
+    return (priced_orders.groupBy("customer_key")
             .agg(F.count(F.lit(1)).alias("total_orders"),
                  msum("buyer_paid_price").alias("spent"),
                  F.min("order_date").alias("first_order_date"),

@@ -12,11 +12,11 @@ from shopcube.operators.sequence import asof_join, running_aggregates
 
 
 def state_before_order(priced_orders: DataFrame) -> DataFrame:
-    """For every live order, the customer's prior live orders and spend
-    (ordered by order time, then order key)."""
-    live = (priced_orders.filter(F.col("is_cancelled") == F.lit(False))
-            .select("customer_key", "order_key", "order_ts", "order_date", "buyer_paid_price"))
-    r = running_aggregates(live, ["customer_key"], ["order_ts", "order_key"],
+    """For every order, the customer's prior orders and spend (ordered
+    by order time, then order key) -- the same history as the D08 roll-up."""
+    hist = priced_orders.select("customer_key", "order_key", "order_ts", "order_date",
+                                "buyer_paid_price")
+    r = running_aggregates(hist, ["customer_key"], ["order_ts", "order_key"],
                            sums=["buyer_paid_price"], maxes=["order_date"])
     return r.select("customer_key", "order_key", "order_date",
                     F.col("prior_count").alias("prior_orders"),
@@ -30,8 +30,7 @@ def customer_history(priced_orders: DataFrame, rules: SegmentRules = SegmentRule
     cumulative orders and spend after that day, the segment they imply, and
     the validity interval [valid_from, valid_to) (valid_to NULL = current).
     Inactivity is judged when the state is looked up (see segment_as_of)."""
-    live = priced_orders.filter(F.col("is_cancelled") == F.lit(False))
-    days = live.groupBy("customer_key", "order_date").agg(
+    days = priced_orders.groupBy("customer_key", "order_date").agg(
         F.count(F.lit(1)).alias("day_orders"), F.sum("buyer_paid_price").alias("day_spent"))
     r = running_aggregates(days, ["customer_key"], ["order_date"],
                            sums=["day_orders", "day_spent"], maxes=["order_date"])
@@ -72,12 +71,11 @@ def segment_at_usage(usage: DataFrame, priced_orders: DataFrame,
     """J08 in one skew-safe pass: the same result as
     ``segment_as_of(usage, customer_history(priced_orders))``.
 
-    Usage rows are merged into each customer's sequence of live order days,
+    Usage rows are merged into each customer's sequence of order days,
     sorted before that day's orders; running sums over the preceding rows are
     then exactly the customer's state at the end of the previous order day.
     """
-    live = priced_orders.filter(F.col("is_cancelled") == F.lit(False))
-    days = (live.groupBy("customer_key", F.col("order_date").alias("_day"))
+    days = (priced_orders.groupBy("customer_key", F.col("order_date").alias("_day"))
             .agg(F.count(F.lit(1)).alias("_n"), F.sum("buyer_paid_price").alias("_s"))
             .select("customer_key", "_day", F.lit(1).alias("_side"), "_n", "_s",
                     F.col("_day").alias("_hday"),

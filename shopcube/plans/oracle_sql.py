@@ -78,7 +78,7 @@ as_of AS (SELECT MAX(CAST(o_orderdate AS DATE)) AS d FROM orders),
 cust_roll AS (
   SELECT customer_key, COUNT(*) AS n, SUM(buyer_paid_price) AS spent,
          MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date
-  FROM priced WHERE is_cancelled = FALSE GROUP BY customer_key),
+  FROM priced GROUP BY customer_key),
 dim_customers0 AS (
   SELECT c.c_custkey AS customer_key, CAST(c.c_custkey AS VARCHAR) AS customer_id,
          split_part(c.c_name, '#', 1) AS first_name, split_part(c.c_name, '#', 2) AS last_name,
@@ -216,7 +216,7 @@ batch AS (SELECT * FROM combined WHERE transaction_date >= TIMESTAMP '1999-01-01
 HISTORY = """
 hist0 AS (
   SELECT customer_key, order_date, COUNT(*) AS n, SUM(buyer_paid_price) AS s
-  FROM priced WHERE NOT is_cancelled GROUP BY customer_key, order_date),
+  FROM priced GROUP BY customer_key, order_date),
 hist AS (
   SELECT customer_key, order_date AS valid_from,
          SUM(n) OVER w AS orders_to_date, CAST(SUM(s) OVER w AS DECIMAL(12,2)) AS spent_to_date,

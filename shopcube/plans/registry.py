@@ -482,7 +482,7 @@ SELECT customer_key, order_key, order_date,
        COUNT(*) OVER w AS prior_orders,
        CAST(COALESCE(SUM(buyer_paid_price) OVER w, 0) AS DOUBLE) AS prior_spent,
        MAX(order_date) OVER w AS previous_order_date
-FROM priced WHERE NOT is_cancelled
+FROM priced
 WINDOW w AS (PARTITION BY customer_key ORDER BY order_ts, order_key
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 """)
