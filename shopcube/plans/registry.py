@@ -988,3 +988,18 @@ def q_stream_sessions(spark, d):
     s = session_stream(event_stream(spark, f"{d}/events.parquet*"))
     snap = _stream_to_snapshot(spark, s, "sessions")
     return snap.select("user_id", "session_start", "session_end", "events")
+
+
+@query("sales_trends_keyed", "WITH summary AS (" + SUMMARY_SQL + """)
+SELECT s.time_key, s.platform, year(s.date) AS year, quarter(s.date) AS quarter,
+       monthname(s.date) AS month_name, weekofyear(s.date) AS week, dayname(s.date) AS day_name,
+       isodow(s.date) >= 6 AS is_weekend, s.total_orders, s.net_revenue, s.average_order_value,
+       s.unique_customers, s.voucher_adoption_rate
+FROM summary s ORDER BY s.time_key, s.platform
+""")
+def q_sales_trends_keyed(spark, d):
+    """O02 keyed variant: the trend view plus time_key and platform, so each
+    row is identifiable (the view as written can repeat rows)."""
+    from shopcube.operators.views import sales_trends
+    m = _m(spark, d)
+    return sales_trends(m.dim_time, m.summary, keyed=True)
