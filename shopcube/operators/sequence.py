@@ -12,9 +12,9 @@ all rows) runs in a single task.  Instead:
 2. checkpoint, so the two passes below see identical partitions;
 3. inside each partition, running values per group come from a window
    partitioned by (partition id, group) -- bounded by the partition size;
-4. per (partition, group) totals are combined across earlier partitions
-   (a window over one row per partition and group: bounded by the
-   partition count) and added back through a join on (partition, group).
+4. only the first group of a partition can continue from earlier
+   partitions; what it carries over is computed on a table with at most one
+   row per partition and broadcast back.
 
 ``order_cols`` must order rows totally within a group (add a unique key).
 """
@@ -32,7 +32,15 @@ def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list,
                        num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Adds, per row, aggregates over the *preceding* rows of its group:
     ``prior_count`` (so rank = prior_count + 1), ``prior_sum_<c>``,
-    ``prior_max_<c>`` and ``prior_min_<c>`` (NULL for the first row)."""
+    ``prior_max_<c>`` and ``prior_min_<c>`` (NULL for the first row).
+
+    Because the rows are range-partitioned and sorted by (group, order), a
+    group continues from earlier partitions only as the *first* group of a
+    partition, and only if it was the *last* group of the previous non-empty
+    partition.  The carried-over values therefore live in a table with at
+    most one row per partition (bounded by the partition count, broadcast);
+    the rows themselves are never joined against a per-group table.
+    """
     from shopcube.operators.dims import checkpointed
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -43,11 +51,14 @@ def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list,
               .withColumn("_pid", F.shiftright(mid, 33))
               .withColumn("_pos", mid.bitwiseAND(F.lit(_LOW))))
     if checkpoint:
+        # reliable copy: the positions above feed later shuffles, and a
+        # recomputed (indeterminate) stage could renumber them
         staged = checkpointed(staged)
-    part_key = ["_pid", *group_cols]
+    gk = [f"_g{i}" for i in range(len(group_cols))]
 
     # (3) in-partition running values, exclusive of the current row
-    w = Window.partitionBy(*part_key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("_pid", *group_cols).orderBy("_pos") \
+        .rowsBetween(Window.unboundedPreceding, -1)
     local = staged.select(
         "*",
         F.count(F.lit(1)).over(w).alias("_lc"),
@@ -55,28 +66,43 @@ def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list,
         *[F.max(c).over(w).alias(f"_lx_{c}") for c in maxes],
         *[F.min(c).over(w).alias(f"_ln_{c}") for c in mins])
 
-    # (4) totals per (partition, group) and their prefix over earlier partitions
-    tot = staged.groupBy(*part_key).agg(
+    # (4) last group of every non-empty partition and its totals there
+    last_pos = staged.groupBy(F.col("_pid").alias("_kp")).agg(F.max("_pos").alias("_lp"))
+    last_key = (staged.join(F.broadcast(last_pos),                               # <= P rows
+                            (F.col("_pid") == F.col("_kp")) & (F.col("_pos") == F.col("_lp")))
+                .select("_kp", *[F.col(g).alias(k) for g, k in zip(group_cols, gk)]))
+    in_last = staged.join(F.broadcast(last_key),
+                          [F.col("_pid") == F.col("_kp")]
+                          + [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group_cols, gk)],
+                          "left_semi")
+    tail = in_last.groupBy(F.col("_pid").alias("_kp")).agg(
         F.count(F.lit(1)).alias("_tc"),
         *[F.sum(c).alias(f"_ts_{c}") for c in sums],
         *[F.max(c).alias(f"_tx_{c}") for c in maxes],
-        *[F.min(c).alias(f"_tn_{c}") for c in mins])
-    wp = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(
-        *part_key,
-        F.coalesce(F.sum("_tc").over(wp), F.lit(0)).alias("_oc"),
-        *[F.sum(f"_ts_{c}").over(wp).alias(f"_os_{c}") for c in sums],
-        *[F.max(f"_tx_{c}").over(wp).alias(f"_ox_{c}") for c in maxes],
-        *[F.min(f"_tn_{c}").over(wp).alias(f"_on_{c}") for c in mins])
-
-    j = local.join(offs, part_key, "inner")
+        *[F.min(c).alias(f"_tn_{c}") for c in mins])                              # <= P rows
+    runs = last_key.join(tail, "_kp")
+    # totals carried to the next non-empty partition: cumulative over the
+    # run of partitions that end with the same group (small window, <= P rows)
+    wr = Window.partitionBy(*gk).orderBy("_kp").rowsBetween(Window.unboundedPreceding, 0)
+    nxt = F.lead("_kp").over(Window.orderBy("_kp"))
+    carry = runs.select(
+        nxt.alias("_cp"), *gk,
+        F.sum("_tc").over(wr).alias("_oc"),
+        *[F.sum(f"_ts_{c}").over(wr).alias(f"_os_{c}") for c in sums],
+        *[F.max(f"_tx_{c}").over(wr).alias(f"_ox_{c}") for c in maxes],
+        *[F.min(f"_tn_{c}").over(wr).alias(f"_on_{c}") for c in mins]
+    ).filter(F.col("_cp").isNotNull())
+
+    cond = [F.col("_pid") == F.col("_cp")] + [F.col(g).eqNullSafe(F.col(k))
+                                              for g, k in zip(group_cols, gk)]
+    j = local.join(F.broadcast(carry), cond, "left")
 
     def add(a, b):  # NULL-aware sum of two partial sums
         return F.when(F.col(a).isNull(), F.col(b)).when(F.col(b).isNull(), F.col(a)) \
             .otherwise(F.col(a) + F.col(b))
 
     out = [F.col(c) for c in df.columns]
-    out.append((F.col("_oc") + F.col("_lc")).alias("prior_count"))
+    out.append((F.coalesce(F.col("_oc"), F.lit(0)) + F.col("_lc")).alias("prior_count"))
     out += [add(f"_os_{c}", f"_ls_{c}").alias(f"prior_sum_{c}") for c in sums]
     out += [F.greatest(f"_ox_{c}", f"_lx_{c}").alias(f"prior_max_{c}") for c in maxes]
     out += [F.least(f"_on_{c}", f"_ln_{c}").alias(f"prior_min_{c}") for c in mins]

@@ -93,3 +93,17 @@ def test_surrogate_keys_stable_and_dense(spark):
     assert sorted(d2.values()) == list(range(1, 51))        # dense and unique
     new = sorted(k for k in d2 if k not in d1)
     assert [d2[k] for k in new] == list(range(26, 51))      # in business-key order
+
+
+def test_running_aggregates_null_groups_and_empty_partitions(spark):
+    rnd = random.Random(11)
+    data = [(None if i % 7 == 0 else (0 if i % 2 else rnd.randint(1, 3)), i, rnd.randint(0, 9))
+            for i in range(400)]
+    df = spark.createDataFrame(data, "g int, id int, v int")
+    got = running_aggregates(df, ["g"], ["id"], sums=["v"], maxes=["v"], num_partitions=64)
+    w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    exp = df.select("*", F.count(F.lit(1)).over(w).alias("prior_count"),
+                    F.sum("v").over(w).alias("prior_sum_v"), F.max("v").over(w).alias("prior_max_v"))
+    cols = ["id", "prior_count", "prior_sum_v", "prior_max_v"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == \
+        sorted(map(tuple, exp.select(*cols).collect()))
