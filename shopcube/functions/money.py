@@ -47,22 +47,28 @@ def avg_d(c) -> Column:
     return safe_div(F.sum(col_(c)), F.count(col_(c)))
 
 
-def unit_price(gross, qty) -> Column:
-    """gross / qty rounded half-up to cents, as decimal(10,2).
+def cents_from_double(c) -> Column:
+    """A non-negative 2-decimal amount stored as double -> integer cents.
+    floor(x*100 + 0.5) stays in primitive arithmetic (a double->decimal cast
+    goes through BigDecimal for every row)."""
+    return F.floor(col_(c) * 100 + 0.5).cast("long")
 
-    Spark's decimal division keeps 13 fractional digits here and a quotient
-    of a 2-decimal amount by an integer <= 10^6 is never within 1e-13 of a
-    half-cent tie unless it is the tie itself, so ``round`` is exact.
-    """
-    return F.round(col_(gross) / col_(qty).cast("decimal(10,0)"), 2).cast(PRICE)
+
+def cents_to_money(cents, t: str = MONEY) -> Column:
+    """Integer cents -> decimal(p,2).  decimal(p,0) x 0.01 is decimal(p+3,2):
+    long-backed ("compact") arithmetic for p <= 15."""
+    p = int(t.split("(")[1].split(",")[0])
+    return (col_(cents).cast(f"decimal({p},0)") * dec("0.01")).cast(t)
 
 
 def money_from_double(c, t: str = MONEY) -> Column:
-    """A non-negative amount stored as double (2 decimals) -> exact decimal,
-    via integer cents: floor(x*100 + 0.5) stays in primitive arithmetic,
-    while a double->decimal cast goes through BigDecimal for every row."""
-    cents = F.floor(col_(c) * 100 + 0.5).cast("long")
-    return (cents.cast("decimal(16,0)") * dec("0.01")).cast(t)
+    """A non-negative 2-decimal amount stored as double -> exact decimal."""
+    return cents_to_money(cents_from_double(c), t)
+
+
+def to_cents(c) -> Column:
+    """decimal(p,2) -> long cents (decimal(p,2) x decimal(3,0): compact for p <= 15)."""
+    return (col_(c) * dec("100")).cast("long")
 
 
 def msum(c, t: str = "decimal(20,2)") -> Column:
@@ -72,5 +78,12 @@ def msum(c, t: str = "decimal(20,2)") -> Column:
     a long buffer keeps the aggregation compact.  Overflow (beyond 9.2e16 in
     currency units per group) raises under ANSI mode instead of wrapping.
     """
-    cents = F.sum((col_(c) * 100).cast("long"))
+    cents = F.sum(to_cents(c))
     return (cents.cast("decimal(19,0)") * dec("0.01")).cast(t)
+
+
+def half_up_div(num: str, den: str) -> Column:
+    """round(num / den) half-up for non-negative integer columns ``num`` and
+    ``den`` (given by name), as long integer division; NULL when den is 0."""
+    return F.expr(f"CASE WHEN {den} = 0 THEN NULL "
+                  f"ELSE (CAST({num} AS BIGINT) * 2 + {den}) div (CAST({den} AS BIGINT) * 2) END")

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcube.functions.calendar import time_key
-from shopcube.functions.money import MONEY, PRICE, RATE, dec, money_from_double, unit_price
+from shopcube.functions.money import (MONEY, PRICE, RATE, cents_from_double, cents_to_money,
+                                      dec, half_up_div, money_from_double)
 from shopcube.sources.tables import Tables
 
 # Cancellation reasons by order priority, return reasons by
@@ -47,26 +48,35 @@ def _map_expr(c, mapping: dict):
 
 
 def order_items(t: Tables) -> DataFrame:
-    """Order_Items at line grain with exact decimal pricing."""
-    li = t.lineitem
-    gross = money_from_double("l_extendedprice", MONEY)
-    rate = money_from_double("l_discount", RATE)
-    discount = (gross * rate).cast(MONEY)
-    qty = F.col("l_quantity").cast("int")
-    returned = F.col("l_returnflag") == "R"
-    return li.select(
+    """Order_Items at line grain with exact decimal pricing.
+
+    Per-row money stays in long-backed arithmetic: amounts are read as
+    integer cents, the unit price is a half-up integer division of cents by
+    quantity, and decimals are formed with precisions that stay compact.
+    """
+    li = t.lineitem.select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("product_key"),
         F.col("l_suppkey").alias("supplier_key"),
         F.col("l_linenumber").alias("line_number"),
-        qty.alias("quantity"),
-        unit_price(gross, qty).alias("item_price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        cents_from_double("l_extendedprice").alias("_gc"),
+        cents_to_money(cents_from_double("l_discount"), RATE).alias("_rate"),
+        cents_to_money(cents_from_double("l_tax"), RATE).alias("_tax"),
+        F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate"))
+    gross = cents_to_money("_gc", MONEY)
+    discount = (gross * F.col("_rate")).cast(MONEY)
+    net = (gross - discount).cast(MONEY)
+    returned = F.col("l_returnflag") == "R"
+    return li.select(
+        "order_key", "product_key", "supplier_key", "line_number", "quantity",
+        cents_to_money(half_up_div("_gc", "quantity"), PRICE).alias("item_price"),
         gross.alias("total_item_price"),
         discount.alias("item_voucher_discount"),
-        (gross - discount).cast(MONEY).alias("paid_price"),
-        ((gross - discount) * money_from_double("l_tax", RATE)).cast(PRICE).alias("tax_amount"),
-        F.when(rate > 0, (rate * 100).cast("int")).alias("voucher_key"),
-        F.when(F.col("l_linenumber") % 2 == 1, "seller").otherwise("platform").alias("voucher_side"),
+        net.alias("paid_price"),
+        (net * F.col("_tax")).cast(PRICE).alias("tax_amount"),
+        F.when(F.col("_rate") > 0, (F.col("_rate") * dec("100")).cast("int")).alias("voucher_key"),
+        F.when(F.col("line_number") % 2 == 1, "seller").otherwise("platform").alias("voucher_side"),
         returned.alias("is_returned"),
         F.when(returned, _map_expr(F.col("l_linestatus"), RETURN_REASONS)).alias("return_reason"),
         F.to_date("l_shipdate").alias("ship_date"),
