@@ -338,7 +338,10 @@ BATCH_FROM = "1999-01-01"         # the incremental batch re-extracts from this
 def _feeds(m: Model, tx: DataFrame | None = None):
     from shopcube.operators.load import combine_feeds
     from shopcube.sources.canonical import marketplace_feeds
-    a, b = marketplace_feeds(tx if tx is not None else m.transactions("buyer_paid_price"))
+    if tx is None:
+        from shopcube.operators.dims import checkpointed
+        tx = checkpointed(m.transactions("buyer_paid_price"))   # staged once, read per feed
+    a, b = marketplace_feeds(tx)
     return combine_feeds(a, b)
 
 
