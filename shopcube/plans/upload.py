@@ -6,18 +6,25 @@ records are written rather than returned, and only counts reach the driver."""
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from shopcube.operators.kpi import clean_kpi_feed
 from shopcube.sources.kpi_csv import read_kpi_csv
 
 
-def process_kpi_upload(spark: SparkSession, path, platform: str, save_to: str | None = None
-                       ) -> dict:
+def process_kpi_upload(spark: SparkSession, path, platform: str, save_to: str | None = None,
+                       strict: bool = False) -> dict:
     """Returns the envelope: status, message, rows_processed, columns, shape,
     rejected rows; with ``save_to`` the day, period and quarantine rows are
-    written there as Parquet (L08)."""
+    written there as Parquet (L08).  ``strict`` rejects the whole upload when
+    any row is malformed (A07), reporting the counts per reason instead."""
     try:
         clean = clean_kpi_feed(read_kpi_csv(spark, path, platform))
+        if strict:
+            reasons = {r["reason"]: r["n"] for r in clean.quarantine.groupBy("reason")
+                       .agg(F.count(F.lit(1)).alias("n")).collect()}   # one row per reason
+            if reasons:
+                return {"status": "error", "message": "malformed rows", "detail": reasons}
         daily = clean.daily
         if save_to:
             daily.write.mode("overwrite").parquet(f"{save_to}/daily")

@@ -54,3 +54,14 @@ def test_upload_envelope_and_save(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "period")).count() == 1
     bad = process_kpi_upload(spark, str(f), "Nowhere")
     assert bad["status"] == "error"
+
+
+def test_strict_upload_rejects_whole_file(spark, tmp_path):
+    f = tmp_path / "strict"
+    f.mkdir()
+    (f / "a.csv").write_text(FILE1 + "\n")
+    assert process_kpi_upload(spark, str(f), "Lazada", strict=True)["status"] == "success"
+    (f / "b.csv").write_text(FILE3 + "\n")
+    r = process_kpi_upload(spark, str(f), "Lazada", strict=True)
+    assert r["status"] == "error" and r["detail"] == {"malformed_row": 2, "bad_date": 1,
+                                                      "bad_number": 1}
