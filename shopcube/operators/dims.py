@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopcube.functions.calendar import (DEFAULT_HOLIDAYS, PLATFORMS, calendar_columns,
                                          is_recurring_holiday)
