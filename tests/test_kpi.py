@@ -110,3 +110,47 @@ def test_wrong_header_fails(spark, tmp_path):
 def test_unknown_platform(spark, tmp_path):
     with pytest.raises(ValueError):
         read_kpi_csv(spark, str(tmp_path), "Nowhere")
+
+
+def test_cell_parsing_roundtrip_property(spark):
+    """Random day rows, written as exports write them (dd/MM/yyyy or ISO dates,
+    integer or 2-decimal money, percent with '%', '-' for missing), parse back
+    exactly.  One DataFrame per hypothesis batch keeps Spark calls few."""
+    import datetime as dt
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from shopcube.operators.kpi import COLUMNS
+
+    money = st.integers(min_value=0, max_value=10 ** 9)          # cents
+    count = st.integers(min_value=0, max_value=10 ** 6)
+    pct = st.integers(min_value=0, max_value=10000)              # hundredths of a percent
+    day = st.dates(min_value=dt.date(2000, 1, 1), max_value=dt.date(2030, 12, 31))
+    row = st.tuples(day, st.booleans(), money, st.booleans(), count, pct, st.booleans())
+
+    def fmt_money(c, as_int):
+        return str(c // 100) if as_int and c % 100 == 0 else f"{c // 100}.{c % 100:02d}"
+
+    @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=40, unique_by=lambda r: r[0]))
+    def check(rows):
+        raw, exp = [], {}
+        for d, iso, rev, as_int, n, p, dash in rows:
+            cells = {h: "0" for h, _, _ in COLUMNS}
+            cells["Date"] = d.isoformat() if iso else d.strftime("%d/%m/%Y")
+            cells["Revenue"] = fmt_money(rev, as_int)
+            cells["Visitors"] = str(n)
+            cells["Conversion Rate"] = f"{p // 100}.{p % 100:02d}%"
+            cells["Wishlists"] = "-" if dash else str(n)
+            raw.append(tuple(cells[h] for h in HEADER) + ("x", "f", None))
+            exp[d] = (Decimal(rev) / 100, n, Decimal(p) / 10000, None if dash else n)
+        schema = ", ".join(f"`{h}` string" for h in HEADER) + \
+            ", platform string, source_file string, _corrupt_record string"
+        got = clean_kpi_feed(spark.createDataFrame(raw, schema)).daily.collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert (r["total_sales_value"], r["visitors"], r["conversion_rate"], r["wishlists"]) \
+                == exp[r["date"]]
+
+    check()
