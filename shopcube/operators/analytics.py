@@ -17,12 +17,14 @@ def voucher_products(vouchers: DataFrame, products: DataFrame) -> DataFrame:
     list; malformed or empty lists contribute nothing; duplicates collapse."""
     cats = (vouchers.select("voucher_key", "voucher_id", "discount_value", "discount_percentage",
                             F.explode(F.from_json("applicable_categories", "array<string>"))
-                            .alias("category")))
-    # bounded side: vouchers x listed categories
+                            .alias("category"))
+            .dropDuplicates(["voucher_key", "category"]))
+    # bounded side (vouchers x listed categories), de-duplicated before the
+    # join: a product has one category, so each (voucher, product) pair is
+    # produced once and the large side needs no de-duplication
     j = products.select("product_key", "sku_id", "category").join(F.broadcast(cats), "category")
-    return (j.dropDuplicates(["voucher_key", "product_key"])
-            .select("voucher_key", "product_key", "voucher_id", "sku_id", "discount_value",
-                    "discount_percentage"))
+    return j.select("voucher_key", "product_key", "voucher_id", "sku_id", "discount_value",
+                    "discount_percentage")
 
 
 def voucher_status(as_of: Column, start: Column, end: Column) -> Column:
