@@ -1,8 +1,10 @@
 """Exact money arithmetic.
 
-Money is DECIMAL end to end (as in the DDL).  Sums stay decimal (exact and
-independent of summation order); only final ratios leave decimal, as
-``double(sum) / double(count)``, which every engine rounds the same way.
+Money is DECIMAL end to end (as in the DDL).  Per-row arithmetic uses
+decimal precisions that stay long-backed; grouped sums accumulate integer
+cents (exact and independent of summation order); only final ratios leave
+decimal, as ``double(sum) / double(count)``, which every engine rounds the
+same way.
 """
 
 from __future__ import annotations
