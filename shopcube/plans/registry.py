@@ -418,7 +418,7 @@ TIERS = ["Gold", "Silver", "Bronze"]
 STATUSES = ["completed", "open", "cancelled"]
 
 
-@query("quality_report", O.with_(*O.FULL, O.CUSTOMERS) + """
+@query("quality_report", O.with_(*O.FULL, O.CUSTOMERS, O.VOUCHERS, O.EVENTS) + """
 SELECT 'orders' AS table_name, 'unique' AS rule, 'order_key' AS column_name,
        (SELECT COUNT(*) FROM (SELECT order_key FROM ords GROUP BY 1 HAVING COUNT(*) > 1)) AS failures
 UNION ALL SELECT 'orders', 'not_null', 'order_date', COUNT(*) FILTER (WHERE order_date IS NULL) FROM ords
@@ -449,10 +449,34 @@ UNION ALL SELECT 'sales_summary', 'unique', 'time_key,platform_key',
        (SELECT COUNT(*) FROM (SELECT time_key, platform_key
                               FROM (SELECT time_key, order_date, platform_key FROM priced GROUP BY 1, 2, 3)
                               GROUP BY 1, 2 HAVING COUNT(*) > 1))
+UNION ALL SELECT 'voucher_products', 'unique', 'voucher_key,product_key',
+       (SELECT COUNT(*) FROM (
+          SELECT v.voucher_key, p.p_partkey FROM
+            (SELECT DISTINCT voucher_key, category FROM
+               (SELECT voucher_key, unnest(CAST(applicable_categories AS JSON)::VARCHAR[]) AS category
+                FROM vouchers)) v
+          JOIN part p ON p.p_type = v.category GROUP BY 1, 2 HAVING COUNT(*) > 1))
+UNION ALL SELECT 'fact_sales', 'not_null', 'time_key', COUNT(*) FILTER (WHERE o.time_key IS NULL)
+  FROM items i JOIN ords o ON i.order_key = o.order_key
+UNION ALL SELECT 'fact_sales', 'not_null', 'customer_key', COUNT(*) FILTER (WHERE o.customer_key IS NULL)
+  FROM items i JOIN ords o ON i.order_key = o.order_key
+UNION ALL SELECT 'fact_sales', 'not_null', 'product_key', COUNT(*) FILTER (WHERE i.product_key IS NULL)
+  FROM items i JOIN ords o ON i.order_key = o.order_key
+UNION ALL SELECT 'fact_sales', 'not_null', 'quantity_sold', COUNT(*) FILTER (WHERE i.quantity IS NULL)
+  FROM items i JOIN ords o ON i.order_key = o.order_key
+UNION ALL SELECT 'fact_sales', 'not_null', 'net_sales_amount', COUNT(*) FILTER (WHERE i.net IS NULL)
+  FROM items i JOIN ords o ON i.order_key = o.order_key
+UNION ALL SELECT 'fact_sales', 'not_null', 'unit_price', COUNT(*) FILTER (WHERE i.unit_price IS NULL)
+  FROM items i JOIN ords o ON i.order_key = o.order_key
+UNION ALL SELECT 'fact_activity', 'allowed_values', 'activity_type',
+       COUNT(*) FILTER (WHERE activity_type NOT IN ('CHAT_SENT', 'SHOP_FOLLOWED', 'COUPON_CLAIMED'))
+  FROM activity
 """)
 def q_quality_report(spark, d):
     from shopcube.operators import quality as Q
+    from shopcube.operators.analytics import voucher_products
     from shopcube.operators.marts import sales_summary
+    from shopcube.operators.traffic import fact_activity
     m = _m(spark, d)
     o, items, po = m.orders, m.items, m.priced_orders
     identity = F.col("buyer_paid_price") == (F.col("order_total_price") - F.col("voucher_total")
@@ -473,6 +497,13 @@ def q_quality_report(spark, d):
                      + Q.one_of("ltv_tier", TIERS)),
         Q.unique_check(m.products, "dim_products", ["sku_id"]),
         Q.unique_check(sales_summary(po, o), "sales_summary", ["time_key", "platform_key"]),
+        Q.unique_check(voucher_products(m.vouchers, m.products), "voucher_products",
+                       ["voucher_key", "product_key"]),
+        Q.row_checks(m.fact, "fact_sales", Q.not_null("time_key", "customer_key", "product_key",
+                                                      "quantity_sold", "net_sales_amount",
+                                                      "unit_price")),
+        Q.row_checks(fact_activity(m.t.events), "fact_activity",
+                     Q.one_of("activity_type", ["CHAT_SENT", "SHOP_FOLLOWED", "COUPON_CLAIMED"])),
     )
 
 
