@@ -160,10 +160,12 @@ class InventoryRules:
     inactive_days: int = 730
 
 
-def product_rollup(fact: DataFrame, orders: DataFrame) -> DataFrame:
-    """Sales totals, first/last sold and the price of the latest sale."""
-    o = orders.select("order_key", "order_ts", "order_date")
-    live = fact.filter(F.col("is_cancelled") == F.lit(False)).join(o, "order_key")
+def product_rollup(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """Sales totals, first/last sold and the price of the latest sale.
+    The fact carries the order time, so no second join with the orders."""
+    live = fact.filter(F.col("is_cancelled") == F.lit(False))
+    if "order_ts" not in fact.columns:
+        live = live.join(orders.select("order_key", "order_ts", "order_date"), "order_key")
     return (live.groupBy("product_key")
             .agg(F.sum("quantity_sold").alias("qty"),
                  msum("net_sales_amount").alias("amount"),

@@ -83,10 +83,12 @@ def fact_sales(items: DataFrame, orders: DataFrame, products: DataFrame | None =
     the DDL: gross (before discount), discount, net (after), shipping (kept at
     order grain, 0 here), tax, profit (NULL without a cost), unit price/cost.
     """
-    o = orders.select("order_key", "customer_key", "time_key", "platform_key", "is_cancelled")
+    o = orders.select("order_key", "customer_key", "time_key", "platform_key", "is_cancelled",
+                      "order_ts", "order_date")
     f = items.join(o, "order_key", "inner")
     cols = [
         "time_key", "customer_key", "product_key", "order_key", "voucher_key", "platform_key",
+        "order_ts", "order_date",
         F.col("quantity").alias("quantity_sold"),
         F.col("total_item_price").alias("gross_sales_amount"),
         F.col("item_voucher_discount").alias("discount_amount"),
