@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopcube.llm.ship import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -38,3 +46,18 @@ def op1_token_counts(spark, d):
 def op6_bpe_codec(spark, d):
     from shopcube.llm.bpe_codec import codec_digests
     return codec_digests(_documents(spark, d), tokenizer_path())
+
+
+@query("op7_token_files")
+def op7_token_files(spark, d):
+    from shopcube.llm.token_files import read_digests, write_token_files
+    from shopcube.session import scratch_path
+    folder = scratch_path(spark, "token-files")
+    write_token_files(_documents(spark, d), tokenizer_path(), folder)
+    return read_digests(spark, folder)
+
+
+@query("op3_packing")
+def op3_packing(spark, d):
+    from shopcube.llm.packing import pack_documents
+    return pack_documents(_documents(spark, d), tokenizer_path())
