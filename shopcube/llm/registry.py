@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopcube.llm import quality_rules
 from shopcube.llm.ship import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,8 @@ def op7_token_files(spark, d):
 def op3_packing(spark, d):
     from shopcube.llm.packing import pack_documents
     return pack_documents(_documents(spark, d), tokenizer_path())
+
+
+@query("op9_quality_rules", quality_rules.oracle())
+def op9_quality_rules(spark, d):
+    return quality_rules.quality(_documents(spark, d))
