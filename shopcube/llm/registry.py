@@ -67,3 +67,9 @@ def op3_packing(spark, d):
 @query("op9_quality_rules", quality_rules.oracle())
 def op9_quality_rules(spark, d):
     return quality_rules.quality(_documents(spark, d))
+
+
+@query("op5_language_id")
+def op5_language_id(spark, d):
+    from shopcube.llm.language_id import identify
+    return identify(_documents(spark, d))
