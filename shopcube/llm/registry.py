@@ -73,3 +73,9 @@ def op9_quality_rules(spark, d):
 def op5_language_id(spark, d):
     from shopcube.llm.language_id import identify
     return identify(_documents(spark, d))
+
+
+@query("op8_minhash_dedup")
+def op8_minhash_dedup(spark, d):
+    from shopcube.llm.minhash import near_duplicates
+    return near_duplicates(_documents(spark, d), width=2)
