@@ -79,3 +79,9 @@ def op5_language_id(spark, d):
 def op8_minhash_dedup(spark, d):
     from shopcube.llm.minhash import near_duplicates
     return near_duplicates(_documents(spark, d), width=2)
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark, d):
+    from shopcube.llm.repeats import remove_repeats
+    return remove_repeats(_documents(spark, d)).drop("kept")
