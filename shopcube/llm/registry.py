@@ -85,3 +85,9 @@ def op8_minhash_dedup(spark, d):
 def op2_suffix_dedup(spark, d):
     from shopcube.llm.repeats import remove_repeats
     return remove_repeats(_documents(spark, d)).drop("kept")
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark, d):
+    from shopcube.llm.embed_dedup import near_vectors
+    return near_vectors(spark.read.parquet(f"{d}/embeddings.parquet"))
