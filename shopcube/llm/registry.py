@@ -91,3 +91,9 @@ def op2_suffix_dedup(spark, d):
 def op10_embedding_dedup(spark, d):
     from shopcube.llm.embed_dedup import near_vectors
     return near_vectors(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
+@query("op4_html_text")
+def op4_html_text(spark, d):
+    from shopcube.llm.html_text import main_text
+    return main_text(spark.read.parquet(f"{d}/pages.parquet"))
