@@ -60,12 +60,13 @@ def holds(rule: Rule) -> Column:
     return ok if not rule.least else (F.col("n_words") < rule.least) | ok
 
 
-def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key and the measures of its whole text (null: empty)."""
+def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The measures of the whole text of each row (null: empty), beside ``row``, a struct of all its columns."""
     n = F.size("words")
-    df = docs.select(F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                     F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
     df = df.select(
-        key,
+        "row",
         F.array_remove(F.split("__t", BLANKS, -1), "").alias("words"),
         F.filter(F.split("__t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.length(F.regexp_replace("__t", BLANKS, "")).cast("long").alias("word_chars"),
@@ -89,12 +90,23 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         F.transform("at", lambda x, k: F.least(F.lit(5), F.coalesce(F.get(F.col("at"), k + 1) - x, F.lit(5)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     return df.select(
-        key, n.cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "row", n.cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("twice"), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
         "n_stop_words", F.size("lines").cast("long").alias("n_lines"))
 
 
+def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """``measures`` with the verdicts base_failed and kept."""
+    base, own = F.lit(True), F.lit(True)
+    for r in BASE_RULES:
+        base = base & holds(r)
+    for r in rules:
+        own = own & holds(r)
+    return (measures(docs, text).withColumn("base_failed", ~base)
+            .withColumn("kept", ~F.col("base_failed") & own))
+
+
 def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, the measures, base_failed and kept.
 
@@ -102,13 +114,18 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id
     rows give repeated results; an empty table gives an empty result; texts
     are measured whole, of any length.
     """
-    base, own = F.lit(True), F.lit(True)
-    for r in BASE_RULES:
-        base = base & holds(r)
-    for r in rules:
-        own = own & holds(r)
-    return (measures(docs, key, text).withColumn("base_failed", ~base)
-            .withColumn("kept", ~F.col("base_failed") & own))
+    narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    return judged(narrow, rules).select(F.col("row.key").alias(key), *MEASURES, "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass all rules, with all their columns.
+
+    The row number keeps the filter above the projections: pushed below them,
+    it would repeat the expressions of every step inside those of the next.
+    """
+    found = judged(docs, rules, text).select("row", "kept", F.monotonically_increasing_id().alias("number"))
+    return found.where("kept AND number >= 0").select("row.*")
 
 
 def oracle(table: str = "documents") -> str:

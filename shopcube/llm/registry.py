@@ -84,7 +84,7 @@ def op8_minhash_dedup(spark, d):
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark, d):
     from shopcube.llm.repeats import remove_repeats
-    return remove_repeats(_documents(spark, d)).drop("kept")
+    return remove_repeats(_documents(spark, d), texts=False)
 
 
 @query("op10_embedding_dedup")

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopcube.llm.anchors import Fingerprints, blocks
 from shopcube.llm.batches import map_rows
@@ -242,10 +243,14 @@ def merged(spans: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left, binary).
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None,
+                   texts: bool = True) -> DataFrame:
+    """Per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256.
 
-    ``keep`` names further columns to carry along.  A null text counts as
+    With ``texts``, also ``kept`` (the bytes left), ``kept_text`` (the same
+    as text; of a character cut in part nothing stays) and ``spans`` (the
+    removed byte ranges).  ``keep`` names further columns to carry along,
+    under their own names.  A null text counts as
     empty; texts shorter than the window lose nothing; repeated rows lose
     all their windows, as they repeat each other; an empty table gives an
     empty result.  Positions are judged on the input.
@@ -258,16 +263,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     spans = _stored(repeated_spans(rows, found), "repeat-spans")
     joined = rows.join(spans, "tid", "left")
     names = ["doc_id", "text", "s", *[f"keep_{i}" for i in range(len(keep))]]
-    out = joined.select("doc_id", *names[3:]).schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"),
-                       ("kept", "binary")):
-        out = out.add(name, kind)
+    ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    made = [("n_bytes", "long", pa.int64()), ("n_removed", "long", pa.int64()), ("n_spans", "long", pa.int64()),
+            ("kept_sha256", "string", pa.string())]
+    if texts:
+        made += [("kept", "binary", pa.binary()), ("kept_text", "string", pa.string()),
+                 ("spans", "array<struct<`start`: long, `end`: long>>", ranges)]
+    out = T.StructType([*joined.select("doc_id", *names[3:]).schema.fields,
+                        *T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind, _ in made)).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_buffers(b.column(1))
-            view = memoryview(data)
-            size, gone, parts, sha, left = [], [], [], [], []
+            view, rows_ = memoryview(data), []
             for i, s in enumerate(b.column(2).to_pylist()):
                 raw = view[off[i]:off[i + 1]]
                 cut, at, kept = merged(s or []), 0, []
@@ -275,16 +283,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
                     kept.append(raw[at:x])
                     at = y
                 kept = b"".join([*kept, raw[at:]])
-                size.append(len(raw))
-                gone.append(len(raw) - len(kept))
-                parts.append(len(cut))
-                sha.append(hashlib.sha256(kept).hexdigest())
-                left.append(kept)
+                row = [len(raw), len(raw) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()]
+                if texts:
+                    row += [kept, kept.decode("utf-8", "ignore"), [{"start": x, "end": y} for x, y in cut]]
+                rows_.append(row)
+            cols = list(zip(*rows_)) or [()] * len(made)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *b.columns[3:], pa.array(size, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(parts, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.binary())],
-                names=out.names)
+                [b.column(0), *b.columns[3:], *(pa.array(c, kind) for c, (_, _, kind) in zip(cols, made))], names=out.names)
 
     done = joined.select(names).mapInArrow(run, out)
     return done.select(F.col("doc_id").alias(key), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)],
-                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+                       *[name for name, _, _ in made])
