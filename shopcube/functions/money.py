@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
+TOTAL = "decimal(20,2)"      # sums over all rows of a key
+WIDE = "decimal(28,2)"       # sums over a feed
 PRICE = "decimal(10,2)"
 RATE = "decimal(5,2)"
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopcube.functions.calendar import (DEFAULT_HOLIDAYS, PLATFORMS, calendar_columns,
                                          is_recurring_holiday)
-from shopcube.functions.money import MONEY, PRICE, dec, msum, safe_div
+from shopcube.functions.money import PRICE, TOTAL, dec, msum, safe_div
 
 
 # --------------------------------------------------------------------------
@@ -125,7 +125,7 @@ def build_dim_customers(customers: DataFrame, priced_orders: DataFrame, as_of,
     r = customer_rollup(priced_orders)
     c = customers.join(r, "customer_key", "left")
     orders_ = F.coalesce("total_orders", F.lit(0)).cast("int")
-    spent = F.coalesce(F.col("spent"), F.lit(0)).cast(MONEY)
+    spent = F.coalesce(F.col("spent"), F.lit(0)).cast(TOTAL)
     as_of_c = as_of if isinstance(as_of, F.Column) else F.lit(as_of).cast("date")
     recency = F.datediff(as_of_c, F.col("last_order_date"))
     return c.select(
@@ -195,7 +195,7 @@ def build_dim_products(products: DataFrame, fact: DataFrame, orders: DataFrame,
         margin.alias("margin_percentage"),
         *variation_columns(F.col("variation")),
         F.coalesce("qty", F.lit(0)).cast("bigint").alias("total_sales_quantity"),
-        F.coalesce("amount", F.lit(0)).cast(MONEY).alias("total_sales_amount"),
+        F.coalesce("amount", F.lit(0)).cast(TOTAL).alias("total_sales_amount"),
         F.round(F.col("amount") / F.col("qty").cast("decimal(12,0)"), 2).cast(PRICE)
          .alias("average_selling_price"),
         "first_sold_date", "last_sold_date",

@@ -43,10 +43,18 @@ def order_rollup(items: DataFrame) -> DataFrame:
 
 
 def price_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders with the full price block; orders without items drop out."""
+    """Every order with the full price block; an order without items has the
+    declared defaults (0 amounts and counts, nothing returned)."""
     r = order_rollup(items)
     vt = voucher_total(F.col("voucher_seller"), F.col("voucher_platform"))
-    return (orders.join(r, "order_key", "inner")
+    zero = F.lit(0)
+    return (orders.join(r, "order_key", "left")
+            .withColumns({
+                "order_total_price": F.coalesce("order_total_price", zero).cast(PRICE),
+                "items_count": F.coalesce("items_count", zero).cast("int"),
+                "tax_total": F.coalesce("tax_total", zero).cast(MONEY),
+                "has_return": F.coalesce("has_return", F.lit(False)),
+                "line_count": F.coalesce("line_count", zero.cast("bigint"))})
             .withColumn("voucher_total", vt)
             .withColumn("buyer_paid_price",
                         buyer_paid_price(F.col("order_total_price"), F.col("voucher_total"),

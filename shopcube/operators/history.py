@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.functions.money import MONEY
+from shopcube.functions.money import TOTAL
 from shopcube.operators.dims import SegmentRules, dec
 from shopcube.operators.sequence import asof_join, running_aggregates
 
@@ -20,7 +20,7 @@ def state_before_order(priced_orders: DataFrame) -> DataFrame:
                            sums=["buyer_paid_price"], maxes=["order_date"])
     return r.select("customer_key", "order_key", "order_date",
                     F.col("prior_count").alias("prior_orders"),
-                    F.coalesce(F.col("prior_sum_buyer_paid_price"), F.lit(0)).cast(MONEY)
+                    F.coalesce(F.col("prior_sum_buyer_paid_price"), F.lit(0)).cast(TOTAL)
                     .alias("prior_spent"),
                     F.col("prior_max_order_date").alias("previous_order_date"))
 
@@ -35,7 +35,7 @@ def customer_history(priced_orders: DataFrame, rules: SegmentRules = SegmentRule
     r = running_aggregates(days, ["customer_key"], ["order_date"],
                            sums=["day_orders", "day_spent"], maxes=["order_date"])
     orders_ = (F.coalesce(F.col("prior_sum_day_orders"), F.lit(0)) + F.col("day_orders"))
-    spent = (F.coalesce(F.col("prior_sum_day_spent"), F.lit(0)) + F.col("day_spent")).cast(MONEY)
+    spent = (F.coalesce(F.col("prior_sum_day_spent"), F.lit(0)) + F.col("day_spent")).cast(TOTAL)
     seg = (F.when(orders_ <= rules.new_max_orders, "New")
            .when(spent >= dec(rules.vip_min_spent), "VIP").otherwise("Regular"))
     h = r.select("customer_key", F.col("order_date").alias("valid_from"),
@@ -88,7 +88,7 @@ def segment_at_usage(usage: DataFrame, priced_orders: DataFrame,
     r = running_aggregates(days.unionByName(u), ["customer_key"], ["_day", "_side"],
                            sums=["_n", "_s"], maxes=["_hday"])
     prior_n = F.coalesce(F.col("prior_sum__n"), F.lit(0))
-    prior_s = F.coalesce(F.col("prior_sum__s"), F.lit(0)).cast(MONEY)
+    prior_s = F.coalesce(F.col("prior_sum__s"), F.lit(0)).cast(TOTAL)
     last = F.col("prior_max__hday")
     seg = (F.when(last.isNull(), "New")
            .when(F.datediff("_day", last) > rules.inactive_days, "Inactive")

@@ -14,34 +14,31 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The 18 header names of the daily-KPI export, in file order.
-HEADER = ["Date", "Revenue", "Visitors", "Buyers", "Orders", "Pageviews", "Units Sold",
-          "Conversion Rate", "Revenue per Buyer", "Visitor Value", "Add to Cart Users",
-          "Add to Cart Units", "Wishlists", "Wishlist Users", "Average Order Value",
-          "Average Basket Size", "Cancelled Amount", "Return/Refund Amount"]
-
-# Canonical names and types per header (date, total_sales_value and
-# total_orders are the names downstream code relies on).
+# The 18 header names of the daily-KPI export, in file order,
+# with canonical names and types (date, total_sales_value and total_orders are
+# the names downstream code relies on).  Amounts and counts are as wide as a
+# feed of any size needs.
 COLUMNS = [
     ("Date", "date", "date"),
-    ("Revenue", "total_sales_value", "decimal(12,2)"),
-    ("Visitors", "visitors", "int"),
-    ("Buyers", "buyers", "int"),
-    ("Orders", "total_orders", "int"),
-    ("Pageviews", "pageviews", "int"),
-    ("Units Sold", "units_sold", "int"),
+    ("Revenue", "total_sales_value", "decimal(28,2)"),
+    ("Visitors", "visitors", "bigint"),
+    ("Buyers", "buyers", "bigint"),
+    ("Orders", "total_orders", "bigint"),
+    ("Pageviews", "pageviews", "bigint"),
+    ("Units Sold", "units_sold", "bigint"),
     ("Conversion Rate", "conversion_rate", "percent"),
-    ("Revenue per Buyer", "revenue_per_buyer", "decimal(12,2)"),
-    ("Visitor Value", "visitor_value", "decimal(12,2)"),
-    ("Add to Cart Users", "add_to_cart_users", "int"),
-    ("Add to Cart Units", "add_to_cart_units", "int"),
-    ("Wishlists", "wishlists", "int"),
-    ("Wishlist Users", "wishlist_users", "int"),
-    ("Average Order Value", "average_order_value", "decimal(12,2)"),
-    ("Average Basket Size", "average_basket_size", "decimal(9,2)"),
-    ("Cancelled Amount", "cancelled_amount", "decimal(12,2)"),
-    ("Return/Refund Amount", "return_refund_amount", "decimal(12,2)"),
+    ("Revenue per Buyer", "revenue_per_buyer", "decimal(28,2)"),
+    ("Visitor Value", "visitor_value", "decimal(28,2)"),
+    ("Add to Cart Users", "add_to_cart_users", "bigint"),
+    ("Add to Cart Units", "add_to_cart_units", "bigint"),
+    ("Wishlists", "wishlists", "bigint"),
+    ("Wishlist Users", "wishlist_users", "bigint"),
+    ("Average Order Value", "average_order_value", "decimal(28,2)"),
+    ("Average Basket Size", "average_basket_size", "decimal(28,2)"),
+    ("Cancelled Amount", "cancelled_amount", "decimal(28,2)"),
+    ("Return/Refund Amount", "return_refund_amount", "decimal(28,2)"),
 ]
+HEADER = [h for h, _, _ in COLUMNS]
 ADDITIVE = ["total_sales_value", "total_orders", "pageviews", "units_sold", "add_to_cart_units",
             "wishlists", "cancelled_amount", "return_refund_amount"]
 PEOPLE = ["visitors", "buyers", "add_to_cart_users", "wishlist_users"]
@@ -69,11 +66,11 @@ def _cell(name: str) -> Column:
 def _parse(cell: Column, kind: str) -> Column:
     """Failure-tolerant typed value (NULL when unparsable)."""
     if kind == "percent":
-        num = F.regexp_replace(cell, "%$", "").try_cast("decimal(9,4)")
-        return (num / 100).cast("decimal(9,4)")
-    if kind == "int":
+        num = F.regexp_replace(cell, "%$", "").try_cast("decimal(18,4)")
+        return (num / 100).cast("decimal(18,4)")
+    if kind == "bigint":
         # exports write counts as '12' or '12.0'
-        return cell.try_cast("decimal(18,4)").try_cast("int")
+        return cell.try_cast("decimal(28,4)").try_cast("bigint")
     return cell.try_cast(kind)
 
 
@@ -105,8 +102,9 @@ def clean_kpi_feed(raw: DataFrame) -> CleanFeed:
     corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in raw.columns
                else F.lit(False))
 
-    state = (F.when(is_dash_row, "dash")
-             .when(corrupt, "malformed_row")
+    # a corrupt row may have only empty cells: it is no dash row
+    state = (F.when(corrupt, "malformed_row")
+             .when(is_dash_row, "dash")
              .when(bad_cell, "bad_number")
              .when(is_period & start.isNotNull() & end.isNotNull() & (start <= end), "period")
              .when(is_period, "bad_period")
@@ -115,6 +113,13 @@ def clean_kpi_feed(raw: DataFrame) -> CleanFeed:
     parsed = raw.select("*", state.alias("_state"), day.alias("_day"), start.alias("_start"),
                         end.alias("_end"), *[t for t, _ in typed])
     keys = ["platform", "source_file"]
+    # A day outside the period of its own file is no day of it -- the only
+    # guard against a swapped day and month.  One row per file.
+    span = (parsed.filter(F.col("_state") == "period").groupBy(*keys)
+            .agg(F.min("_start").alias("_from"), F.max("_end").alias("_to")))
+    parsed = parsed.join(span, keys, "left").withColumn("_state", F.when(
+        (F.col("_state") == "day") & ~F.col("_day").between(F.col("_from"), F.col("_to")),
+        "out_of_period").otherwise(F.col("_state")))
     measures = [F.col(f"_v_{m}").alias(m) for m in MEASURES]
     daily = (parsed.filter(F.col("_state") == "day")
              .select(*keys, F.col("_day").alias("date"), *measures))
@@ -134,7 +139,7 @@ def clean_kpi_feed(raw: DataFrame) -> CleanFeed:
 def _ratio(num: Column, den: Column, scale: int) -> Column:
     """num / den rounded half-up to ``scale`` decimals; NULL when den is 0/NULL."""
     d = F.nullif(den.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return F.round(num.cast("decimal(20,2)") / d, scale)
+    return F.round(num.cast("decimal(28,2)") / d, scale)
 
 
 def kpi_ratios(df: DataFrame) -> DataFrame:
@@ -142,12 +147,12 @@ def kpi_ratios(df: DataFrame) -> DataFrame:
     rev = F.col("total_sales_value")
     return df.withColumns({
         "conversion_rate": (_ratio(F.col("buyers") * 100, F.col("visitors"), 2) / 100)
-        .cast("decimal(9,4)"),
-        "revenue_per_buyer": _ratio(rev, F.col("buyers"), 2).cast("decimal(12,2)"),
-        "visitor_value": _ratio(rev, F.col("visitors"), 2).cast("decimal(12,2)"),
-        "average_order_value": _ratio(rev, F.col("total_orders"), 2).cast("decimal(12,2)"),
+        .cast("decimal(18,4)"),
+        "revenue_per_buyer": _ratio(rev, F.col("buyers"), 2).cast("decimal(28,2)"),
+        "visitor_value": _ratio(rev, F.col("visitors"), 2).cast("decimal(28,2)"),
+        "average_order_value": _ratio(rev, F.col("total_orders"), 2).cast("decimal(28,2)"),
         "average_basket_size": _ratio(F.col("units_sold"), F.col("total_orders"), 2)
-        .cast("decimal(9,2)"),
+        .cast("decimal(28,2)"),
     })
 
 
@@ -165,8 +170,8 @@ def rollup_kpis(daily: DataFrame, grain: str = "month") -> DataFrame:
         *[F.col(c).cast("bigint").alias(c) if c in ("total_orders", "pageviews", "units_sold",
                                                      "add_to_cart_units", "wishlists")
           else F.col(c) for c in ADDITIVE],
-        _ratio(rev, F.col("total_orders"), 2).cast("decimal(12,2)").alias("average_order_value"),
-        _ratio(F.col("units_sold"), F.col("total_orders"), 2).cast("decimal(9,2)")
+        _ratio(rev, F.col("total_orders"), 2).cast("decimal(28,2)").alias("average_order_value"),
+        _ratio(F.col("units_sold"), F.col("total_orders"), 2).cast("decimal(28,2)")
         .alias("average_basket_size"))
 
 
@@ -178,9 +183,11 @@ def reconcile_kpis(daily: DataFrame, period: DataFrame) -> DataFrame:
     export, so the equi key bounds every join group by the period length.
     """
     keys = ["platform", "source_file"]
-    days = daily.select(*[F.col(k).alias(f"_d_{k}") for k in keys], "date", *ADDITIVE)
+    # equal period rows of a file are one row; several rows of a day are summed first
     p = period.select(*keys, "period_start", "period_end",
-                      *[F.col(c).alias(f"p_{c}") for c in ADDITIVE])
+                      *[F.col(c).alias(f"p_{c}") for c in ADDITIVE]).distinct()
+    days = (daily.groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys], "date")
+            .agg(*[F.sum(c).alias(c) for c in ADDITIVE]))
     cond = [p[k] == days[f"_d_{k}"] for k in keys] + [
         days["date"].between(p["period_start"], p["period_end"])]
     j = p.join(days, cond, "left")

@@ -1,9 +1,8 @@
 """Voucher operators: usage (F07), voucher-product rules (F08), eligibility
 (F09, J07), discount caps (F10), usage limits (F11), usage pattern (G24).
 
-The voucher dimension is bounded by design (one row per voucher campaign),
-so it is the broadcast side of every voucher join; the fact side is never
-broadcast.  Voucher keys are hot by nature (few vouchers, many uses): every
+Whether the voucher side of a join is broadcast is left to its size at run
+time; the fact side never is.  Voucher keys are hot by nature (few vouchers, many uses): every
 aggregate keyed by voucher is a partial + final aggregation, and distinct
 counts shuffle on (voucher, customer), which spreads a hot voucher.
 """
@@ -53,11 +52,9 @@ def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
     """Per voucher, how many live orders were eligible (inside the
     window, spend >= minimum) and how many actual uses were valid.
 
-    The vouchers are a bounded dimension (one row per campaign) and are
-    broadcast; the range condition becomes an equi join on year.
+    The range condition becomes an equi join on year.
     """
-    v = F.broadcast(_validity_years(vouchers.select("voucher_key", "start_date", "end_date",
-                                                    "minimum_spend")))
+    v = _validity_years(vouchers.select("voucher_key", "start_date", "end_date", "minimum_spend"))
     live = (priced_orders.filter(F.col("is_cancelled") == F.lit(False))
             .select("order_key", "order_ts", "order_total_price",
                     F.year("order_ts").alias("_year")))
@@ -65,8 +62,7 @@ def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
             .where(F.col("order_ts").between(F.col("start_date"), F.col("end_date"))
                    & (F.col("order_total_price") >= F.col("minimum_spend")))
             .groupBy("voucher_key").agg(F.count(F.lit(1)).alias("eligible_orders")))
-    vu = usage.join(F.broadcast(vouchers.select("voucher_key", "start_date", "end_date",
-                                                "minimum_spend")), "voucher_key")
+    vu = usage.join(vouchers.select("voucher_key", "start_date", "end_date", "minimum_spend"), "voucher_key")
     in_window = F.col("usage_date").between(F.col("start_date"), F.col("end_date"))
     spend_ok = F.col("order_value_before_discount") >= F.col("minimum_spend")
     uses = vu.groupBy("voucher_key").agg(
@@ -74,7 +70,7 @@ def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
         F.count_if(in_window & spend_ok).alias("valid_uses"),
         F.count_if(~in_window).alias("outside_window"),
         F.count_if(in_window & ~spend_ok).alias("below_minimum"))
-    return (F.broadcast(vouchers.select("voucher_key", "voucher_code"))
+    return (vouchers.select("voucher_key", "voucher_code")
             .join(elig, "voucher_key", "left").join(uses, "voucher_key", "left")
             .select("voucher_key", "voucher_code",
                     *[F.coalesce(c, F.lit(0)).alias(c) for c in
@@ -84,21 +80,26 @@ def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
 
 def entitled_discount(value_before, vtype, pct, fixed, cap) -> F.Column:
     """percentage of the order value or a fixed amount, capped by the
-    voucher's maximum discount; never more than the order value."""
-    raw = F.when(vtype == "percentage", (value_before * pct / 100).cast(PRICE)) \
-        .otherwise(fixed)
-    return F.least(raw, F.coalesce(cap, raw), value_before).cast(PRICE)
+    voucher's maximum discount; never more than the order value.  A rule
+    without its amount (and a shipping voucher, which has none) gives NULL:
+    ``least`` would skip the NULL and give the cap or the whole order away."""
+    raw = rule_amount(value_before, vtype, pct, fixed)
+    return F.when(raw.isNotNull(), F.least(raw, F.coalesce(cap, raw), value_before)).cast(PRICE)
+
+
+def rule_amount(value_before, vtype, pct, fixed) -> F.Column:
+    """The discount of the rule itself, before cap and order value."""
+    return (F.when(vtype == "percentage", (value_before * pct / 100).cast(PRICE))
+            .when(vtype == "fixed_amount", fixed))
 
 
 def voucher_discounts(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
     """F10 per voucher: entitled discount before and after the cap."""
     v = vouchers.select("voucher_key", "voucher_type", "discount_percentage", "discount_value",
                         "maximum_discount")
-    u = usage.join(F.broadcast(v), "voucher_key")
+    u = usage.join(v, "voucher_key")
     before = F.col("order_value_before_discount")
-    raw = F.when(F.col("voucher_type") == "percentage",
-                 (before * F.col("discount_percentage") / 100).cast(PRICE)) \
-        .otherwise(F.col("discount_value"))
+    raw = rule_amount(before, F.col("voucher_type"), F.col("discount_percentage"), F.col("discount_value"))
     capped = entitled_discount(before, F.col("voucher_type"), F.col("discount_percentage"),
                                F.col("discount_value"), F.col("maximum_discount"))
     return (u.groupBy("voucher_key")
@@ -119,7 +120,7 @@ def voucher_limits(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
     holding a third of all uses is spread over many tasks.
     """
     from shopcube.operators.sequence import group_rank
-    v = F.broadcast(vouchers.select("voucher_key", "usage_limit", "usage_limit_per_customer"))
+    v = vouchers.select("voucher_key", "usage_limit", "usage_limit_per_customer")
     u = usage.select("voucher_key", "customer_key", "order_key", "usage_date").join(v, "voucher_key")
     order = ["usage_date", "order_key"]
     per_cust = group_rank(u, ["voucher_key", "customer_key"], order, "customer_rank")

@@ -62,11 +62,12 @@ order_roll AS (
          COUNT(*) AS line_count
   FROM items GROUP BY order_key),
 priced0 AS (
-  SELECT o.*, r.order_total_price, r.voucher_seller, r.voucher_platform, r.items_count,
-         r.has_return, r.line_count,
+  SELECT o.*, CAST(COALESCE(r.order_total_price, 0) AS DECIMAL(10,2)) AS order_total_price,
+         r.voucher_seller, r.voucher_platform, CAST(COALESCE(r.items_count, 0) AS INTEGER) AS items_count,
+         COALESCE(r.has_return, FALSE) AS has_return, COALESCE(r.line_count, 0) AS line_count,
          CAST(COALESCE(r.voucher_seller, 0) + COALESCE(r.voucher_platform, 0) AS DECIMAL(10,2))
            AS voucher_total
-  FROM ords o JOIN order_roll r ON o.order_key = r.order_key),
+  FROM ords o LEFT JOIN order_roll r ON o.order_key = r.order_key),
 priced AS (
   SELECT *, CAST(order_total_price - voucher_total + COALESCE(shipping_fee, 0) AS DECIMAL(10,2))
               AS buyer_paid_price,
@@ -84,7 +85,7 @@ dim_customers0 AS (
          split_part(c.c_name, '#', 1) AS first_name, split_part(c.c_name, '#', 2) AS last_name,
          n.n_name AS city, r.r_name AS region, n.n_name AS country,
          CAST(COALESCE(cr.n, 0) AS INTEGER) AS total_orders,
-         CAST(COALESCE(cr.spent, 0) AS DECIMAL(12,2)) AS total_spent,
+         CAST(COALESCE(cr.spent, 0) AS DECIMAL(20,2)) AS total_spent,
          CAST(COALESCE((CAST(cr.spent * 100 AS BIGINT) * 2 + cr.n) // (2 * cr.n), 0) AS DECIMAL(18,0))
            * 0.01 AS aov,
          cr.first_order_date, cr.last_order_date,
@@ -177,14 +178,14 @@ def half_up(num_cents: str, den: str, out_scale_factor: str = "0.01") -> str:
 
 
 KPI_MEASURES = f"""
-       CAST(rev AS DOUBLE) AS total_sales_value, CAST(visitors AS INTEGER) AS visitors,
-       CAST(buyers AS INTEGER) AS buyers, CAST(orders AS INTEGER) AS total_orders,
-       CAST(pageviews AS INTEGER) AS pageviews, CAST(units AS INTEGER) AS units_sold,
+       CAST(rev AS DOUBLE) AS total_sales_value, CAST(visitors AS BIGINT) AS visitors,
+       CAST(buyers AS BIGINT) AS buyers, CAST(orders AS BIGINT) AS total_orders,
+       CAST(pageviews AS BIGINT) AS pageviews, CAST(units AS BIGINT) AS units_sold,
        {half_up('CAST(buyers AS BIGINT) * 10000', 'visitors', '0.0001')} AS conversion_rate,
        {half_up('CAST(rev * 100 AS BIGINT)', 'buyers')} AS revenue_per_buyer,
        {half_up('CAST(rev * 100 AS BIGINT)', 'visitors')} AS visitor_value,
-       CAST(atc_users AS INTEGER) AS add_to_cart_users, CAST(atc_units AS INTEGER) AS add_to_cart_units,
-       CAST(wishlists AS INTEGER) AS wishlists, CAST(wishlist_users AS INTEGER) AS wishlist_users,
+       CAST(atc_users AS BIGINT) AS add_to_cart_users, CAST(atc_units AS BIGINT) AS add_to_cart_units,
+       CAST(wishlists AS BIGINT) AS wishlists, CAST(wishlist_users AS BIGINT) AS wishlist_users,
        {half_up('CAST(rev * 100 AS BIGINT)', 'orders')} AS average_order_value,
        {half_up('CAST(units AS BIGINT) * 100', 'orders')} AS average_basket_size,
        CAST(cancelled AS DOUBLE) AS cancelled_amount, CAST(refunds AS DOUBLE) AS return_refund_amount"""
@@ -219,7 +220,7 @@ hist0 AS (
   FROM priced GROUP BY customer_key, order_date),
 hist AS (
   SELECT customer_key, order_date AS valid_from,
-         SUM(n) OVER w AS orders_to_date, CAST(SUM(s) OVER w AS DECIMAL(12,2)) AS spent_to_date,
+         SUM(n) OVER w AS orders_to_date, CAST(SUM(s) OVER w AS DECIMAL(20,2)) AS spent_to_date,
          MAX(order_date) OVER (PARTITION BY customer_key ORDER BY order_date
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_order_date
   FROM hist0

@@ -281,6 +281,15 @@ def q_kpi_period(spark, d):
     return doubles(k.select("platform", "period_start", "period_end", *KPI_MEASURE_NAMES))
 
 
+@query("kpi_ratios", O.with_(*O.FULL, KPI_DAILY) + "SELECT platform, date, conversion_rate, revenue_per_buyer,"
+       " visitor_value, average_order_value, average_basket_size FROM (SELECT platform, date,"
+       + O.KPI_MEASURES + " FROM kd)")
+def q_kpi_ratios(spark, d):
+    """The five ratios computed anew from the counts and amounts of the cleaned rows."""
+    from shopcube.operators.kpi import RATIOS, kpi_ratios
+    return doubles(kpi_ratios(_m(spark, d).kpi.daily).select("platform", "date", *RATIOS))
+
+
 @query("kpi_rollup", O.with_(*O.FULL, KPI_DAILY) + f"""
 SELECT platform, CAST(date_trunc('month', date) AS DATE) AS period_start, MAX(date) AS last_day,
        COUNT(*) AS days, CAST(SUM(rev) AS DOUBLE) AS total_sales_value,
@@ -318,9 +327,19 @@ def q_kpi_reconcile(spark, d):
     return doubles(reconcile_kpis(k.daily, k.period))
 
 
-@query("kpi_quarantine")
+@query("kpi_quarantine", O.with_(*O.FULL) + """,
+files AS (SELECT DISTINCT CASE platform_key WHEN 1 THEN 'Lazada' ELSE 'Shopee' END AS platform,
+                 date_trunc('month', order_date) AS m FROM priced),
+bad AS (
+  SELECT platform, 'malformed_row' AS reason FROM files
+  UNION ALL SELECT platform, 'bad_number' FROM files WHERE month(m) % 3 = 1
+  UNION ALL SELECT platform, 'bad_date' FROM files WHERE month(m) % 3 = 2
+  UNION ALL SELECT platform, 'bad_period' FROM files WHERE month(m) % 3 = 0 
+  UNION ALL SELECT platform, 'out_of_period' FROM files WHERE month(m) = 12)
+SELECT platform, reason, COUNT(*) AS rows FROM bad GROUP BY platform, reason
+""")
 def q_kpi_quarantine(spark, d):
-    """Rows the cleaning rejected, by reason (empty on a well-formed export)."""
+    """Rows the cleaning rejected, by reason (the export is damaged by a fixed rule)."""
     q = _m(spark, d).kpi.quarantine
     return q.groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -977,7 +996,7 @@ def q_upload_summary(spark, d):
 
 
 @query("kpi_preview", O.with_(*O.FULL, KPI_DAILY) + """
-SELECT platform, date, CAST(rev AS DOUBLE) AS total_sales_value, CAST(orders AS INTEGER) AS total_orders
+SELECT platform, date, CAST(rev AS DOUBLE) AS total_sales_value, CAST(orders AS BIGINT) AS total_orders
 FROM kd ORDER BY platform, date LIMIT 5
 """)
 def q_kpi_preview(spark, d):

@@ -12,11 +12,18 @@ from shopcube.operators.kpi import clean_kpi_feed
 from shopcube.sources.kpi_csv import read_kpi_csv
 
 
+def _replace(rows, folder: str, *keys: str) -> None:
+    (rows.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(folder))
+
+
 def process_kpi_upload(spark: SparkSession, path, platform: str, save_to: str | None = None,
                        strict: bool = False) -> dict:
     """Returns the envelope: status, message, rows_processed, columns, shape,
     rejected rows; with ``save_to`` the day, period and quarantine rows are
-    written there as Parquet (L08).  ``strict`` rejects the whole upload when
+    written there as Parquet (L08), partitioned by (platform, day), (platform,
+    period) and (platform, file): a later upload of the same day, period or
+    file takes the earlier one's place, and all others stay.  ``strict`` rejects the whole upload when
     any row is malformed (A07), reporting the counts per reason instead."""
     try:
         clean = clean_kpi_feed(read_kpi_csv(spark, path, platform))
@@ -27,11 +34,13 @@ def process_kpi_upload(spark: SparkSession, path, platform: str, save_to: str |
                 return {"status": "error", "message": "malformed rows", "detail": reasons}
         daily = clean.daily
         if save_to:
-            daily.write.mode("overwrite").parquet(f"{save_to}/daily")
-            clean.period.write.mode("overwrite").parquet(f"{save_to}/period")
-            clean.quarantine.write.mode("overwrite").parquet(f"{save_to}/quarantine")
-            daily = spark.read.parquet(f"{save_to}/daily")
-        n = daily.count()
+            # an upload replaces the days, periods and files it holds, and no others
+            n = daily.count()
+            _replace(daily, f"{save_to}/daily", "platform", "date")
+            _replace(clean.period, f"{save_to}/period", "platform", "period_start", "period_end")
+            _replace(clean.quarantine, f"{save_to}/quarantine", "platform", "source_file")
+        else:
+            n = daily.count()
         rejected = clean.quarantine.count()
     except ValueError as e:   # unknown platform
         return {"status": "error", "message": str(e)}

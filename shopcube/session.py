@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="shopcube-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -69,14 +71,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    return f"{base}/{name}-{uuid.uuid4().hex}"

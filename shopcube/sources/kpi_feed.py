@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcube.operators.dims import with_platform_name
-from shopcube.functions.money import msum
+from shopcube.functions.money import WIDE, msum
 from shopcube.operators.kpi import HEADER
 
 
@@ -50,7 +50,7 @@ def _regroup(df: DataFrame, keys: list) -> DataFrame:
 def _people(df: DataFrame, keys: list) -> DataFrame:
     """Level 2: one row per customer per group, so distinct people are plain
     counts -- no Expand of the order rows, partial aggregation throughout."""
-    zero = F.lit(0).cast("decimal(10,2)")
+    zero = F.lit(0).cast(WIDE)
     return df.groupBy(*keys).agg(
         F.coalesce(F.sum("rev"), zero).alias("rev"),
         F.count(F.lit(1)).alias("visitors"),
@@ -68,7 +68,7 @@ def _people(df: DataFrame, keys: list) -> DataFrame:
 
 def _half_up(num, den, scale=2):
     d = F.nullif(den.cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
-    return F.round(num.cast("decimal(20,2)") / d, scale)
+    return F.round(num.cast(WIDE) / d, scale)
 
 
 def _text_cells(date_text) -> list:
@@ -77,7 +77,7 @@ def _text_cells(date_text) -> list:
     pct = _half_up(F.col("buyers") * 100, F.col("visitors"))
     cells = [
         date_text,
-        s(F.col("rev").cast("decimal(12,2)")),
+        s(F.col("rev").cast(WIDE)),
         s(F.col("visitors")), s(F.col("buyers")), s(F.col("orders")), s(F.col("pageviews")),
         s(F.col("units")),
         F.coalesce(F.concat(s(pct), F.lit("%")), F.lit("-")),
@@ -88,8 +88,8 @@ def _text_cells(date_text) -> list:
         dash(F.nullif(F.col("wishlist_users"), F.lit(0))),
         dash(_half_up(F.col("rev"), F.col("orders"))),
         dash(_half_up(F.col("units"), F.col("orders"))),
-        s(F.col("cancelled").cast("decimal(12,2)")),
-        s(F.col("refunds").cast("decimal(12,2)")),
+        s(F.col("cancelled").cast(WIDE)),
+        s(F.col("refunds").cast(WIDE)),
     ]
     return [c.alias(h) for c, h in zip(cells, HEADER)]
 
@@ -114,5 +114,28 @@ def kpi_feed_text(priced_orders: DataFrame) -> DataFrame:
     dash_rows = (months.filter(F.col("platform_key") == 2)
                  .select("platform", file_.alias("source_file"),
                          *[F.lit("-").alias(h) for h in HEADER]))
-    return (period_rows.unionByName(dash_rows).unionByName(day_rows)
+    rows = (period_rows.unionByName(dash_rows).unionByName(day_rows)
             .withColumn("_corrupt_record", F.lit(None).cast("string")))
+    return rows.unionByName(_damaged(months.select("platform", "month", file_.alias("source_file")), rows.columns))
+
+
+def _damaged(files: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows no export should hold, by a fixed rule on the month of the file:
+    a short row in every file, and an amount, a date, a period or a day of
+    another month that is wrong in every file of a quarter's first, second,
+    third month or of December."""
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd")
+    n = F.month("month")
+    bad = F.array(
+        F.struct(F.lit(True).alias("short"), F.lit(None).cast("string").alias("day"), F.lit(None).cast("string").alias("rev")),
+        *[F.when(rule, F.struct(F.lit(False).alias("short"), day.alias("day"), F.lit(rev).alias("rev")))
+          for rule, day, rev in (
+              (n % 3 == 1, iso(F.col("month")), "abc"),
+              (n % 3 == 2, F.concat(F.lit("31/31/"), F.year("month")), "1.00"),
+              (n % 3 == 0, F.concat(iso(F.last_day("month")), F.lit("~"), iso(F.col("month"))), "1.00"),
+              (n == 12, iso(F.add_months("month", 1)), "1.00"))])
+    f = files.select("platform", "source_file", F.inline(F.array_compact(bad)))
+    cells = {"Date": F.col("day"), "Revenue": F.col("rev"),
+             "_corrupt_record": F.when(F.col("short"), F.lit("a,short,row"))}
+    return f.select(*[F.col(c) if c in ("platform", "source_file")
+                      else cells.get(c, F.lit(None).cast("string")).cast("string").alias(c) for c in columns])
