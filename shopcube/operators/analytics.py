@@ -22,7 +22,7 @@ def voucher_products(vouchers: DataFrame, products: DataFrame) -> DataFrame:
     # bounded side (vouchers x listed categories), de-duplicated before the
     # join: a product has one category, so each (voucher, product) pair is
     # produced once and the large side needs no de-duplication
-    j = products.select("product_key", "sku_id", "category").join(F.broadcast(cats), "category")
+    j = products.select("product_key", "sku_id", "category").join(cats, "category")
     return j.select("voucher_key", "product_key", "voucher_id", "sku_id", "discount_value",
                     "discount_percentage")
 

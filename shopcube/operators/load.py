@@ -136,6 +136,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     fs, p = _fs(spark, root)
     if not fs.exists(p):

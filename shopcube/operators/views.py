@@ -48,7 +48,7 @@ def voucher_effectiveness(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
     v = vouchers.select("voucher_key", "voucher_code", "voucher_name", "voucher_type",
                         "start_date", "end_date")
     # the voucher dimension is small and bounded (one row per voucher)
-    return (F.broadcast(v).join(per_voucher, "voucher_key", "left")
+    return (v.join(per_voucher, "voucher_key", "left")
             .select("voucher_code", "voucher_name", "voucher_type", "start_date", "end_date",
                     F.coalesce("total_usage", F.lit(0)).alias("total_usage"),
                     F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
@@ -65,7 +65,7 @@ def voucher_roi(vouchers: DataFrame, usage: DataFrame) -> DataFrame:
     per_voucher = (usage.groupBy("voucher_key")
                    .agg(msum("order_value_after_discount").alias("after"),
                         msum("discount_amount").alias("disc")))
-    return (F.broadcast(vouchers.select("voucher_key", "voucher_code"))
+    return (vouchers.select("voucher_key", "voucher_code")
             .join(per_voucher, "voucher_key", "left")
             .select("voucher_key", "voucher_code",
                     F.col("after").cast("double").alias("total_order_value_generated"),

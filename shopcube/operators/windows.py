@@ -16,19 +16,11 @@ from shopcube.operators.sequence import running_aggregates
 def top_n_per_group(df: DataFrame, group_cols: list[str], order: list[Column], n: int,
                     rank_col: str = "rank") -> DataFrame:
     """The first ``n`` rows of every group in ``order`` (which must be
-    total), exactly, without gathering a whole group in one task.
-
-    Phase 1 ranks inside (input partition, group) -- bounded by a partition --
-    and keeps the first n; phase 2 ranks the at most n x partitions
-    survivors of each group.  The global top n of a group is always among
-    the phase-1 survivors.
+    total).  The planner puts a group limit before the shuffle, so at most n
+    rows of a group leave each input partition.
     """
-    tagged = df.withColumn("_part", F.spark_partition_id())
-    w1 = Window.partitionBy("_part", *group_cols).orderBy(*order)
-    cand = tagged.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
-    w2 = Window.partitionBy(*group_cols).orderBy(*order)
-    return (cand.withColumn(rank_col, F.row_number().over(w2)).filter(F.col(rank_col) <= n)
-            .drop("_part", "_r1"))
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:

@@ -49,6 +49,10 @@ def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return r.parquet(path).withColumn("ts", from_wall(F.col("ts"), tz))
 
 
+#: Lateness bound of a backfill: files come in any order, and no row of them is late.
+BACKFILL = "36500 days"
+
+
 def dedup_events(events: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Drop repeated event ids arriving within the watermark."""
     return events.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
@@ -100,39 +104,50 @@ def kpi_ingest_stream(spark: SparkSession, source_dir: str, platform: str) -> Da
 
 def write_kpi_batches(out_root: str):
     """foreachBatch sink for S01: clean each micro-batch and append the day,
-    period and quarantine rows to their tables.  Output files are named by
-    batch, so a replayed batch overwrites its own files only."""
+    period and quarantine rows to their tables.  Output folders are named by
+    (query, batch): a replayed batch overwrites its own files only, and a
+    stream with a new checkpoint adds to what an earlier one left."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        query = query_id(batch.sparkSession)
         clean = clean_kpi_feed(batch)
         for name, df in (("daily", clean.daily), ("period", clean.period),
                          ("quarantine", clean.quarantine)):
-            df.write.mode("overwrite").parquet(f"{out_root}/{name}/batch={batch_id}")
+            df.write.mode("overwrite").parquet(f"{out_root}/{name}/query={query}/batch={batch_id}")
     return sink
 
 
 def upsert_stream(key: str, table_root: str, on_duplicate: str = "last",
                   order_by: str | None = None):
     """foreachBatch sink that upserts each micro-batch into the
-    versioned table.  Version n+1 belongs to batch n: a replayed batch finds
-    its version committed and is skipped, so the sink is idempotent."""
-    from shopcube.operators.load import committed_versions, dedupe_last, upsert
+    versioned table, on top of whatever version it finds there.
+
+    A batch is known by (query id, batch id): one that is replayed finds its
+    mark and is skipped, while a new stream, or one that starts on a loaded
+    table, misses nothing.  A batch that was stored but not yet marked is
+    merged again, which changes nothing."""
+    from shopcube.operators.load import committed_versions, path_exists, upsert
+    if on_duplicate == "last" and order_by is None:
+        raise ValueError("keeping the last of several rows needs order_by")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        done = committed_versions(spark, table_root)
-        if version in done:
+        mark = f"{table_root}/_batches/query={query_id(spark)}/batch={batch_id}"
+        if path_exists(spark, f"{mark}/_SUCCESS"):
             return
-        src = batch
-        if done:
-            cur = spark.read.parquet(f"{table_root}/v={done[-1]:06d}")
-            merged = upsert(cur, src, key, on_duplicate, order_by).merged
-        else:
-            merged = dedupe_last(src, [key], order_by) if on_duplicate == "last" else src
-        merged.write.mode("overwrite").parquet(f"{table_root}/v={version:06d}")
+        done = committed_versions(spark, table_root)
+        version = done[-1] + 1 if done else 1
+        current = spark.read.parquet(f"{table_root}/v={done[-1]:06d}") if done else batch.limit(0)
+        upsert(current, batch, key, on_duplicate, order_by).merged.write.mode("overwrite").parquet(
+            f"{table_root}/v={version:06d}")
+        spark.range(1).select(F.lit(version).alias("version")).write.mode("overwrite").parquet(mark)
     return sink
 
 
+def query_id(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch runs now; it lives as long as its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def run_available_now(stream: DataFrame, checkpoint: str, output_mode: str = "append",
                       sink=None, path: str | None = None) -> None:
     """Process everything available, then stop (incremental batch runs)."""

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from shopcube.plans.registry import QUERIES
 from tests.conftest import SF001
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "collect_list", "collect_set",
@@ -10,9 +11,9 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "collect_list", "col
 EXPAND_OK = {"sales_cube", "time_rollup"}   # grouping sets over pre-aggregated rows
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_scale_hazards(spark, name):
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [w for w in FORBIDDEN if w in plan], plan
     if name not in EXPAND_OK:
