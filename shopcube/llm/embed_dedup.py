@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopcube.llm.components import _stored, components
+from shopcube.llm.minhash import least_ids
+from shopcube.llm.shingles import K1, K2, mix
 
 COSINE = 0.93
 MISSED = 1e-5            # probability that a pair at the threshold meets in no table
@@ -95,7 +97,6 @@ def bucket_rows(reps: DataFrame, bits: int, tables: int, form) -> DataFrame:
                     label = np.array([xxhash.xxh3_64_intdigest(f"{dim}/{s}") for s in rows.column(1).to_pylist()],
                                      np.uint64)
                     blob = pa.array([r.tobytes() for r in c], pa.binary())
-                    from shopcube.llm.shingles import K1, K2, mix
                     for t in range(tables):
                         h = mix(label * K1 + c[:, t].astype(np.uint64) * K2 + np.uint64(t))
                         yield pa.RecordBatch.from_arrays(
@@ -120,15 +121,7 @@ def segment_links(ids, m, x, c, t: int, side, cosine: float):
         return None
     fresh = ~(c[i, :t] == c[j, :t]).any(axis=1) if t else np.ones(len(i), bool)
     links = np.bincount(i[fresh], m[j[fresh]], len(ids)) + np.bincount(j[fresh], m[i[fresh]], len(ids))
-    root = ids.copy()
-    while True:                      # least id of each group of linked vectors
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        if (new == root).all():
-            break
-        root = new
+    root = least_ids(ids, i, j)
     used = np.unique(np.concatenate([i, j]))
     return ids[used], links[used].astype(np.int64), root[used]
 

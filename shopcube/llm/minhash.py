@@ -3,10 +3,12 @@
 Every row of equal shingle sets forms a class with one representative.
 Representatives meet in band buckets of their sketches.  In a bucket, all
 members are compared with its least member only; after the links found so
-far are joined to components, members of one bucket that are still in
-different components are compared with each other.  So a bucket of copies
-costs as many comparisons as it has members, and no link that could join
-two components is left out.  Every link is confirmed on the full sets.
+far are joined to components, the members of buckets in which several
+components are left are compared with each other, block by block inside the
+tasks, which give back one row for each linked member and never a list of
+pairs.  So a bucket of copies costs as many comparisons as it has members,
+and no link that could join two components is left out.  Every link is
+confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from shopcube.llm.shingles import K1, K2, mix, shingle_sets, sketch
 
 BANDS, ROWS = 32, 5      # at similarity 0.8 a pair is missed with probability 3e-6, above it with less
 LEAST = 80               # similarity in percent
+BLOCK = 1024             # members of a bucket in one block, at most about
+BLOCK_SHINGLES = 2 << 20 # and shingles of all of them
 
 
 def sketches(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,6 +67,96 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return both.where(100 * F.col("i") >= least * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
 
+def _blocked(rows: DataFrame) -> DataFrame:
+    """Rows of a bucket dealt to the pairs of its chunks: bucket, ci, cj, own, id."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select("bucket", F.least("own", "other").alias("ci"), F.greatest("own", "other").alias("cj"), "own", "id")
+
+
+def block_links(blocked: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(a, b): each linked member of a block with the least id of its group there."""
+    names = ["bucket", "ci", "cj", "own", "id", "shingles"]
+
+    def work(t: pa.Table) -> pa.RecordBatch:
+        key = np.stack([t.column(n).to_numpy() for n in names[:3]])
+        at = np.append(np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))), t.num_rows)
+        ids, own = t.column(4).to_numpy(), t.column(3).to_numpy()
+        col = t.column(5).combine_chunks()
+        off, flat = col.offsets.to_numpy().astype(np.int64), col.values.to_numpy()
+        out = []
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            if b - a < 2:
+                continue
+            i, j = similar(flat[off[a]:off[b]], off[a:b + 1] - off[a], least)
+            if key[1, a] != key[2, a]:
+                cross = own[a:b][i] != own[a:b][j]
+                i, j = i[cross], j[cross]
+            if len(i):
+                root = least_ids(ids[a:b], i, j)
+                used = np.unique(np.concatenate([i, j]))
+                out.append((ids[a:b][used], root[used]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64), pa.int64())
+             for k in range(2)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.nbytes
+            if size < 32 << 20:
+                continue
+            t = pa.Table.from_batches(waiting)
+            key = [t.column(n).to_numpy() for n in names[:3]]
+            cut = int(np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in key], axis=0)))[-1])
+            if cut:
+                yield work(t.slice(0, cut))
+            waiting = [pa.Table.from_batches(t.slice(cut).to_batches()).combine_chunks().to_batches()[0]]
+            size = waiting[0].nbytes
+        if waiting:
+            yield work(pa.Table.from_batches(waiting))
+
+    rows = blocked.join(sets, "id").select(names)
+    return (rows.repartition("bucket", "ci", "cj").sortWithinPartitions("bucket", "ci", "cj")
+            .mapInArrow(run, "a long, b long").where("a <> b").distinct())
+
+
+def similar(flat: np.ndarray, off: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs i < j of sorted sets with a similarity of ``least`` percent or more, from exact intersections."""
+    n = np.diff(off)
+    owner = np.repeat(np.arange(len(n)), n)
+    order = np.argsort(flat, kind="stable")
+    value, owner = flat[order], owner[order]
+    same = np.zeros(len(value) + 1, bool)
+    same[1:-1] = value[1:] == value[:-1]
+    shared = same[:-1] | same[1:]                       # only values of two sets or more can be common
+    value, owner = value[shared], owner[shared]
+    column = np.cumsum(np.append(False, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+    common = np.zeros((len(n), len(n)), np.float32)
+    total = int(column[-1]) + 1 if len(column) else 0
+    for k in range(0, total, 4096):
+        a, b = np.searchsorted(column, [k, k + 4096])
+        held = np.zeros((len(n), min(4096, total - k)), np.float32)
+        held[owner[a:b], column[a:b] - k] = 1
+        common += held @ held.T
+    both = common.astype(np.int64)
+    i, j = np.nonzero(np.triu(100 * both >= least * (n[:, None] + n[None, :] - both), 1))
+    return i, j
+
+
+def least_ids(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Least id of each group that the pairs (i, j) connect."""
+    root = ids.copy()
+    while True:
+        low, new = np.minimum(root[i], root[j]), root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        if (new == root).all():
+            return root
+        root = new
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, least: int = LEAST, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """Per row: key, n_shingles, component_id, kept.
@@ -93,16 +187,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: int = LEAST, key: st
     links = _stored(linked(pairs, sets, least), "links")
     groups = _stored(components(links), "groups")
 
-    # members of one bucket that are still apart, each pair once
-    open_ = members.join(groups, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    several = open_.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    open_ = _stored(open_.join(several.select("bucket"), "bucket").select("bucket", "id", "n", "c", "pivot"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.c") != F.col("y.c")) & (F.col("x.id") != F.col("x.pivot"))
-                   & (100 * F.least("x.n", "y.n") >= least * F.greatest("x.n", "y.n")))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    more = _stored(linked(rest, sets, least), "links")
+    # members of one bucket that are still apart (the least one has met all others already)
+    open_ = (members.where("id <> pivot").join(groups, "id", "left")
+             .select("bucket", "id", "n", F.coalesce("component", "id").alias("c")))
+    several = _stored(open_.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                                     F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES).alias("m"))
+                      .where("lo < hi").select("bucket", F.ceil("m").cast("int").alias("chunks")), "open-buckets")
+    more = _stored(block_links(_blocked(open_.join(several, "bucket").select("bucket", "id", "chunks")), sets, least),
+                   "links")
     if more.limit(1).count():
         groups = _stored(components(links.unionByName(more)), "groups")
 
