@@ -32,6 +32,14 @@ def voucher_status(as_of: Column, start: Column, end: Column) -> Column:
     return F.when(as_of > end, "Expired").when(as_of < start, "Inactive").otherwise("Active")
 
 
+def acquisition_cost(usage: DataFrame) -> DataFrame:
+    """Discount a voucher has given per customer it has won (first order with the voucher)."""
+    return (usage.groupBy("voucher_key", "voucher_code")
+            .agg(F.sum("discount_amount").alias("_d"), F.count_if("first_time_customer").alias("new_customers"))
+            .select("voucher_key", "voucher_code", F.col("_d").cast("double").alias("discount_total"),
+                    "new_customers", safe_div("_d", "new_customers").alias("acquisition_cost")))
+
+
 def usage_pattern(usage: DataFrame) -> DataFrame:
     """Uses per hour of day and ISO weekday."""
     return (usage.groupBy(F.hour("usage_date").alias("hour"),
@@ -42,13 +50,11 @@ def usage_pattern(usage: DataFrame) -> DataFrame:
 
 def reason_totals(fact_orders: DataFrame) -> DataFrame:
     """Lines and paid amount per cancellation reason and per return reason."""
-    c = (fact_orders.filter(F.col("cancellation_reason").isNotNull())
-         .groupBy(F.lit("cancellation").alias("reason_type"),
-                  F.col("cancellation_reason").alias("reason")))
-    r = (fact_orders.filter(F.col("return_reason").isNotNull())
-         .groupBy(F.lit("return").alias("reason_type"), F.col("return_reason").alias("reason")))
-    aggs = [F.count(F.lit(1)).alias("lines"), F.sum("paid_price").cast("double").alias("amount")]
-    return c.agg(*aggs).unionByName(r.agg(*aggs))
+    both = F.array(*[F.struct(F.lit(kind).alias("reason_type"), F.col(c).alias("reason"))
+                     for kind, c in (("cancellation", "cancellation_reason"), ("return", "return_reason"))])
+    lines = fact_orders.select("paid_price", F.inline(both)).filter(F.col("reason").isNotNull())
+    return lines.groupBy("reason_type", "reason").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("paid_price").cast("double").alias("amount"))
 
 
 def cohort_retention(orders: DataFrame) -> DataFrame:
@@ -85,13 +91,11 @@ def discount_rate(fact: DataFrame) -> DataFrame:
 
 def product_identity(fact: DataFrame, products: DataFrame) -> DataFrame:
     """One universal product row per product sold anywhere, with a
-    marketplace id where it sold there (full outer join on the match key)."""
-    sold = fact.select("product_key", "platform_key").distinct()
-    a = sold.filter(F.col("platform_key") == 1).select(
-        "product_key", F.concat(F.lit("L-"), F.col("product_key").cast("string")).alias("lazada_item_id"))
-    b = sold.filter(F.col("platform_key") == 2).select(
-        "product_key", F.concat(F.lit("S-"), F.col("product_key").cast("string")).alias("shopee_item_id"))
-    ids = a.join(b, "product_key", "full")
+    marketplace id where it sold there: one grouped pass over the sales."""
+    on = lambda p, mark: F.max(F.when(F.col("platform_key") == p, F.concat(
+        F.lit(mark), F.col("product_key").cast("string"))))
+    ids = (fact.groupBy("product_key").agg(on(1, "L-").alias("lazada_item_id"), on(2, "S-").alias("shopee_item_id"))
+           .where("lazada_item_id IS NOT NULL OR shopee_item_id IS NOT NULL"))
     return (ids.join(products.select("product_key", "product_name", "category"), "product_key", "left")
             .select("product_key", "lazada_item_id", "shopee_item_id", "product_name",
                     F.col("category").alias("category_l2")))

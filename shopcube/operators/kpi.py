@@ -46,9 +46,20 @@ RATIOS = ["conversion_rate", "revenue_per_buyer", "visitor_value", "average_orde
           "average_basket_size"]
 MEASURES = [c for _, c, t in COLUMNS if t != "date"]
 
-# Per-marketplace header mapping (A02): the second marketplace's export
-# layout is not known, so both use the same header until one is supplied.
-PLATFORM_HEADERS = {"lazada": HEADER, "shopee": HEADER}
+# Per-marketplace layout (A02): the file's columns in order, each with the
+# header it stands for.  The first marketplace's export names its columns as
+# above; the second one's layout is an own choice (other names and order).
+LAYOUTS = {
+    "lazada": {h: h for h in HEADER},
+    "shopee": {f"Shop {h}" if h != "Date" else "Day": h for h in [HEADER[0], *reversed(HEADER[1:])]},
+}
+PLATFORM_HEADERS = {k: list(v) for k, v in LAYOUTS.items()}
+
+
+def to_canonical(raw: DataFrame, platform: str) -> DataFrame:
+    """The cells of a marketplace's file under the common header names."""
+    layout = LAYOUTS[platform.strip().lower()]
+    return raw.select(*[F.col(f"`{c}`").alias(layout.get(c, c)) for c in raw.columns])
 
 
 class CleanFeed(NamedTuple):

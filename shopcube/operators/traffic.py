@@ -71,6 +71,15 @@ def traffic_totals(traffic: DataFrame) -> DataFrame:
                  F.countDistinct("product_key").alias("products_viewed")))
 
 
+def traffic_by_product(traffic: DataFrame) -> DataFrame:
+    """Totals per product."""
+    return (traffic.groupBy("product_key")
+            .agg(F.sum("page_views").alias("page_views"), F.sum("visits").alias("visits"),
+                 F.sum("add_to_cart_count").alias("add_to_cart"),
+                 F.sum("wishlist_add_count").alias("wishlist_adds"),
+                 F.countDistinct("time_key").alias("days_viewed")))
+
+
 def activity_daily(activity: DataFrame) -> DataFrame:
     """G23 + W03: chat response average, follower net change and running
     follower total per platform.  The running window covers one platform's

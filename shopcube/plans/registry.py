@@ -636,19 +636,37 @@ def q_sales_cube(spark, d):
     return sales_cube(_fact_year(_m(spark, d)), ["year", "platform_key", "is_returned"])
 
 
+@query("sales_cube_levels", O.with_(*O.FULL, O.CUSTOMERS, O.FACT) + """
+SELECT p.p_type AS category, c.customer_segment, GROUPING_ID(p.p_type, c.customer_segment) AS grouping_id,
+       COUNT(*) AS row_count, CAST(SUM(f.quantity) AS DOUBLE) AS total_quantity,
+       CAST(SUM(f.net) AS DOUBLE) AS net_sales
+FROM fact f LEFT JOIN part p ON f.product_key = p.p_partkey
+LEFT JOIN dim_customers c ON f.customer_key = c.customer_key
+GROUP BY CUBE (p.p_type, c.customer_segment)
+""")
+def q_sales_cube_levels(spark, d):
+    """G20 over levels of the product and customer dimensions."""
+    from shopcube.operators.marts import sales_cube
+    m = _m(spark, d)
+    f = (m.fact.join(m.products.select("product_key", "category"), "product_key", "left")
+         .join(m.dim_customers.select("customer_key", "customer_segment"), "customer_key", "left"))
+    return sales_cube(f, ["category", "customer_segment"])
+
+
 @query("time_rollup", O.with_(*O.BASE, O.FACT) + """
-SELECT year, quarter, month, GROUPING_ID(year, quarter, month) AS grouping_id, COUNT(*) AS row_count,
+SELECT year, quarter, month, day, GROUPING_ID(year, quarter, month, day) AS grouping_id, COUNT(*) AS row_count,
        CAST(SUM(quantity) AS DOUBLE) AS total_quantity, CAST(SUM(net) AS DOUBLE) AS net_sales
 FROM (SELECT *, time_key // 10000 AS year, ((time_key // 100) % 100 + 2) // 3 AS quarter,
-             (time_key // 100) % 100 AS month FROM fact)
-GROUP BY ROLLUP (year, quarter, month)
+             (time_key // 100) % 100 AS month, time_key % 100 AS day FROM fact)
+GROUP BY ROLLUP (year, quarter, month, day)
 """)
 def q_time_rollup(spark, d):
     from shopcube.operators.marts import sales_cube
     f = _fact_year(_m(spark, d))
     month = (F.col("time_key") / 100).cast("int") % 100
-    f = f.withColumn("month", month).withColumn("quarter", ((month + 2) / 3).cast("int"))
-    return sales_cube(f, ["year", "quarter", "month"], rollup=True)
+    f = (f.withColumn("month", month).withColumn("quarter", ((month + 2) / 3).cast("int"))
+         .withColumn("day", F.col("time_key") % 100))
+    return sales_cube(f, ["year", "quarter", "month", "day"], rollup=True)
 
 
 @query("fact_traffic", O.with_(O.EVENTS) + "SELECT * FROM traffic")
@@ -684,6 +702,29 @@ def q_traffic_totals(spark, d):
     return traffic_totals(fact_traffic(_m(spark, d).t.events))
 
 
+@query("traffic_by_product", O.with_(O.EVENTS) + """
+SELECT product_key, CAST(SUM(page_views) AS BIGINT) AS page_views, CAST(SUM(visits) AS BIGINT) AS visits,
+       CAST(SUM(add_to_cart_count) AS BIGINT) AS add_to_cart,
+       CAST(SUM(wishlist_add_count) AS BIGINT) AS wishlist_adds, COUNT(DISTINCT time_key) AS days_viewed
+FROM traffic GROUP BY product_key
+""")
+def q_traffic_by_product(spark, d):
+    from shopcube.operators.traffic import fact_traffic, traffic_by_product
+    return traffic_by_product(fact_traffic(_m(spark, d).t.events))
+
+
+@query("acquisition_cost", O.with_(*O.FULL, O.USAGE) + """
+SELECT voucher_key, voucher_code, CAST(SUM(discount_amount) AS DOUBLE) AS discount_total,
+       COUNT(*) FILTER (WHERE first_time_customer) AS new_customers,
+       CAST(SUM(discount_amount) AS DOUBLE)
+         / NULLIF(CAST(COUNT(*) FILTER (WHERE first_time_customer) AS DOUBLE), 0) AS acquisition_cost
+FROM usage GROUP BY voucher_key, voucher_code
+""")
+def q_acquisition_cost(spark, d):
+    from shopcube.operators.analytics import acquisition_cost
+    return acquisition_cost(_m(spark, d).usage)
+
+
 @query("activity_daily", O.with_(O.EVENTS) + """,
 daily AS (
   SELECT platform_key, time_key, COUNT(*) FILTER (WHERE activity_type = 'CHAT_SENT') AS chats,
@@ -1003,6 +1044,110 @@ def q_stream_sessions(spark, d):
     return snap.select("user_id", "session_start", "session_end", "events")
 
 
+@query("stream_alerts", O.with_(O.EVENTS) + """
+SELECT day, event_type, events, 'error events >= 2' AS alert FROM (
+  SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS events FROM (SELECT DISTINCT ON (event_id) * FROM ev)
+  GROUP BY 1, 2) WHERE event_type = 'error' AND events >= 2
+""")
+def q_stream_alerts(spark, d):
+    """Days on which the streamed roll-up crosses a threshold."""
+    from shopcube.streaming.jobs import BACKFILL, alert_stream, event_rollup_stream, event_stream
+    s = event_rollup_stream(event_stream(spark, f"{d}/events.parquet*"), BACKFILL)
+    return alert_stream(_stream_to_snapshot(spark, s, "event-alerts"), "error", 2)
+
+
+@query("stream_upsert", "SELECT o_orderkey AS order_key, CAST(o_totalprice AS DOUBLE) AS total, o_orderstatus AS status FROM orders")
+def q_stream_upsert(spark, d):
+    """The orders merged batch by batch into a table that holds an older state of half of them."""
+    from shopcube.operators.load import read_current
+    from shopcube.session import scratch_path
+    from shopcube.streaming.jobs import run_available_now, upsert_stream
+    rows = lambda df: df.select(F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").cast("double").alias("total"),
+                                F.col("o_orderstatus").alias("status"), F.lit(1).alias("revision"))
+    path, root = f"{d}/orders.parquet", scratch_path(spark, "orders-table")
+    older = rows(spark.read.parquet(path)).where("order_key % 2 = 0")
+    older.withColumn("total", F.lit(0.0)).withColumn("revision", F.lit(0)).write.parquet(f"{root}/v=000001")
+    stream = rows(spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*"))
+    run_available_now(stream, scratch_path(spark, "orders-ckpt"), sink=upsert_stream("order_key", root, "last", "revision"))
+    return read_current(spark, root).drop("revision")
+
+
+def _exported(spark, d) -> dict[str, str]:
+    """The derived KPI export as CSV files, each marketplace in its own layout: platform -> folder."""
+    from shopcube.operators.dims import checkpointed
+    from shopcube.session import scratch_path
+    from shopcube.sources.kpi_csv import write_kpi_csv
+    from shopcube.sources.kpi_feed import kpi_feed_text
+    feed, out = checkpointed(kpi_feed_text(_m(spark, d).priced_orders)), {}
+    for platform in ("Lazada", "Shopee"):
+        out[platform] = scratch_path(spark, f"kpi-csv-{platform}")
+        write_kpi_csv(feed.where("_corrupt_record IS NULL"), out[platform], platform)
+    return out
+
+
+_CSV_DAILY = """SELECT platform, date, CAST(rev AS DOUBLE) AS total_sales_value, CAST(orders AS BIGINT) AS total_orders,
+       CAST(visitors AS BIGINT) AS visitors FROM kd"""
+
+
+@query("kpi_csv_scan", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY)
+def q_kpi_csv_scan(spark, d):
+    """The export written and scanned again as CSV, in two layouts."""
+    from shopcube.operators.kpi import clean_kpi_feed
+    from shopcube.sources.kpi_csv import read_kpi_csv
+    found = [clean_kpi_feed(read_kpi_csv(spark, path, p).withColumn("source_file", F.lit(path))).daily
+             for p, path in _exported(spark, d).items()]
+    return doubles(_own_days(found[0].unionByName(found[1])))
+
+
+def _own_days(daily: DataFrame) -> DataFrame:
+    """Rows of real days: the damaged row of a day of the next month has no visitors."""
+    return daily.where("visitors IS NOT NULL").select("platform", "date", "total_sales_value", "total_orders", "visitors")
+
+
+@query("stream_kpi_ingest", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY + " WHERE platform = 'Shopee'")
+def q_stream_kpi_ingest(spark, d):
+    """The same files dropped into a folder and taken in by a stream."""
+    from shopcube.session import scratch_path
+    from shopcube.streaming.jobs import kpi_ingest_stream, run_available_now, write_kpi_batches
+    out = scratch_path(spark, "kpi-tables")
+    stream = kpi_ingest_stream(spark, _exported(spark, d)["Shopee"], "Shopee").withColumn("source_file", F.lit("upload"))
+    run_available_now(stream, scratch_path(spark, "kpi-ckpt"), sink=write_kpi_batches(out))
+    return doubles(_own_days(spark.read.parquet(f"{out}/daily")))
+
+
+@query("daily_mart", "WITH summary AS (" + SUMMARY_SQL + """)
+SELECT time_key, platform_key, total_orders, net_revenue, new_customers, CAST(year(date) AS INTEGER) AS year,
+       CAST(month(date) AS INTEGER) AS month FROM summary
+""")
+def q_daily_mart(spark, d):
+    """The daily summary stored by year and month, a month stored again, and read back."""
+    from shopcube.operators.marts import write_mart
+    from shopcube.session import scratch_path
+    folder = scratch_path(spark, "daily-mart")
+    mart = _m(spark, d).summary.withColumns({"year": F.year("date"), "month": F.month("date")}).select(
+        "time_key", "platform_key", "total_orders", "net_revenue", "new_customers", "year", "month")
+    write_mart(mart, folder)
+    write_mart(mart.where("month = 1"), folder)
+    return spark.read.parquet(folder)
+
+
+@query("voucher_json", O.with_(*O.BASE, O.VOUCHERS) + """
+SELECT voucher_code, voucher_type, CAST(discount_value AS DOUBLE) AS discount_value,
+       CAST(discount_percentage AS DOUBLE) AS discount_percentage, CAST(minimum_spend AS DOUBLE) AS minimum_spend,
+       start_date, end_date FROM vouchers
+""")
+def q_voucher_json(spark, d):
+    """The voucher master landed as JSON lines and scanned with its declared schema."""
+    from shopcube.session import scratch_path
+    from shopcube.sources.json_feeds import read_vouchers
+    folder = scratch_path(spark, "voucher-json")
+    v = _m(spark, d).vouchers
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("start_date", "end_date")}
+    v.withColumns(times).write.json(folder)
+    return doubles(read_vouchers(spark, folder).select(
+        "voucher_code", "voucher_type", "discount_value", "discount_percentage", "minimum_spend", "start_date", "end_date"))
+
+
 @query("sales_trends_keyed", "WITH summary AS (" + SUMMARY_SQL + """)
 SELECT s.time_key, s.platform, year(s.date) AS year, quarter(s.date) AS quarter,
        monthname(s.date) AS month_name, weekofyear(s.date) AS week, dayname(s.date) AS day_name,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopcube.operators.kpi import PLATFORM_HEADERS
+from shopcube.operators.kpi import LAYOUTS, PLATFORM_HEADERS, to_canonical
 
 
 def raw_schema(header: list[str]) -> T.StructType:
@@ -35,5 +35,12 @@ def read_kpi_csv(spark: SparkSession, path: str | list[str], platform: str,
           .option("encoding", encoding)
           .schema(raw_schema(header))
           .load(path))
-    return df.select("*", F.lit(platform).alias("platform"),
-                     F.col("_metadata.file_path").alias("source_file"))
+    df = df.withColumn("source_file", F.col("_metadata.file_path"))
+    return to_canonical(df, platform).withColumn("platform", F.lit(platform))
+
+
+def write_kpi_csv(feed: DataFrame, path: str, platform: str) -> None:
+    """Write feed rows as CSV files in the layout of a marketplace (the inverse of the scan)."""
+    layout = LAYOUTS[platform.strip().lower()]
+    (feed.where(F.col("platform") == platform).select(*[F.col(f"`{h}`").alias(c) for c, h in layout.items()])
+     .write.option("header", True).csv(path))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shopcube.operators.kpi import clean_kpi_feed
 from shopcube.sources.kpi_csv import raw_schema
-from shopcube.operators.kpi import PLATFORM_HEADERS
+from shopcube.operators.kpi import PLATFORM_HEADERS, to_canonical
 
 
 def _tz(df: DataFrame) -> str:
@@ -98,8 +98,8 @@ def kpi_ingest_stream(spark: SparkSession, source_dir: str, platform: str) -> Da
            .option("header", True).option("enforceSchema", False)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
            .csv(source_dir))
-    return raw.select("*", F.lit(platform).alias("platform"),
-                      F.col("_metadata.file_path").alias("source_file"))
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
+    return to_canonical(raw, platform).withColumn("platform", F.lit(platform))
 
 
 def write_kpi_batches(out_root: str):

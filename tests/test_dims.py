@@ -28,6 +28,28 @@ def test_fiscal_year(spark):
     assert (r["2024-04-01"]["fiscal_year"], r["2024-04-01"]["fiscal_quarter"]) == (2025, 1)
 
 
+def test_orders_without_items_keep_the_defaults(spark):
+    from shopcube.operators.facts import price_orders
+    from shopcube.plans.model import Model
+    from tests.conftest import SF001
+    m = Model(spark, SF001)
+    priced = price_orders(m.orders, m.items)
+    assert priced.count() == m.orders.count()
+    none = priced.filter("line_count = 0")
+    assert none.count() > 0
+    assert none.filter("order_total_price <> 0 OR items_count <> 0 OR has_return OR buyer_paid_price IS NULL").count() == 0
+
+
+def test_voucher_rules_without_an_amount_give_nothing(spark):
+    from shopcube.operators.vouchers import entitled_discount
+    df = spark.createDataFrame([("percentage", 10.0, None, 5.0), ("percentage", None, None, 5.0), ("shipping", None, None, None),
+                                ("fixed_amount", None, 30.0, None), ("fixed_amount", None, None, 5.0)],
+                               "t string, p double, f double, c double").selectExpr(
+        "t", "cast(p as decimal(5,2)) p", "cast(f as decimal(10,2)) f", "cast(c as decimal(10,2)) c")
+    got = df.select(entitled_discount(F.lit(100).cast("decimal(10,2)"), F.col("t"), F.col("p"), F.col("f"), F.col("c")))
+    assert [r[0] if r[0] is None else float(r[0]) for r in got.collect()] == [5.0, None, None, 30.0, None]
+
+
 def test_worked_price_example(spark):
     df = spark.createDataFrame([(Decimal("1000.00"), Decimal("50.00"), Decimal("30.00"),
                                  Decimal("45.00")),

@@ -154,3 +154,34 @@ def test_cell_parsing_roundtrip_property(spark):
                 == exp[r["date"]]
 
     check()
+
+
+def _clean(spark, rows):
+    raw = []
+    for cells, corrupt in rows:
+        raw.append(tuple(cells.get(h) for h in HEADER) + ("x", "f", corrupt))
+    return clean_kpi_feed(spark.createDataFrame(raw, ", ".join(f"`{h}` string" for h in HEADER)
+                                                + ", platform string, source_file string, _corrupt_record string"))
+
+
+def test_large_amounts_and_counts_are_kept(spark):
+    c = _clean(spark, [({"Date": "2024-05-01", "Revenue": "12345678901.00", "Visitors": "9999999999"}, None)])
+    assert c.quarantine.count() == 0
+    r = c.daily.collect()[0]
+    assert (r["total_sales_value"], r["visitors"]) == (Decimal("12345678901.00"), 9999999999)
+    assert rollup_kpis(c.daily).collect()[0]["total_sales_value"] == Decimal("12345678901.00")
+
+
+def test_corrupt_rows_come_before_dash_rows_and_days_keep_to_their_period(spark):
+    c = _clean(spark, [({"Date": "2024-05-01~2024-05-31", "Revenue": "5"}, None), ({}, "short,row"), ({"Date": "-"}, None),
+                       ({"Date": "2024-05-31", "Revenue": "1"}, None), ({"Date": "2024-06-01", "Revenue": "1"}, None)])
+    assert sorted(r["reason"] for r in c.quarantine.collect()) == ["malformed_row", "out_of_period"]
+    assert [str(r["date"]) for r in c.daily.collect()] == ["2024-05-31"]
+
+
+def test_equal_period_rows_and_repeated_days_reconcile(spark):
+    period = ({"Date": "2024-05-01~2024-05-31", "Revenue": "3", "Orders": "1"}, None)
+    c = _clean(spark, [period, period, ({"Date": "2024-05-02", "Revenue": "1", "Orders": "1"}, None),
+                       ({"Date": "2024-05-02", "Revenue": "2", "Orders": "0"}, None)])
+    r = reconcile_kpis(c.daily, c.period).collect()
+    assert len(r) == 1 and r[0]["reconciled"] and r[0]["days"] == 1

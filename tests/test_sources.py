@@ -56,6 +56,28 @@ def test_upload_envelope_and_save(spark, tmp_path):
     assert bad["status"] == "error"
 
 
+def test_later_uploads_keep_earlier_ones(spark, tmp_path):
+    save = str(tmp_path / "out")
+    for name, body in (("march", FILE1), ("april", FILE1.replace("2024-03", "2024-04").replace("/03/", "/04/"))):
+        (tmp_path / f"{name}.csv").write_text(body.replace("2024-04-31", "2024-04-30") + "\n")
+        process_kpi_upload(spark, str(tmp_path / f"{name}.csv"), "Lazada", save_to=save)
+    process_kpi_upload(spark, str(tmp_path / "april.csv"), "Lazada", save_to=save)      # again: replaces its own days
+    months = spark.read.parquet(f"{save}/daily").groupBy(F.month("date").alias("m")).count()
+    assert {r["m"]: r["count"] for r in months.collect()} == {3: 3, 4: 3}
+    assert spark.read.parquet(f"{save}/period").count() == 2
+
+
+def test_second_layout_reads_back(spark, tmp_path):
+    from shopcube.operators.kpi import HEADER, PLATFORM_HEADERS, clean_kpi_feed
+    from shopcube.sources.kpi_csv import read_kpi_csv, write_kpi_csv
+    raw = spark.createDataFrame([tuple(["2024-05-01", "1.50"] + [str(i) for i in range(16)] + ["Shopee"])],
+                                ", ".join(f"`{h}` string" for h in HEADER) + ", platform string")
+    write_kpi_csv(raw, str(tmp_path / "s"), "Shopee")
+    assert PLATFORM_HEADERS["shopee"] != PLATFORM_HEADERS["lazada"]
+    r = clean_kpi_feed(read_kpi_csv(spark, str(tmp_path / "s"), "Shopee")).daily.collect()[0]
+    assert (float(r["total_sales_value"]), r["visitors"], float(r["return_refund_amount"])) == (1.5, 0, 15.0)
+
+
 def test_strict_upload_rejects_whole_file(spark, tmp_path):
     f = tmp_path / "strict"
     f.mkdir()
