@@ -53,8 +53,8 @@ BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl"
           "thead", "tfoot", "caption", "blockquote", "pre", "section", "article", "main", "figure", "figcaption", "hr",
           "address", "header", "footer", "nav", "aside", "form", "details", "summary", "fieldset", "body", "html", "hgroup",
           "center", "dialog", "menu", "search"}
-SPACED = {"br", "td", "th", "option", "img", "input", "wbr"} - {"wbr"}
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SPACED = {"br", "td", "th", "option", "img", "input"}
+SILENT = {"script", "style", "noscript", "template", "title", "head"}
 INLINE_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
               "th": {"td", "th"}, "option": {"option"}}
 
@@ -178,7 +178,7 @@ class Page:
             path = xxhash.xxh3_64_intdigest(f"{name}|{marks}", parent[1])
             in_article = any(x[0] in ("article", "main") for x in stack)
             gone = parent[3] or left_out(name, attributes, in_article)
-            if gone and not parent[3] and out and name not in BLOCKS:
+            if gone and not parent[3] and out and name not in BLOCKS and name not in SILENT:
                 out.append(" ")
             self.tags.append([path, name, 0, gone])
             if attributes.endswith("/") and name in ("svg", "path"):

@@ -93,17 +93,23 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "row", n.cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("twice"), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
-        "n_stop_words", F.size("lines").cast("long").alias("n_lines"))
+        "n_stop_words", F.size("lines").cast("long").alias("n_lines"),
+        F.monotonically_increasing_id().alias("number"))
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """``measures`` with the verdicts base_failed and kept."""
+    """``measures`` with the verdicts base_failed and kept.
+
+    The verdicts hang on the row number, which holds a later filter on them
+    above the projections: pushed below, it would repeat the expressions of
+    every step inside those of the next.
+    """
     base, own = F.lit(True), F.lit(True)
     for r in BASE_RULES:
         base = base & holds(r)
     for r in rules:
         own = own & holds(r)
-    return (measures(docs, text).withColumn("base_failed", ~base)
+    return (measures(docs, text).withColumn("base_failed", ~(base & (F.col("number") >= 0)))
             .withColumn("kept", ~F.col("base_failed") & own))
 
 
@@ -119,13 +125,8 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass all rules, with all their columns.
-
-    The row number keeps the filter above the projections: pushed below them,
-    it would repeat the expressions of every step inside those of the next.
-    """
-    found = judged(docs, rules, text).select("row", "kept", F.monotonically_increasing_id().alias("number"))
-    return found.where("kept AND number >= 0").select("row.*")
+    """The rows of ``docs`` that pass all rules, with all their columns."""
+    return judged(docs, rules, text).where("kept").select("row.*")
 
 
 def oracle(table: str = "documents") -> str:
