@@ -31,11 +31,12 @@ from pyspark.sql import types as T
 
 from shopcube.llm.anchors import Fingerprints, blocks
 from shopcube.llm.batches import map_rows
-from shopcube.llm.components import _stored
+from shopcube.llm.components import _stored, discard
 from shopcube.llm.words import text_buffers
 
 WINDOW = 200             # bytes of a repeated string
 GRAM = 64                # bytes of the q-gram that opens a bucket
+PIECE = 1 << 20          # bytes that are worked on at a time
 LARGE = 512              # contents of a bucket that one task refines at most
 BLOCK = "array<struct<start: long, n: int, off: int, gram: long, content: long>>"
 
@@ -47,18 +48,40 @@ def digest(texts: pa.Array) -> list[str]:
     return [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:])]
 
 
+def pieces(off: np.ndarray, limit: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Ranges of texts, at most about ``limit`` bytes each: (first text, first byte, offsets in bytes).
+
+    A longer text is cut into ranges whose windows follow on each other.
+    """
+    i, n = 0, len(off) - 1
+    while i < n:
+        size = int(off[i + 1] - off[i])
+        if size > limit:
+            for a in range(0, size - WINDOW + 1, limit):
+                yield i, int(off[i]) + a, np.array([0, min(limit + WINDOW - 1, size - a)])
+            i += 1
+        else:
+            j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
+            yield i, int(off[i]), off[i:j + 1] - off[i]
+            i = j
+
+
 def text_blocks(rows: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_bytes, sha, tid (60 bits of sha) and the blocks of its text."""
     def work(texts: pa.Array) -> dict:
         data, off = text_buffers(texts)
-        sha = digest(texts)
-        b = blocks(data, off, Fingerprints(data), GRAM, WINDOW)
-        doc = np.searchsorted(off, b.start, "right") - 1
+        sha, parts = digest(texts), []
+        for first, byte, own in pieces(off, PIECE):
+            piece = data[byte:byte + int(own[-1])]
+            b = blocks(piece, own, Fingerprints(piece), GRAM, WINDOW)
+            doc = first + np.searchsorted(own, b.start, "right") - 1
+            parts.append((doc, b.start + byte - off[doc], b.windows, b.anchor - b.start, b.gram, b.content))
+        doc, start, n, at, gram, content = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 6
         bounds = np.searchsorted(doc, np.arange(len(off)))
         items = pa.StructArray.from_arrays(
-            [pa.array(b.start - off[doc], pa.int64()), pa.array(b.windows, pa.int32()),
-             pa.array(b.anchor - b.start, pa.int32()), pa.array(b.gram.view(np.int64)),
-             pa.array(b.content.view(np.int64))], names=["start", "n", "off", "gram", "content"])
+            [pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(at, pa.int32()),
+             pa.array(gram.view(np.int64)), pa.array(content.view(np.int64))],
+            names=["start", "n", "off", "gram", "content"])
         return {"n_bytes": pa.array(np.diff(off), pa.int64()), "sha": pa.array(sha, pa.string()),
                 "tid": pa.array([int(s[:15], 16) for s in sha], pa.int64()),
                 "blocks": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), items)}
@@ -154,7 +177,7 @@ def refined_spans(contexts: DataFrame) -> DataFrame:
         for b in batches:
             waiting.append(b)
             rows += b.num_rows
-            if rows < 20_000:
+            if rows < 8_000:
                 continue
             t = pa.Table.from_batches(waiting)
             g = t.column(0).to_numpy()
@@ -201,10 +224,12 @@ def repeated_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
 
     ``rows``: doc_id, tid, text; ``found``: the stored result of ``text_blocks``.
     """
-    each = found.select("doc_id", "tid", F.inline("blocks"))
+    # half of the text's id tells apart texts that share a doc_id
+    low = F.col("tid").bitwiseAND(0x7FFFFFFF).cast("int").alias("low")
+    each = found.select("doc_id", "tid", low, F.inline("blocks"))
     first = lambda *names: [F.first(c).alias(c) for c in names]
     contents = _stored(each.groupBy("content").agg(F.count("*").alias("c"), *first(
-        "gram", "doc_id", "tid", "start", "n", "off")), "repeat-contents")
+        "gram", "doc_id", "low", "start", "n", "off")), "repeat-contents")
     shared = _stored(contents.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "repeat-buckets")
 
     # blocks that occur again as a whole
@@ -214,11 +239,11 @@ def repeated_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
 
     # one block of each content of a shared bucket, with its bytes
     one = contents.join(shared, "gram")
-    marks = one.groupBy("doc_id", "tid").agg(F.collect_list(F.struct(
+    marks = one.groupBy("doc_id", "low").agg(F.collect_list(F.struct(
         "gram", "m", (F.col("c") == 1).alias("once"), "n", "off", "start")).alias("marks"))   # of one text
-    t, k = rows.alias("t"), marks.alias("k")
-    joined = t.join(k, (F.col("t.tid") == F.col("k.tid")) & F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")))
-    inner = joined.select("k.tid", F.col("text").cast("binary").alias("raw"), F.explode("marks").alias("x"))
+    t, k = rows.select("doc_id", "tid", low, "text").alias("t"), marks.alias("k")
+    joined = t.join(k, F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("t.low") == F.col("k.low")))
+    inner = joined.select("t.tid", F.col("text").cast("binary").alias("raw"), F.explode("marks").alias("x"))
     contexts = inner.select("x.gram", "x.m", "x.once", "x.n", "x.off", "tid", "x.start", F.expr(
         f"substring(raw, cast(x.start + 1 as int), x.n - 1 + {WINDOW})").alias("bytes"))
     contexts = _stored(contexts.dropDuplicates(["gram", "tid", "start"]), "repeat-contexts")
@@ -228,6 +253,8 @@ def repeated_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
         spans = spans.unionByName(window_spans(contexts.where(F.col("m") > LARGE)))
     # all spans of one text meet: their number is bounded by its length
     spans = spans.distinct().groupBy("tid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
+    spans = _stored(spans, "repeat-spans")
+    discard(contents, shared, again, contexts)
     return spans
 
 
@@ -260,7 +287,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
                        .alias("text"), *[F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)])
     rows = rows.withColumn("tid", F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("long"))
     found = _stored(text_blocks(rows.select("doc_id", "text")), "repeat-texts")
-    spans = _stored(repeated_spans(rows, found), "repeat-spans")
+    spans = repeated_spans(rows, found)
+    discard(found)
     joined = rows.join(spans, "tid", "left")
     names = ["doc_id", "text", "s", *[f"keep_{i}" for i in range(len(keep))]]
     ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
