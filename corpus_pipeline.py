@@ -23,6 +23,11 @@ LEAST_SCORE = 0.25       # share of a text's n-grams that its language must expl
 SHINGLE = 5              # words in a shingle of the near-duplicate stage
 
 
+def _packed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """doc_id and text beside ``row``, the named columns in one: their names are no concern then."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that could be learned; texts without letters and unexplained ones go.
 
@@ -32,8 +37,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     filters = learn(docs.where(~held_out()))
     if not filters.langs:
         return docs
-    found = predict(docs, filters, docs.columns)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).drop("lang_pred", "score")
+    found = predict(_packed(docs, docs.columns), filters, ["row"])
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,11 +67,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings of 200 and more that occur elsewhere; n_chars follows the text."""
     ship_package(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    left = remove_repeats(docs, keep=others)
-    text = F.col("kept_text")
-    return (left.withColumn("text", text).withColumn("n_chars", F.length(text).cast("long"))
-            .select(docs.columns))
+    left = remove_repeats(_packed(docs, [c for c in docs.columns if c not in ("text", "n_chars")]), keep=["row"])
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return left.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
