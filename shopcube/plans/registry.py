@@ -1085,6 +1085,7 @@ def _exported(spark, d) -> dict[str, str]:
     return out
 
 
+UPLOAD = "regexp_extract(source_file, '^(.*)/', 1)"     # all files of one folder are one upload
 _CSV_DAILY = """SELECT platform, date, CAST(rev AS DOUBLE) AS total_sales_value, CAST(orders AS BIGINT) AS total_orders,
        CAST(visitors AS BIGINT) AS visitors FROM kd"""
 
@@ -1094,7 +1095,7 @@ def q_kpi_csv_scan(spark, d):
     """The export written and scanned again as CSV, in two layouts."""
     from shopcube.operators.kpi import clean_kpi_feed
     from shopcube.sources.kpi_csv import read_kpi_csv
-    found = [clean_kpi_feed(read_kpi_csv(spark, path, p).withColumn("source_file", F.lit(path))).daily
+    found = [clean_kpi_feed(read_kpi_csv(spark, path, p).withColumn("source_file", F.expr(UPLOAD))).daily
              for p, path in _exported(spark, d).items()]
     return doubles(_own_days(found[0].unionByName(found[1])))
 
@@ -1110,7 +1111,7 @@ def q_stream_kpi_ingest(spark, d):
     from shopcube.session import scratch_path
     from shopcube.streaming.jobs import kpi_ingest_stream, run_available_now, write_kpi_batches
     out = scratch_path(spark, "kpi-tables")
-    stream = kpi_ingest_stream(spark, _exported(spark, d)["Shopee"], "Shopee").withColumn("source_file", F.lit("upload"))
+    stream = kpi_ingest_stream(spark, _exported(spark, d)["Shopee"], "Shopee").withColumn("source_file", F.expr(UPLOAD))
     run_available_now(stream, scratch_path(spark, "kpi-ckpt"), sink=write_kpi_batches(out))
     return doubles(_own_days(spark.read.parquet(f"{out}/daily")))
 
