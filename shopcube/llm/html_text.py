@@ -93,7 +93,8 @@ class Page:
         self._blocks(html)
 
     def _blocks(self, html: str) -> None:
-        stack: list[tuple[str, int, int, bool]] = [("", 0, -1, False)]   # name, path id, tag, left out
+        # name, path id, tag, left out, inside an article
+        stack: list[tuple[str, int, int, bool, bool]] = [("", 0, -1, False, False)]
         out, held = [], []                                                 # words and path of the open block
         at, n = 0, len(html)
 
@@ -103,7 +104,7 @@ class Page:
                 out.clear()
                 if text:
                     words = text.count(" ") + 1
-                    for _, _, k, _ in held[0]:
+                    for _, _, k, _, _ in held[0]:
                         if k >= 0:
                             self.tags[k][2] += words
                     self.texts.append((tuple(x[1] for x in held[0]), text))
@@ -176,8 +177,7 @@ class Page:
             parent, attributes = stack[-1], m[3]
             marks = "".join(x[1].lower() + (x[2] or "") for x in NAMED.finditer(attributes)) if attributes else ""
             path = xxhash.xxh3_64_intdigest(f"{name}|{marks}", parent[1])
-            in_article = any(x[0] in ("article", "main") for x in stack)
-            gone = parent[3] or left_out(name, attributes, in_article)
+            gone = parent[3] or left_out(name, attributes, parent[4])
             if gone and not parent[3] and out and name not in BLOCKS and name not in SILENT:
                 out.append(" ")
             self.tags.append([path, name, 0, gone])
@@ -189,7 +189,7 @@ class Page:
                     write(html[at:end.start() if end else n])
                 at = end.end() if end else n
                 continue
-            stack.append((name, path, len(self.tags) - 1, gone))
+            stack.append((name, path, len(self.tags) - 1, gone, parent[4] or name in ("article", "main")))
         flush()
 
     def text_token(self, paths: tuple[int, ...], text: str) -> int:
