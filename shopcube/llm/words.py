@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 
 OTHER, LETTER, DIGIT, SPACE, CONT = 0, 1, 2, 3, 4
-CHUNK_BYTES = 8 << 20          # texts are worked on in pieces of about this size
+CHUNK_BYTES = 4 << 20          # texts are worked on in pieces of about this size
 
 
 @lru_cache(1)
