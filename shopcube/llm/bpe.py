@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 
-KEPT_WORDS = 300_000           # encodings a Python worker keeps between batches
+KEPT_WORDS = 600_000           # encodings a Python worker keeps between batches
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -18,36 +18,56 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopcube.llm.bpe import merges
 from shopcube.llm.bpe_codec import encode_batch
+from shopcube.llm.components import discard
 from shopcube.llm.huffman import MAX_BITS, canonical_codes, code_lengths, decoding_table, pack, unpack
-from shopcube.llm.words import Words, chunks
+from shopcube.llm.words import chunks
+from shopcube.session import scratch_path
 
 END_ID = 0
+ID = np.uint16           # staged ids
 
 
-def id_counts(docs: DataFrame, path: str, end_id: int = END_ID, text: str = "text") -> DataFrame:
-    """(id, n) over the ids of all texts and one end id for each row; at most one row per vocabulary entry."""
+def id_counts(staged: DataFrame) -> DataFrame:
+    """(id, n) over all staged ids; at most one row per vocabulary entry."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = merges(path)
-        total = np.zeros(m.size, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            total[end_id] += batch.num_rows
-            for _, part in chunks(batch.column(0)):
-                w = Words(part, m.special)
-                flat, n = m.encode_words_by_library(w.distinct)
-                times = np.bincount(w.ids, minlength=len(n))
-                total += np.bincount(flat, weights=np.repeat(times, n), minlength=m.size).astype(np.int64)
+            for raw in batch.column(0):
+                n = np.bincount(np.frombuffer(raw.as_buffer(), ID), minlength=len(total))
+                n[:len(total)] += total
+                total = n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())],
                                          names=["id", "n"])
 
-    counted = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "id int, n long")
-    return counted.groupBy("id").agg(F.sum("n").alias("n"))
+    return staged.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def stage_ids(docs: DataFrame, path: str, end_id: int, key: str, text: str) -> DataFrame:
+    """The ids of all texts in key order, one row for each block to be."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at, texts in chunks(batch.column(1)):
+                ids, bounds = encode_batch(texts, path, by_library=True)
+                n = np.diff(bounds) + 1
+                ids = np.insert(ids, bounds[1:], end_id)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part], pa.int32()), pa.array([before], pa.int64()),
+                    pa.array([batch.column(0).slice(at, len(texts)).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([n.tolist()], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()),
+                    pa.array([ids.astype(ID).tobytes()], pa.binary())],
+                    names=["part", "part_start", "doc_ids", "doc_tokens", "n_ids", "ids"])
+                before += len(ids)
+
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
+    return rows.repartitionByRange("k").sortWithinPartitions("k").mapInArrow(run, STAGED_SCHEMA)
+
+
+STAGED_SCHEMA = "part int, part_start long, doc_ids array<long>, doc_tokens array<long>, n_ids long, ids binary"
 BLOCK_SCHEMA = ("part int, part_start long, doc_ids array<long>, doc_tokens array<long>, n_ids long, "
                 "stream binary, checkpoints array<long>")
 
@@ -62,8 +82,15 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
     """
     spark = docs.sparkSession
     size = merges(path).size
+    if size > 1 << 16:
+        raise ValueError("ids are staged in 16 bits")
+    staged = scratch_path(spark, "token-ids")
+    stage_ids(docs, path, end_id, key, text).write.option("compression", "zstd").parquet(staged)
+    spark.sparkContext._jvm.System.gc()                   # the sorted texts are not needed any more
+    rows = spark.read.schema(STAGED_SCHEMA).parquet(staged)
+    rows.stored_at = staged
     counts = np.zeros(size, np.int64)
-    for r in id_counts(docs, path, end_id, text).toLocalIterator():     # bounded by the vocabulary
+    for r in id_counts(rows).toLocalIterator():           # bounded by the vocabulary
         counts[r.id] = r.n
     lengths = code_lengths(counts)
     spark.createDataFrame(
@@ -71,24 +98,18 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
     ).coalesce(1).write.parquet(f"{folder}/codes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, part, before = canonical_codes(lengths), TaskContext.get().partitionId(), 0
+        codes = canonical_codes(lengths)
         for batch in batches:
-            for at, texts in chunks(batch.column(1), 4 << 20):
-                ids, bounds = encode_batch(texts, path, by_library=True)
-                n = np.diff(bounds) + 1
-                ids = np.insert(ids, bounds[1:], end_id)
+            for i in range(batch.num_rows):
+                ids = np.frombuffer(batch.column(5)[i].as_buffer(), ID)
                 stream, marks = pack(ids, lengths, codes)
-                listed = lambda x: pa.array([x.tolist()], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([part], pa.int32()), pa.array([before], pa.int64()),
-                    pa.array([batch.column(0).slice(at, len(texts)).to_pylist()], pa.list_(pa.int64())),
-                    listed(n), pa.array([len(ids)], pa.int64()), pa.array([stream], pa.binary()), listed(marks),
-                ], names=["part", "part_start", "doc_ids", "doc_tokens", "n_ids", "stream", "checkpoints"])
-                before += len(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).slice(i, 1) for k in range(5)), pa.array([stream], pa.binary()),
+                     pa.array([marks.tolist()], pa.list_(pa.int64()))],
+                    names=["part", "part_start", "doc_ids", "doc_tokens", "n_ids", "stream", "checkpoints"])
 
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
-    (rows.repartitionByRange("k").sortWithinPartitions("k")
-     .mapInArrow(run, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{folder}/blocks"))
+    rows.mapInArrow(run, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{folder}/blocks")
+    discard(rows)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
