@@ -31,7 +31,7 @@ def summarize(plan: str) -> dict:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from shopcube.plans.registry import QUERIES
     spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     lines = ["# PLANS", "",
@@ -40,7 +40,7 @@ def main():
              "`tests/plan_report.py`.  At sf0.1 AQE broadcasts the order side of the "
              "line-order join by measured size; at scale those joins are sort-merge joins.", "",
              "| query | nodes | scans (columns read) |", "| --- | --- | --- |"]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         qe = df._jdf.queryExecution()
