@@ -5,9 +5,12 @@ stands in, and its text blocks.  Over the pages of a host, every token has an
 occurrence vector (how often it is on each page).  Tokens with the same
 vector are an equivalence class; large and frequent classes are the host's
 template: the classes of tokens that stand once on nearly every page nest
-around the others.  What lies between template tokens are slots.  The slot
-of the template element that holds nearly all text outside menus and the
-like is the article; text that is itself a template token is left out.
+around the others.  What lies between template tokens are slots.  The
+innermost template element that holds nearly all text outside menus and the
+like is where the search for the article starts: the slot is the article or
+main element around it, or else the outermost element around it that adds no
+text of the template, and it reaches to the headline.  Text that is itself a
+template token is left out.
 
 Vectors are never gathered: a commutative 64-bit sum over (page, count)
 stands for each of them, so learning is one aggregation by (host, token) and
@@ -84,7 +87,7 @@ def left_out(name: str, attributes: str, in_article: bool) -> bool:
 
 
 class Page:
-    """One page: ``tags`` are (path id, name, words in it) in page order, ``texts`` are
+    """One page: ``tags`` are (path id, name, words in it, left out, parent's path id) in page order, ``texts`` are
     (path ids around it, text) of the blocks outside menus and the like."""
 
     def __init__(self, html: str):
@@ -180,7 +183,7 @@ class Page:
             gone = parent[3] or left_out(name, attributes, parent[4])
             if gone and not parent[3] and out and name not in BLOCKS and name not in SILENT:
                 out.append(" ")
-            self.tags.append([path, name, 0, gone])
+            self.tags.append([path, name, 0, gone, parent[1]])
             if attributes.endswith("/") and name in ("svg", "path"):
                 continue
             if name in RAW:
@@ -197,21 +200,28 @@ class Page:
 
     def main(self, chosen: int | None, template: set[int]) -> str:
         """The text in the slot ``chosen`` (a path id), or else in the page's own article or main element."""
-        region = None
-        if chosen is not None and any(t[0] == chosen for t in self.tags):
-            region = {chosen}
-        else:
-            for name in ("article", "main"):
-                found = {t[0] for t in self.tags if t[1] == name and not t[3] and t[2]}
-                if found:
-                    region = found
-                    break
+        region = self.region(chosen)
         return "\n\n".join(text for paths, text in self.texts
                            if (region is None or not region.isdisjoint(paths))
                            and (not template or self.text_token(paths, text) not in template))
 
+    def region(self, chosen: int | None) -> set[int] | None:
+        """The path ids of the elements that hold the article; None is the whole page."""
+        own = None
+        for name in ("article", "main"):
+            own = {t[0] for t in self.tags if t[1] == name and not t[3] and t[2]}
+            if own:
+                break
+        if chosen is None or not any(t[0] == chosen for t in self.tags):
+            return own or None
+        inside = [paths for paths, _ in self.texts if chosen in paths]
+        # a slot within the page's own article, or one that is empty here, gives way to that article
+        around = {x for paths in inside for x in paths[:paths.index(chosen)] if x in own}
+        return around or (own if own and not inside else {chosen})
+
 
-TAG, TEXT, WHOLE = 0, 1, 2
+TAG, TEXT, WHOLE, ARTICLE, MAIN, HEADLINE = range(6)
+KINDS = {"article": ARTICLE, "main": MAIN, "h1": HEADLINE}
 
 
 def _signed(x: int) -> int:
@@ -219,40 +229,41 @@ def _signed(x: int) -> int:
 
 
 def token_vectors(pages: DataFrame) -> DataFrame:
-    """(host, token, kind, pages, total, vector, words, place) over the pages of ``host``, ``key``, ``html``."""
+    """(host, token, kind, pages, total, vector, words, place, parent) over the pages of ``host``, ``key``, ``html``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: dict[tuple[str, int], list] = {}
             for host, key, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 page, own = Page(html), {}
-                for place, (path, _, words, gone) in enumerate(page.tags):
+                for place, (path, name, words, gone, parent) in enumerate(page.tags):
                     if not gone:
-                        t = own.setdefault(path, [TAG, 0, 0, place])
+                        t = own.setdefault(path, [KINDS.get(name, TAG), 0, 0, place, parent])
                         t[1] += 1
                         t[2] += words
                 for paths, text in page.texts:
-                    own.setdefault(page.text_token(paths, text), [TEXT, 0, 0, 0])[1] += 1
-                own[xxhash.xxh3_64_intdigest(html)] = [WHOLE, 1, sum(t.count(" ") + 1 for _, t in page.texts), 0]
-                for token, (kind, count, words, place) in own.items():
-                    t = seen.setdefault((host, token), [kind, 0, 0, 0, 0, 0])
+                    own.setdefault(page.text_token(paths, text), [TEXT, 0, 0, 0, paths[-1]])[1] += 1
+                own[xxhash.xxh3_64_intdigest(html)] = [WHOLE, 1, sum(t.count(" ") + 1 for _, t in page.texts), 0, 0]
+                for token, (kind, count, words, place, parent) in own.items():
+                    t = seen.setdefault((host, token), [kind, 0, 0, 0, 0, 0, parent])
                     t[1] += 1
                     t[2] += count
                     t[3] ^= xxhash.xxh3_64_intdigest(f"{key}/{count}")
                     t[4] += words
                     t[5] += place
-            cols = list(zip(*seen.values())) or [()] * 6
+            cols = list(zip(*seen.values())) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in seen], pa.string()), pa.array([_signed(t) for _, t in seen], pa.int64()),
                  pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
                  pa.array([_signed(v) for v in cols[3]], pa.int64()), pa.array(cols[4], pa.int64()),
-                 pa.array(cols[5], pa.int64())],
-                names=["host", "token", "kind", "pages", "total", "vector", "words", "place"])
+                 pa.array(cols[5], pa.int64()), pa.array([_signed(p) for p in cols[6]], pa.int64())],
+                names=["host", "token", "kind", "pages", "total", "vector", "words", "place", "parent"])
 
     each = pages.mapInArrow(run, "host string, token long, kind int, pages long, total long, vector long, "
-                                 "words long, place long")
+                                 "words long, place long, parent long")
     return each.groupBy("host", "token").agg(
         F.max("kind").alias("kind"), F.sum("pages").alias("pages"), F.sum("total").alias("total"),
-        F.bit_xor("vector").alias("vector"), F.sum("words").alias("words"), F.sum("place").alias("place"))
+        F.bit_xor("vector").alias("vector"), F.sum("words").alias("words"), F.sum("place").alias("place"),
+        F.max("parent").alias("parent"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -268,15 +279,64 @@ def templates(pages: DataFrame) -> DataFrame:
     often = tokens.where(F.col("kind") != WHOLE).join(hosts, "host").where(F.col("pages") >= FREQUENT * F.col("n"))
     # classes: tokens of one host with the same vector
     often = often.withColumn("size", F.count("*").over(Window.partitionBy("host", "vector")))
-    # the innermost element of a large class, once on each page, that holds the text
-    root = often.where((F.col("kind") == TAG) & (F.col("total") == F.col("pages")) & (F.col("size") >= LARGE)
-                       & (F.col("words") >= HOLDS * F.col("all")))
-    main = root.groupBy("host").agg(F.max_by("token", F.col("place") / F.col("pages")).alias("main"))
+    # an element of a large class, once on each page, that holds the text
+    root = ((F.col("kind") != TEXT) & (F.col("total") == F.col("pages")) & (F.col("size") >= LARGE)
+            & (F.col("words") >= HOLDS * F.col("all")))
+    each = often.select("host", F.struct(                                               # of the size of a page
+        "token", "parent", "kind", (F.col("total") == F.col("pages")).alias("once"), "words",
+        F.when(root, F.col("place") / F.col("pages")).alias("depth")).alias("t"))
+    main = each.groupBy("host").agg(F.collect_list("t").alias("tokens")).mapInArrow(_slots, "host string, main long")
     texts = (often.where((F.col("kind") == TEXT) & (2 * F.col("copies") <= F.col("n")))
              .groupBy("host").agg(F.collect_list("token").alias("texts")))      # of the size of a page
     return hosts.select("host").join(main, "host", "left").join(texts, "host", "left")
 
 
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [slot(tokens) for tokens in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], names=["host", "main"])
+
+
+def slot(tokens: list[dict]) -> int | None:
+    """The path id of the article's slot among a host's template tokens.
+
+    The innermost root holds nearly all text, not all of it: a headline or a
+    lead may stand beside it.
+    """
+    tags = {t["token"]: t for t in tokens if t["kind"] != TEXT}
+
+    def around(token: int) -> list[int]:                 # the element and those around it, outwards
+        found = []
+        while token in tags:
+            found.append(token)
+            token = tags[token]["parent"]
+        return found
+
+    roots = [t for t in tags.values() if t["depth"] is not None]
+    if not roots:
+        return None
+    texts: dict[int, int] = {}                           # template texts in an element
+    for t in tokens:
+        if t["kind"] == TEXT:
+            for x in around(t["parent"]):
+                texts[x] = texts.get(x, 0) + 1
+    outwards = around(max(roots, key=lambda t: (t["depth"], t["token"]))["token"])
+    at = 0
+    for kind in (ARTICLE, MAIN):
+        named = [k for k, x in enumerate(outwards) if tags[x]["kind"] == kind]
+        if named:
+            at = named[-1]
+            break
+    else:
+        while at + 1 < len(outwards) and texts.get(outwards[at + 1], 0) == texts.get(outwards[at], 0):
+            at += 1
+    for t in tags.values():                              # a headline is text of its own on every page
+        if t["kind"] == HEADLINE and t["once"] and t["words"] and not texts.get(t["token"]):
+            holds = set(around(t["token"]))
+            at = max(at, next((k for k, x in enumerate(outwards) if x in holds), at))
+    return outwards[at]
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: key, url, text, n_chars.
 

@@ -147,3 +147,28 @@ def test_pages_of_the_table(spark):
         m = re.search(r"<article>(.*?)</article>", x.html, re.S)
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:h1|p)>", m[1])]
         assert got[x.page_id].text == "\n\n".join(b for b in blocks if b)
+
+
+def texts_of(spark, bodies, host="one.example"):
+    from shopcube.llm.html_text import main_text
+    from shopcube.llm.ship import ship_package
+    ship_package(spark)
+    rows = [(i, f"https://{host}/p{i}", page(b)) for i, b in enumerate(bodies)]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+@pytest.mark.parametrize("start,end", [
+    ("<article>", "</article>"),
+    ("<main><article id=post>", "</article></main>"),
+    ("<div id=top><span>Site</span></div><div id=mid>", "</div><div id=low><p>All rights</p></div>"),
+    ("<div id=top><span>Site</span></div><div id=mid><em>Filed under news</em>", "</div>"),
+])
+def test_headline_and_lead_beside_the_body(spark, start, end):
+    """What stands beside the innermost element that holds nearly all text is article text, too."""
+    def body(i, inner):
+        return f"{start}<h1>title {i}</h1><p class=lead>lead of {i}</p>{inner}{end}"
+    long = [" ".join(f"w{i}x{k}" for k in range(200)) for i in range(12)]
+    want = [f"title {i}\n\nlead of {i}\n\n{t}" for i, t in enumerate(long)]
+    assert texts_of(spark, [body(i, f"<div class=body><p>{t}</p></div>") for i, t in enumerate(long)]) == want
+    assert texts_of(spark, [body(i, f"<section>{t}</section>") for i, t in enumerate(long)]) == want
