@@ -10,7 +10,8 @@ innermost template element that holds nearly all text outside menus and the
 like is where the search for the article starts: the slot is the article or
 main element around it, or else the outermost element around it that adds no
 text of the template, and it reaches to the headline.  Text that is itself a
-template token is left out.
+template token is left out, unless it is most of the text in the slot on most
+pages of the host: those are copies of one article, whatever else changes.
 
 Vectors are never gathered: a commutative 64-bit sum over (page, count)
 stands for each of them, so learning is one aggregation by (host, token) and
@@ -205,6 +206,16 @@ class Page:
                            if (region is None or not region.isdisjoint(paths))
                            and (not template or self.text_token(paths, text) not in template))
 
+    def shared(self, chosen: int | None, template: set[int]) -> tuple[int, int]:
+        """Words of the template's texts in the slot, and all words in it."""
+        region, common, every = self.region(chosen), 0, 0
+        for paths, text in self.texts:
+            if region is None or not region.isdisjoint(paths):
+                words = text.count(" ") + 1
+                every += words
+                common += words if self.text_token(paths, text) in template else 0
+        return common, every
+
     def region(self, chosen: int | None) -> set[int] | None:
         """The path ids of the elements that hold the article; None is the whole page."""
         own = None
@@ -241,8 +252,10 @@ def token_vectors(pages: DataFrame) -> DataFrame:
                         t[1] += 1
                         t[2] += words
                 for paths, text in page.texts:
-                    own.setdefault(page.text_token(paths, text), [TEXT, 0, 0, 0, paths[-1]])[1] += 1
-                own[xxhash.xxh3_64_intdigest(html)] = [WHOLE, 1, sum(t.count(" ") + 1 for _, t in page.texts), 0, 0]
+                    t = own.setdefault(page.text_token(paths, text), [TEXT, 0, 0, 0, paths[-1]])
+                    t[1] += 1
+                    t[2] += text.count(" ") + 1
+                own[0] = [WHOLE, 1, sum(t.count(" ") + 1 for _, t in page.texts), 0, 0]
                 for token, (kind, count, words, place, parent) in own.items():
                     t = seen.setdefault((host, token), [kind, 0, 0, 0, 0, 0, parent])
                     t[1] += 1
@@ -274,7 +287,7 @@ def templates(pages: DataFrame) -> DataFrame:
     """
     tokens = _stored(token_vectors(pages.where("host <> ''")), "page-tokens")
     hosts = (tokens.where(F.col("kind") == WHOLE).groupBy("host")
-             .agg(F.sum("pages").alias("n"), F.max("pages").alias("copies"), F.sum("words").alias("all")))
+             .agg(F.sum("pages").alias("n"), F.sum("words").alias("all")))
     hosts = _stored(hosts.where(F.col("n") >= PAGES), "page-hosts")
     often = tokens.where(F.col("kind") != WHOLE).join(hosts, "host").where(F.col("pages") >= FREQUENT * F.col("n"))
     # classes: tokens of one host with the same vector
@@ -285,23 +298,53 @@ def templates(pages: DataFrame) -> DataFrame:
     each = often.select("host", F.struct(                                               # of the size of a page
         "token", "parent", "kind", (F.col("total") == F.col("pages")).alias("once"), "words",
         F.when(root, F.col("place") / F.col("pages")).alias("depth")).alias("t"))
-    main = each.groupBy("host").agg(F.collect_list("t").alias("tokens")).mapInArrow(_slots, "host string, main long")
-    texts = (often.where((F.col("kind") == TEXT) & (2 * F.col("copies") <= F.col("n")))
+    main = each.groupBy("host").agg(F.collect_list("t").alias("tokens")).mapInArrow(_slots, "host string, main long, alike long")
+    texts = (often.where(F.col("kind") == TEXT)
              .groupBy("host").agg(F.collect_list("token").alias("texts")))      # of the size of a page
-    return hosts.select("host").join(main, "host", "left").join(texts, "host", "left")
+    found = _stored(hosts.select("host").join(main, "host", "left").join(texts, "host", "left"), "page-slots")
+    same = copies(pages.select("host", "html").join(found.where("texts IS NOT NULL"), "host"))
+    return found.join(same.withColumn("same", F.lit(True)), "host", "left").select(
+        "host", F.when(F.col("same"), F.col("alike")).otherwise(F.col("main")).alias("main"),
+        F.when(F.col("same").isNull(), F.col("texts")).alias("texts"))
+
+
+def copies(pages: DataFrame) -> DataFrame:
+    """Hosts on most of whose pages (``host``, ``html``, ``main``, ``texts``) most words of the slot are template texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts: dict[str, list[int]] = {}
+            for host, html, main, texts in zip(*(b.column(i).to_pylist() for i in range(4))):
+                common, every = Page(html).shared(*_learned(main, texts))
+                if every:
+                    t = counts.setdefault(host, [0, 0])
+                    t[0] += 1
+                    t[1] += 2 * common > every
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
+                 pa.array([c[1] for c in counts.values()], pa.int64())], names=["host", "n", "mostly"])
+
+    each = pages.select("host", "html", "main", "texts").mapInArrow(run, "host string, n long, mostly long")
+    return each.groupBy("host").agg(F.sum("n").alias("n"), F.sum("mostly").alias("mostly")).where("2 * mostly > n").select("host")
+
+
+def _learned(main: int | None, texts: list[int] | None) -> tuple[int | None, set[int]]:
+    mask = (1 << 64) - 1
+    return None if main is None else main & mask, {t & mask for t in texts or ()}
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = [slot(tokens) for tokens in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], names=["host", "main"])
+        tokens = b.column(1).to_pylist()
+        got = [pa.array([slot(t, alike) for t in tokens], pa.int64()) for alike in (False, True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), *got], names=["host", "main", "alike"])
 
 
-def slot(tokens: list[dict]) -> int | None:
+def slot(tokens: list[dict], alike: bool) -> int | None:
     """The path id of the article's slot among a host's template tokens.
 
     The innermost root holds nearly all text, not all of it: a headline or a
-    lead may stand beside it.
+    lead may stand beside it.  Where the pages are copies (``alike``), the
+    article is what they share, and other text is not.
     """
     tags = {t["token"]: t for t in tokens if t["kind"] != TEXT}
 
@@ -315,11 +358,16 @@ def slot(tokens: list[dict]) -> int | None:
     roots = [t for t in tags.values() if t["depth"] is not None]
     if not roots:
         return None
-    texts: dict[int, int] = {}                           # template texts in an element
+    texts = dict.fromkeys(tags, 0)                       # words of template texts in an element
     for t in tokens:
         if t["kind"] == TEXT:
             for x in around(t["parent"]):
-                texts[x] = texts.get(x, 0) + 1
+                texts[x] += t["words"]
+
+    def adds(outer: int, inner: int) -> bool:
+        shared = texts[outer] - texts[inner]
+        return 2 * shared >= tags[outer]["words"] - tags[inner]["words"] if alike else not shared
+
     outwards = around(max(roots, key=lambda t: (t["depth"], t["token"]))["token"])
     at = 0
     for kind in (ARTICLE, MAIN):
@@ -328,10 +376,10 @@ def slot(tokens: list[dict]) -> int | None:
             at = named[-1]
             break
     else:
-        while at + 1 < len(outwards) and texts.get(outwards[at + 1], 0) == texts.get(outwards[at], 0):
+        while at + 1 < len(outwards) and adds(outwards[at + 1], outwards[at]):
             at += 1
     for t in tags.values():                              # a headline is text of its own on every page
-        if t["kind"] == HEADLINE and t["once"] and t["words"] and not texts.get(t["token"]):
+        if t["kind"] == HEADLINE and t["once"] and t["words"] and (alike or not texts[t["token"]]):
             holds = set(around(t["token"]))
             at = max(at, next((k for k, x in enumerate(outwards) if x in holds), at))
     return outwards[at]
@@ -356,11 +404,10 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                         T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = (1 << 64) - 1
         for b in batches:
             got = []
             for html, main, texts in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
-                got.append(Page(html).main(None if main is None else main & mask, {t & mask for t in texts or ()}))
+                got.append(Page(html).main(*_learned(main, texts)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.string()),
                                               pa.array([len(t) for t in got], pa.int64())], names=out.names)
 

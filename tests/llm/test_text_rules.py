@@ -172,3 +172,19 @@ def test_headline_and_lead_beside_the_body(spark, start, end):
     want = [f"title {i}\n\nlead of {i}\n\n{t}" for i, t in enumerate(long)]
     assert texts_of(spark, [body(i, f"<div class=body><p>{t}</p></div>") for i, t in enumerate(long)]) == want
     assert texts_of(spark, [body(i, f"<section>{t}</section>") for i, t in enumerate(long)]) == want
+
+
+@pytest.mark.parametrize("menu", ["<nav>{}</nav>", "<div id=top><p>{}</p></div>"])
+@pytest.mark.parametrize("start,end", [("<article>", "</article>"), ("<div id=mid>", "</div>")])
+def test_copies_under_changing_menus_keep_their_text(spark, menu, start, end):
+    """Ten pages of one article whose menus differ: the article is no template."""
+    text = " ".join(f"w{k}" for k in range(200))
+    got = texts_of(spark, [menu.format(f"menu {i} of {i}") + f"{start}<h1>title</h1><p>{text}</p>{end}" for i in range(10)])
+    assert got == [f"title\n\n{text}"] * 10
+
+
+def test_template_text_in_the_slot_beside_copies(spark):
+    """Text on all pages goes, also where some pages are copies of each other."""
+    long = [" ".join(f"w{i // 3}x{k}" for k in range(80)) for i in range(12)]
+    got = texts_of(spark, [f"<article><p>{t}</p><p>Never miss it again</p></article><p>{i}</p>" for i, t in enumerate(long)])
+    assert got == long
