@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -38,7 +39,8 @@ LARGE = 3                # tokens of a class
 HOLDS = 0.85             # share of the text that the article's element holds
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
-NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
+NAMED = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 PART = re.compile(r"[a-z]+")
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -52,6 +54,19 @@ MARKED = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising
           "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related",
           "recommended", "recommendations", "comment", "comments", "disqus", "replies", "reply", "respond", "widget",
           "toolbar", "pagination", "pager", "search", "complementary", "contentinfo", "gdpr", "paywall", "teaser"}
+#: Parts of a name that may stand beside one of MARKED: main-menu, post-comments, ad_box_top.
+BESIDE = {"site", "page", "main", "global", "primary", "secondary", "top", "bottom", "left", "right", "center", "inner",
+          "outer", "mobile", "desktop", "sticky", "fixed", "floating", "list", "item", "items", "link", "links", "area", "bar",
+          "box", "block", "container", "wrapper", "wrap", "section", "panel", "pane", "slot", "unit", "zone", "col", "column",
+          "row", "group", "button", "buttons", "icon", "icons", "form", "thread", "message", "dialog", "policy", "media",
+          "post", "posts", "entry", "entries", "article", "articles", "story", "stories", "news", "user", "google", "toggle",
+          "wp", "js", "email", "mail", "facebook", "twitter", "recent", "popular", "latest", "categories", "archive", "tag",
+          "tags", "meta", "author", "this", "previous", "prev", "next", "widgets", "legal", "copyright", "info", "logo", "cols",
+          "columns", "law", "image", "img"}
+AFTER = {"content", "body", "text", "title", "heading", "inside", "holder"}         # footer-content, not content-footer
+REMARKS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
+HOLDERS = {"div", "ul", "ol", "dl", "table"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CONTENT = {"html", "body", "main", "article"}
 BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "tr", "tbody",
           "thead", "tfoot", "caption", "blockquote", "pre", "section", "article", "main", "figure", "figcaption", "hr",
@@ -68,37 +83,78 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def left_out(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element and all in it is no part of an article."""
-    if name in LEFT_OUT and not (name == "header" and in_article):
-        return True
+@lru_cache(100_000)
+def marks_of(name: str) -> frozenset[str]:
+    """The parts of a class, id or role that name a menu, advert or the like; none when other parts say something else."""
+    parts = PART.findall(name)
+    marked = {p for p in parts if p in MARKED}
+    for k, p in enumerate(parts):
+        if not (p in MARKED or p in BESIDE or len(p) == 1 or p in AFTER and not MARKED.isdisjoint(parts[:k])):
+            return frozenset()
+    if marked == {"header"} and not {"post", "entry", "article", "story"}.isdisjoint(parts):
+        return frozenset()                                 # an article's own header
+    return frozenset(marked)
+
+
+def named_attributes(attributes: str) -> dict[str, str]:
+    """The attributes of NAMED, their values as written; the first of a name counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        key = m[1].lower()
+        if key in NAMED:
+            found.setdefault(key, m[2] or "")
+    return found
+
+
+def hidden(name: str, attributes: dict[str, str]) -> bool:
     if not attributes or name in CONTENT and name != "article":
         return False
-    for m in NAMED.finditer(attributes):
-        key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        elif any(w in MARKED for w in PART.findall(value)) and not (
-                in_article and "header" in PART.findall(value) and not (set(PART.findall(value)) & MARKED - {"header"})):
-            return True
-    return False
+    return ("hidden" in attributes or attributes.get("aria-hidden", "").strip("\"'").lower() == "true"
+            or "style" in attributes and bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes["style"].lower())))
+
+
+def marked(name: str, attributes: dict[str, str], in_article: bool) -> frozenset[str]:
+    """The parts of a class, id or role that say that an element is no part of an article."""
+    if not attributes or name in CONTENT and name != "article":
+        return frozenset()
+    for key in ("class", "id", "role"):
+        for word in attributes.get(key, "").strip("\"'").lower().split():
+            marks = marks_of(word)
+            if not marks or in_article and marks == {"header"}:
+                continue
+            # an id of a heading, or of a section or text within an article, is an anchor
+            if key == "id" and (name in HEADINGS or in_article and name not in HOLDERS
+                                and (name != "section" or marks.isdisjoint(REMARKS))):
+                continue
+            return marks
+    return frozenset()
+
+
+NO = -1
 
 
 class Page:
-    """One page: ``tags`` are (path id, name, words in it, left out, parent's path id) in page order, ``texts`` are
+    """One page: ``tags`` are [path id, name, words in it, left out, parent's path id] in page order, ``texts`` are
     (path ids around it, text) of the blocks outside menus and the like."""
 
     def __init__(self, html: str):
         self.tags: list[list] = []
         self.texts: list[tuple[tuple[int, ...], str]] = []
-        self._blocks(html)
-
-    def _blocks(self, html: str) -> None:
-        # name, path id, tag, left out, inside an article
-        stack: list[tuple[str, int, int, bool, bool]] = [("", 0, -1, False, False)]
+        self.wrappers: set[int] = set()
+        while True:
+            self.tags.clear()
+            self.texts.clear()
+            found = self._blocks(html)
+            if found <= self.wrappers:
+                break
+            self.wrappers |= found
+
+    def _blocks(self, html: str) -> set[int]:
+        """Read the page; path ids of elements that are left out by name alone and hold most of its text and its headline."""
+        # name, path id, tag, left out (by its own name alone: that path id; else NO), inside an article
+        stack: list[tuple[str, int, int, int, bool]] = [("", 0, -1, 0, False)]
+        lost: dict[int, int] = {}                                          # words left out by a name alone
+        headed: set[int] = set()
         out, held = [], []                                                 # words and path of the open block
         at, n = 0, len(html)
 
@@ -121,6 +177,8 @@ class Page:
         def write(raw: str) -> None:
             top = stack[-1]
             if top[3] or not raw:
+                if top[3] > 0:
+                    lost[top[3]] = lost.get(top[3], 0) + len(raw.split())
                 return
             if not out:
                 if raw.isspace():
@@ -179,9 +237,15 @@ class Page:
             if name in SPACED and out:
                 out.append(" ")
             parent, attributes = stack[-1], m[3]
-            marks = "".join(x[1].lower() + (x[2] or "") for x in NAMED.finditer(attributes)) if attributes else ""
-            path = xxhash.xxh3_64_intdigest(f"{name}|{marks}", parent[1])
-            gone = parent[3] or left_out(name, attributes, parent[4])
+            named = named_attributes(attributes) if attributes else {}
+            path = xxhash.xxh3_64_intdigest(f"{name}|{''.join(k + v for k, v in named.items())}", parent[1])
+            if parent[3] == NO or name in LEFT_OUT and not (name == "header" and parent[4]) or hidden(name, named):
+                gone = NO
+            else:
+                marks = frozenset() if path in self.wrappers else marked(name, named, parent[4])
+                gone = parent[3] if not marks else NO if parent[3] or not marks.isdisjoint(REMARKS) else path
+                if gone and gone == parent[3] and name in ("h1", "article", "main"):
+                    headed.add(gone)
             if gone and not parent[3] and out and name not in BLOCKS and name not in SILENT:
                 out.append(" ")
             self.tags.append([path, name, 0, gone, parent[1]])
@@ -195,6 +259,10 @@ class Page:
                 continue
             stack.append((name, path, len(self.tags) - 1, gone, parent[4] or name in ("article", "main")))
         flush()
+        if not headed or any(t[1] == "article" and not t[3] and t[2] for t in self.tags):
+            return set()
+        words = sum(lost.values()) + sum(text.count(" ") + 1 for _, text in self.texts)
+        return {x for x in headed if 2 * lost.get(x, 0) > words}
 
     def text_token(self, paths: tuple[int, ...], text: str) -> int:
         return xxhash.xxh3_64_intdigest(text, paths[-1])

@@ -188,3 +188,22 @@ def test_template_text_in_the_slot_beside_copies(spark):
     long = [" ".join(f"w{i // 3}x{k}" for k in range(80)) for i in range(12)]
     got = texts_of(spark, [f"<article><p>{t}</p><p>Never miss it again</p></article><p>{i}</p>" for i, t in enumerate(long)])
     assert got == long
+
+
+@pytest.mark.parametrize("body,want", [
+    ('<article><p>a <a href="/hidden/valley">b</a> <a href="?id=search">c</a> <i title="hidden gems">d</i> <b data-x="hidden">e</b>'
+     "</p></article>", "a b c d e"),
+    ('<article><h2 id="related-work">one</h2><section id="search-methods"><p>two</p></section><p id=notice>three</p></article>',
+     "one\n\ntwo\n\nthree"),
+    ('<article class="post has-comments"><div class="content with-sidebar"><p>one</p></div></article>', "one"),
+    ('<div id="search"><h1>one</h1><p>two three four</p></div><p>five</p>', "one\n\ntwo three four\n\nfive"),
+    ('<div class="entry-header"><h1>one</h1></div><p>two</p>', "one\n\ntwo"),
+    ('<article><p>one</p><div id=related-posts>no</div><section id=comments>no</section><p hidden>no</p><p HIDDEN="">no</p>'
+     '<p class="ad-box">no</p><p aria-hidden="true">no</p><p style="color:red; display: none">no</p></article>', "one"),
+    ('<div class="main-menu">no</div><div id="site-footer">no</div><div role=search>no</div><p>one</p>'
+     '<div class="x sidebar-left">no no</div><div id=comments><h1>no</h1><p>no no no no no</p></div>', "one"),
+])
+def test_names_that_leave_out(body, want):
+    """Names of menus and adverts count as whole names of the attribute itself, and nothing else."""
+    from shopcube.llm.html_text import Page
+    assert Page(page(body)).main(None, set()) == want
