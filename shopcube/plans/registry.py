@@ -1073,21 +1073,22 @@ def q_stream_upsert(spark, d):
 
 
 def _exported(spark, d) -> dict[str, str]:
-    """The derived KPI export as CSV files, each marketplace in its own layout: platform -> folder."""
+    """The derived KPI export as CSV uploads, a folder for each file, each marketplace in its own layout: platform -> folder."""
     from shopcube.operators.dims import checkpointed
     from shopcube.session import scratch_path
-    from shopcube.sources.kpi_csv import write_kpi_csv
+    from shopcube.sources.kpi_csv import write_kpi_uploads
     from shopcube.sources.kpi_feed import kpi_feed_text
     feed, out = checkpointed(kpi_feed_text(_m(spark, d).priced_orders)), {}
     for platform in ("Lazada", "Shopee"):
         out[platform] = scratch_path(spark, f"kpi-csv-{platform}")
-        write_kpi_csv(feed.where("_corrupt_record IS NULL"), out[platform], platform)
+        write_kpi_uploads(feed, out[platform], platform)
     return out
 
 
-UPLOAD = "regexp_extract(source_file, '^(.*)/', 1)"     # all files of one folder are one upload
+UPLOAD = "regexp_extract(source_file, 'source_file=([^/]*)/', 1)"       # an upload is known by its folder
 _CSV_DAILY = """SELECT platform, date, CAST(rev AS DOUBLE) AS total_sales_value, CAST(orders AS BIGINT) AS total_orders,
        CAST(visitors AS BIGINT) AS visitors FROM kd"""
+_CSV_COLUMNS = ["platform", "date", "total_sales_value", "total_orders", "visitors"]
 
 
 @query("kpi_csv_scan", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY)
@@ -1095,25 +1096,40 @@ def q_kpi_csv_scan(spark, d):
     """The export written and scanned again as CSV, in two layouts."""
     from shopcube.operators.kpi import clean_kpi_feed
     from shopcube.sources.kpi_csv import read_kpi_csv
-    found = [clean_kpi_feed(read_kpi_csv(spark, path, p).withColumn("source_file", F.expr(UPLOAD))).daily
+    found = [clean_kpi_feed(read_kpi_csv(spark, f"{path}/*", p).withColumn("source_file", F.expr(UPLOAD))).daily
              for p, path in _exported(spark, d).items()]
-    return doubles(_own_days(found[0].unionByName(found[1])))
+    return doubles(found[0].unionByName(found[1]).select(*_CSV_COLUMNS))
 
 
-def _own_days(daily: DataFrame) -> DataFrame:
-    """Rows of real days: the damaged row of a day of the next month has no visitors."""
-    return daily.where("visitors IS NOT NULL").select("platform", "date", "total_sales_value", "total_orders", "visitors")
+def _streamed(spark, d) -> str:
+    """Folder of the day, period and quarantine tables that the streams of both marketplaces fill."""
+    from shopcube.session import scratch_path
+    from shopcube.streaming.jobs import kpi_ingest_stream, run_available_now, write_kpi_batches
+    out = scratch_path(spark, "kpi-tables")
+    for platform, path in _exported(spark, d).items():
+        stream = kpi_ingest_stream(spark, f"{path}/*", platform).withColumn("source_file", F.expr(UPLOAD))
+        run_available_now(stream, scratch_path(spark, f"kpi-ckpt-{platform}"), sink=write_kpi_batches(out))
+    return out
 
 
 @query("stream_kpi_ingest", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY + " WHERE platform = 'Shopee'")
 def q_stream_kpi_ingest(spark, d):
-    """The same files dropped into a folder and taken in by a stream."""
-    from shopcube.session import scratch_path
-    from shopcube.streaming.jobs import kpi_ingest_stream, run_available_now, write_kpi_batches
-    out = scratch_path(spark, "kpi-tables")
-    stream = kpi_ingest_stream(spark, _exported(spark, d)["Shopee"], "Shopee").withColumn("source_file", F.expr(UPLOAD))
-    run_available_now(stream, scratch_path(spark, "kpi-ckpt"), sink=write_kpi_batches(out))
-    return doubles(_own_days(spark.read.parquet(f"{out}/daily")))
+    """The same files dropped into a folder and taken in by a stream; the days of the marketplace that its SQL names."""
+    days = spark.read.parquet(f"{_streamed(spark, d)}/daily").where("platform = 'Shopee'")
+    return doubles(days.select(*_CSV_COLUMNS))
+
+
+@query("stream_kpi_uploads", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY)
+def q_stream_kpi_uploads(spark, d):
+    """The days of both marketplaces, each streamed in its own layout."""
+    return doubles(spark.read.parquet(f"{_streamed(spark, d)}/daily").select(*_CSV_COLUMNS))
+
+
+@query("stream_kpi_quarantine", ORACLES["kpi_quarantine"])
+def q_stream_kpi_quarantine(spark, d):
+    """What the streams of both marketplaces rejected, by reason."""
+    q = spark.read.parquet(f"{_streamed(spark, d)}/quarantine")
+    return q.groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("daily_mart", "WITH summary AS (" + SUMMARY_SQL + """)

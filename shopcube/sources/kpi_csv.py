@@ -44,3 +44,15 @@ def write_kpi_csv(feed: DataFrame, path: str, platform: str) -> None:
     layout = LAYOUTS[platform.strip().lower()]
     (feed.where(F.col("platform") == platform).select(*[F.col(f"`{h}`").alias(c) for c, h in layout.items()])
      .write.option("header", True).csv(path))
+
+
+def write_kpi_uploads(feed: DataFrame, path: str, platform: str) -> None:
+    """Write feed rows as one CSV file for each source_file, in a folder of its name; corrupt rows as the lines they are.
+
+    A file is one export of a period, so its lines are few.
+    """
+    layout = LAYOUTS[platform.strip().lower()]
+    line = F.coalesce("_corrupt_record", F.to_csv(F.struct(*[F.col(f"`{h}`").alias(c) for c, h in layout.items()])))
+    lines = feed.where(F.col("platform") == platform).groupBy("source_file").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    (lines.select("source_file", F.concat_ws("\n", F.lit(",".join(layout)), "lines").alias("value"))
+     .write.partitionBy("source_file").text(path))

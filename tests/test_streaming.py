@@ -120,3 +120,16 @@ def test_event_days_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == exp
+
+
+def test_uploads_of_both_marketplaces_are_streamed_with_their_bad_rows(spark):
+    """The streams see every row of the export, one upload for each month: days and rejected rows are those of the feed."""
+    from shopcube.plans.registry import QUERIES
+    key = lambda df, *c: sorted(map(tuple, df.select(*c).collect()))
+    cols = "platform", "date", "total_sales_value", "total_orders", "visitors"
+    days = key(QUERIES["kpi_daily"](spark, SF001), *cols)
+    assert {p for p, *_ in days} == {"Lazada", "Shopee"}
+    assert key(QUERIES["stream_kpi_uploads"](spark, SF001), *cols) == days
+    rejected = key(QUERIES["kpi_quarantine"](spark, SF001), "platform", "reason", "rows")
+    assert {r for _, r, _ in rejected} >= {"malformed_row", "out_of_period"}
+    assert key(QUERIES["stream_kpi_quarantine"](spark, SF001), "platform", "reason", "rows") == rejected
