@@ -1,10 +1,11 @@
 """Operator 1: token counts by prefix dynamic programming.
 
 For every prefix of a word the last token of its encoding is kept
-(``bpe.Merges``), and with it the exact count: ``count[i] = count[i -
-len(last[i])] + 1``.  Counts of a text are sums over its words; the token
-that ends at each byte answers where a budget of tokens cuts a text without
-encoding it again.
+(``bpe.Merges``).  ``token_counts`` walks back over the tokens of a whole
+word and keeps their ends: counts of a text are sums over its words, and the
+ends answer where a budget of tokens cuts a text without encoding it again.
+``prefix_counts`` keeps the exact count of every prefix: ``count[i] =
+count[i - len(last[i])] + 1``.
 """
 
 from __future__ import annotations

@@ -54,6 +54,16 @@ def test_token_counts(edge_docs, no_docs):
     assert token_counts(no_docs, PATH).count() == 0
 
 
+def test_prefix_counts_of_a_table(edge_docs, no_docs):
+    from shopcube.llm.token_counts import prefix_counts
+    short = "text IS NULL OR length(text) < 200"
+    got = Counter((r.doc_id, tuple(r.counts)) for r in prefix_counts(edge_docs.where(short), PATH).collect())
+    want = Counter((r.doc_id, tuple(len(ids_of((r.text or "")[:p])) for p in range(len(r.text or "") + 1)))
+                   for r in edge_docs.where(short).collect())
+    assert got == want
+    assert prefix_counts(no_docs, PATH).count() == 0
+
+
 def test_cut_bytes_is_the_truncation(edge_docs):
     from shopcube.llm.token_counts import token_counts
     texts = {r.doc_id: r.text for r in edge_docs.where("doc_id IN (8, 9, 11, 12)").collect()}
