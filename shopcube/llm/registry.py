@@ -97,3 +97,22 @@ def op10_embedding_dedup(spark, d):
 def op4_html_text(spark, d):
     from shopcube.llm.html_text import main_text
     return main_text(spark.read.parquet(f"{d}/pages.parquet"))
+
+
+@query("op11_exact_topk")
+def op11_exact_topk(spark, d):
+    from shopcube.llm.topk import top_k
+    return top_k(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
+@query("op12_target_resampling")
+def op12_target_resampling(spark, d):
+    from shopcube.llm.resample import resample
+    found = resample(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, d):
+    from shopcube.llm.runs import periodic_runs, run_digests
+    return run_digests(periodic_runs(_documents(spark, d), planted=True))
