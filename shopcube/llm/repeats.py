@@ -7,24 +7,29 @@ windows choose themselves.  The refinement goes from coarse to fine buckets:
 1. anchors fall into buckets by their q-gram; a bucket of one is done;
 2. blocks (successive windows of one anchor) with equal bytes are repeated as
    a whole; only one block of each content goes on;
-3. within a bucket, the ranges of window offsets are halved again and again.
-   A half is given the identifier of the bytes that all its windows share;
-   halves whose identifier is alone are dropped, halves equal in all their
-   bytes are repeated, the others are refined once more with the identifiers
-   of the step before as buckets.
+3. a bucket that a task should not hold is split over all executors: the
+   range of window offsets is halved, a half's bucket is the bucket before
+   and the bytes that all its windows share; halves alone in their bucket
+   are dropped, halves equal in all bytes are repeated;
+4. within a bucket, every place of the blocks gets the bucket of its 8 bytes.
+   Buckets are refined by sorting on the buckets of later offsets, and the
+   new buckets are used in the same way again: 16, 32, 64, 128 and at last
+   200 bytes, the window.  These steps compare bytes, not hashes.
 
 Only blocks of buckets with several contents are ever compared by bytes.
-Buckets of very many contents are refined to single windows by a grouping
-over all executors in place of step 3, with the same result.
+Two blocks of one bucket (64-bit hash of its q-gram) count as equal when
+their 64-bit hashes are.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +41,10 @@ from shopcube.llm.words import text_buffers
 
 WINDOW = 200             # bytes of a repeated string
 GRAM = 64                # bytes of the q-gram that opens a bucket
+RANGE = 256              # a power of two above the number of places that an anchor can have in a window
+FIRST = 8                # bytes of the first q-grams inside a bucket
 PIECE = 1 << 20          # bytes that are worked on at a time
-LARGE = 512              # contents of a bucket that one task refines at most
+FIT = 512                # blocks of a bucket that one task refines; larger ones are split over all executors first
 BLOCK = "array<struct<start: long, n: int, off: int, gram: long, content: long>>"
 
 
@@ -89,87 +96,73 @@ def text_blocks(rows: DataFrame) -> DataFrame:
     return map_rows(rows, ["doc_id"], "text", work, f"n_bytes long, sha string, tid long, blocks {BLOCK}")
 
 
-def refine(gram: np.ndarray, once: np.ndarray, n: np.ndarray, off: np.ndarray, data: np.ndarray,
-           begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Step 3 for whole buckets: (block, least offset, largest offset) of repeated windows.
+def refine(data: np.ndarray, begin: np.ndarray, n: np.ndarray, once: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(block, window) of the windows whose bytes occur more than once among some blocks.
 
-    ``once``: blocks whose content occurs once, the only ones reported;
-    ``begin``: first byte in ``data`` of each block's bytes.
+    Bucket-pointer refinement over all places of the blocks: the buckets of
+    q-grams are sorted on the bucket of the place q later, which makes
+    buckets of 2q-grams, and so on up to whole windows, whose two halves are
+    the buckets of their own place and of a later one.  Places alone in a
+    bucket are not sorted again.  ``begin``: first byte of each block and the
+    end; ``once``: blocks that are reported.
     """
-    prints, anchor = Fingerprints(data), begin + off
-    block, size = np.arange(len(gram)), 1
-    while size < WINDOW - GRAM + 1:
-        size *= 2
-    low = np.zeros(len(block), np.int64)
-    done = ~once
-    bucket = np.unique(gram, return_inverse=True)[1]
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    while size > 1 and len(block):
-        size //= 2
-        block, done, bucket = np.repeat(block, 2), np.repeat(done, 2), np.repeat(bucket, 2)
-        low = np.repeat(low, 2)
-        low[1::2] += size
-        high = low + size - 1
-        most, least = off[block], off[block] - n[block] + 1
-        held = (low <= most) & (high >= least)
-        block, low, high, done, bucket = block[held], low[held], high[held], done[held], bucket[held]
-        most, least = most[held], least[held]
-        a = anchor[block]
-        # the bytes that all windows of the range share; their identifier refines the bucket
-        bucket, count = _identify(bucket, low, _core(prints, a, low, size))
-        alive = count[bucket] > 1
-        block, low, high, done, bucket, a = (x[alive] for x in (block, low, high, done, bucket, a))
-        most, least = most[alive], least[alive]
-        # ranges that are equal in all their bytes are repeated as a whole
-        whole = np.flatnonzero((low >= least) & (high <= most))
-        same, times = _identify(bucket[whole], low[whole], prints.of(a[whole] - high[whole], a[whole] - low[whole] + WINDOW))
-        whole = whole[times[same] > 1]
-        new = whole[~done[whole]]
-        found.append((block[new], low[new], high[new]))
-        done = done.copy()
-        done[whole] = True
-        # a bucket in which nothing is open needs no further step
-        wanted = np.zeros(int(bucket.max()) + 1 if len(bucket) else 0, bool)
-        wanted[bucket[~done]] = True
-        stay = wanted[bucket] if len(bucket) else np.zeros(0, bool)
-        block, low, done, bucket = block[stay], low[stay], done[stay], bucket[stay]
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate([f[k] for f in found] or [none]) for k in range(3))
-
-
-def _core(prints: Fingerprints, anchor: np.ndarray, low: np.ndarray, size: int) -> np.ndarray:
-    """Identifier of the bytes shared by all windows whose anchor stands at low .. low + size - 1."""
-    high = np.minimum(low + size - 1, WINDOW - GRAM)
-    return prints.of(anchor - low, anchor - high + WINDOW)
-
-
-def _identify(bucket: np.ndarray, low: np.ndarray, identifier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """New bucket numbers for equal (bucket, low, identifier), and how many each bucket has."""
-    if not len(bucket):
+    size = len(data)
+    if size < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order = np.lexsort((identifier, low, bucket))
-    b, l, i = bucket[order], low[order], identifier[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (b[1:] != b[:-1]) | (l[1:] != l[:-1]) | (i[1:] != i[:-1])
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return number, np.bincount(number)
-
-
-SPAN = "tid long, start long, end long"
-
-
-def refined_spans(contexts: DataFrame) -> DataFrame:
-    """Repeated spans of the blocks of buckets that fit a task; rows come bucket by bucket."""
-    cols = ["gram", "once", "n", "off", "tid", "start", "bytes"]
+    gram = np.zeros(size, np.uint64)
+    for k in range(FIRST):
+        gram[:size - k] |= data[k:].astype(np.uint64) << np.uint64(8 * k)
+    end = np.repeat(begin[1:], np.diff(begin))
+    pointer, open_ = np.arange(size), np.flatnonzero(np.arange(size) + FIRST <= end)
+    q = FIRST
+    open_ = _rebucket(pointer, open_, gram[open_])
+    while q < WINDOW:
+        step = min(q, WINDOW - q)
+        open_ = open_[open_ + q + step <= end[open_]]
+        # the pointers of this round are all read before any of them is replaced
+        pair = pointer[open_] * size + pointer[open_ + step]
+        pointer = pointer.copy()
+        open_ = _rebucket(pointer, open_, pair)
+        q += step
+    block = np.searchsorted(begin, open_, "right") - 1
+    window = open_ - begin[block]
+    told = once[block] & (window < n[block])
+    return block[told], window[told]
+
+
+def _rebucket(pointer: np.ndarray, places: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Give places of equal ``key`` one pointer; returns those that share it, the others point to themselves."""
+    order = np.argsort(key)
+    sorted_ = key[order]
+    at = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(at, len(key)))
+    placed = places[order]
+    pointer[placed] = np.repeat(placed[at], size)
+    return placed[np.repeat(size, size) > 1]
+
+
+CONTEXT = ["k1", "k2", "low", "once", "n", "off", "doc_id", "tid", "start", "bytes"]
+
+
+def task_spans(contexts: DataFrame) -> DataFrame:
+    """(doc_id, tid, start, end) of the repeated windows of buckets that fit a task; rows come bucket by bucket."""
+    cols = ["k1", "k2", "once", "n", "doc_id", "tid", "start", "bytes"]
+    out = T.StructType([contexts.schema["doc_id"], *T.StructType.fromDDL("tid long, start long, `end` long").fields])
 
     def work(t: pa.Table) -> pa.RecordBatch:
-        g, once, n, off, tid, start = (t.column(i).to_numpy() for i in range(6))
-        data, at = text_buffers(t.column(6))
-        block, low, high = refine(g, once.astype(bool), n, off, data, at[:-1])
-        p = start[block] + off[block]
-        return pa.RecordBatch.from_arrays([pa.array(tid[block]), pa.array(p - high), pa.array(p - low + WINDOW)],
-                                          names=["tid", "start", "end"])
+        once, n, start = (t.column(i).to_numpy() for i in (2, 3, 6))
+        data, at = text_buffers(t.column(7))
+        block, window = refine(data, at, n, once.astype(bool))
+        order = np.lexsort((window, block))
+        block, window = block[order], window[order]
+        # windows in a row make one span
+        first = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (window[1:] != window[:-1] + 1))) \
+            if len(block) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(block)) - 1 if len(first) else first
+        b = block[first]
+        return pa.RecordBatch.from_arrays(
+            [t.column(4).combine_chunks().take(pa.array(b)), t.column(5).combine_chunks().take(pa.array(b)),
+             pa.array(start[b] + window[first]), pa.array(start[b] + window[last] + WINDOW)], names=out.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -180,8 +173,9 @@ def refined_spans(contexts: DataFrame) -> DataFrame:
             if rows < 8_000:
                 continue
             t = pa.Table.from_batches(waiting)
-            g = t.column(0).to_numpy()
-            cut = int(np.flatnonzero(np.append(True, g[1:] != g[:-1]))[-1])     # the last bucket may go on
+            k = [t.column(i).to_numpy() for i in (0, 1)]
+            new = np.append(True, (k[0][1:] != k[0][:-1]) | (k[1][1:] != k[1][:-1]))
+            cut = int(np.flatnonzero(new)[-1])                                  # the last bucket may go on
             if cut:
                 yield work(t.slice(0, cut))
             waiting = t.slice(cut).to_batches()
@@ -189,75 +183,129 @@ def refined_spans(contexts: DataFrame) -> DataFrame:
         if rows:
             yield work(pa.Table.from_batches(waiting))
 
-    return contexts.select(cols).repartition("gram").sortWithinPartitions("gram").mapInArrow(run, SPAN)
+    return contexts.select(cols).repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(run, out)
+
 
+def halves(contexts: DataFrame, size: int) -> DataFrame:
+    """Blocks whose windows have their anchors at ``low`` .. ``low + size - 1``, cut in two; at most two rows for each.
+
+    A half's bucket (k1, k2) follows from the bucket before and the bytes
+    that all its windows share; (c1, c2) from all its bytes.
+    """
+    half = size // 2
+    out = T.StructType([*contexts.select(CONTEXT).schema.fields, *T.StructType.fromDDL("c1 long, c2 long").fields])
 
-def window_spans(contexts: DataFrame) -> DataFrame:
-    """The same for buckets of any size: single windows, grouped over all executors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 4096):
-                t = b.slice(k, 4096)
-                g, once, n, off, tid, start = (t.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-                data, at = text_buffers(t.column(6))
-                if not len(data):
-                    continue
-                row = np.repeat(np.arange(len(n)), n)
-                step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                s = at[:-1][row] + step
-                h = Fingerprints(data).of(s, s + WINDOW).view(np.int64)
+            for at in range(0, b.num_rows, 4096):
+                part = b.slice(at, 4096)
+                k1, k2, low, _, n, off, _, _, start = (part.column(i).to_pylist() for i in range(9))
+                rows, made = [], []
+                for i, raw in enumerate(part.column(9)):
+                    raw = memoryview(raw.as_buffer())
+                    for x in (low[i], low[i] + half):
+                        least, most = max(x, off[i] - n[i] + 1), min(x + half - 1, off[i])
+                        if least > most:
+                            continue
+                        j, m, a = off[i] - most, most - least + 1, off[i]
+                        shared = raw[a - x:a - min(x + half - 1, WINDOW - GRAM) + WINDOW]
+                        bucket = xxhash.xxh3_128(struct.pack("<qqq", k1[i], k2[i], x))
+                        bucket.update(shared)
+                        key = bucket.digest()
+                        body = raw[j:j + m - 1 + WINDOW]
+                        content = xxhash.xxh3_128(key + struct.pack("<qq", m, most))
+                        content.update(body)
+                        rows.append(i)
+                        made.append((*struct.unpack("<qq", key), x, m, most, start[i] + j, bytes(body),
+                                     *struct.unpack("<qq", content.digest())))
+                x1, x2, lo, m, o, st, body, c1, c2 = zip(*made) if made else [()] * 9
+                same = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(g[row]), pa.array((off[row] - step).astype(np.int32)), pa.array(h), pa.array(once[row]),
-                     pa.array(tid[row]), pa.array(start[row] + step)],
-                    names=["gram", "o", "h", "once", "tid", "start"])
+                    [pa.array(x1, pa.int64()), pa.array(x2, pa.int64()), pa.array(lo, pa.int32()), part.column(3).take(same),
+                     pa.array(m, pa.int32()), pa.array(o, pa.int32()), part.column(6).take(same), part.column(7).take(same),
+                     pa.array(st, pa.int64()), pa.array(body, pa.binary()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64())],
+                    names=out.names)
 
-    cols = ["gram", "once", "n", "off", "tid", "start", "bytes"]
-    each = contexts.select(cols).mapInArrow(run, "gram long, o int, h long, once boolean, tid long, start long")
-    key = ["gram", "o", "h"]
-    repeated = _stored(each.groupBy(key).agg(F.count("*").alias("m")).where("m > 1").select(key), "repeat-windows")
-    return (each.where("once").join(repeated, key)
-            .select("tid", "start", (F.col("start") + WINDOW).alias("end")))
+    return contexts.select(CONTEXT).mapInArrow(run, out)
+
+
+def bucket_spans(contexts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(doc_id, tid, start, end) of the repeated windows of all buckets, and tables to discard afterwards.
+
+    ``m`` of ``contexts``: blocks of the bucket.
+
+    Buckets that no task should hold are refined over all executors first:
+    the range of window offsets is halved, halves alone in their bucket go,
+    halves equal in all bytes are repeated and one of them goes on.  After
+    eight rounds a half is a single window.
+    """
+    size, live, spans, tables = RANGE, contexts, None, []
+    while True:
+        found = task_spans(live.where(F.col("m") <= FIT))
+        spans = found if spans is None else spans.unionByName(found)
+        large = live.where(F.col("m") > FIT)
+        if size == 1 or not large.limit(1).count():
+            return _stored(spans.distinct(), "repeat-found"), tables
+        each = _stored(halves(large, size), "repeat-halves")
+        size //= 2
+        key, content = ["k1", "k2", "low"], ["k1", "k2", "c1", "c2"]
+        kept = [c for c in CONTEXT if c not in (*key, "once")]
+        contents = _stored(each.groupBy(*key, "c1", "c2").agg(
+            F.count("*").alias("times"), F.max("once").alias("some"), F.first(F.struct(*kept)).alias("r")), "repeat-contents")
+        again = each.where("once").join(contents.where("times > 1").select(content), content)
+        again = _stored(again.select("doc_id", "tid", "start", (F.col("start") + F.col("n") - 1 + WINDOW).alias("end")),
+                        "repeat-found")
+        spans = spans.unionByName(again)
+        once = F.col("some") & (F.col("times") == 1)
+        wanted = contents.groupBy("k1", "k2").agg(F.count("*").alias("m"), F.max(once).alias("open")).where("m > 1 AND open")
+        live = _stored(contents.select(*key, once.alias("once"), "r.*").join(wanted.select("k1", "k2", "m"), ["k1", "k2"])
+                       .select(*CONTEXT, "m"), "repeat-contexts")
+        discard(each, contents)
+        tables += [live, again]
 
 
 def repeated_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(tid, spans): the merged repeated byte ranges of each text that has any.
+    """(doc_id, tid, s): the repeated byte ranges of each text that has any.
 
     ``rows``: doc_id, tid, text; ``found``: the stored result of ``text_blocks``.
     """
-    # half of the text's id tells apart texts that share a doc_id
-    low = F.col("tid").bitwiseAND(0x7FFFFFFF).cast("int").alias("low")
-    each = found.select("doc_id", "tid", low, F.inline("blocks"))
+    each = found.select("doc_id", "tid", F.inline("blocks"))
     first = lambda *names: [F.first(c).alias(c) for c in names]
-    contents = _stored(each.groupBy("content").agg(F.count("*").alias("c"), *first(
-        "gram", "doc_id", "low", "start", "n", "off")), "repeat-contents")
+    contents = _stored(each.groupBy("gram", "content").agg(F.count("*").alias("c"), *first(
+        "doc_id", "tid", "start", "n", "off")), "repeat-contents")
     shared = _stored(contents.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "repeat-buckets")
 
     # blocks that occur again as a whole
-    again = _stored(contents.where("c > 1").select("content"), "repeat-blocks")
-    whole = each.join(again, "content").select(
-        "tid", "start", (F.col("start") + F.col("n") - 1 + WINDOW).alias("end")).distinct()
+    again = _stored(contents.where("c > 1").select("gram", "content"), "repeat-blocks")
+    whole = each.join(again, ["gram", "content"]).select(
+        "doc_id", "tid", "start", (F.col("start") + F.col("n") - 1 + WINDOW).alias("end")).distinct()
 
     # one block of each content of a shared bucket, with its bytes
     one = contents.join(shared, "gram")
-    marks = one.groupBy("doc_id", "low").agg(F.collect_list(F.struct(
+    marks = one.groupBy("doc_id", "tid").agg(F.collect_list(F.struct(
         "gram", "m", (F.col("c") == 1).alias("once"), "n", "off", "start")).alias("marks"))   # of one text
-    t, k = rows.select("doc_id", "tid", low, "text").alias("t"), marks.alias("k")
-    joined = t.join(k, F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("t.low") == F.col("k.low")))
-    inner = joined.select("t.tid", F.col("text").cast("binary").alias("raw"), F.explode("marks").alias("x"))
-    contexts = inner.select("x.gram", "x.m", "x.once", "x.n", "x.off", "tid", "x.start", F.expr(
-        f"substring(raw, cast(x.start + 1 as int), x.n - 1 + {WINDOW})").alias("bytes"))
-    contexts = _stored(contexts.dropDuplicates(["gram", "tid", "start"]), "repeat-contexts")
-
-    spans = whole.unionByName(refined_spans(contexts.where(F.col("m") <= LARGE)))
-    if contexts.where(F.col("m") > LARGE).limit(1).count():
-        spans = spans.unionByName(window_spans(contexts.where(F.col("m") > LARGE)))
+    joined = _same_text(rows.select("doc_id", "tid", "text"), marks)
+    inner = joined.select("doc_id", "tid", F.col("text").cast("binary").alias("raw"), F.explode("marks").alias("x"))
+    contexts = inner.select(
+        F.col("x.gram").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).alias("low"), "x.once", "x.n", "x.off",
+        "doc_id", "tid", "x.start", F.expr(f"substring(raw, cast(x.start + 1 as int), x.n - 1 + {WINDOW})").alias("bytes"), "x.m")
+    contexts = _stored(contexts.dropDuplicates(["k1", "doc_id", "tid", "start"]), "repeat-contexts")
+
+    parts, tables = bucket_spans(contexts)
     # all spans of one text meet: their number is bounded by its length
-    spans = spans.distinct().groupBy("tid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
+    spans = whole.unionByName(parts).distinct().groupBy("doc_id", "tid").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
     spans = _stored(spans, "repeat-spans")
-    discard(contents, shared, again, contexts)
+    discard(contents, shared, again, contexts, parts, *tables)
     return spans
 
 
+def _same_text(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on key and text: hashes need to tell apart only the texts that share a key."""
+    o = other.withColumnsRenamed({"doc_id": "__doc", "tid": "__tid"})
+    return rows.join(o, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("tid") == F.col("__tid")), how).drop("__doc", "__tid")
+
+
 def merged(spans: list) -> list[tuple[int, int]]:
     """Maximal runs of sorted (start, end) pairs."""
     out: list[list[int]] = []
@@ -289,7 +337,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     found = _stored(text_blocks(rows.select("doc_id", "text")), "repeat-texts")
     spans = repeated_spans(rows, found)
     discard(found)
-    joined = rows.join(spans, "tid", "left")
+    joined = _same_text(rows, spans, "left")
     names = ["doc_id", "text", "s", *[f"keep_{i}" for i in range(len(keep))]]
     ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     made = [("n_bytes", "long", pa.int64()), ("n_removed", "long", pa.int64()), ("n_spans", "long", pa.int64()),

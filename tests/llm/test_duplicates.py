@@ -124,21 +124,21 @@ def repeats_brute(rows):
     return out
 
 
-@pytest.mark.parametrize("large", [512, 1])
+@pytest.mark.parametrize("large", [512, 0])
 def test_repeats_on_edges(edge_docs, no_docs, monkeypatch, large):
     from shopcube.llm import repeats
-    monkeypatch.setattr(repeats, "LARGE", large)
+    monkeypatch.setattr(repeats, "FIT", large)
     docs = edge_docs.where("doc_id IS NULL OR doc_id <> 8")
     got = repeats.remove_repeats(docs, texts=False)
     assert Counter(map(tuple, got.collect())) == repeats_brute(docs.collect())
     assert repeats.remove_repeats(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("large", [512, 2])
+@pytest.mark.parametrize("large", [512, 2, 0])
 def test_repeats_of_random_passages(spark, monkeypatch, large):
     """Passages that overlap, repeat inside a text, and are shared by many texts with other surroundings."""
     from shopcube.llm import repeats
-    monkeypatch.setattr(repeats, "LARGE", large)
+    monkeypatch.setattr(repeats, "FIT", large)
     r = random.Random(9)
     passages = [sentence(300 + i, r.randrange(20, 120)) for i in range(12)] + ["é中" * 70, "xyz" * 90]
     rows = []
@@ -161,6 +161,56 @@ def test_repeats_of_random_passages(spark, monkeypatch, large):
         assert bytes(x.kept) == left + raw[at:] and x.kept_text == bytes(x.kept).decode("utf-8", "ignore")
 
 
+def test_repeats_of_one_line_in_most_texts(spark, monkeypatch):
+    """A line and a passage that most texts hold: no step makes more than two rows of a block."""
+    from shopcube.llm import repeats
+    monkeypatch.setattr(repeats, "FIT", 16)
+    made = []
+    halves = repeats.halves
+    monkeypatch.setattr(repeats, "halves",
+                        lambda live, size: made.append((live.count(), halves(live, size).count())) or halves(live, size))
+    r = random.Random(2)
+    line, passage = sentence(1, 16)[:120], sentence(2, 60)
+    rows = [(k % 90, f"{sentence(50 + k, 30)} {line} {sentence(500 + k, 9)} {passage if k % 3 else ''} {sentence(900 + k, 30)}"
+             + (f"{passage[r.randrange(80):]}" if k % 5 == 0 else "")) for k in range(100)] + [(None, passage), (None, line * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = repeats.remove_repeats(docs, texts=False)
+    assert Counter(map(tuple, got.collect())) == repeats_brute(docs.collect())
+    assert made and all(out <= 2 * n for n, out in made)
+
+
+def test_repeats_in_texts_of_many_pieces(spark, monkeypatch):
+    """A passage across the border of two pieces, and a text of 2.7 MB that holds another text's passage."""
+    from shopcube.llm import repeats
+    passage = sentence(77, 120)
+    long_ = sentence(5, 400000)
+    at = repeats.PIECE - 300
+    texts = [long_[:at] + passage + long_[at:], "short " + passage + " text", long_[5000:5400]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in repeats.remove_repeats(docs, texts=False).collect()}
+    n = len(passage)
+    assert len(texts[0]) > 2.5e6 and got[0].n_spans == 2 and n + 400 <= got[0].n_removed <= n + 404
+    assert (got[2].n_removed, got[2].n_spans) == (400, 1) and n <= got[1].n_removed <= n + 2
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    docs = docs.where("doc_id > 0")
+    assert Counter(map(tuple, repeats.remove_repeats(docs, texts=False).collect())) == repeats_brute(docs.collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bucket_pointer_refinement(seed):
+    from shopcube.llm.repeats import refine
+    r = random.Random(seed)
+    base = bytes(r.choices(b"ab", k=400))
+    rows = [base[a:a + r.randrange(200, 330)] for a in (r.randrange(70) for _ in range(30))] + [bytes(r.choices(b"ab", k=250)) for _ in range(5)]
+    once = np.array([r.random() < .7 for _ in rows])
+    at = np.cumsum([0, *map(len, rows)])
+    n = np.array([len(x) - 199 for x in rows])
+    seen = Counter(x[i:i + 200] for x in rows for i in range(len(x) - 199))
+    got = refine(np.frombuffer(b"".join(rows), np.uint8), at, n, once)
+    assert sorted(zip(got[0].tolist(), got[1].tolist())) == [
+        (k, i) for k, x in enumerate(rows) if once[k] for i in range(len(x) - 199) if seen[x[i:i + 200]] > 1]
+
+
 def vectors_brute(rows):
     ok, out = [], {}
     for i, r in enumerate(rows):
