@@ -1,7 +1,6 @@
 """Operator 8: near duplicates by fast similarity sketching, banding and exact verification.
 
-Every row of equal shingle sets forms a class with one representative.
-Representatives meet in band buckets of their sketches.  In a bucket, all
+Rows of equal shingle sets form a class.  Classes meet in band buckets of their sketches.  In a bucket, all
 members are compared with its least member only; after the links found so
 far are joined to components, the members of buckets in which several
 components are left are compared with each other, block by block inside the
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopcube.llm.batches import map_rows
-from shopcube.llm.components import _stored, components
+from shopcube.llm.components import _stored, components, discard
 from shopcube.llm.shingles import K1, K2, mix, shingle_sets, sketch
 
 BANDS, ROWS = 32, 5      # at similarity 0.8 a pair is missed with probability 3e-6, above it with less
@@ -30,8 +29,8 @@ BLOCK = 1024             # members of a bucket in one block, at most about
 BLOCK_SHINGLES = 2 << 20 # and shingles of all of them
 
 
-def sketches(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_shingles, two sums that identify its set, and one hash for each band."""
+def sketches(docs: DataFrame, width: int, keys: list[str], text: str = "text") -> DataFrame:
+    """Per row: keys, n_shingles, two sums that identify its set, and one hash for each band."""
     def work(texts: pa.Array) -> dict:
         sets, bounds = shingle_sets(texts, width)
         n = np.diff(bounds)
@@ -39,24 +38,29 @@ def sketches(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text
         band = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(n), 1))
         for k in range(ROWS):
             band = mix(band * K1 + s[:, :, k] * K2)
-        total = lambda x: np.diff(np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)])[bounds])
         held = n > 0
         ends = np.concatenate([[0], np.cumsum(np.where(held, BANDS, 0))]).astype(np.int32)
-        return {"n_shingles": pa.array(n, pa.int64()),
-                "sum1": pa.array(total(mix(sets * K1)).view(np.int64)),
-                "sum2": pa.array(total(mix(sets * K2 + K1)).view(np.int64)),
+        return {**identity_columns(sets, bounds),
                 "bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(band[held].reshape(-1).view(np.int64)))}
 
-    return map_rows(docs, [key], text, work, "n_shingles long, sum1 long, sum2 long, bands array<long>")
+    return map_rows(docs, keys, text, work, "n_shingles long, sum1 long, sum2 long, bands array<long>")
 
 
 def set_table(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key and its sorted distinct shingle hashes."""
+    """Per row: key, the identity of its set, and its sorted distinct shingle hashes."""
     def work(texts: pa.Array) -> dict:
         sets, bounds = shingle_sets(texts, width)
-        return {"shingles": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64)))}
+        return {**identity_columns(sets, bounds),
+                "shingles": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64)))}
 
-    return map_rows(docs, [key], text, work, "shingles array<long>")
+    return map_rows(docs, [key], text, work, "n_shingles long, sum1 long, sum2 long, shingles array<long>")
+
+
+def identity_columns(sets: np.ndarray, bounds: np.ndarray) -> dict:
+    """Size and two sums of mixed hashes of each set."""
+    total = lambda x: np.diff(np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)])[bounds])
+    return {"n_shingles": pa.array(np.diff(bounds), pa.int64()), "sum1": pa.array(total(mix(sets * K1)).view(np.int64)),
+            "sum2": pa.array(total(mix(sets * K2 + K1)).view(np.int64))}
 
 
 def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -158,23 +162,28 @@ def least_ids(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, least: int = LEAST, key: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """Per row: key, n_shingles, component_id, kept.
-
-    A null, empty or blank text has an empty set and is linked with nothing;
-    a row without a key likewise (its component_id is null and it is kept).
-    Repeated rows share their key and component.  An empty table gives an
-    empty result.  Ties do not arise: the component is the least key.
+                    text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Per row: key, n_shingles, component_id, kept, and ``group_no``, a number of the row's group.
+
+    A null, empty or blank text has an empty set and is linked with nothing
+    (its group_no is null); a row without a key likewise (its component_id is
+    null and it is kept).  Repeated rows share their key and group; rows of
+    one key with different texts are documents of their own, whose groups may
+    differ.  ``keep`` names further columns to carry along.  An empty table
+    gives an empty result.  Ties do not arise: the component is the least key.
     """
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    drawn = _stored(sketches(rows, width, "id"), "sketches")
+    extra = {f"keep_{i}": c for i, c in enumerate(keep or [])}
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"),
+                       *[F.col(f"`{c}`").alias(k) for k, c in extra.items()])
+    drawn = _stored(sketches(rows, width, ["id", *extra]), "sketches")
     able = drawn.where("id IS NOT NULL AND n_shingles > 0")
     identity = ["n_shingles", "sum1", "sum2"]
-    classes = _stored(able.groupBy(identity).agg(F.min("id").alias("rep")), "classes")
+    # equal sets are one class with a number of its own; one of its rows stands for it
+    classes = _stored(able.groupBy(identity).agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"))
+                      .withColumn("cls", F.monotonically_increasing_id()), "classes")
 
-    # one row for each representative and band; buckets of one are of no use
-    reps = able.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    banded = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    # one row for each class and band; buckets of one are of no use
+    banded = classes.select(F.col("cls").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     buckets = _stored(banded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("m"))
                       .where("m > 1").select("bucket", "pivot"), "buckets")
     members = _stored(banded.join(buckets, "bucket"), "members")
@@ -182,8 +191,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: int = LEAST, key: st
     # each member against the least one of its bucket
     pairs = _stored(members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(),
                     "pairs")
-    ids = members.select("id").distinct()
-    sets = _stored(set_table(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]), width, "id"), "shingles")
+    met = classes.select(*identity, "rep", "cls").join(members.select(F.col("id").alias("cls")).distinct(), "cls", "left_semi")
+    texts = rows.select("id", "text").join(met.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    sets = set_table(texts, width, "id").withColumnRenamed("id", "rep")
+    sets = _stored(sets.join(met, ["rep", *identity]).dropDuplicates(["cls"]).select(F.col("cls").alias("id"), "shingles"),
+                   "shingles")
     links = _stored(linked(pairs, sets, least), "links")
     groups = _stored(components(links), "groups")
 
@@ -195,12 +207,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, least: int = LEAST, key: st
                       .where("lo < hi").select("bucket", F.ceil("m").cast("int").alias("chunks")), "open-buckets")
     more = _stored(block_links(_blocked(open_.join(several, "bucket").select("bucket", "id", "chunks")), sets, least),
                    "links")
+    tables = [buckets, members, pairs, sets, links, groups, several, more]
     if more.limit(1).count():
         groups = _stored(components(links.unionByName(more)), "groups")
-
-    found = (drawn.select("id", *identity).join(classes, identity, "left")
-             .join(groups.withColumnRenamed("id", "rep"), "rep", "left"))
-    component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(
-        F.coalesce("component", "rep", "id"))
+        tables.append(groups)
+
+    # the least key of each group, at every class of it
+    grouped = classes.select("cls", "rep").join(groups.withColumnRenamed("id", "cls"), "cls", "left").withColumn(
+        "group_no", F.coalesce("component", "cls"))
+    least_key = grouped.groupBy("group_no").agg(F.min("rep").alias("component_id"))
+    known = _stored(classes.select(*identity, "cls").join(grouped.select("cls", "group_no").join(least_key, "group_no"), "cls")
+                    .drop("cls"), "class-groups")
+    discard(classes, *tables)
+    found = drawn.join(known, identity, "left")
+    own = F.col("id").isNotNull()
+    component = F.when(own, F.coalesce("component_id", "id"))
     return found.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"),
-                        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+                        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+                        F.when(own, F.col("group_no")).alias("group_no"),
+                        *[F.col(k).alias(c) for k, c in extra.items()])

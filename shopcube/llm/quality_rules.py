@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 BLANKS = r"[\x20\x09-\x0D]+"
 
-# Frequent function words of the four languages of the corpus.
+# Frequent function words of four languages, and the codes of these.
+LISTED = ["de", "en", "es", "fr"]
 STOP_WORDS = sorted({
     "the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on", "with", "as", "be", "by",
     "der", "die", "und", "den", "von", "zu", "das", "mit", "sich", "des", "für", "auf", "ist", "im", "dem", "nicht",
@@ -32,6 +33,7 @@ class Rule:
     low: float | None = None
     high: float | None = None
     least: int = 0
+    listed: bool = False         # judges only texts in a language that STOP_WORDS covers
 
 
 BASE_RULES = (
@@ -39,10 +41,9 @@ BASE_RULES = (
     Rule("repeated_words", "n_repeat_words", "n_words", high=0.20),
 )
 RULES = (
-    Rule("longest", "n_words", "one", high=5_000_000),
     Rule("word_length", "word_chars", "n_words", low=2, high=15),
     Rule("symbols", "n_symbols", "n_words", high=0.10),
-    Rule("stop_words", "n_stop_words", "n_words", low=0.02, least=50),
+    Rule("stop_words", "n_stop_words", "n_words", low=0.02, least=50, listed=True),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.50),
 )
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines"]
@@ -57,16 +58,24 @@ def holds(rule: Rule) -> Column:
         ok = ok & (m >= of * F.lit(round(rule.low * 100)).cast("long"))
     if rule.high is not None:
         ok = ok & (m <= of * F.lit(round(rule.high * 100)).cast("long"))
+    if rule.listed:
+        ok = ~F.col("listed") | ok
     return ok if not rule.least else (F.col("n_words") < rule.least) | ok
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The measures of the whole text of each row (null: empty), beside ``row``, a struct of all its columns."""
+def measures(docs: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """The measures of the whole text of each row (null: empty), beside ``row``, a struct of all its columns.
+
+    ``listed``: whether the row names a language that the stop words cover; it
+    does not where the column is missing or null.
+    """
     n = F.size("words")
+    listed = F.lower(F.col(f"`{language}`").cast("string")).isin(LISTED) if language in docs.columns else F.lit(False)
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                     F.coalesce(listed, F.lit(False)).alias("listed"),
                      F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
     df = df.select(
-        "row",
+        "row", "listed",
         F.array_remove(F.split("__t", BLANKS, -1), "").alias("words"),
         F.filter(F.split("__t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.length(F.regexp_replace("__t", BLANKS, "")).cast("long").alias("word_chars"),
@@ -90,14 +99,14 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         F.transform("at", lambda x, k: F.least(F.lit(5), F.coalesce(F.get(F.col("at"), k + 1) - x, F.lit(5)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     return df.select(
-        "row", n.cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "row", "listed", n.cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("twice"), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
         "n_stop_words", F.size("lines").cast("long").alias("n_lines"),
         F.monotonically_increasing_id().alias("number"))
 
 
-def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", language: str = "lang") -> DataFrame:
     """``measures`` with the verdicts base_failed and kept.
 
     The verdicts hang on the row number, which holds a later filter on them
@@ -109,24 +118,30 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
         base = base & holds(r)
     for r in rules:
         own = own & holds(r)
-    return (measures(docs, text).withColumn("base_failed", ~(base & (F.col("number") >= 0)))
+    return (measures(docs, text, language).withColumn("base_failed", ~(base & (F.col("number") >= 0)))
             .withColumn("kept", ~F.col("base_failed") & own))
 
 
-def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
+def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text",
+            language: str = "lang") -> DataFrame:
     """Per row: key, the measures, base_failed and kept.
 
+    Stop words are asked for only in texts whose language column names a
+    language of the list; a text in another or no language is not judged by
+    them.  No rule has an upper bound on the length of a text.
+
     A null or empty text has no words and fails the base rules.  Repeated
     rows give repeated results; an empty table gives an empty result; texts
     are measured whole, of any length.
     """
-    narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    known = F.col(f"`{language}`") if language in docs.columns else F.lit(None)
+    narrow = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), known.cast("string").alias("lang"))
     return judged(narrow, rules).select(F.col("row.key").alias(key), *MEASURES, "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", language: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass all rules, with all their columns."""
-    return judged(docs, rules, text).where("kept").select("row.*")
+    return judged(docs, rules, text, language).where("kept").select("row.*")
 
 
 def oracle(table: str = "documents") -> str:
@@ -135,17 +150,18 @@ def oracle(table: str = "documents") -> str:
     part = lambda r: " AND ".join(
         f"100 * {r.measure} {sign} {round(bound * 100)} * {r.of}"
         for sign, bound in ((">=", r.low), ("<=", r.high)) if bound is not None)
-    both = lambda rules: " AND ".join(
-        f"({part(r)})" if not r.least else f"(n_words < {r.least} OR ({part(r)}))" for r in rules)
+    spared = lambda r: " OR ".join([*([f"n_words < {r.least}"] if r.least else []), *(["NOT listed"] if r.listed else [])])
+    both = lambda rules: " AND ".join(f"({part(r)})" if not spared(r) else f"({spared(r)} OR ({part(r)}))" for r in rules)
+    codes = ", ".join(f"'{x}'" for x in LISTED)
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM {table}),
-w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lower(lang) IN ({codes}), FALSE) AS listed FROM {table}),
+w AS (SELECT doc_id, t, listed, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
       list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
 g AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS win
       FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5)),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM g) WHERE c > 1),
 c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY doc_id),
-m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+m AS (SELECT doc_id, listed, CAST(len(ws) AS BIGINT) AS n_words,
       CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
       CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
       CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,

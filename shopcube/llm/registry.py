@@ -78,7 +78,7 @@ def op5_language_id(spark, d):
 @query("op8_minhash_dedup")
 def op8_minhash_dedup(spark, d):
     from shopcube.llm.minhash import near_duplicates
-    return near_duplicates(_documents(spark, d), width=2)
+    return near_duplicates(_documents(spark, d), width=2).drop("group_no")
 
 
 @query("op2_suffix_dedup")

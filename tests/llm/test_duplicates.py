@@ -86,6 +86,22 @@ def test_near_duplicates_on_documents(spark):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), root[r.doc_id], root[r.doc_id] == r.doc_id)
 
 
+def test_near_duplicates_of_one_id_with_other_texts(spark):
+    """Rows of one id with different texts are documents of their own, in the operator and in the stage."""
+    import corpus_pipeline
+    from shopcube.llm.minhash import near_duplicates
+    a, b, c = (sentence(i, 120) for i in (31, 32, 33))
+    rows = [(1, a), (1, b), (2, a + " word"), (3, b + " word"), (4, c), (4, c), (4, c + " more"), (5, c + " x"), (6, ""), (6, ""), (6, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs, 5).collect())
+    assert got == Counter([(1, 1, True)] * 2 + [(2, 1, False), (3, 1, False), (5, 4, False)] + [(4, 4, True)] * 3 + [(6, 6, True)] * 3)
+    left = Counter(tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect())
+    four = [k for k in left if k[0] == 4]
+    assert len(four) == 1 and left[four[0]] == 1 and four[0][1] in (c, c + " more")
+    del left[four[0]]
+    assert left == Counter([(1, a), (1, b), (6, ""), (6, " ")])
+
+
 def test_sketches_estimate_similarity():
     from shopcube.llm.shingles import sketch
     rng = np.random.default_rng(4)

@@ -16,7 +16,7 @@ def test_quality_equals_sql(spark, edge_docs, tmp_path):
     name = "op9_quality_rules"
     assert compare(QUERIES[name](spark, SF001), duck(SF001), ORACLES[name])["exact"]
     docs = edge_docs.dropDuplicates(["doc_id"])
-    docs.select("doc_id", "text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", "text", "lang").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     con = __import__("duckdb").connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert compare(quality_rules.quality(docs), con, quality_rules.oracle())["exact"]
@@ -44,6 +44,22 @@ def test_quality_measures_by_hand(edge_docs, no_docs):
     assert {r.doc_id for r in kept.collect()} == good
 
 
+def test_quality_of_other_languages_and_long_texts(spark):
+    """Stop words judge the languages of the list only; no text is too long."""
+    import random
+
+    from shopcube.llm.quality_rules import RULES, quality
+    assert all(r.high is None or r.of != "one" for r in RULES)
+    r = random.Random(1)
+    words = ["ромашка", "поле", "весна", "książka", "zażółć", "góra", "rzeka", "дерево", "słońce", "небо"]
+    text = " ".join(r.choice(words) + str(r.randrange(90)) for _ in range(200))
+    rows = [(1, text, "ru"), (2, text, None), (3, text, "en"), (4, text + " the of and a to in" * 3, "EN"), (5, text, "")]
+    got = {x.doc_id: (x.base_failed, x.kept) for x in quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == {1: (False, True), 2: (False, True), 3: (False, False), 4: (False, True), 5: (False, True)}
+    bare = quality(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert bare[0].kept
+
+
 def test_quality_plan_is_native(spark):
     from shopcube.llm.quality_rules import keep_good, quality
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
