@@ -50,18 +50,31 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id.
 
-    Of several rows with that id one stays.
+    Rows that share an id but not the text are judged each on their own; of
+    several rows of one group that share the least id, the one with the least
+    text hash stays.  Rows without an id stay.
     """
     ship_package(spark)
-    found = near_duplicates(docs, SHINGLE)
+    own = F.xxhash64(F.col("text"))
+    found = near_duplicates(docs.select("doc_id", "text", own.alias("h")), SHINGLE, keep=["h"])
     folder = scratch_path(spark, "near-duplicates")
-    found.where("NOT kept").select("doc_id").distinct().write.parquet(folder)
-    kept = docs.join(spark.read.schema("doc_id long").parquet(folder), "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not repeated.limit(1).count():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
+    found.select("doc_id", "h", "group_no", "kept").write.parquet(folder)
+    found = spark.read.schema("doc_id long, h long, group_no long, kept boolean").parquet(folder).where("doc_id IS NOT NULL")
+    gone = found.where("NOT kept").select("doc_id", "h").distinct()
+    of_group = found.where("kept").groupBy("doc_id", F.coalesce("group_no", "h").alias("g"))
+    shared = of_group.agg(F.count("*").alias("n"), F.min("h").alias("first")).where("n > 1")
+    if shared.limit(1).count():
+        more = found.where("kept").withColumn("g", F.coalesce("group_no", "h")).join(shared, ["doc_id", "g"]).where("h <> first")
+        gone = gone.unionByName(more.select("doc_id", "h")).distinct()
+        docs = _without_repeats(docs, shared.select("doc_id").distinct())
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
+    return docs.join(gone, (F.col("doc_id") == F.col("__id")) & (own == F.col("__h")), "left_anti").select(docs.columns)
+
+
+def _without_repeats(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with one of the rows that share one of ``ids`` and the text."""
+    some = docs.join(ids, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(some)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
