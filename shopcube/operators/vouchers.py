@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopcube.functions.money import PRICE, msum
 from shopcube.operators.facts import first_order_keys
+from shopcube.operators.intervals import count_in_windows
 
 
 def voucher_usage(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -40,28 +41,18 @@ def voucher_usage(items: DataFrame, orders: DataFrame) -> DataFrame:
                     F.coalesce("is_first_order", F.lit(False)).alias("first_time_customer")))
 
 
-def _validity_years(vouchers: DataFrame) -> DataFrame:
-    """One row per (voucher, calendar year its window touches): turns the
-    date-range join into an equi join on year plus a residual filter."""
-    return vouchers.select(
-        "*", F.explode(F.sequence(F.year("start_date"), F.year("end_date"))).alias("_year"))
-
-
 def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
                         usage: DataFrame) -> DataFrame:
     """Per voucher, how many live orders were eligible (inside the
     window, spend >= minimum) and how many actual uses were valid.
 
-    The range condition becomes an equi join on year.
+    Orders are counted in the windows by ``count_in_windows``: each order is
+    read once, however many vouchers cover it.
     """
-    v = _validity_years(vouchers.select("voucher_key", "start_date", "end_date", "minimum_spend"))
-    live = (priced_orders.filter(F.col("is_cancelled") == F.lit(False))
-            .select("order_key", "order_ts", "order_total_price",
-                    F.year("order_ts").alias("_year")))
-    elig = (live.join(v, "_year")
-            .where(F.col("order_ts").between(F.col("start_date"), F.col("end_date"))
-                   & (F.col("order_total_price") >= F.col("minimum_spend")))
-            .groupBy("voucher_key").agg(F.count(F.lit(1)).alias("eligible_orders")))
+    live = priced_orders.filter(F.col("is_cancelled") == F.lit(False)).select("order_ts", "order_total_price")
+    elig = (count_in_windows(live, "order_ts", "order_total_price", vouchers, "voucher_key", "start_date",
+                             "end_date", "minimum_spend")
+            .withColumnRenamed("points", "eligible_orders"))
     vu = usage.join(vouchers.select("voucher_key", "start_date", "end_date", "minimum_spend"), "voucher_key")
     in_window = F.col("usage_date").between(F.col("start_date"), F.col("end_date"))
     spend_ok = F.col("order_value_before_discount") >= F.col("minimum_spend")

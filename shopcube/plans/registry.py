@@ -559,6 +559,31 @@ def q_voucher_eligibility(spark, d):
     return voucher_eligibility(m.vouchers, m.priced_orders, m.usage)
 
 
+@query("campaign_reach", O.with_(*O.FULL) + """,
+windows AS (
+  SELECT i.product_key, MIN(i.ship_date) AS s, MAX(i.ship_date) AS e,
+         CAST(ANY_VALUE(CAST(p.p_retailprice AS DECIMAL(10,2))) * 100 AS DECIMAL(12,2)) AS least
+  FROM items i JOIN part p ON i.product_key = p.p_partkey GROUP BY i.product_key)
+SELECT w.product_key, w.s AS start_day, w.e AS end_day, CAST(w.least AS DOUBLE) AS minimum_spend,
+       COUNT(o.order_key) AS orders_reached
+FROM windows w LEFT JOIN priced o ON o.order_date BETWEEN w.s AND w.e AND o.order_total_price >= w.least
+GROUP BY w.product_key, w.s, w.e, w.least
+""")
+def q_campaign_reach(spark, d):
+    """F09 with a window for every product, from its first to its last shipment: as many windows as products."""
+    from shopcube.functions.money import dec
+    from shopcube.operators.intervals import count_in_windows
+    m = _m(spark, d)
+    windows = (m.items.groupBy("product_key").agg(F.min("ship_date").alias("start_day"), F.max("ship_date").alias("end_day"))
+               .join(m.products.select("product_key", (F.col("list_price") * dec("100")).cast("decimal(12,2)").alias("minimum_spend")),
+                     "product_key"))
+    reach = count_in_windows(m.priced_orders.select("order_date", F.col("order_total_price").cast("decimal(12,2)").alias("total")),
+                             "order_date", "total", windows, "product_key", "start_day", "end_day", "minimum_spend")
+    return (windows.join(reach, "product_key", "left")
+            .select("product_key", "start_day", "end_day", F.col("minimum_spend").cast("double").alias("minimum_spend"),
+                    F.coalesce("points", F.lit(0)).cast("bigint").alias("orders_reached")))
+
+
 @query("voucher_discounts", O.with_(*O.FULL, O.USAGE, O.VOUCHERS) + """,
 r AS (
   SELECT u.voucher_key, u.order_value_before_discount AS before, u.discount_amount, v.maximum_discount,
