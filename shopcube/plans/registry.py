@@ -103,6 +103,123 @@ def q_fact_sales(spark, d):
                     "is_cancelled", "is_returned", "is_voucher_used")
 
 
+# Members that arrive after the facts (remainders of their keys), and the last day of the first calendar.
+LATE_CUSTOMER, LATE_PRODUCT, LATE_VOUCHER, CALENDAR_END = (11, 3), (7, 2), (4, 3), "1999-12-31"
+
+STAR_SQL = (*O.FULL, O.HISTORY, O.VOUCHERS, f"""
+cust_known AS (SELECT c_custkey AS customer_key FROM customer WHERE c_custkey % {LATE_CUSTOMER[0]} <> {LATE_CUSTOMER[1]}),
+cust_versions AS (
+  SELECT customer_key, CAST(NULL AS DATE) AS valid_from, 'New' AS segment FROM cust_known
+  UNION ALL SELECT customer_key, valid_from, segment FROM hist2 WHERE customer_key IN (SELECT customer_key FROM cust_known)),
+dim_c0 AS (SELECT row_number() OVER (ORDER BY customer_key, valid_from NULLS FIRST) AS sk, customer_key, valid_from,
+                  FALSE AS is_inferred, segment FROM cust_versions),
+dim_c AS (
+  SELECT * FROM dim_c0 UNION ALL
+  SELECT (SELECT MAX(sk) FROM dim_c0) + row_number() OVER (ORDER BY customer_key), customer_key, NULL, TRUE, NULL
+  FROM (SELECT DISTINCT customer_key FROM ords WHERE customer_key NOT IN (SELECT customer_key FROM cust_known))),
+prod_all AS (SELECT p_partkey AS product_key, p_name AS product_name, p_type AS category FROM part),
+dim_p0 AS (SELECT row_number() OVER (ORDER BY product_key) AS sk, product_key, FALSE AS is_inferred, product_name, category
+           FROM prod_all WHERE product_key % {LATE_PRODUCT[0]} <> {LATE_PRODUCT[1]}),
+dim_p AS (
+  SELECT * FROM dim_p0 UNION ALL
+  SELECT (SELECT MAX(sk) FROM dim_p0) + row_number() OVER (ORDER BY product_key), product_key, TRUE, NULL, NULL
+  FROM (SELECT DISTINCT product_key FROM items WHERE product_key NOT IN (SELECT product_key FROM dim_p0))),
+dim_v0 AS (SELECT row_number() OVER (ORDER BY voucher_key) AS sk, voucher_key, FALSE AS is_inferred
+           FROM vouchers WHERE voucher_key % {LATE_VOUCHER[0]} <> {LATE_VOUCHER[1]}),
+dim_v AS (
+  SELECT * FROM dim_v0 UNION ALL
+  SELECT (SELECT MAX(sk) FROM dim_v0) + row_number() OVER (ORDER BY voucher_key), voucher_key, TRUE
+  FROM (SELECT DISTINCT voucher_key FROM items WHERE voucher_key IS NOT NULL
+        AND voucher_key NOT IN (SELECT voucher_key FROM dim_v0))),
+days AS (SELECT DISTINCT order_date AS date, time_key FROM ords),
+dim_t0 AS (SELECT row_number() OVER (ORDER BY time_key) AS sk, time_key, FALSE AS is_inferred
+           FROM days WHERE date <= DATE '{CALENDAR_END}'),
+dim_t AS (
+  SELECT * FROM dim_t0 UNION ALL
+  SELECT (SELECT COALESCE(MAX(sk), 0) FROM dim_t0) + row_number() OVER (ORDER BY time_key), time_key, TRUE
+  FROM days WHERE date > DATE '{CALENDAR_END}'),
+cust_sk AS (
+  SELECT o.order_key, arg_max(d.sk, COALESCE(d.valid_from, DATE '0001-01-01')) AS customer_sk
+  FROM ords o JOIN dim_c d ON o.customer_key = d.customer_key AND (d.valid_from IS NULL OR d.valid_from < o.order_date)
+  GROUP BY o.order_key)""")
+
+
+def _star(spark, d):
+    """Line facts with looked-up keys, and the dimensions with inferred members; some members are late by a fixed rule."""
+    from shopcube.operators.history import customer_history
+    from shopcube.operators.star import Lookup, new_dimension, new_versions, star_join
+    m = _m(spark, d)
+    known = lambda c, rule: F.col(c) % rule[0] != rule[1]
+    customers = m.customers.select("customer_key").where(known("customer_key", LATE_CUSTOMER))
+    states = customer_history(m.priced_orders).select("customer_key", "valid_from", "segment")
+    versions = (customers.select("customer_key", F.lit(None).cast("date").alias("valid_from"), F.lit("New").alias("segment"))
+                .unionByName(states.join(customers, "customer_key", "left_semi")))
+    products = m.products.select("product_key", "product_name", "category")
+    vouchers = m.vouchers.select(F.col("voucher_key").cast("int"))
+    days = m.orders.select("time_key", "order_date").distinct()
+    # customer and day are looked up once for each order, product and voucher for each line
+    orders, dims = star_join(m.orders.select("order_key", "customer_key", "time_key", "platform_key", "order_date"), [
+        (Lookup("customer", "customer_key", "customer_sk", at="order_date"), new_versions(versions, "customer_key"), "customer_key"),
+        (Lookup("time", "time_key", "time_sk"),
+         new_dimension(days.where(F.col("order_date") <= F.lit(CALENDAR_END).cast("date")).select("time_key"), "time_key"), "time_key")])
+    lines, more = star_join(m.items.select("order_key", "line_number", "product_key", "voucher_key", "paid_price"), [
+        (Lookup("product", "product_key", "product_sk"),
+         new_dimension(products.where(known("product_key", LATE_PRODUCT)), "product_key"), "product_key"),
+        (Lookup("voucher", "voucher_key", "voucher_sk"),
+         new_dimension(vouchers.where(known("voucher_key", LATE_VOUCHER)), "voucher_key"), "voucher_key")])
+    return m, lines.join(orders.drop("order_date"), "order_key"), {**dims, **more}
+
+
+@query("star_join", O.with_(*STAR_SQL) + """
+SELECT i.order_key, i.line_number, o.time_key, t.sk AS time_sk, o.customer_key, c.customer_sk,
+       i.product_key, p.sk AS product_sk, i.voucher_key, v.sk AS voucher_sk, o.platform_key,
+       CAST(i.net AS DOUBLE) AS net_sales_amount
+FROM items i JOIN ords o ON i.order_key = o.order_key JOIN cust_sk c ON i.order_key = c.order_key
+JOIN dim_t t ON o.time_key = t.time_key JOIN dim_p p ON i.product_key = p.product_key
+LEFT JOIN dim_v v ON i.voucher_key = v.voucher_key
+""")
+def q_star_join(spark, d):
+    """Every line with the keys of all its dimensions; the customer's version as of the order."""
+    _, facts, _ = _star(spark, d)
+    return facts.select("order_key", "line_number", "time_key", "time_sk", "customer_key", "customer_sk", "product_key",
+                        "product_sk", "voucher_key", "voucher_sk", "platform_key",
+                        F.col("paid_price").cast("double").alias("net_sales_amount"))
+
+
+@query("star_inferred_members", O.with_(*STAR_SQL) + """
+SELECT 'customer' AS dimension, customer_key AS business_key, sk FROM dim_c WHERE is_inferred
+UNION ALL SELECT 'product', product_key, sk FROM dim_p WHERE is_inferred
+UNION ALL SELECT 'voucher', voucher_key, sk FROM dim_v WHERE is_inferred
+UNION ALL SELECT 'time', time_key, sk FROM dim_t WHERE is_inferred
+""")
+def q_star_inferred_members(spark, d):
+    """The rows that stand for members which the facts name before they arrive."""
+    _, _, dims = _star(spark, d)
+    out = None
+    for name, key in (("customer", "customer_key"), ("product", "product_key"), ("voucher", "voucher_key"), ("time", "time_key")):
+        rows = dims[name].where("is_inferred").select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("business_key"), "sk")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("star_completed_products", O.with_(*STAR_SQL) + """,
+done AS (
+  SELECT d.sk, d.product_key, d.is_inferred AND a.product_key IS NULL AS is_inferred,
+         CASE WHEN d.is_inferred THEN a.product_name ELSE d.product_name END AS product_name,
+         CASE WHEN d.is_inferred THEN a.category ELSE d.category END AS category
+  FROM dim_p d LEFT JOIN prod_all a ON d.product_key = a.product_key)
+SELECT * FROM done UNION ALL
+SELECT (SELECT MAX(sk) FROM done) + row_number() OVER (ORDER BY product_key), product_key, FALSE, product_name, category
+FROM prod_all WHERE product_key NOT IN (SELECT product_key FROM done)
+""")
+def q_star_completed_products(spark, d):
+    """The product dimension after the late members came in: inferred rows completed in place, keys unchanged."""
+    from shopcube.operators.star import complete_members
+    m, _, dims = _star(spark, d)
+    arrived = m.products.select("product_key", "product_name", "category")
+    return complete_members(dims["product"], arrived, "product_key").select("sk", "product_key", "is_inferred", "product_name", "category")
+
+
 @query("dim_time", O.with_(O.ORDERS) + """
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS time_key, CAST(d AS DATE) AS date,
        year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
