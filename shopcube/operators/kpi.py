@@ -186,6 +186,19 @@ def rollup_kpis(daily: DataFrame, grain: str = "month") -> DataFrame:
         .alias("average_basket_size"))
 
 
+def people_ratios(rollup: DataFrame, people: DataFrame) -> DataFrame:
+    """Period totals (:func:`rollup_kpis`) with the people columns of the same platform and period, and the
+    ratios built on them.  A period without people has none (null ratios); zero wishlist users are none."""
+    both = rollup.join(people, ["platform", "period_start"], "left")
+    rev = F.col("total_sales_value")
+    return both.select(
+        "platform", "period_start", "total_sales_value", "total_orders", "visitors", "buyers", "add_to_cart_users",
+        F.nullif("wishlist_users", F.lit(0)).alias("wishlist_users"),
+        (_ratio(F.col("buyers") * 100, F.col("visitors"), 2) / 100).cast("decimal(18,4)").alias("conversion_rate"),
+        _ratio(rev, F.col("buyers"), 2).cast("decimal(28,2)").alias("revenue_per_buyer"),
+        _ratio(rev, F.col("visitors"), 2).cast("decimal(28,2)").alias("visitor_value"))
+
+
 def reconcile_kpis(daily: DataFrame, period: DataFrame) -> DataFrame:
     """Period row minus the sum of its day rows, per additive column.
 

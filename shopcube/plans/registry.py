@@ -811,6 +811,66 @@ def q_time_rollup(spark, d):
     return sales_cube(f, ["year", "quarter", "month", "day"], rollup=True)
 
 
+# Fixed value: lines that a cell of the iceberg cube holds at least.
+ICEBERG_LINES = 10
+
+
+@query("sales_cube_iceberg", O.with_(*O.BASE, O.FACT) + f"""
+SELECT time_key, product_key, customer_key, platform_key,
+       GROUPING_ID(time_key, product_key, customer_key, platform_key) AS grouping_id, COUNT(*) AS row_count,
+       CAST(SUM(quantity) AS BIGINT) AS total_quantity, CAST(SUM(net) AS DOUBLE) AS net_sales
+FROM fact GROUP BY CUBE (time_key, product_key, customer_key, platform_key) HAVING COUNT(*) >= {ICEBERG_LINES}
+""")
+def q_sales_cube_iceberg(spark, d):
+    """G20 at the declared grain, day x product x customer x platform: all cells of 10 lines and more."""
+    from shopcube.operators.iceberg import iceberg_cube
+    fact = _m(spark, d).fact.select("time_key", "product_key", "customer_key", "platform_key",
+                                    F.col("quantity_sold").cast("bigint").alias("quantity"), "net_sales_amount")
+    cells = iceberg_cube(fact, ["time_key", "product_key", "customer_key", "platform_key"],
+                         {"quantity": "total_quantity", "net_sales_amount": "net_sales"}, ICEBERG_LINES)
+    return cells.withColumn("net_sales", F.col("net_sales").cast("double"))
+
+
+_PEOPLE = ", ".join(f"COUNT(DISTINCT customer_key) FILTER (WHERE {rule}) AS {kind}" for kind, rule in (
+    ("visitors", "TRUE"), ("buyers", "NOT is_cancelled"), ("add_to_cart_users", "voucher_total > 0"),
+    ("wishlist_users", "has_return")))
+
+
+def _people(spark, d):
+    """The stored bitmaps of all days: nothing after this reads an order."""
+    from shopcube.operators.dims import assign_surrogate_keys
+    from shopcube.operators.people import people_bitmaps, store_bitmaps
+    from shopcube.session import scratch_path
+    m = _m(spark, d)
+    numbers = assign_surrogate_keys(m.customers.select("customer_key"), "customer_key")
+    path = scratch_path(spark, "people-bitmaps")
+    store_bitmaps(people_bitmaps(m.priced_orders, numbers), path)
+    return m, spark.read.parquet(path)
+
+
+@query("people_rollup", O.with_(*O.FULL) + " UNION ALL ".join(f"""
+SELECT '{grain}' AS grain, CAST(date_trunc('{grain}', order_date) AS DATE) AS period_start, {platform} AS platform_key, {_PEOPLE}
+FROM priced GROUP BY ALL""" for grain in ("week", "month", "quarter", "year") for platform in ("platform_key", "CAST(NULL AS INTEGER)")))
+def q_people_rollup(spark, d):
+    """G18 over any period: distinct people by week, month, quarter and year, for each platform and all."""
+    from shopcube.operators.people import people_rollup
+    return people_rollup(_people(spark, d)[1])
+
+
+@query("kpi_rollup_people", O.with_(*O.FULL, KPI_PERIOD) + """
+SELECT platform, period_start, total_sales_value, total_orders, visitors, buyers, add_to_cart_users, wishlist_users,
+       conversion_rate, revenue_per_buyer, visitor_value
+FROM (SELECT platform, period_start, """ + O.KPI_MEASURES + " FROM kp)")
+def q_kpi_rollup_people(spark, d):
+    """K06 whole: months from day rows and stored bitmaps, people columns and the ratios on them included."""
+    from shopcube.operators.dims import with_platform_name
+    from shopcube.operators.kpi import people_ratios, rollup_kpis
+    from shopcube.operators.people import people_counts
+    m, bitmaps = _people(spark, d)
+    people = with_platform_name(people_counts(bitmaps, ["platform_key", F.trunc("date", "month").alias("period_start")]), spark)
+    return doubles(people_ratios(rollup_kpis(m.kpi.daily), people))
+
+
 @query("fact_traffic", O.with_(O.EVENTS) + "SELECT * FROM traffic")
 def q_fact_traffic(spark, d):
     from shopcube.operators.traffic import fact_traffic
