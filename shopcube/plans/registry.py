@@ -1069,6 +1069,55 @@ def q_product_identity(spark, d):
     return product_identity(m.fact, m.products)
 
 
+CATALOGUES_SQL = """
+WITH parts AS (SELECT *, CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) AS cents, split_part(p_name, ' ', 1) AS w1,
+                      split_part(p_name, ' ', -1) AS w2 FROM part),
+c1 AS (SELECT 'L' || substr(md5('L' || p_partkey), 1, 16) AS item_id, p_name AS title, p_brand AS brand, p_type AS type,
+              p_size AS size, cents, p_partkey FROM parts WHERE p_partkey % 10 <> 4),
+c2a AS (SELECT *, CASE WHEN p_partkey % 5 = 1 THEN w2 || ' new' ELSE w2 || ', ' || w1 END AS t FROM parts WHERE p_partkey % 10 <> 7),
+c2 AS (SELECT 'S' || substr(md5('S' || p_partkey), 1, 16) AS item_id, CASE WHEN p_partkey % 3 = 0 THEN upper(t) ELSE t END AS title,
+              upper(replace(p_brand, '#', ' ')) AS brand, lower(p_type) AS type,
+              CASE WHEN p_partkey % 11 = 3 THEN p_size + 1 ELSE p_size END AS size, cents + (p_partkey % 7 - 3) * 20 AS cents, p_partkey
+       FROM c2a),
+n AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(lower(title), '[^a-z0-9]+'), lambda x: x <> '')) AS words,
+             regexp_replace(lower(brand), '[^a-z0-9]+', '', 'g') AS brand, regexp_replace(lower(type), '[^a-z0-9]+', '', 'g') AS type,
+             size, cents FROM (SELECT * FROM c1 UNION ALL SELECT * FROM c2)),
+met AS (SELECT a.item_id AS a, b.item_id AS b, len(list_intersect(a.words, b.words)) AS common, len(a.words) + len(b.words) AS n,
+               a.size = b.size AS same_size, abs(a.cents - b.cents) AS gap
+        FROM n a JOIN n b ON a.brand = b.brand AND a.type = b.type AND a.item_id LIKE 'L%' AND b.item_id LIKE 'S%'
+         AND abs(a.cents - b.cents) <= 1000),
+pairs AS (SELECT a, b, 200 * common // n + CASE WHEN same_size THEN 50 ELSE 0 END + 50 - gap * 50 // 1000 AS score
+          FROM met WHERE common > 0 AND 200 * common // n + CASE WHEN same_size THEN 50 ELSE 0 END + 50 - gap * 50 // 1000 >= 60),
+matches AS (SELECT a, b, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS ra, row_number() OVER (PARTITION BY b ORDER BY score DESC, a) AS rb
+  FROM pairs) WHERE ra = 1 AND rb = 1)"""
+
+
+def _catalogues(spark, d):
+    from shopcube.sources.catalogues import first_catalogue, second_catalogue
+    part = _m(spark, d).t.part
+    return first_catalogue(part), second_catalogue(part)
+
+
+@query("catalogue_pairs", CATALOGUES_SQL + " SELECT a AS lazada_item_id, b AS shopee_item_id, CAST(score AS BIGINT) AS score FROM pairs")
+def q_catalogue_pairs(spark, d):
+    """Blocking and scoring of two catalogues without a common key."""
+    from shopcube.operators.matching import scored_pairs
+    return scored_pairs(*_catalogues(spark, d)).select(F.col("a").alias("lazada_item_id"), F.col("b").alias("shopee_item_id"), "score")
+
+
+@query("catalogue_identity", CATALOGUES_SQL + """
+SELECT COALESCE(x.item_id, y.item_id) AS universal_id, x.item_id AS lazada_item_id, y.item_id AS shopee_item_id,
+       COALESCE(x.title, y.title) AS title, CAST(m.score AS BIGINT) AS score
+FROM c1 x LEFT JOIN matches m ON x.item_id = m.a FULL JOIN c2 y ON m.b = y.item_id
+""")
+def q_catalogue_identity(spark, d):
+    """One row a product, with its id in either marketplace, from mutual best matches."""
+    from shopcube.operators.matching import one_to_one, scored_pairs, universal_products
+    first, second = _catalogues(spark, d)
+    return universal_products(first, second, one_to_one(scored_pairs(first, second), rounds=1))
+
+
 @query("voucher_products", O.with_(*O.BASE, O.VOUCHERS) + """
 SELECT DISTINCT v.voucher_key, p.p_partkey AS product_key,
        'V' || lpad(CAST(v.voucher_key AS VARCHAR), 3, '0') AS voucher_id,
