@@ -13,18 +13,20 @@ from shopcube.functions.money import safe_div
 
 
 def voucher_products(vouchers: DataFrame, products: DataFrame) -> DataFrame:
-    """one row per (voucher, product) from the voucher's JSON category
-    list; malformed or empty lists contribute nothing; duplicates collapse."""
-    cats = (vouchers.select("voucher_key", "voucher_id", "discount_value", "discount_percentage",
-                            F.explode(F.from_json("applicable_categories", "array<string>"))
-                            .alias("category"))
-            .dropDuplicates(["voucher_key", "category"]))
-    # bounded side (vouchers x listed categories), de-duplicated before the
-    # join: a product has one category, so each (voucher, product) pair is
-    # produced once and the large side needs no de-duplication
-    j = products.select("product_key", "sku_id", "category").join(cats, "category")
-    return j.select("voucher_key", "product_key", "voucher_id", "sku_id", "discount_value",
-                    "discount_percentage")
+    """one row per (voucher, product) from the voucher's JSON lists of
+    categories and of product ids (sku_id); a product that both lists name is
+    one row.  Malformed or empty lists contribute nothing; duplicates collapse."""
+    cols = ["voucher_key", "voucher_id", "discount_value", "discount_percentage"]
+    lists = [("category", "applicable_categories")] + [
+        ("sku_id", "applicable_products")] * ("applicable_products" in vouchers.columns)
+    # the listed names are the bounded side, de-duplicated before the join;
+    # a product has one category and one id, so each list gives a pair once
+    p = products.select("product_key", "sku_id", "category")
+    pairs = [p.join(vouchers.select(*cols, F.explode(F.from_json(text, "array<string>")).alias(name))
+                    .dropDuplicates(["voucher_key", name]), name)
+             .select("voucher_key", "product_key", "voucher_id", "sku_id", "discount_value", "discount_percentage")
+             for name, text in lists]
+    return pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1]).dropDuplicates(["voucher_key", "product_key"])
 
 
 def voucher_status(as_of: Column, start: Column, end: Column) -> Column:
@@ -113,11 +115,15 @@ def display_value(x: Column) -> Column:
 def headline_totals(model) -> DataFrame:
     """Row counts of the main tables and total revenue, one row; the
     other tables' counts enter as scalar subqueries."""
+    from shopcube.operators.traffic import fact_activity
     o = model.priced_orders.agg(
-        F.count(F.lit(1)).alias("orders_with_lines"),
+        F.count(F.lit(1)).alias("orders"), F.count_if(F.col("line_count") > 0).alias("orders_with_lines"),
         F.sum(F.when(F.col("is_cancelled") == F.lit(False), F.col("buyer_paid_price")))
         .cast("double").alias("net_revenue"))
     count = lambda df: df.agg(F.count(F.lit(1))).scalar()
     return o.select("*", count(model.items).alias("order_items"),
                     count(model.customers).alias("customers"),
-                    count(model.products).alias("products"))
+                    count(model.products).alias("products"),
+                    count(model.dim_time).alias("calendar_days"),
+                    count(model.vouchers).alias("vouchers"),
+                    count(fact_activity(model.t.events)).alias("activities"))

@@ -9,10 +9,14 @@ whole in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopcube.functions.money import MONEY, PRICE, msum
+from shopcube.functions.money import MONEY, PRICE, cents_to_money, msum, to_cents
+
+# The natural key of a line: feeds may number two lines of an order alike.
+LINE = ["order_key", "line_number", "product_key", "supplier_key"]
+
 
 def _zero() -> F.Column:
     return F.lit(0).cast(PRICE)
@@ -116,6 +120,27 @@ def fact_sales(items: DataFrame, orders: DataFrame, products: DataFrame | None =
     return f.select(*cols, F.col("unit_cost"), profit.alias("profit_amount"))
 
 
+def allocate_shipping(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Shipping revenue of each line: the order's fee in exact cents, in proportion to the lines' gross.
+
+    Line i of an order gets floor(fee * g(1..i) / g) - floor(fee * g(1..i-1) / g),
+    so the lines add up to the fee.  An order whose lines are all worth
+    nothing puts the fee on its first line; an order without fee has none (0).
+    A window over the lines of one order is bounded by the order.
+    """
+    w = Window.partitionBy("order_key").orderBy(*LINE[1:]).rowsBetween(Window.unboundedPreceding, 0)
+    first = Window.partitionBy("order_key").orderBy(*LINE[1:])
+    whole = Window.partitionBy("order_key")
+    fee = orders.select("order_key", to_cents(F.coalesce("shipping_fee", _zero())).alias("_fee"))
+    g = items.select(*LINE, to_cents("total_item_price").alias("_g")).join(fee, "order_key")
+    g = g.select("*", F.sum("_g").over(w).alias("_to"), F.sum("_g").over(whole).alias("_all"), F.row_number().over(first).alias("_i"))
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    upto = lambda part: F.floor((wide("_fee") * part).cast("decimal(38,0)") / wide("_all")).cast("bigint")
+    share = F.when(F.col("_all") > 0, upto(wide("_to")) - upto((wide("_to") - wide("_g")).cast("decimal(19,0)"))) \
+        .otherwise(F.when(F.col("_i") == 1, F.col("_fee")).otherwise(0))
+    return g.select(*LINE, cents_to_money(share, PRICE).alias("shipping_revenue"))
+
+
 def fact_orders(items: DataFrame, orders: DataFrame, commission_rate: str = "0.05") -> DataFrame:
     """Fact_Orders (line grain) with commission, subsidy and seller payout.
 

@@ -16,11 +16,14 @@ from shopcube.functions.money import PRICE, msum
 from shopcube.operators.facts import first_order_keys
 from shopcube.operators.intervals import count_in_windows
 
+VOUCHER_SPACE = 1 << 31  # voucher keys are ints
+
 
 def voucher_usage(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Voucher_Usage: one row per (voucher, order) that used a voucher.
 
-    discount = sum of the voucher's line discounts, value before = gross of
+    usage_key is unique for any order and voucher key (voucher keys are
+    below 2**31); discount = sum of the voucher's line discounts, value before = gross of
     those lines, after = net; first_time_customer = the order is the
     customer's first order.
     """
@@ -32,7 +35,8 @@ def voucher_usage(items: DataFrame, orders: DataFrame) -> DataFrame:
     o = (orders.select("order_key", "customer_key", "time_key", "order_ts")
          .join(first_order_keys(orders), "order_key", "left"))
     return (per_order.join(o, "order_key", "inner")
-            .select((F.col("order_key") * 1000 + F.col("voucher_key")).alias("usage_key"),
+            .select((F.col("order_key").cast("decimal(19,0)") * VOUCHER_SPACE + F.col("voucher_key"))
+                    .cast("decimal(29,0)").alias("usage_key"),
                     "voucher_key", "order_key", "customer_key", "time_key",
                     F.format_string("SAVE%02d", "voucher_key").alias("voucher_code"),
                     "discount_amount", "order_value_before_discount",

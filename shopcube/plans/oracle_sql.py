@@ -115,7 +115,7 @@ dim_customers AS (
 
 USAGE = """
 usage AS (
-  SELECT i.order_key * 1000 + i.voucher_key AS usage_key, i.voucher_key, i.order_key,
+  SELECT CAST(i.order_key * 2147483648 + i.voucher_key AS BIGINT) AS usage_key, i.voucher_key, i.order_key,
          o.customer_key, o.time_key, 'SAVE' || lpad(CAST(i.voucher_key AS VARCHAR), 2, '0') AS voucher_code,
          CAST(SUM(i.discount) AS DECIMAL(10,2)) AS discount_amount,
          CAST(SUM(i.gross) AS DECIMAL(10,2)) AS order_value_before_discount,

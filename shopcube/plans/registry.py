@@ -220,6 +220,64 @@ def q_star_completed_products(spark, d):
     return complete_members(dims["product"], arrived, "product_key").select("sk", "product_key", "is_inferred", "product_name", "category")
 
 
+@query("shipping_by_line", O.with_(*O.BASE) + """,
+run AS (
+  SELECT i.order_key, i.line_number, i.product_key, i.supplier_key,
+         CAST(COALESCE(o.shipping_fee, 0) * 100 AS HUGEINT) AS fee, CAST(i.gross * 100 AS HUGEINT) AS g,
+         SUM(CAST(i.gross * 100 AS HUGEINT)) OVER (PARTITION BY i.order_key
+             ORDER BY i.line_number, i.product_key, i.supplier_key ROWS UNBOUNDED PRECEDING) AS upto,
+         SUM(CAST(i.gross * 100 AS HUGEINT)) OVER (PARTITION BY i.order_key) AS total
+  FROM items i JOIN ords o ON i.order_key = o.order_key)
+SELECT order_key, line_number, product_key, supplier_key, CAST(CAST(fee * upto // total - fee * (upto - g) // total AS DECIMAL(18,0)) * 0.01 AS DOUBLE) AS shipping_revenue
+FROM run
+""")
+def q_shipping_by_line(spark, d):
+    """the order's shipping fee on its lines, exact to the cent."""
+    from shopcube.operators.facts import allocate_shipping
+    m = _m(spark, d)
+    return doubles(allocate_shipping(m.items, m.orders))
+
+
+_KEY_LOADS = """
+SELECT {cols}, {sk}_rank AS {sk}, first_load FROM (
+  SELECT *, CASE WHEN first_load THEN row_number() OVER (PARTITION BY first_load ORDER BY {cols})
+                 ELSE (SELECT COUNT(*) FROM k WHERE first_load) + row_number() OVER (PARTITION BY first_load ORDER BY {cols}) END
+         AS {sk}_rank FROM k)
+"""
+
+
+@query("fact_sales_keys", O.with_(*O.BASE) + ", k AS (SELECT DISTINCT i.order_key, i.line_number, i.product_key, i.supplier_key, o.order_date < DATE '1998-01-01' AS first_load "
+       "FROM items i JOIN ords o ON i.order_key = o.order_key)" + _KEY_LOADS.format(cols="order_key, line_number, product_key, supplier_key", sk="sales_key"))
+def q_fact_sales_keys(spark, d):
+    """stored line keys over two loads, the second one run twice; orders before 1998 are the first load."""
+    from shopcube.operators.facts import LINE
+    m = _m(spark, d)
+    lines = m.items.select(*LINE).join(m.orders.select("order_key", "order_date"), "order_key")
+    early = F.col("order_date") < F.lit("1998-01-01").cast("date")
+    return _stored_keys(spark, lines, early, LINE, "sales_key").distinct()
+
+
+@query("fact_traffic_keys", O.with_(O.EVENTS) + ", k AS (SELECT time_key, product_key, customer_key, platform_key, "
+       "time_key % 2 = 0 AS first_load FROM traffic WHERE product_key IS NOT NULL)"
+       + _KEY_LOADS.format(cols="time_key, product_key, customer_key, platform_key", sk="traffic_event_key"))
+def q_fact_traffic_keys(spark, d):
+    """stored traffic keys over two loads; even days come first."""
+    from shopcube.operators.traffic import fact_traffic
+    keys = ["time_key", "product_key", "customer_key", "platform_key"]
+    rows = fact_traffic(_m(spark, d).t.events).select(*keys).dropna()
+    return _stored_keys(spark, rows, F.col("time_key") % 2 == 0, keys, "traffic_event_key")
+
+
+def _stored_keys(spark, rows, early, keys, sk):
+    from shopcube.operators.keymap import extend_map, with_keys
+    from shopcube.session import scratch_path
+    path = scratch_path(spark, "key-map")
+    extend_map(rows.where(early), keys, path, "1")
+    for _ in range(2):                                    # a load that runs again changes nothing
+        key_map = extend_map(rows, keys, path, "2")
+    return with_keys(rows.withColumn("first_load", early), key_map, keys, sk).select(*keys, sk, "first_load")
+
+
 @query("dim_time", O.with_(O.ORDERS) + """
 SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS time_key, CAST(d AS DATE) AS date,
        year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
@@ -648,7 +706,7 @@ def q_voucher_usage(spark, d):
     """F07 + J08: usage rows with the customer's segment as of the usage."""
     from shopcube.operators.history import segment_at_usage
     m = _m(spark, d)
-    return doubles(segment_at_usage(m.usage, m.priced_orders))
+    return doubles(segment_at_usage(m.usage, m.priced_orders).withColumn("usage_key", F.col("usage_key").cast("bigint")))
 
 
 @query("voucher_eligibility", O.with_(*O.FULL, O.USAGE, O.VOUCHERS) + """,
@@ -1133,6 +1191,26 @@ def q_voucher_products(spark, d):
     return doubles(voucher_products(m.vouchers, m.products))
 
 
+@query("voucher_product_lists", O.with_(*O.BASE, O.VOUCHERS) + """,
+named AS (
+  SELECT v.voucher_key, p.p_partkey AS product_key
+  FROM (SELECT *, unnest(CAST(applicable_categories AS JSON)::VARCHAR[]) AS category FROM vouchers) v
+  JOIN part p ON p.p_type = v.category WHERE v.voucher_key % 3 <> 2
+  UNION SELECT v.voucher_key, p.p_partkey FROM vouchers v JOIN part p ON p.p_partkey % 40 = v.voucher_key)
+SELECT n.voucher_key, n.product_key, 'SKU-' || CAST(n.product_key AS VARCHAR) AS sku_id FROM named n
+""")
+def q_voucher_product_lists(spark, d):
+    """F08 with both lists: vouchers that name products by id (every 40th, by voucher), categories, or both."""
+    from shopcube.operators.analytics import voucher_products
+    m = _m(spark, d)
+    lists = (m.products.groupBy((F.col("product_key") % 40).cast("int").alias("voucher_key"))
+             .agg(F.to_json(F.collect_list("sku_id")).alias("applicable_products")))
+    vouchers = (m.vouchers.drop("applicable_products").join(lists, "voucher_key", "left")
+                .withColumn("applicable_categories", F.when(F.col("voucher_key") % 3 == 2, "[broken")
+                            .otherwise(F.col("applicable_categories"))))
+    return voucher_products(vouchers, m.products).select("voucher_key", "product_key", "sku_id")
+
+
 @query("voucher_status", O.with_(*O.BASE, O.VOUCHERS) + """
 SELECT voucher_key, voucher_code, start_date, end_date,
        CASE WHEN a.d > end_date THEN 'Expired' WHEN a.d < start_date THEN 'Inactive' ELSE 'Active' END
@@ -1148,11 +1226,14 @@ def q_voucher_status(spark, d):
                     voucher_status(as_of, F.col("start_date"), F.col("end_date")).alias("status"))
 
 
-@query("headline_totals", O.with_(*O.FULL) + """
-SELECT COUNT(*) AS orders_with_lines,
+@query("headline_totals", O.with_(*O.FULL, O.VOUCHERS, O.EVENTS) + """
+SELECT COUNT(*) AS orders, COUNT(*) FILTER (WHERE line_count > 0) AS orders_with_lines,
        CAST(SUM(buyer_paid_price) FILTER (WHERE NOT is_cancelled) AS DOUBLE) AS net_revenue,
        (SELECT COUNT(*) FROM lineitem) AS order_items, (SELECT COUNT(*) FROM customer) AS customers,
-       (SELECT COUNT(*) FROM part) AS products
+       (SELECT COUNT(*) FROM part) AS products,
+       (SELECT date_diff('day', date_trunc('year', MIN(order_date)), date_trunc('year', MAX(order_date)) + INTERVAL 1 YEAR)
+        FROM ords) AS calendar_days,
+       (SELECT COUNT(*) FROM vouchers) AS vouchers, (SELECT COUNT(*) FROM activity) AS activities
 FROM priced
 """)
 def q_headline_totals(spark, d):
