@@ -1,11 +1,12 @@
-"""Loading: feed union (U01), staging alignment (L01), upsert (L03-L04, L06),
-atomic versioned tables (L05, L07-L08).
-
-Parquet has no transactions and overwriting a path while reading it loses
-data, so a table is a directory of immutable versions ``v=000001, ...``; a
-version is visible once Spark's job commit wrote its ``_SUCCESS`` marker,
-and readers take the newest committed one.  A failed or killed job leaves
-an uncommitted directory that readers ignore -- all or nothing.
+"""Loading: feed union (U01), staging alignment (L01), upsert
+into stored tables (L05, L07-L08).
+
+A stored table is partitioned by a hash of its key.  A load reads only the
+buckets that its rows fall into, writes the merged rows to the shared scratch
+folder first, and then lets Spark replace just those partitions (dynamic
+partition overwrite): a load that fails before leaves the table untouched,
+and one that is repeated merges the same rows again, which changes nothing.
+Loads into one table run one after the other.
 """
 
 from __future__ import annotations
@@ -127,68 +128,52 @@ def upsert_counts(target: DataFrame, source: DataFrame, key: str | list[str]) ->
 
 
 # --------------------------------------------------------------------------
-# Versioned tables
+# Stored tables
 # --------------------------------------------------------------------------
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+BUCKETS = 64             # partitions of a table; a table keeps its number
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+def _bucketed(df: DataFrame, key: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+def _replace_buckets(df: DataFrame, root: str, key: list[str], buckets: int) -> None:
+    (_bucketed(df, key, buckets).repartition("_bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(root))
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    v = committed_versions(spark, root)
-    return spark.read.parquet(f"{root}/v={v[-1]:06d}") if v else None
+def table_exists(spark: SparkSession, root: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def write_version(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version; visible only after a successful commit."""
-    spark = df.sparkSession
-    fs, p = _fs(spark, root)
-    used = []
-    if fs.exists(p):
-        used = [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
-                if st.getPath().getName().startswith("v=")]
-    n = max(used, default=0) + 1
-    df.write.mode("errorifexists").parquet(f"{root}/v={n:06d}")
-    return n
+def read_table(spark: SparkSession, root: str) -> DataFrame | None:
+    """The rows of a stored table, None where there is none yet."""
+    return spark.read.parquet(root).drop("_bucket") if table_exists(spark, root) else None
 
 
 def load_with_upsert(spark: SparkSession, source: DataFrame, root: str, key: str | list[str],
-                     on_duplicate: str = "error", order_by: str | None = None) -> dict:
-    """Upsert ``source`` into the versioned table at ``root``.
+                     on_duplicate: str = "error", order_by: str | None = None, buckets: int = BUCKETS) -> dict:
+    """Upsert ``source`` into the table at ``root`` and report counts.
 
-    Reads the current version, writes the merged result as the next version
-    (never over the input), and reports counts.  The first load creates v1.
+    Reads and writes the buckets of the batch's keys only; the first load
+    creates the table.  An empty batch changes nothing.
     """
-    cur = read_current(spark, root)
-    if cur is None:
-        keys = [key] if isinstance(key, str) else list(key)
+    from shopcube.session import scratch_path
+    keys = [key] if isinstance(key, str) else list(key)
+    if not table_exists(spark, root):
         src = _one_per_key(source, keys, order_by, fail_on_duplicate=on_duplicate == "error")
-        v = write_version(src, root)
-        return {"version": v, "inserted": spark.read.parquet(f"{root}/v={v:06d}").count(),
-                "updated": 0}
-    res = upsert(cur, source, key, on_duplicate, order_by)
-    counts = upsert_counts(cur, res.source, key).first().asDict()
-    v = write_version(res.merged, root)
-    return {"version": v, "inserted": counts["inserted"], "updated": counts["updated"]}
+        _replace_buckets(src, root, keys, buckets)
+        return {"inserted": read_table(spark, root).count(), "updated": 0}
+    touched = [r[0] for r in _bucketed(source, keys, buckets).select("_bucket").distinct().collect()]   # <= buckets
+    current = spark.read.parquet(root).where(F.col("_bucket").isin(touched)).drop("_bucket")
+    res = upsert(current, source, keys, on_duplicate, order_by)
+    counts = upsert_counts(current, res.source, keys).first().asDict()
+    staged = scratch_path(spark, "upsert")
+    res.merged.write.parquet(staged)
+    _replace_buckets(spark.read.schema(res.merged.schema).parquet(staged), root, keys, buckets)
+    return {"inserted": counts["inserted"], "updated": counts["updated"]}
 
 
 def export_json(df: DataFrame, path: str) -> None:

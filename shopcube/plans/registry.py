@@ -1391,17 +1391,17 @@ def q_stream_alerts(spark, d):
 @query("stream_upsert", "SELECT o_orderkey AS order_key, CAST(o_totalprice AS DOUBLE) AS total, o_orderstatus AS status FROM orders")
 def q_stream_upsert(spark, d):
     """The orders merged batch by batch into a table that holds an older state of half of them."""
-    from shopcube.operators.load import read_current
+    from shopcube.operators.load import load_with_upsert, read_table
     from shopcube.session import scratch_path
     from shopcube.streaming.jobs import run_available_now, upsert_stream
     rows = lambda df: df.select(F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").cast("double").alias("total"),
                                 F.col("o_orderstatus").alias("status"), F.lit(1).alias("revision"))
     path, root = f"{d}/orders.parquet", scratch_path(spark, "orders-table")
     older = rows(spark.read.parquet(path)).where("order_key % 2 = 0")
-    older.withColumn("total", F.lit(0.0)).withColumn("revision", F.lit(0)).write.parquet(f"{root}/v=000001")
+    load_with_upsert(spark, older.withColumn("total", F.lit(0.0)).withColumn("revision", F.lit(0)), root, "order_key")
     stream = rows(spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*"))
     run_available_now(stream, scratch_path(spark, "orders-ckpt"), sink=upsert_stream("order_key", root, "last", "revision"))
-    return read_current(spark, root).drop("revision")
+    return read_table(spark, root).drop("revision")
 
 
 def _exported(spark, d) -> dict[str, str]:
@@ -1444,11 +1444,19 @@ def _streamed(spark, d) -> str:
     return out
 
 
-@query("stream_kpi_ingest", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY + " WHERE platform = 'Shopee'")
+@query("stream_kpi_ingest", f"""
+SELECT platform, 'day' AS kind, date, NULL AS reason, total_sales_value, total_orders, visitors, CAST(1 AS BIGINT) AS rows
+FROM ({O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY})
+UNION ALL SELECT platform, 'rejected', NULL, reason, NULL, NULL, NULL, rows FROM ({ORACLES["kpi_quarantine"]})
+""")
 def q_stream_kpi_ingest(spark, d):
-    """The same files dropped into a folder and taken in by a stream; the days of the marketplace that its SQL names."""
-    days = spark.read.parquet(f"{_streamed(spark, d)}/daily").where("platform = 'Shopee'")
-    return doubles(days.select(*_CSV_COLUMNS))
+    """The files of both marketplaces dropped into folders and taken in by streams: the days, and what was rejected."""
+    out = _streamed(spark, d)
+    days = doubles(spark.read.parquet(f"{out}/daily").select(*_CSV_COLUMNS))
+    days = days.select("platform", F.lit("day").alias("kind"), "date", F.lit(None).cast("string").alias("reason"),
+                       *_CSV_COLUMNS[2:], F.lit(1).cast("bigint").alias("rows"))
+    rejected = spark.read.parquet(f"{out}/quarantine").groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("rows"))
+    return days.unionByName(rejected.withColumn("kind", F.lit("rejected")), allowMissingColumns=True)
 
 
 @query("stream_kpi_uploads", O.with_(*O.FULL, KPI_DAILY) + _CSV_DAILY)

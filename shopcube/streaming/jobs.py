@@ -118,28 +118,16 @@ def write_kpi_batches(out_root: str):
 
 def upsert_stream(key: str, table_root: str, on_duplicate: str = "last",
                   order_by: str | None = None):
-    """foreachBatch sink that upserts each micro-batch into the
-    versioned table, on top of whatever version it finds there.
-
-    A batch is known by (query id, batch id): one that is replayed finds its
-    mark and is skipped, while a new stream, or one that starts on a loaded
-    table, misses nothing.  A batch that was stored but not yet marked is
-    merged again, which changes nothing."""
-    from shopcube.operators.load import committed_versions, path_exists, upsert
+    """foreachBatch sink that upserts each micro-batch into a stored
+    table, on top of whatever it holds.  Only the buckets of the batch's keys
+    are read and replaced; a batch that is replayed is merged again, which
+    changes nothing as long as ``order_by`` decides between versions of a row."""
+    from shopcube.operators.load import load_with_upsert
     if on_duplicate == "last" and order_by is None:
         raise ValueError("keeping the last of several rows needs order_by")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mark = f"{table_root}/_batches/query={query_id(spark)}/batch={batch_id}"
-        if path_exists(spark, f"{mark}/_SUCCESS"):
-            return
-        done = committed_versions(spark, table_root)
-        version = done[-1] + 1 if done else 1
-        current = spark.read.parquet(f"{table_root}/v={done[-1]:06d}") if done else batch.limit(0)
-        upsert(current, batch, key, on_duplicate, order_by).merged.write.mode("overwrite").parquet(
-            f"{table_root}/v={version:06d}")
-        spark.range(1).select(F.lit(version).alias("version")).write.mode("overwrite").parquet(mark)
+        load_with_upsert(batch.sparkSession, batch, table_root, key, on_duplicate, order_by)
     return sink
 
 
@@ -165,15 +153,13 @@ def run_available_now(stream: DataFrame, checkpoint: str, output_mode: str = "ap
 
 def complete_to_table(path: str):
     """foreachBatch sink for complete-mode results: each batch carries the
-    full current result, written as that batch's snapshot."""
+    full current result, written as that batch's partition."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:06d}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return sink
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    from shopcube.operators.load import _fs
-    fs, p = _fs(spark, path)
-    ids = sorted(st.getPath().getName() for st in fs.listStatus(p)
-                 if st.getPath().getName().startswith("batch="))
-    return spark.read.parquet(f"{path}/{ids[-1]}")
+    """The rows of the last batch: one partition of the folder is read."""
+    all_ = spark.read.parquet(path)
+    return all_.where(F.col("batch") == all_.agg(F.max("batch")).scalar()).drop("batch")

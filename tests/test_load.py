@@ -1,4 +1,4 @@
-"""Upsert, feed union and versioned-table semantics (FIXTURES.md §2)."""
+"""Upsert, feed union and stored-table semantics (FIXTURES.md §2)."""
 
 import datetime as dt
 from decimal import Decimal
@@ -6,9 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shopcube.operators.load import (combine_feeds, committed_versions,
-                                     load_with_upsert, read_current, upsert, upsert_counts,
-                                     write_version)
+from shopcube.operators.load import combine_feeds, load_with_upsert, read_table, upsert, upsert_counts
 
 SCHEMA = ("transaction_id string, product_name string, quantity int, price decimal(10,2), "
           "customer_name string, transaction_date timestamp_ntz, source string")
@@ -85,33 +83,36 @@ def test_source_aligned_to_target_types(spark, target):
     assert out["t5"]["source"] is None
 
 
-def test_versioned_table_is_atomic_and_idempotent(spark, target, tmp_path):
+def test_loads_into_a_stored_table(spark, target, tmp_path):
     root = str(tmp_path / "tx")
-    r1 = load_with_upsert(spark, target, root, "transaction_id")
-    assert r1["version"] == 1 and r1["inserted"] == 3
+    assert read_table(spark, root) is None
+    assert load_with_upsert(spark, target, root, "transaction_id") == {"inserted": 3, "updated": 0}
     src = rows(spark, [("t3", "pen", 4, Decimal("12.00"), "cy", T0, "Lazada"),
                        ("t7", "ink", 1, Decimal("5.00"), "eve", T0, "Shopee")])
-    r2 = load_with_upsert(spark, src, root, "transaction_id")
-    assert (r2["inserted"], r2["updated"]) == (1, 1)
-    cur = read_current(spark, root)
-    assert cur.count() == 4
-    # an uncommitted (failed) version directory is ignored by readers
-    (tmp_path / "tx" / "v=000099").mkdir()
-    assert committed_versions(spark, root) == [1, 2]
-    assert read_current(spark, root).count() == 4
-    # a failing load leaves the current version untouched
-    dup = rows(spark, [("t8", "a", 1, Decimal("1.00"), "x", T0, "L"),
-                       ("t8", "b", 1, Decimal("1.00"), "x", T0, "L")])
+    assert load_with_upsert(spark, src, root, "transaction_id") == {"inserted": 1, "updated": 1}
+    done = as_dict(read_table(spark, root))
+    assert set(done) == {"t1", "t2", "t3", "t7"} and done["t3"]["quantity"] == 4
+    # the same load again, and an empty one, change nothing
+    assert load_with_upsert(spark, src, root, "transaction_id") == {"inserted": 0, "updated": 2}
+    assert load_with_upsert(spark, src.where("false"), root, "transaction_id") == {"inserted": 0, "updated": 0}
+    assert as_dict(read_table(spark, root)) == done
+    # a failing load leaves the table as it is
+    dup = rows(spark, [("t8", "a", 1, Decimal("1.00"), "x", T0, "L"), ("t8", "b", 1, Decimal("1.00"), "x", T0, "L")])
     with pytest.raises(Exception, match="duplicate key in batch"):
         load_with_upsert(spark, dup, root, "transaction_id")
-    assert committed_versions(spark, root) == [1, 2]
+    assert as_dict(read_table(spark, root)) == done
 
 
-def test_write_version_never_overwrites(spark, target, tmp_path):
+def test_a_load_rewrites_only_its_buckets(spark, tmp_path):
+    import os
     root = str(tmp_path / "t")
-    assert write_version(target, root) == 1
-    assert write_version(target.filter(F.col("quantity") > 1), root) == 2
-    assert spark.read.parquet(f"{root}/v=000001").count() == 3
+    load_with_upsert(spark, spark.range(500).select("id", (F.col("id") * 2).alias("v")), root, "id", buckets=8)
+    files = lambda: {b: sorted(os.listdir(f"{root}/{b}")) for b in os.listdir(root) if b.startswith("_bucket=")}
+    before = files()
+    load_with_upsert(spark, spark.createDataFrame([(3, -1)], "id long, v long"), root, "id", buckets=8)
+    changed = [b for b, f in files().items() if before[b] != f]
+    assert len(before) == 8 and len(changed) == 1
+    assert read_table(spark, root).count() == 500 and read_table(spark, root).where("id = 3").first().v == -1
 
 
 def test_load_time_stamps(spark, target):
