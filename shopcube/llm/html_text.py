@@ -38,7 +38,9 @@ PAGES = 5                # and a host has a template from so many pages on
 LARGE = 3                # tokens of a class
 HOLDS = 0.85             # share of the text that the article's element holds
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+TAG_NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+INSIDE_TAG = re.compile(r"""(?:[^"'>]+|"[^"]*"|'[^']*')*""")
+COMMENT_END = re.compile(r"--!?>")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 NAMED = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 PART = re.compile(r"[a-z]+")
@@ -46,19 +48,19 @@ PART = re.compile(r"[a-z]+")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 LEFT_OUT = {"nav", "menu", "header", "footer", "aside", "form", "script", "style", "noscript", "template", "title",
-            "head", "button", "select", "textarea", "iframe", "svg", "canvas", "object", "dialog", "noframes", "noembed",
-            "xmp", "audio", "video", "math", "datalist"}
+            "head", "select", "textarea", "iframe", "svg", "canvas", "object", "dialog", "noframes", "noembed",
+            "xmp", "audio", "video", "datalist"}
 MARKED = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "banner",
           "promo", "promotion", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer",
           "header", "masthead", "cookie", "cookies", "consent", "notice", "notices", "alert", "popup", "modal", "overlay",
           "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related",
           "recommended", "recommendations", "comment", "comments", "disqus", "replies", "reply", "respond", "widget",
-          "toolbar", "pagination", "pager", "search", "complementary", "contentinfo", "gdpr", "paywall", "teaser"}
+          "toolbar", "pagination", "pager", "search", "complementary", "contentinfo", "gdpr", "paywall"}
 #: Parts of a name that may stand beside one of MARKED: main-menu, post-comments, ad_box_top.
 BESIDE = {"site", "page", "main", "global", "primary", "secondary", "top", "bottom", "left", "right", "center", "inner",
           "outer", "mobile", "desktop", "sticky", "fixed", "floating", "list", "item", "items", "link", "links", "area", "bar",
           "box", "block", "container", "wrapper", "wrap", "section", "panel", "pane", "slot", "unit", "zone", "col", "column",
-          "row", "group", "button", "buttons", "icon", "icons", "form", "thread", "message", "dialog", "policy", "media",
+          "row", "group", "button", "buttons", "icon", "icons", "form", "thread", "message", "dialog", "policy",
           "post", "posts", "entry", "entries", "article", "articles", "story", "stories", "news", "user", "google", "toggle",
           "wp", "js", "email", "mail", "facebook", "twitter", "recent", "popular", "latest", "categories", "archive", "tag",
           "tags", "meta", "author", "this", "previous", "prev", "next", "widgets", "legal", "copyright", "info", "logo", "cols",
@@ -130,20 +132,50 @@ def marked(name: str, attributes: dict[str, str], in_article: bool) -> frozenset
     return frozenset()
 
 
+def markup(html: str) -> Iterator[tuple[str, int, int, str, str]]:
+    """(kind, start, end, name, attributes) of tags and comments in page order; kind is "open", "close" or "skip".
+
+    One pass, whatever is left open: a tag that never ends is text up to the
+    place where that shows, and nothing before it is read again.
+    """
+    at, n = 0, len(html)
+    while (lt := html.find("<", at)) >= 0:
+        at = lt + 1
+        if html.startswith("<!--", lt):
+            m = COMMENT_END.search(html, min(lt + 2, n))            # <!--> is a whole comment
+            at = m.end() if m else n
+            yield "skip", lt, at, "", ""
+            continue
+        m = TAG_NAME.match(html, lt)
+        if m:
+            end = INSIDE_TAG.match(html, m.end()).end()
+            if end < n and html[end] == ">":
+                at = end + 1
+                yield ("close" if html[lt + 1] == "/" else "open"), lt, at, m[1].lower(), html[m.end():end]
+            else:
+                at = end + 1                                        # an open quote, or the end of the page
+        elif html[at:at + 1] in ("!", "?", "/"):
+            gt = html.find(">", at)
+            if gt < 0:
+                return
+            at = gt + 1
+            yield "skip", lt, at, "", ""
+
+
 NO = -1
 
 
 class Page:
     """One page: ``tags`` are [path id, name, words in it, left out, parent's path id] in page order, ``texts`` are
-    (path ids around it, text) of the blocks outside menus and the like."""
+    (element, text) of the blocks outside menus and the like.  An element is a place in ``up`` (the element around
+    it) and ``path`` (its path id); 0 is the page."""
 
     def __init__(self, html: str):
-        self.tags: list[list] = []
-        self.texts: list[tuple[tuple[int, ...], str]] = []
         self.wrappers: set[int] = set()
         while True:
-            self.tags.clear()
-            self.texts.clear()
+            self.tags: list[list] = []
+            self.texts: list[tuple[int, str]] = []
+            self.up, self.path = [0], [0]
             found = self._blocks(html)
             if found <= self.wrappers:
                 break
@@ -151,59 +183,60 @@ class Page:
 
     def _blocks(self, html: str) -> set[int]:
         """Read the page; path ids of elements that are left out by name alone and hold most of its text and its headline."""
-        # name, path id, tag, left out (by its own name alone: that path id; else NO), inside an article
-        stack: list[tuple[str, int, int, int, bool]] = [("", 0, -1, 0, False)]
+        # name, element, left out (by its own name alone: that path id; else NO), inside an article
+        stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+        where: dict[str, list[int]] = {}                                   # places in the stack of each name
+        blocks: list[int] = [0]                                            # and of the elements that are blocks
+        tag_of, own_words = [-1], [0]                                      # of each element
         lost: dict[int, int] = {}                                          # words left out by a name alone
         headed: set[int] = set()
-        out, held = [], []                                                 # words and path of the open block
-        at, n = 0, len(html)
+        out, held = [], 0                                                  # words and element of the open block
+        at, n, past = 0, len(html), 0
 
         def flush() -> None:
             if out:
                 text = " ".join("".join(out).split())
                 out.clear()
                 if text:
-                    words = text.count(" ") + 1
-                    for _, _, k, _, _ in held[0]:
-                        if k >= 0:
-                            self.tags[k][2] += words
-                    self.texts.append((tuple(x[1] for x in held[0]), text))
+                    own_words[held] += text.count(" ") + 1
+                    self.texts.append((held, text))
 
         def close(k: int) -> None:
-            if any(x[0] in BLOCKS for x in stack[k:]):
+            if blocks[-1] >= k:
                 flush()
+            for x in stack[k:]:
+                where[x[0]].pop()
             del stack[k:]
+            while blocks[-1] >= k:
+                blocks.pop()
+
+        def last(*names: str) -> int:
+            return max((where[x][-1] for x in names if where.get(x)), default=0)
 
         def write(raw: str) -> None:
+            nonlocal held
             top = stack[-1]
-            if top[3] or not raw:
-                if top[3] > 0:
-                    lost[top[3]] = lost.get(top[3], 0) + len(raw.split())
+            if top[2] or not raw:
+                if top[2] > 0:
+                    lost[top[2]] = lost.get(top[2], 0) + len(raw.split())
                 return
             if not out:
                 if raw.isspace():
                     return
-                held[:] = [tuple(stack)]
+                held = top[1]
             out.append(unescape(raw) if "&" in raw else raw)
 
-        while at < n:
-            m = MARKUP.search(html, at)
-            if m is None:
-                write(html[at:])
-                break
-            write(html[at:m.start()])
-            at = m.end()
-            name = m[2]
-            if name is None:
+        for kind, start, end, name, attributes in markup(html):
+            if start < past:                               # inside a script or the like
+                continue
+            write(html[at:start])
+            at = end
+            if kind == "skip":
                 continue
-            name = name.lower()
-            if m[1]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        close(k)
-                        break
-                    if stack[k][0] in ("article", "main", "body", "table") and name not in ("article", "main", "body", "html"):
-                        break
+            if kind == "close":
+                k = last(name)
+                if k and (name in ("article", "main", "body", "html") or k >= last("article", "main", "body", "table")):
+                    close(k)
                 if name == "p":
                     flush()
                 continue
@@ -215,88 +248,122 @@ class Page:
                 continue
             if name in BLOCKS:
                 flush()
-                for k in range(len(stack) - 1, 0, -1):     # a new block ends an open paragraph
-                    if stack[k][0] == "p":
-                        close(k)
-                        break
-                    if stack[k][0] in BLOCKS:
-                        break
+                if stack[blocks[-1]][0] == "p":            # a new block ends an open paragraph
+                    close(blocks[-1])
             ends = INLINE_END.get(name)
             if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in ends:
-                        close(k)
-                        break
-                    if stack[k][0] in ("ul", "ol", "table", "dl", "select", "menu", "article", "main"):
-                        break
+                k = last(*ends)
+                if k and k > last("ul", "ol", "table", "dl", "select", "menu", "article", "main"):
+                    close(k)
             if name in ("article", "main"):                # a menu that was never closed ends here
-                for k in range(1, len(stack)):
-                    if stack[k][0] in ("nav", "header", "head", "menu"):
-                        close(k)
-                        break
+                k = min((where[x][0] for x in ("nav", "header", "head", "menu") if where.get(x)), default=0)
+                if k:
+                    close(k)
             if name in SPACED and out:
                 out.append(" ")
-            parent, attributes = stack[-1], m[3]
+            parent = stack[-1]
+            around = self.path[parent[1]]
             named = named_attributes(attributes) if attributes else {}
-            path = xxhash.xxh3_64_intdigest(f"{name}|{''.join(k + v for k, v in named.items())}", parent[1])
-            if parent[3] == NO or name in LEFT_OUT and not (name == "header" and parent[4]) or hidden(name, named):
+            path = xxhash.xxh3_64_intdigest(f"{name}|{''.join(k + v for k, v in named.items())}", around)
+            if parent[2] == NO or name in LEFT_OUT and not (name == "header" and parent[3]) or hidden(name, named):
                 gone = NO
             else:
-                marks = frozenset() if path in self.wrappers else marked(name, named, parent[4])
-                gone = parent[3] if not marks else NO if parent[3] or not marks.isdisjoint(REMARKS) else path
-                if gone and gone == parent[3] and name in ("h1", "article", "main"):
+                marks = frozenset() if path in self.wrappers else marked(name, named, parent[3])
+                gone = parent[2] if not marks else NO if parent[2] or not marks.isdisjoint(REMARKS) else path
+                if gone and gone == parent[2] and name in ("h1", "article", "main"):
                     headed.add(gone)
-            if gone and not parent[3] and out and name not in BLOCKS and name not in SILENT:
+            if gone and not parent[2] and out and name not in BLOCKS and name not in SILENT:
                 out.append(" ")
-            self.tags.append([path, name, 0, gone, parent[1]])
+            self.tags.append([path, name, 0, gone, around])
             if attributes.endswith("/") and name in ("svg", "path"):
                 continue
             if name in RAW:
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
+                m = _raw_end(name).search(html, at)
+                gt = html.find(">", m.end()) if m else -1
                 if not gone:
-                    write(html[at:end.start() if end else n])
-                at = end.end() if end else n
+                    write(html[at:m.start() if gt >= 0 else n])
+                at = past = gt + 1 if gt >= 0 else n
                 continue
-            stack.append((name, path, len(self.tags) - 1, gone, parent[4] or name in ("article", "main")))
+            self.up.append(parent[1])
+            self.path.append(path)
+            tag_of.append(len(self.tags) - 1)
+            own_words.append(0)
+            where.setdefault(name, []).append(len(stack))
+            if name in BLOCKS:
+                blocks.append(len(stack))
+            stack.append((name, len(self.up) - 1, gone, parent[3] or name in ("article", "main")))
+        write(html[at:])
         flush()
+        for x in range(len(self.up) - 1, 0, -1):           # elements come after those around them
+            self.tags[tag_of[x]][2] += own_words[x]
+            own_words[self.up[x]] += own_words[x]
         if not headed or any(t[1] == "article" and not t[3] and t[2] for t in self.tags):
             return set()
         words = sum(lost.values()) + sum(text.count(" ") + 1 for _, text in self.texts)
         return {x for x in headed if 2 * lost.get(x, 0) > words}
 
-    def text_token(self, paths: tuple[int, ...], text: str) -> int:
-        return xxhash.xxh3_64_intdigest(text, paths[-1])
+    def text_token(self, element: int, text: str) -> int:
+        return xxhash.xxh3_64_intdigest(text, self.path[element])
+
+    def within(self, region: set[int] | None) -> list[bool]:
+        """For each element, whether it or one around it is in the region."""
+        held = [region is None or self.path[0] in region]
+        for x in range(1, len(self.up)):
+            held.append(held[self.up[x]] or self.path[x] in region)
+        return held
 
     def main(self, chosen: int | None, template: set[int]) -> str:
         """The text in the slot ``chosen`` (a path id), or else in the page's own article or main element."""
-        region = self.region(chosen)
-        return "\n\n".join(text for paths, text in self.texts
-                           if (region is None or not region.isdisjoint(paths))
-                           and (not template or self.text_token(paths, text) not in template))
+        held = self.within(self.region(chosen))
+        return "\n\n".join(text for x, text in self.texts
+                           if held[x] and (not template or self.text_token(x, text) not in template))
 
     def shared(self, chosen: int | None, template: set[int]) -> tuple[int, int]:
         """Words of the template's texts in the slot, and all words in it."""
-        region, common, every = self.region(chosen), 0, 0
-        for paths, text in self.texts:
-            if region is None or not region.isdisjoint(paths):
+        held, common, every = self.within(self.region(chosen)), 0, 0
+        for x, text in self.texts:
+            if held[x]:
                 words = text.count(" ") + 1
                 every += words
-                common += words if self.text_token(paths, text) in template else 0
+                common += words if self.text_token(x, text) in template else 0
         return common, every
 
     def region(self, chosen: int | None) -> set[int] | None:
         """The path ids of the elements that hold the article; None is the whole page."""
-        own = None
+        own: set[int] = set()
         for name in ("article", "main"):
             own = {t[0] for t in self.tags if t[1] == name and not t[3] and t[2]}
             if own:
                 break
         if chosen is None or not any(t[0] == chosen for t in self.tags):
-            return own or None
-        inside = [paths for paths, _ in self.texts if chosen in paths]
+            return self.with_headline(own) if own else None
+        held = self.within({chosen})
+        inside = {x for x, _ in self.texts if held[x]}
         # a slot within the page's own article, or one that is empty here, gives way to that article
-        around = {x for paths in inside for x in paths[:paths.index(chosen)] if x in own}
-        return around or (own if own and not inside else {chosen})
+        around, seen = set(), set()
+        for x in inside:
+            while x and x not in seen:
+                seen.add(x)
+                if not held[self.up[x]] or not held[x]:
+                    around |= {self.path[self.up[x]]} & own
+                x = self.up[x]
+        return self.with_headline(around or (own if own and not inside else {chosen}))
+
+    def with_headline(self, region: set[int]) -> set[int]:
+        """A headline beside an article that has no heading of its own belongs to it."""
+        heads = {t[0] for t in self.tags if t[1] == "h1" and not t[3] and t[2]}
+        if len(heads) != 1 or not heads.isdisjoint(region):
+            return region
+        held = self.within(region)
+        of_path = {self.path[x]: held[x] for x in range(1, len(self.up))}
+        if any(t[1] in ("h1", "h2") and not t[3] and t[2] and of_path.get(t[0]) for t in self.tags):
+            return region
+        return region | heads
+
+
+@lru_cache(32)
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}\b", re.I)
 
 
 TAG, TEXT, WHOLE, ARTICLE, MAIN, HEADLINE = range(6)
@@ -319,8 +386,8 @@ def token_vectors(pages: DataFrame) -> DataFrame:
                         t = own.setdefault(path, [KINDS.get(name, TAG), 0, 0, place, parent])
                         t[1] += 1
                         t[2] += words
-                for paths, text in page.texts:
-                    t = own.setdefault(page.text_token(paths, text), [TEXT, 0, 0, 0, paths[-1]])
+                for x, text in page.texts:
+                    t = own.setdefault(page.text_token(x, text), [TEXT, 0, 0, 0, page.path[x]])
                     t[1] += 1
                     t[2] += text.count(" ") + 1
                 own[0] = [WHOLE, 1, sum(t.count(" ") + 1 for _, t in page.texts), 0, 0]

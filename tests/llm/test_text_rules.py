@@ -107,6 +107,19 @@ def test_filter_finds_all_languages_of_a_gram():
         assert (f.false_share < 0.01).all()
 
 
+@pytest.mark.parametrize("html", ["<a b " * 250_000, "<div>t" * 50_000, "<b>" * 20_000 + "</x>" * 20_000 + "t",
+                                  "<table>" + "<b>" * 20_000 + "</i>" * 20_000, '<a b="' * 150_000, "<p>" * 60_000, "<li>x" * 60_000,
+                                  "<!--" * 200_000, "<!x " * 200_000, "<" * 500_000, "<title>" * 50_000 + "</title" * 50_000,
+                                  "<script>" * 100_000 + "x"])
+def test_pages_that_never_close_take_linear_time(html):
+    import time
+
+    from shopcube.llm.html_text import Page
+    start = time.process_time()
+    Page(html).main(None, set())
+    assert time.process_time() - start < 5
+
+
 def page(body, title="T"):
     return f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{x}}</style></head><body>{body}</body></html>"
 
@@ -121,6 +134,13 @@ def page(body, title="T"):
     ("<div><p>no article here</p></div><div class='sidebar'>no</div>", "no article here"),
     ("<article hidden><p>no</p></article>", ""),
     ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table></article>", "one\n\ntwo\n\na b\n\nc"),
+    ("<article>Let <math>x</math> be <button>B</button> real</article>", "Let x be B real"),
+    ("<article><p class=teaser>Lead</p><p class='social-media'>x</p><div class='social media'>y</div></article>", "Lead\n\nx"),
+    ("<main><h1>Title</h1><article><p>a</p></article></main>", "Title\n\na"),
+    ("<h1>Title</h1><nav>m</nav><article><p>b</p></article>", "Title\n\nb"),
+    ("<h1>Site</h1><article><h2>Own</h2><p>b</p></article>", "Own\n\nb"),
+    ("<article><p>a</p><!-- x --!><p>b</p><!-- c --><p>d</p><!--></article>", "a\n\nb\n\nd"),
+    ("<article><p>1 < 2 and <a href='x>y'>z</a> <b", "1 < 2 and z"),
     ("", ""),
     ("<article><p>cut in the mid", "cut in the mid"),
 ])
