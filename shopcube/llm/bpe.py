@@ -18,6 +18,7 @@ import pyarrow as pa
 
 
 KEPT_WORDS = 600_000           # encodings a Python worker keeps between batches
+KEPT_BYTES = 256               # of words up to this length
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -164,22 +165,40 @@ class Merges:
             ids = [self.special_id] if w == self.special else enc.encode_ordinary(w.decode())
             cache[w] = array("i", ids).tobytes()
 
-    def token_ends(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(byte at which each token of each word ends, number of tokens of each word)."""
-        return self._through_cache(distinct, self.__dict__.setdefault("_ends", {}), self._remember_ends)
+    def prefix_counts(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(token counts of all prefixes of all words one after the other, bytes + 1 of each word).
 
-    def _remember_ends(self, cache: dict, words: list[bytes], missing: list[bytes]) -> None:
-        size = [len(b) for b in self.bytes_of]
+        ``count[i] = count[i - len(last[i])] + 1``, filled along the trie walk,
+        so a shared prefix is counted once.  The counts of prefixes that end
+        with a token of the whole word are negative.
+        """
+        return self._through_cache(distinct, self.__dict__.setdefault("_counts", {}), self._remember_counts)
+
+    def _remember_counts(self, cache: dict, words: list[bytes], missing: list[bytes]) -> None:
+        size = self.__dict__.get("_sizes")
+        if size is None:
+            size = self._sizes = [len(b) for b in self.bytes_of]
+        count, before = [0], b""
         for k, last in self.walk(missing):
-            i, out = len(missing[k]), []
+            word = missing[k]
             if last is None:
-                out.append(i)
+                cache[word] = array("i", [0] + [1] * (len(word) - 1) + [-1]).tobytes()
+                count, before = [0], b""
+                continue
+            n, m = 0, min(len(before), len(word))          # the prefix shared with the word before is counted
+            if word[:m] == before[:m]:
+                n = m
             else:
-                while i:
-                    out.append(i)
-                    i -= size[last[i]]
-                out.reverse()
-            cache[missing[k]] = array("i", out).tobytes()
+                while word[n] == before[n]:
+                    n += 1
+            del count[n + 1:]
+            for i in range(len(count), len(last)):
+                count.append(count[i - size[last[i]]] + 1)
+            marked, i = array("i", count), len(word)
+            while i:
+                marked[i] = -marked[i]
+                i -= size[last[i]]
+            cache[word], before = marked.tobytes(), word
 
     @staticmethod
     def _through_cache(distinct: pa.Array, cache: dict, remember) -> tuple[np.ndarray, np.ndarray]:
@@ -190,6 +209,9 @@ class Merges:
         missing = [w for w in words if w not in cache]
         remember(cache, words, missing)
         found = [cache[w] for w in words]
+        for w in missing:
+            if len(w) > KEPT_BYTES:
+                del cache[w]
         lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         return np.frombuffer(b"".join(found), np.int32), lengths
 

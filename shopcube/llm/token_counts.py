@@ -1,11 +1,11 @@
 """Operator 1: token counts by prefix dynamic programming.
 
-For every prefix of a word the last token of its encoding is kept
-(``bpe.Merges``).  ``token_counts`` walks back over the tokens of a whole
-word and keeps their ends: counts of a text are sums over its words, and the
-ends answer where a budget of tokens cuts a text without encoding it again.
-``prefix_counts`` keeps the exact count of every prefix: ``count[i] =
-count[i - len(last[i])] + 1``.
+For every prefix of a distinct word the last token of its encoding and the
+exact token count are kept: ``count[i] = count[i - len(last[i])] + 1``
+(``bpe.Merges.prefix_counts``).  Counts of a text are sums over its words,
+and the stored counts answer where a budget of tokens cuts a text without
+encoding it again.  ``prefix_counts`` returns the count of every prefix of a
+text.
 """
 
 from __future__ import annotations
@@ -33,26 +33,27 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc
     def work(texts: pa.Array) -> dict:
         m = merges(path)
         w = Words(texts, m.special)
-        ends, n = m.token_ends(w.distinct)
-        return count_columns(w, ends, n, limit)
+        counts, size = m.prefix_counts(w.distinct)
+        return count_columns(w, counts, size, limit)
 
     return map_rows(docs, [key], text, work,
                     "n_bytes long, n_tokens long, over_limit boolean, cut_bytes long")
 
 
-def count_columns(w: Words, ends: np.ndarray, n: np.ndarray, limit: int) -> dict:
+def count_columns(w: Words, counts: np.ndarray, size: np.ndarray, limit: int) -> dict:
+    """``counts``: the prefix counts of all distinct words, ``size`` of each; negative where a token of the word ends."""
     n_bytes = np.diff(w.offsets)
+    first = np.concatenate([[0], np.cumsum(size)])
+    n = np.abs(counts[first[1:] - 1]).astype(np.int64) if len(size) else np.zeros(0, np.int64)     # whole words
     running = np.concatenate([[0], np.cumsum(n[w.ids], dtype=np.int64)])   # tokens before each word
     n_tokens = running[w.bounds[1:]] - running[w.bounds[:-1]]
     cut = n_bytes.copy()
-    over = np.flatnonzero(n_tokens > limit)
-    if len(over):
-        goal = running[w.bounds[over]] + limit                 # tokens up to the cut
-        at = np.searchsorted(running, goal, "left") - 1        # word in which the last kept token ends
-        first = np.concatenate([[0], np.cumsum(n)[:-1]])
-        inside = goal - running[at]
-        end = w.starts[at] + ends[first[w.ids[at]] + inside - 1]
-        cut[over] = end - w.offsets[over]
+    for i in np.flatnonzero(n_tokens > limit).tolist():
+        goal = running[w.bounds[i]] + limit                    # tokens up to the cut
+        at = int(np.searchsorted(running, goal, "left")) - 1   # word in which the last kept token ends
+        word = w.ids[at]
+        inside = counts[first[word]:first[word + 1]]
+        cut[i] = w.starts[at] + int(np.flatnonzero(inside == running[at] - goal)[0]) - w.offsets[i]
     return {"n_bytes": pa.array(n_bytes, pa.int64()), "n_tokens": pa.array(n_tokens, pa.int64()),
             "over_limit": pa.array(n_tokens > limit), "cut_bytes": pa.array(cut, pa.int64())}
 
@@ -83,7 +84,8 @@ def count_prefixes(text: str, m: Merges) -> list[int]:
     raw = text.encode()
     starts = [*w.starts.tolist(), len(raw)]
     words = w.distinct.to_pylist()
-    progs = [_program(x, m) for x in words]
+    flat, size = m.prefix_counts(w.distinct)
+    progs = [p.tolist() for p in np.split(np.abs(flat), np.cumsum(size)[:-1])] if words else []
     out, before, k = [0], 0, 0
     run_start = run_before = 0      # white-space run that ends here, and the tokens before it
     q = 0
