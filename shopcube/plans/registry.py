@@ -661,6 +661,48 @@ def q_quality_report(spark, d):
     )
 
 
+@query("enforce_batch", O.with_(incoming.ORACLE) + """,
+o AS (SELECT *, CASE WHEN order_date IS NULL THEN 'not_null:order_date' WHEN customer_key IS NULL THEN 'not_null:customer_key'
+                     WHEN status_code NOT IN ('F', 'O', 'P') THEN 'allowed_values:status_code'
+                     WHEN total < 0 THEN 'not_negative:total' END AS own FROM in_orders),
+o2 AS (SELECT *, CASE WHEN own IS NOT NULL THEN own
+                      WHEN COUNT(*) FILTER (WHERE own IS NULL) OVER (PARTITION BY order_key) > 1 THEN 'unique:order_key'
+                      WHEN customer_key NOT IN (SELECT c_custkey FROM customer) THEN 'foreign_key:customer_key' END AS reason FROM o),
+i AS (SELECT *, CASE WHEN quantity IS NULL THEN 'not_null:quantity' WHEN discount_rate NOT BETWEEN 0 AND 1 THEN 'range:discount_rate'
+                     WHEN bad_net THEN 'price_identity:net_cents' END AS own FROM in_items),
+i2 AS (SELECT *, CASE WHEN own IS NOT NULL THEN own
+                      WHEN COUNT(*) FILTER (WHERE own IS NULL) OVER (PARTITION BY order_key, line_number, product_key) > 1
+                        THEN 'unique:order_key,line_number,product_key'
+                      WHEN order_key NOT IN (SELECT order_key FROM o2 WHERE reason IS NULL) THEN 'foreign_key:order_key'
+                      WHEN product_key NOT IN (SELECT p_partkey FROM part) THEN 'foreign_key:product_key' END AS reason FROM i)
+SELECT 'orders' AS table_name, COALESCE(reason, 'accepted') AS outcome, COUNT(*) AS rows FROM o2 GROUP BY ALL
+UNION ALL SELECT 'order_items', COALESCE(reason, 'accepted'), COUNT(*) FROM i2 GROUP BY ALL
+""")
+def q_enforce_batch(spark, d):
+    """J06, Q01-Q07 as enforcement: orders and lines as they come in, split into accepted and rejected rows by first cause."""
+    from shopcube.operators import quality as Q
+    from shopcube.operators.enforce import Constraints, Parent, enforce
+    t = _m(spark, d).t
+    identity = F.col("net_cents") == F.col("gross_cents") - F.col("discount_cents")
+    tables = [
+        Constraints("order_items", ["order_key", "line_number", "product_key"],
+                    Q.not_null("quantity") + Q.in_range("range", "discount_rate", F.col("discount_rate").between(0, 1))
+                    + Q.holds("price_identity", "net_cents", identity),
+                    [Parent("order_key", "orders", "order_key"), Parent("product_key", "products", "p_partkey")]),
+        Constraints("orders", ["order_key"],
+                    Q.not_null("order_date", "customer_key") + Q.one_of("status_code", ["F", "O", "P"])
+                    + Q.in_range("not_negative", "total", F.col("total") >= 0), [Parent("customer_key", "customers", "c_custkey")])]
+    accepted, rejected = enforce({"orders": incoming.orders(t), "order_items": incoming.order_items(t)}, tables,
+                                 {"customers": t.customer, "products": t.part})
+    out = None
+    for name in ("orders", "order_items"):
+        rows = (accepted[name].select(F.lit("accepted").alias("outcome"))
+                .unionByName(rejected[name].select(F.col("reason").alias("outcome"))))
+        rows = rows.groupBy(F.lit(name).alias("table_name"), "outcome").agg(F.count(F.lit(1)).alias("rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Phase 4: vouchers, customer state over time
 # ---------------------------------------------------------------------------
