@@ -153,6 +153,26 @@ def read_table(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(root).drop("_bucket") if table_exists(spark, root) else None
 
 
+def replace_touched(batch: DataFrame, root: str, key: list[str], buckets: int, merge) -> None:
+    """Replace the buckets that ``batch`` falls into by ``merge`` of their rows (None for a new table).
+
+    The merged rows are staged before anything is replaced; an empty batch
+    changes nothing.
+    """
+    from shopcube.session import scratch_path
+    spark = batch.sparkSession
+    if table_exists(spark, root):
+        touched = [r[0] for r in _bucketed(batch, key, buckets).select("_bucket").distinct().collect()]      # <= buckets
+        if not touched:
+            return
+        merged = merge(spark.read.parquet(root).where(F.col("_bucket").isin(touched)).drop("_bucket"))
+    else:
+        merged = merge(None)
+    staged = scratch_path(spark, "merge")
+    merged.write.parquet(staged)
+    _replace_buckets(spark.read.schema(merged.schema).parquet(staged), root, key, buckets)
+
+
 def load_with_upsert(spark: SparkSession, source: DataFrame, root: str, key: str | list[str],
                      on_duplicate: str = "error", order_by: str | None = None, buckets: int = BUCKETS) -> dict:
     """Upsert ``source`` into the table at ``root`` and report counts.

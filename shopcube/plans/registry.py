@@ -732,6 +732,39 @@ def q_customer_history(spark, d):
     return doubles(customer_history(_m(spark, d).priced_orders))
 
 
+@query("customer_history_batches", O.with_(*O.FULL, O.HISTORY) + """
+SELECT h.customer_key, h.valid_from, CAST(h.orders_to_date AS BIGINT) AS orders_to_date,
+       CAST(h.spent_to_date AS DOUBLE) AS spent_to_date, h.previous_order_date, h.segment,
+       LEAD(h.valid_from) OVER (PARTITION BY h.customer_key ORDER BY h.valid_from) AS valid_to
+FROM hist2 h
+""")
+def q_customer_history_batches(spark, d):
+    """D23 by batches: three loads whose days overlap, late rows split stored intervals."""
+    from shopcube.operators.dims import checkpointed
+    from shopcube.operators.history import load_history
+    from shopcube.session import scratch_path
+    root, orders = scratch_path(spark, "customer-history"), checkpointed(_m(spark, d).priced_orders.select(
+        "customer_key", "order_key", "order_date", "buyer_paid_price"))
+    for n in (1, 2, 0):
+        load_history(orders.where(F.col("order_key") % 3 == n), root, buckets=16)
+    return doubles(spark.read.parquet(root).select("customer_key", "valid_from", "orders_to_date", "spent_to_date",
+                                                   "previous_order_date", "segment", "valid_to"))
+
+
+@query("new_customers_batches", O.with_(*O.FULL) + """
+SELECT order_date, platform_key, COUNT(*) AS new_customers FROM priced WHERE is_first_order GROUP BY order_date, platform_key
+""")
+def q_new_customers_batches(spark, d):
+    """W01 by batches: new customers of each day from the changes of a stored index, the latest orders loaded first."""
+    from shopcube.operators.history import FIRST, load_first_orders
+    from shopcube.session import scratch_path
+    root, orders, changes = scratch_path(spark, "first-orders"), _m(spark, d).orders.select(*FIRST), []
+    for lo, hi in (("1998-01-01", "2100-01-01"), ("1995-01-01", "1999-06-01"), ("1900-01-01", "1996-06-01")):
+        changes.append(load_first_orders(orders.where(F.col("order_date").between(F.lit(lo), F.lit(hi))), root, buckets=16))
+    both = changes[0].unionByName(changes[1]).unionByName(changes[2])
+    return both.groupBy("order_date", "platform_key").agg(F.sum("change").alias("new_customers")).where("new_customers <> 0")
+
+
 @query("voucher_usage", O.with_(*O.FULL, O.USAGE, O.HISTORY) + """
 SELECT u.usage_key, u.voucher_key, u.order_key, u.customer_key, u.time_key, u.voucher_code,
        CAST(u.discount_amount AS DOUBLE) AS discount_amount,
