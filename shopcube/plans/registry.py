@@ -1463,6 +1463,55 @@ def q_stream_alerts(spark, d):
     return alert_stream(_stream_to_snapshot(spark, s, "event-alerts"), "error", 2)
 
 
+def _arriving(spark, d) -> tuple[str, DataFrame]:
+    """The events as files in the order of arrival: every 17th id comes three files late, every 13th comes twice."""
+    from shopcube.operators.dims import checkpointed
+    from shopcube.session import scratch_path
+    ev, folder = _m(spark, d).t.events, scratch_path(spark, "event-files")
+    lo, hi = ev.agg(F.min("ts")).scalar(), ev.agg(F.max("ts")).scalar()
+    days = F.datediff("ts", lo) * 5 / (F.datediff(hi, lo) + 1)
+    late = F.when(F.col("event_id") % 17 == 0, 3).otherwise(0)
+    file = F.floor(days).cast("int") + late
+    each = F.when(F.col("event_id") % 13 == 0, F.array(file, file + 1)).otherwise(F.array(file))
+    dealt = checkpointed(ev.withColumn("file", F.explode(each)))
+    for n in range(9):
+        dealt.where(F.col("file") == n).drop("file").coalesce(1).write.mode("append").parquet(folder)
+    return folder, ev
+
+
+def _reconciled(spark, d) -> DataFrame:
+    from shopcube.session import scratch_path
+    from shopcube.streaming.jobs import run_available_now
+    from shopcube.streaming.lateness import closed_days_stream, reconciled, route
+    folder, ev = _arriving(spark, d)
+    root, out = scratch_path(spark, "routed"), scratch_path(spark, "closed-days")
+    files = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    run_available_now(files, scratch_path(spark, "route-ckpt"), sink=route(root))
+    run_available_now(closed_days_stream(spark, root, ev.schema, files=40), scratch_path(spark, "closed-ckpt"), path=out)
+    closed = "day date, event_type string, events long, value_total decimal(28,2), users binary"
+    return reconciled(spark, spark.read.schema(closed).parquet(out), root, ev.schema)
+
+
+@query("stream_event_reconciled", ORACLES["stream_event_rollup"])
+def q_stream_event_reconciled(spark, d):
+    """S03, S04 with bounded state: late files are set aside and reconciled into closed days."""
+    return _reconciled(spark, d).select("day", "event_type", "events", F.col("value_total").cast("double").alias("value_total"))
+
+
+@query("stream_event_users", O.with_(O.EVENTS) + """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS period, event_type, COUNT(DISTINCT customer_key) AS users, TRUE AS within_error
+FROM ev GROUP BY 1, 2
+""")
+def q_stream_event_users(spark, d):
+    """Approximate users of each month from the days' sketches, held against the exact number."""
+    from shopcube.streaming.lateness import USERS_ERROR, users_of
+    exact = (_m(spark, d).t.events.groupBy(F.trunc(F.to_date("ts"), "month").alias("period"), "event_type")
+             .agg(F.countDistinct("user_id").alias("users")))
+    both = exact.join(users_of(_reconciled(spark, d)), ["period", "event_type"], "left")
+    near = F.abs(F.col("approx_users") - F.col("users")) <= USERS_ERROR * F.col("users") + 1
+    return both.select("period", "event_type", "users", F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
 @query("stream_upsert", "SELECT o_orderkey AS order_key, CAST(o_totalprice AS DOUBLE) AS total, o_orderstatus AS status FROM orders")
 def q_stream_upsert(spark, d):
     """The orders merged batch by batch into a table that holds an older state of half of them."""
