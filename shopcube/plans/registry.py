@@ -1596,6 +1596,24 @@ def q_stream_kpi_quarantine(spark, d):
     return q.groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("sales_summary_batches", SUMMARY_SQL)
+def q_sales_summary_batches(spark, d):
+    """G15-G19 by change sets: a load with outdated orders, their corrections, and late orders."""
+    from shopcube.operators.dims import checkpointed, with_platform_name
+    from shopcube.operators.mart_batches import load_changes, read_summary
+    from shopcube.session import scratch_path
+    root, now = scratch_path(spark, "summary-tables"), checkpointed(_m(spark, d).priced_orders)
+    outdated = F.col("order_key") % 7 == 0
+    then = (now.withColumn("is_cancelled", F.when(outdated, ~F.col("is_cancelled")).otherwise(F.col("is_cancelled")))
+            .withColumn("buyer_paid_price", F.when(outdated, F.col("buyer_paid_price") + 1).otherwise(F.col("buyer_paid_price")).cast("decimal(10,2)")))
+    signed = lambda df, sign: df.withColumn("sign", F.lit(sign))
+    first = F.col("order_key") % 3 != 0
+    load_changes(signed(then.where(first), 1), root)
+    load_changes(signed(then.where(first & outdated), -1).unionByName(signed(now.where(first & outdated), 1)), root)
+    load_changes(signed(now.where(~first), 1), root)
+    return with_platform_name(read_summary(spark, root), spark)
+
+
 @query("daily_mart", "WITH summary AS (" + SUMMARY_SQL + """)
 SELECT time_key, platform_key, total_orders, net_revenue, new_customers, CAST(year(date) AS INTEGER) AS year,
        CAST(month(date) AS INTEGER) AS month FROM summary

@@ -56,3 +56,30 @@ def test_new_customers_are_retracted(spark, tmp_path):
         want[d, p] = want.get((d, p), 0) + 1
     assert {k: v for k, v in total.items() if v} == want
     assert spark.read.parquet(root).count() == len(first)
+
+
+def test_summary_by_change_sets_replaces_touched_months_only(spark, tmp_path):
+    import os
+
+    from shopcube.operators.mart_batches import load_changes, read_summary
+    from shopcube.operators.marts import sales_summary
+    from shopcube.plans.model import Model
+    from tests.conftest import SF001
+    now = Model(spark, SF001).priced_orders.where("order_date < '1997-01-01'")
+    root = str(tmp_path / "s")
+    cols = ["time_key", "platform_key", "total_orders", "net_revenue", "unique_customers", "new_customers", "vouchers_used", "average_order_value"]
+    key = lambda df: sorted(map(tuple, df.select(*cols).collect()))
+    load_changes(now.withColumn("sign", F.lit(1)), root)
+    assert key(read_summary(spark, root)) == key(sales_summary(now))
+    files = lambda t: {m: sorted(os.listdir(f"{root}/{t}/{m}")) for m in os.listdir(f"{root}/{t}") if m.startswith("month=")}
+    before = files("days")
+    one = now.where("order_date >= '1996-03-01' AND order_date < '1996-04-01'")
+    load_changes(one.withColumn("sign", F.lit(-1)).unionByName(
+        one.withColumn("is_cancelled", F.lit(True)).withColumn("sign", F.lit(1))), root)
+    after = files("days")
+    assert {m for m in after if after[m] != before[m]} == {"month=1996-03"}
+    changed = now.withColumn("is_cancelled", F.col("is_cancelled") | F.col("order_date").between("1996-03-01", "1996-03-31"))
+    assert key(read_summary(spark, root)) == key(sales_summary(changed))
+    assert key(read_summary(spark, root, ["1996-03"])) == key(sales_summary(changed, now).where("date_format(date, 'yyyy-MM') = '1996-03'"))
+    load_changes(now.where("false").withColumn("sign", F.lit(1)), root)
+    assert files("days") == after
