@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopcube.llm.components import _stored, components
+from shopcube.llm.components import _stored, components, discard
 from shopcube.llm.minhash import least_ids
 from shopcube.llm.shingles import K1, K2, mix
 
@@ -30,7 +30,7 @@ CHUNK = 1024             # vectors of a bucket in one block
 
 def tables_for(n: int, cosine: float = COSINE) -> tuple[int, int]:
     """(sign bits, tables) for ``n`` vectors: buckets keep about their size, pairs their chance to meet."""
-    bits = min(24, max(6, int(math.log2(max(n, 1) / 64)) if n > 64 else 6))
+    bits = min(32, max(6, int(math.log2(max(n, 1) / 64)) if n > 64 else 6))      # codes have 32 bits: up to 2**38 vectors
     meet = (1 - math.acos(cosine) / math.pi) ** bits
     return bits, math.ceil(math.log(MISSED) / math.log1p(-meet))
 
@@ -203,6 +203,7 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, key: str = "vec_id",
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     of_rep = _stored(links.join(groups, "id", "left").withColumnRenamed("id", "rep"), "vector-groups")
+    discard(reps, chunks, found)
     out = drawn.select("id", *same).join(classes, same, "left").join(of_rep, "rep", "left")
     component = F.when(F.col("id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "rep", "id"))
     return out.select(

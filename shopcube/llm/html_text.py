@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopcube.llm.components import _stored
+from shopcube.llm.components import _stored, discard
 
 FREQUENT = 0.9           # a template token is on this share of a host's pages
 PAGES = 5                # and a host has a template from so many pages on
@@ -438,9 +438,11 @@ def templates(pages: DataFrame) -> DataFrame:
              .groupBy("host").agg(F.collect_list("token").alias("texts")))      # of the size of a page
     found = _stored(hosts.select("host").join(main, "host", "left").join(texts, "host", "left"), "page-slots")
     same = copies(pages.select("host", "html").join(found.where("texts IS NOT NULL"), "host"))
-    return found.join(same.withColumn("same", F.lit(True)), "host", "left").select(
+    learned = _stored(found.join(same.withColumn("same", F.lit(True)), "host", "left").select(
         "host", F.when(F.col("same"), F.col("alike")).otherwise(F.col("main")).alias("main"),
-        F.when(F.col("same").isNull(), F.col("texts")).alias("texts"))
+        F.when(F.col("same").isNull(), F.col("texts")).alias("texts")), "page-templates")
+    discard(tokens, hosts, found)
+    return learned
 
 
 def copies(pages: DataFrame) -> DataFrame:
@@ -532,8 +534,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                                                r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"), host.alias("host"),
                         F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"))
-    known = _stored(templates(rows.select("host", F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key"), "html")),
-                    "page-templates")
+    known = templates(rows.select("host", F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key"), "html"))
     joined = rows.join(known, "host", "left").select("key", "url", "html", "main", "texts")
     out = T.StructType([T.StructField(key, joined.schema["key"].dataType), T.StructField("url", joined.schema["url"].dataType),
                         T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -18,12 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopcube.llm.components import _stored, discard
+from shopcube.llm.shingles import K1, K2, mix
 from shopcube.llm.words import LETTER, Words, chunks, class_table
 
 SLOTS = 1 << 20          # slots of the filter, each a bitmask of languages
 HASHES = 3
 FLOOR = 5e-5             # least share of a language's n-grams; so at most 1 / FLOOR n-grams of each language are kept
 TYPICAL = 0.25           # and least share against the language in which the n-gram is most frequent
+LANGUAGES = 1024         # labels that are learned at most, those with the most text; so the filter has a bound
 UNKNOWN = "und"
 
 
@@ -78,14 +81,9 @@ def gram_counts(docs: DataFrame, label: str = "lang", text: str = "text") -> Dat
 
 
 def slots_of(grams: np.ndarray) -> list[np.ndarray]:
-    """The slots of each n-gram."""
-    x = grams.astype(np.uint64)
-    out = []
-    for k in range(HASHES):
-        h = (x + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        out.append(((h ^ (h >> np.uint64(29))) & np.uint64(SLOTS - 1)).astype(np.int64))
-    return out
+    """The slots of each n-gram, one for each hash: independent, also for n-grams that differ in a letter only."""
+    x = mix(grams.astype(np.uint64) * K1)
+    return [(mix(x + np.uint64((k + 1) * int(K2) % (1 << 64))) & np.uint64(SLOTS - 1)).astype(np.int64) for k in range(HASHES)]
 
 
 @dataclass
@@ -141,24 +139,24 @@ def learn(docs: DataFrame, label: str = "lang", text: str = "text") -> Filters:
     """Filters from all rows of ``docs`` with a label.
 
     The counts cover every text; what comes to the driver are the kept
-    n-grams, at most 1 / FLOOR for each language.
+    n-grams, at most 1 / FLOOR for each of at most LANGUAGES labels (a dirty
+    label column makes no larger filter; labels beyond them are not learned).
     """
-    counts = gram_counts(docs, label, text)
-    from shopcube.session import scratch_path
-    folder = scratch_path(docs.sparkSession, "language-grams")
-    counts.write.parquet(folder)
-    counts = docs.sparkSession.read.schema("lang string, gram long, n long").parquet(folder)
-    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    counts = _stored(gram_counts(docs, label, text), "language-grams")
+    most = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    totals = {r.lang: r.n for r in most.collect()}
     langs = sorted(totals)
     if not langs:
+        discard(counts)
         return Filters.build([], [])
     share = counts.join(F.broadcast(docs.sparkSession.createDataFrame(
         [(k, float(n)) for k, n in totals.items()], "lang string, total double")), "lang")
     share = share.withColumn("p", F.col("n") / F.col("total")).where(F.col("p") >= FLOOR)
     top = share.groupBy("gram").agg(F.max("p").alias("top"))
-    kept = share.join(top, "gram").where(F.col("p") >= TYPICAL * F.col("top")).select("lang", "gram").collect()
+    kept = share.join(top, "gram").where(F.col("p") >= TYPICAL * F.col("top")).select("lang", "gram").toArrow()
+    discard(counts)
     at = {name: i for i, name in enumerate(langs)}
-    return Filters.build(langs, [(at[r.lang], r.gram) for r in kept])
+    return Filters.build(langs, [(at[k], g) for k, g in zip(kept.column(0).to_pylist(), kept.column(1).to_pylist())])
 
 
 def predict(docs: DataFrame, filters: Filters, keep: list[str], text: str = "text") -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shopcube.llm.batches import map_rows
 from shopcube.llm.bpe_codec import encode_batch
+from shopcube.llm.components import _stored, discard
 from shopcube.session import scratch_path
 
 SEQUENCE = 2048          # ids in a sequence
@@ -195,9 +196,9 @@ def pack_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     demand = {r["class"]: r.n for r in staged.groupBy("class").agg(F.count("*").alias("n")).collect()}  # <= 512 rows
     plan = Plan(demand, capacity)
     placed = _placed(spark, _ranked(staged, sum(demand.values())), plan)
-    folder = scratch_path(spark, "packing-placed")
-    placed.write.parquet(folder)
-    placed = spark.read.parquet(folder)
+    placed = _stored(placed, "packing-placed")
+    staged.stored_at = folder
+    discard(staged)
 
     # several pieces share a sequence: their offsets are running sums in slot order
     whole = placed.where("sequence_id >= 0")

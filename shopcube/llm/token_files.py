@@ -86,7 +86,6 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = END
         raise ValueError("ids are staged in 16 bits")
     staged = scratch_path(spark, "token-ids")
     stage_ids(docs, path, end_id, key, text).write.option("compression", "zstd").parquet(staged)
-    spark.sparkContext._jvm.System.gc()                   # the sorted texts are not needed any more
     rows = spark.read.schema(STAGED_SCHEMA).parquet(staged)
     rows.stored_at = staged
     counts = np.zeros(size, np.int64)

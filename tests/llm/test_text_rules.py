@@ -81,6 +81,49 @@ def test_language_accuracy_on_held_out_rows(spark):
     assert sum(right) / len(right) > 0.95
 
 
+def brute_language(rows):
+    """The same rules in plain Python: sets of kept trigrams without a filter."""
+    from collections import Counter, defaultdict
+
+    import regex
+
+    def grams(text):
+        out = []
+        for run in regex.findall(r"\p{L}+", text or ""):
+            run = "".join(c.lower() if len(c.lower()) == 1 else c for c in run)
+            padded = "\0" + run + "\0"
+            out += [padded[i:i + 3] for i in range(len(run))]
+        return out
+
+    counts = defaultdict(Counter)
+    for k, text, lang in rows:
+        if lang is not None and text is not None and (k is None or zlib.crc32(str(k).encode()) % 3 != 1):
+            counts[lang].update(grams(text))
+    share = {g: {x: c[g] / sum(c.values()) for x, c in counts.items() if c[g]} for g in set().union(*counts.values())}
+    kept = {x: {g for g, p in share.items() if p.get(x, 0) >= 5e-5 and p[x] >= .25 * max(q for q in p.values() if q >= 5e-5)} for x in counts}
+    out = {}
+    for k, text, _ in rows:
+        g = grams(text)
+        votes = {x: sum(y in kept[x] for y in g) / max(len(g), 1) for x in sorted(kept)}
+        best = max(votes.values(), default=0)
+        near = .001                                        # the filter's false positives
+        out[k] = (g and {x for x, v in votes.items() if v >= best - near} or {"und"}, best if g else 0.0, near)
+    return out
+
+
+def test_language_equals_brute_force(spark):
+    """Counting, kept n-grams and votes; the filter's false positives move a score by very little."""
+    from shopcube.llm.language_id import identify
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("length(text) < 20000")
+    odd = spark.createDataFrame([(10 ** 6, "été İstanbul ß", "fr"), (10 ** 6 + 1, None, "fr"), (10 ** 6 + 2, "123 !", "de"), (10 ** 6 + 3, "x", None)],
+                                "doc_id long, text string, lang string")
+    docs = docs.select("doc_id", "text", "lang").unionByName(odd)
+    want = brute_language([tuple(r) for r in docs.collect()])
+    for r in identify(docs).collect():
+        langs, score, near = want[r.doc_id]
+        assert r.lang_pred in langs and abs(r.score - score) <= near, (r, langs, score)
+
+
 def test_language_on_edges(edge_docs, no_docs):
     from shopcube.llm.language_id import identify
     for r in identify(edge_docs).collect():
@@ -120,6 +163,20 @@ def test_pages_that_never_close_take_linear_time(html):
     assert time.process_time() - start < 5
 
 
+def test_filter_errs_on_few_trigrams():
+    """Trigrams that are alike but for a letter: false positives stay at the share that the filter reports."""
+    import itertools
+
+    import numpy as np
+    from shopcube.llm.language_id import Filters, slots_of
+    codes = np.array([a | b << 21 | c << 42 for a, b, c in itertools.product(range(97, 123), repeat=3)], np.int64)
+    kept = codes[::7]
+    f = Filters.build(["x"], [(0, g) for g in kept.tolist()])
+    s = slots_of(codes)
+    hit = (f.masks[0][s[0]] & f.masks[0][s[1]] & f.masks[0][s[2]]) & np.uint64(1)
+    assert hit[::7].all() and int(hit.sum()) - len(kept) <= 3
+
+
 def page(body, title="T"):
     return f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{x}}</style></head><body>{body}</body></html>"
 
