@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopcube.operators.dims import checkpointed
 from shopcube.operators.sequence import running_aggregates
 
 LISTED = 200_000         # borders that are sent along as one array (1.6 MB); more are merged in by sorting
@@ -78,7 +79,7 @@ def count_in_windows(points: DataFrame, time: str, value: str, windows: DataFram
     once and is no row of any join; the rows after it are cells.
     """
     w = windows.select(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"), F.col(least).alias("m"))
-    w = w.where("s IS NOT NULL AND e IS NOT NULL AND m IS NOT NULL AND s <= e")
+    w = checkpointed(w.where("s IS NOT NULL AND e IS NOT NULL AND m IS NOT NULL AND s <= e"))     # read several times
     after = F.struct(F.col("e").alias("t"), F.lit(1).alias("past"))           # just behind the window's last moment
     times = w.select(F.struct(F.col("s").alias("t"), F.lit(0).alias("past")).alias("x")).unionByName(w.select(after.alias("x")))
     amounts = w.select(F.col("m").alias("x"))
@@ -91,6 +92,7 @@ def count_in_windows(points: DataFrame, time: str, value: str, windows: DataFram
     w = w.withColumns({"t": F.struct(F.col("s").alias("t"), F.lit(0).alias("past")), "u": after})
     for name, column, borders in (("a", "t", times), ("b", "u", times), ("c", "m", amounts)):
         w = place_among(w, column, borders, name, listed)
+    w = checkpointed(w.select("k", "a", "b", "c"))
     # an order in the window has seg in [a, b) and step >= c
     levels = F.ceil(F.log2(F.greatest(w.agg(F.max("b")).scalar(), F.lit(1)) + 1)).cast("int")
     asked = (w.withColumn("levels", levels)
