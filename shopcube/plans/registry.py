@@ -1278,8 +1278,11 @@ def q_voucher_product_lists(spark, d):
     """F08 with both lists: vouchers that name products by id (every 40th, by voucher), categories, or both."""
     from shopcube.operators.analytics import voucher_products
     m = _m(spark, d)
-    lists = (m.products.groupBy((F.col("product_key") % 40).cast("int").alias("voucher_key"))
-             .agg(F.to_json(F.collect_list("sku_id")).alias("applicable_products")))
+    top = m.products.agg(F.max("product_key")).scalar()
+    named = F.transform(F.sequence(F.col("voucher_key").cast("bigint"), F.col("top"), F.lit(40).cast("bigint")),
+                        lambda k: F.concat(F.lit("SKU-"), k.cast("string")))
+    lists = (m.vouchers.select("voucher_key").withColumn("top", top).where("voucher_key <= top AND voucher_key < 40")
+             .select("voucher_key", F.to_json(named).alias("applicable_products")))
     vouchers = (m.vouchers.drop("applicable_products").join(lists, "voucher_key", "left")
                 .withColumn("applicable_categories", F.when(F.col("voucher_key") % 3 == 2, "[broken")
                             .otherwise(F.col("applicable_categories"))))
@@ -1647,6 +1650,48 @@ def q_voucher_json(spark, d):
         "voucher_code", "voucher_type", "discount_value", "discount_percentage", "minimum_spend", "start_date", "end_date"))
 
 
+@query("voucher_products_json", ORACLES["voucher_products"].replace("SELECT DISTINCT v.voucher_key, p.p_partkey AS product_key,", "SELECT DISTINCT"))
+def q_voucher_products_json(spark, d):
+    """Voucher-product rules landed as JSON lines, some pairs twice, and scanned with their declared schema."""
+    from shopcube.operators.analytics import voucher_products
+    from shopcube.session import scratch_path
+    from shopcube.sources.json_feeds import read_voucher_products
+    folder, m = scratch_path(spark, "voucher-products-json"), _m(spark, d)
+    rules = voucher_products(m.vouchers, m.products).select("voucher_id", "sku_id", "discount_value", "discount_percentage")
+    rules.unionByName(rules.where("sku_id LIKE '%7'")).write.json(folder)
+    return doubles(read_voucher_products(spark, folder))
+
+
+@query("load_stamps", """
+SELECT c_custkey AS customer_key, c_name AS name, TIMESTAMP '2024-05-01 00:00:00' AS created_at,
+       CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '2024-06-01 00:00:00' ELSE TIMESTAMP '2024-05-01 00:00:00' END AS updated_at
+FROM customer WHERE c_custkey % 5 <> 2
+UNION ALL SELECT c_custkey, c_name, TIMESTAMP '2024-06-01 00:00:00', TIMESTAMP '2024-06-01 00:00:00' FROM customer WHERE c_custkey % 5 = 2
+""")
+def q_load_stamps(spark, d):
+    """Customers loaded twice into a stored table; created stays, updated follows the load."""
+    from shopcube.operators.load import load_with_upsert, read_table, with_load_time
+    from shopcube.session import scratch_path
+    root, rows = scratch_path(spark, "customers-table"), _m(spark, d).t.customer.select(
+        F.col("c_custkey").alias("customer_key"), F.col("c_name").alias("name"))
+    old = F.col("customer_key") % 5 != 2
+    load_with_upsert(spark, with_load_time(rows.where(old), "2024-05-01 00:00:00"), root, "customer_key")
+    batch = rows.where(~old | (F.col("customer_key") % 4 == 0))
+    kept = read_table(spark, root).select("customer_key", "created_at")
+    load_with_upsert(spark, with_load_time(batch.join(kept, "customer_key", "left"), "2024-06-01 00:00:00"), root, "customer_key")
+    return read_table(spark, root).select("customer_key", "name", "created_at", "updated_at")
+
+
+@query("summary_json", "SELECT time_key, platform, total_orders, net_revenue, unique_customers FROM (" + SUMMARY_SQL + ")")
+def q_summary_json(spark, d):
+    """The daily summary exported as JSON records and read back."""
+    from shopcube.operators.load import export_json
+    from shopcube.session import scratch_path
+    folder = scratch_path(spark, "summary-json")
+    export_json(_m(spark, d).summary, folder)
+    return spark.read.schema("time_key int, platform string, total_orders long, net_revenue double, unique_customers long").json(folder)
+
+
 @query("sales_trends_keyed", "WITH summary AS (" + SUMMARY_SQL + """)
 SELECT s.time_key, s.platform, year(s.date) AS year, quarter(s.date) AS quarter,
        monthname(s.date) AS month_name, weekofyear(s.date) AS week, dayname(s.date) AS day_name,

@@ -59,7 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="shopcube-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
