@@ -73,6 +73,31 @@ def voucher_eligibility(vouchers: DataFrame, priced_orders: DataFrame,
                        "below_minimum"]]))
 
 
+def audience_eligibility(vouchers: DataFrame, priced_orders: DataFrame) -> DataFrame:
+    """F09 with the voucher's target audience: per voucher, the live orders in
+    its window that reach its minimum and whose customer belongs to it.
+
+    'all' takes every order, 'new_customers' a customer's first order, 'vip'
+    orders of customers who are VIP by the orders of earlier days; a voucher
+    with another or no audience has none.  Each order is read once for each
+    audience it belongs to, however many vouchers cover it.
+    """
+    from shopcube.operators.dims import checkpointed
+    from shopcube.operators.facts import flag_first_orders
+    from shopcube.operators.history import segment_at_usage
+    o = priced_orders.select("customer_key", "order_key", "order_ts", "order_total_price", "is_cancelled")
+    o = segment_at_usage(flag_first_orders(o, priced_orders), priced_orders, at="order_ts")
+    live = checkpointed(o.where(F.col("is_cancelled") == F.lit(False)))
+    member = {"all": F.lit(True), "new_customers": F.col("is_first_order"), "vip": F.col("customer_segment_at_usage") == "VIP"}
+    found = None
+    for audience, belongs in member.items():
+        n = count_in_windows(live.where(belongs), "order_ts", "order_total_price",
+                             vouchers.where(F.col("target_audience") == audience), "voucher_key", "start_date", "end_date", "minimum_spend")
+        found = n if found is None else found.unionByName(n)
+    return (vouchers.select("voucher_key", "target_audience").join(found, "voucher_key", "left")
+            .select("voucher_key", "target_audience", F.coalesce("points", F.lit(0)).cast("bigint").alias("eligible_orders")))
+
+
 def entitled_discount(value_before, vtype, pct, fixed, cap) -> F.Column:
     """percentage of the order value or a fixed amount, capped by the
     voucher's maximum discount; never more than the order value.  A rule

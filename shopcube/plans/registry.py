@@ -809,6 +809,26 @@ def q_voucher_eligibility(spark, d):
     return voucher_eligibility(m.vouchers, m.priced_orders, m.usage)
 
 
+@query("voucher_audience", O.with_(*O.FULL, O.HISTORY, O.VOUCHERS) + """,
+o AS (
+  SELECT p.*, CASE WHEN h.segment IS NULL THEN 'New' WHEN date_diff('day', h.valid_from, p.order_date) > 365 THEN 'Inactive'
+                   ELSE h.segment END AS segment
+  FROM priced p ASOF LEFT JOIN hist2 h ON p.customer_key = h.customer_key AND p.order_date > h.valid_from),
+v AS (SELECT *, CASE WHEN voucher_key % 4 = 0 THEN 'new_customers' WHEN voucher_key % 4 = 2 THEN 'vip' ELSE 'all' END AS target_audience
+      FROM vouchers)
+SELECT v.voucher_key, v.target_audience, COUNT(o.order_key) AS eligible_orders
+FROM v LEFT JOIN o ON o.order_ts BETWEEN v.start_date AND v.end_date AND o.order_total_price >= v.minimum_spend AND NOT o.is_cancelled
+  AND (v.target_audience = 'all' OR v.target_audience = 'new_customers' AND o.is_first_order
+       OR v.target_audience = 'vip' AND o.segment = 'VIP')
+GROUP BY v.voucher_key, v.target_audience
+""")
+def q_voucher_audience(spark, d):
+    """F09 with target audiences: first orders, orders of VIPs, or all."""
+    from shopcube.operators.vouchers import audience_eligibility
+    m = _m(spark, d)
+    return audience_eligibility(m.vouchers, m.priced_orders)
+
+
 @query("campaign_reach", O.with_(*O.FULL) + """,
 windows AS (
   SELECT i.product_key, MIN(i.ship_date) AS s, MAX(i.ship_date) AS e,
