@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.operators.dims import assign_surrogate_keys
+from shopcube.operators.dims import assign_surrogate_keys, checkpointed
 from shopcube.operators.sequence import asof_join
 
 
@@ -85,11 +85,14 @@ def star_join(facts: DataFrame, lookups: list[tuple[Lookup, DataFrame, str]]) ->
 
     ``lookups``: for each foreign key the rule, the dimension and the name of
     its business key.  Fact rows are neither lost nor multiplied: a
-    dimension holds a business key once (for each ``valid_from``).
+    dimension holds a business key once (for each ``valid_from``).  Dimensions
+    are stored before they are looked up, as they are read several times; the
+    facts are not.
     """
     out, dims = facts, {}
     for lookup, dim, key in lookups:
-        dims[lookup.name] = dim.unionByName(inferred_members(facts, lookup, dim, key))
+        dim = checkpointed(dim)
+        dims[lookup.name] = checkpointed(dim.unionByName(inferred_members(facts, lookup, dim, key)))
         out = resolve(out, lookup, dims[lookup.name], key)
     return out, dims
 

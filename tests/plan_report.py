@@ -1,7 +1,8 @@
 """Write PLANS.md: per registered query, the shuffles, join strategies and
 broadcasts of the final (post-AQE) physical plan after running it.
 
-    python tests/plan_report.py [sf_dir]
+    python tests/plan_report.py [sf_dir]              # all queries, into PLANS.md
+    python tests/plan_report.py sf_dir name [name..]  # some queries, their rows printed
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ def summarize(plan: str) -> dict:
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from shopcube.plans.registry import QUERIES
+    only = sys.argv[2:]
     spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     lines = ["# PLANS", "",
@@ -41,6 +43,8 @@ def main():
              "line-order join by measured size; at scale those joins are sort-merge joins.", "",
              "| query | nodes | scans (columns read) |", "| --- | --- | --- |"]
     for name, fn in QUERIES.items():
+        if only and name not in only:
+            continue
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         qe = df._jdf.queryExecution()
@@ -50,7 +54,9 @@ def main():
                            r"([a-z]+)\.parquet\]", plan)
         scan_s = "; ".join(f"{t}: {len(cols.split(','))}" for cols, t in scans) or "–"
         lines.append(f"| `{name}` | {nodes} | {scan_s} |")
-        print(name, flush=True)
+        print(lines[-1] if only else name, flush=True)
+    if only:
+        return
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                            "PLANS.md"), "w") as f:
         f.write("\n".join(lines) + "\n")
