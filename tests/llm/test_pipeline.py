@@ -44,11 +44,17 @@ def test_stages_on_documents(spark):
     check_packing(left.collect(), packing(spark, left, SF001).collect())
 
 
-def test_run_covers_all_stages(spark):
+def test_run_packs_what_the_stages_leave(spark):
+    """run() gives the pieces of exactly the documents that the four filtering stages leave, one after the other."""
     import corpus_pipeline as P
     got = P.run(spark, SF001)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    assert got.count() > 0
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, SF001).checkpoint()
+    left = docs.collect()
+    assert 0 < len(left) < spark.read.parquet(f"{SF001}/documents.parquet").count()
+    check_packing(left, got.collect())
 
 
 @pytest.mark.parametrize("k", range(5))
