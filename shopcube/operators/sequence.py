@@ -4,12 +4,14 @@ values) -- the exact result of ``Window.partitionBy(g).orderBy(o)
 task.
 
 A window partitioned by a hot key (one voucher or customer with a third of
-all rows) runs in a single task.  Instead:
+all rows) runs in a single task.  So groups are first counted in buckets (a
+fixed number, combined map-side).  Groups of buckets that are small beside a
+task's share go through the plain window: one shuffle.  For the others:
 
 1. range-partition and sort by (group, order): a hot group spans many
    partitions; the partition id and the position inside it come from
    ``monotonically_increasing_id`` (no extra shuffle);
-2. checkpoint, so the two passes below see identical partitions;
+2. store, so the passes below see identical partitions;
 3. inside each partition, running values per group come from a window
    partitioned by (partition id, group) -- bounded by the partition size;
 4. only the first group of a partition can continue from earlier
@@ -25,35 +27,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOW = (1 << 33) - 1
+BUCKETS = 1 << 16        # buckets in which the rows of groups are counted
+HOT_LEAST = 1000         # rows of a bucket from which its groups can be hot
 
 
 def running_aggregates(df: DataFrame, group_cols: list[str], order_cols: list,
                        sums: list[str] = (), maxes: list[str] = (), mins: list[str] = (),
-                       num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                       num_partitions: int | None = None) -> DataFrame:
     """Adds, per row, aggregates over the *preceding* rows of its group:
     ``prior_count`` (so rank = prior_count + 1), ``prior_sum_<c>``,
     ``prior_max_<c>`` and ``prior_min_<c>`` (NULL for the first row).
 
-    Because the rows are range-partitioned and sorted by (group, order), a
+    ``df`` is stored first, so it is worked out once.  Because the rows of hot
+    groups are range-partitioned and sorted by (group, order), a
     group continues from earlier partitions only as the *first* group of a
     partition, and only if it was the *last* group of the previous non-empty
     partition.  The carried-over values therefore live in a table with at
     most one row per partition (bounded by the partition count, broadcast);
     the rows themselves are never joined against a per-group table.
     """
-    from shopcube.operators.dims import checkpointed
+    from shopcube.operators.dims import stored
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(df.withColumn("_hb", F.pmod(F.xxhash64(*group_cols), F.lit(BUCKETS)).cast("int")))
+    most = max(HOT_LEAST, rows.count() // (2 * n))
+    hot = [r[0] for r in rows.groupBy("_hb").count().where(F.col("count") > most).select("_hb").collect()]  # < 2 n + 1
+    if not hot:
+        return _plain(rows, df.columns, group_cols, order_cols, sums, maxes, mins)
+    is_hot = F.col("_hb").isin(hot)
+    spread = _spread(rows.where(is_hot).drop("_hb"), group_cols, order_cols, sums, maxes, mins, n)
+    return _plain(rows.where(~is_hot), df.columns, group_cols, order_cols, sums, maxes, mins).unionByName(spread)
+
+
+def _plain(rows: DataFrame, columns: list[str], group_cols: list[str], order_cols: list, sums, maxes, mins) -> DataFrame:
+    """The running values by a window over whole groups, in the types of :func:`_spread`."""
+    from pyspark.sql import types as T
+    w = (Window.partitionBy(*group_cols).orderBy(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
+         .rowsBetween(Window.unboundedPreceding, -1))
+
+    def total(c):
+        t, s = rows.schema[c].dataType, F.sum(c).over(w)
+        return s.cast(T.DecimalType(min(38, t.precision + 21), t.scale)) if isinstance(t, T.DecimalType) else s
+
+    return rows.select(*columns, F.count(F.lit(1)).over(w).alias("prior_count"),
+                       *[total(c).alias(f"prior_sum_{c}") for c in sums],
+                       *[F.max(c).over(w).alias(f"prior_max_{c}") for c in maxes],
+                       *[F.min(c).over(w).alias(f"prior_min_{c}") for c in mins])
+
+
+def _spread(df: DataFrame, group_cols: list[str], order_cols: list, sums, maxes, mins, n: int) -> DataFrame:
+    """The running values of hot groups, each spread over many tasks."""
+    from shopcube.operators.dims import stored
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     mid = F.monotonically_increasing_id()
-    staged = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
-              .sortWithinPartitions(*group_cols, *order)
-              .withColumn("_pid", F.shiftright(mid, 33))
-              .withColumn("_pos", mid.bitwiseAND(F.lit(_LOW))))
-    if checkpoint:
-        # reliable copy: the positions above feed later shuffles, and a
-        # recomputed (indeterminate) stage could renumber them
-        staged = checkpointed(staged)
+    # stored: the positions feed later shuffles, and a recomputed
+    # (indeterminate) stage could renumber them
+    staged = stored(df.repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
+                    .sortWithinPartitions(*group_cols, *order)
+                    .withColumn("_pid", F.shiftright(mid, 33))
+                    .withColumn("_pos", mid.bitwiseAND(F.lit(_LOW))))
     gk = [f"_g{i}" for i in range(len(group_cols))]
 
     # (3) in-partition running values, exclusive of the current row

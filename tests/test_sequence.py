@@ -107,3 +107,25 @@ def test_running_aggregates_null_groups_and_empty_partitions(spark):
     cols = ["id", "prior_count", "prior_sum_v", "prior_max_v"]
     assert sorted(map(tuple, got.select(*cols).collect())) == \
         sorted(map(tuple, exp.select(*cols).collect()))
+
+
+def test_only_hot_groups_are_spread(spark, monkeypatch):
+    from decimal import Decimal
+    from shopcube.operators import sequence
+    rnd = random.Random(11)
+    data = [(None if i % 2 else rnd.randrange(400), i, rnd.choice([None, Decimal(rnd.randrange(9999)) / 100]), {"k": i}) for i in range(3000)]
+    df = spark.createDataFrame(data, "g long, id int, v decimal(10,2), m map<string,int>")
+    w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    cols = ["g", "id", "prior_count", "prior_sum_v", "prior_max_id", "prior_min_v"]
+    want = df.select("*", F.count(F.lit(1)).over(w).alias("prior_count"), F.sum("v").over(w).alias("prior_sum_v"),
+                     F.max("id").over(w).alias("prior_max_id"), F.min("v").over(w).alias("prior_min_v"))
+    key = lambda d: sorted(map(repr, (tuple(r) for r in d.select(*cols).collect())))
+    spread, real = [], sequence._spread
+    monkeypatch.setattr(sequence, "_spread", lambda rows, *a: spread.append(rows.count()) or real(rows, *a))
+    mixed = running_aggregates(df, ["g"], ["id"], sums=["v"], maxes=["id"], mins=["v"])
+    small = running_aggregates(df.where("g IS NOT NULL"), ["g"], ["id"], sums=["v"], maxes=["id"], mins=["v"])
+    assert spread == [1500]                                # the null group alone
+    assert key(mixed) == key(want) and key(small) == key(want.where("g IS NOT NULL"))
+    assert mixed.schema["prior_sum_v"].dataType == small.schema["prior_sum_v"].dataType
+    assert small._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1      # one shuffle
+    assert running_aggregates(df.where("false"), ["g"], ["id"], sums=["v"]).count() == 0
