@@ -38,7 +38,7 @@ def extend_map(batch: DataFrame, keys: list[str], path: str, load: str) -> DataF
     wanted = batch.select(*keys).dropna().distinct()
     fresh = wanted.join(known.select(*keys), keys, "left_anti").select(F.struct(*keys).alias("k"))
     base = known.agg(F.coalesce(F.max("sk"), F.lit(0)).cast("bigint")).collect()[0][0]        # one number
-    made = assign_surrogate_keys(fresh, "k")
+    made = assign_surrogate_keys(fresh, "k", distinct=True)
     (made.select("k.*", (F.col("sk") + base).cast("bigint").alias("sk"), F.lit(load).alias("load"))
      .write.mode("append").parquet(path))
     return read_map(spark, path, fields)

@@ -49,3 +49,12 @@ def test_product_and_category_lists(spark):
     assert got == [(1, 1), (1, 2), (1, 3), (2, 4), (5, 3)]
     assert sorted((x.voucher_key, x.product_key) for x in voucher_products(vouchers.drop("applicable_products"), products).collect()) == [
         (1, 1), (1, 2), (5, 3)]
+
+
+def test_lines_are_joined_once_for_all_loads(spark, monkeypatch):
+    from shopcube.plans import registry
+    from tests.conftest import SF001
+    seen = []
+    monkeypatch.setattr(registry, "_stored_keys", lambda spark, rows, *rest: seen.append(rows) or rows)
+    registry.q_fact_sales_keys(spark, SF001)
+    assert "Join" not in seen[0]._jdf.queryExecution().executedPlan().toString()
