@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.operators.dims import checkpointed
+from shopcube.operators.dims import stored
 
 
 def _grouped(rows: DataFrame, dims: tuple[str, ...], measures: dict[str, str], support: int) -> DataFrame:
@@ -39,7 +39,7 @@ def iceberg_cube(fact: DataFrame, dims: list[str], measures: dict[str, str], sup
     dimension's bit being the highest, so a null value of a dimension is told
     from "all".  An empty fact has no cells.
     """
-    live = checkpointed(fact.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"),
+    live = stored(fact.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"),
                                                 *[F.sum(c).alias(f"_{a}") for c, a in measures.items()]))
     apex = live.agg(F.sum("_n").alias("_n"), *[F.sum(f"_{a}").alias(f"_{a}") for a in measures.values()]).where(
         F.col("_n") >= support)
@@ -52,7 +52,7 @@ def iceberg_cube(fact: DataFrame, dims: list[str], measures: dict[str, str], sup
             if any(p is None for p in parents):              # a parent without frequent cells
                 continue
             rows = live.where(reduce(lambda a, b: a & b, [F.col(p) for p in parents])) if parents else live
-            cells = checkpointed(_grouped(rows, group, measures, support))
+            cells = stored(_grouped(rows, group, measures, support))
             if cells.limit(1).count():
                 here.append((group, cells))
         found += here
@@ -67,7 +67,7 @@ def iceberg_cube(fact: DataFrame, dims: list[str], measures: dict[str, str], sup
         open_ = [reduce(lambda a, b: a & b, [F.col(p) for p in ps]) for ps in wider if all(ps)]
         if not open_:
             break
-        live, below = checkpointed(marked.where(reduce(lambda a, b: a | b, open_))), marks
+        live, below = stored(marked.where(reduce(lambda a, b: a | b, open_))), marks
     out = None
     for group, cells in found:
         gid = sum(1 << (len(dims) - 1 - i) for i, x in enumerate(dims) if x not in group)

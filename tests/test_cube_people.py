@@ -81,3 +81,9 @@ def test_people_of_no_orders(spark):
     assert people_rollup(people_bitmaps(df.where("false"), _numbers(spark, rows))).count() == 0
     nobody = people_bitmaps(df.withColumn("is_cancelled", F.lit(True)), _numbers(spark, rows))
     assert {x.buyers for x in people_counts(nobody, ["platform_key"]).collect()} == {0}
+
+
+def test_cells_are_read_from_columns(spark):
+    df = spark.createDataFrame([(k % 3, k % 2, k) for k in range(60)], "a int, b int, m long")
+    plan = iceberg_cube(df, ["a", "b"], {"m": "total"}, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
