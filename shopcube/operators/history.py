@@ -26,9 +26,21 @@ def state_before_order(priced_orders: DataFrame) -> DataFrame:
 
 
 def customer_history(priced_orders: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
-    """One state per customer and order day (same-day orders collapsed):
-    cumulative orders and spend after that day, the segment they imply, and
-    the validity interval [valid_from, valid_to) (valid_to NULL = current).
+    """The states of :func:`customer_states` with the validity interval
+    [valid_from, valid_to) (valid_to NULL = current)."""
+    h = customer_states(priced_orders, rules)
+    # valid_to = the next state's valid_from: the row whose previous date is
+    # this row's date.  An equi join on unique (customer, date) keys, so a
+    # customer with a long history is spread over the join, unlike lead().
+    nxt = (h.filter(F.col("previous_order_date").isNotNull())
+           .select("customer_key", F.col("previous_order_date").alias("valid_from"),
+                   F.col("valid_from").alias("valid_to")))
+    return h.join(nxt, ["customer_key", "valid_from"], "left")
+
+
+def customer_states(priced_orders: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
+    """One state per customer and order day (same-day orders collapsed):
+    cumulative orders and spend after that day and the segment they imply.
     Inactivity is judged when the state is looked up (see segment_as_of)."""
     days = priced_orders.groupBy("customer_key", "order_date").agg(
         F.count(F.lit(1)).alias("day_orders"), F.sum("buyer_paid_price").alias("day_spent"))
@@ -38,17 +50,10 @@ def customer_history(priced_orders: DataFrame, rules: SegmentRules = SegmentRule
     spent = (F.coalesce(F.col("prior_sum_day_spent"), F.lit(0)) + F.col("day_spent")).cast(TOTAL)
     seg = (F.when(orders_ <= rules.new_max_orders, "New")
            .when(spent >= dec(rules.vip_min_spent), "VIP").otherwise("Regular"))
-    h = r.select("customer_key", F.col("order_date").alias("valid_from"),
-                 orders_.cast("bigint").alias("orders_to_date"), spent.alias("spent_to_date"),
-                 F.col("prior_max_order_date").alias("previous_order_date"),
-                 seg.alias("segment"))
-    # valid_to = the next state's valid_from: the row whose previous date is
-    # this row's date.  An equi join on unique (customer, date) keys, so a
-    # customer with a long history is spread over the join, unlike lead().
-    nxt = (h.filter(F.col("previous_order_date").isNotNull())
-           .select("customer_key", F.col("previous_order_date").alias("valid_from"),
-                   F.col("valid_from").alias("valid_to")))
-    return h.join(nxt, ["customer_key", "valid_from"], "left")
+    return r.select("customer_key", F.col("order_date").alias("valid_from"),
+                    orders_.cast("bigint").alias("orders_to_date"), spent.alias("spent_to_date"),
+                    F.col("prior_max_order_date").alias("previous_order_date"),
+                    seg.alias("segment"))
 
 
 def segment_as_of(usage: DataFrame, history: DataFrame, rules: SegmentRules = SegmentRules(),

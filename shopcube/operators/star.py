@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcube.operators.dims import assign_surrogate_keys, checkpointed
+from shopcube.operators.dims import assign_surrogate_keys, stored
 from shopcube.operators.sequence import asof_join
 
 
@@ -47,6 +47,7 @@ def new_dimension(members: DataFrame, key: str, sk: str = "sk") -> DataFrame:
 def new_versions(versions: DataFrame, key: str, sk: str = "sk") -> DataFrame:
     """A dimension of versions (key, valid_from, attributes): dense keys in the order of key and valid_from."""
     one = F.struct(key, "valid_from")
+    versions = stored(versions)                               # numbered, then joined
     keys = assign_surrogate_keys(versions.select(one.alias("v")), "v", sk_col=sk)
     return (versions.withColumn("v", one).join(keys, "v")
             .select(sk, key, "valid_from", F.lit(False).alias("is_inferred"),
@@ -62,7 +63,7 @@ def inferred_members(facts: DataFrame, lookup: Lookup, dim: DataFrame, key: str,
     unknown = (facts.select(F.col(lookup.column).alias(key)).where(F.col(key).isNotNull()).distinct()
                .join(dim.select(key).distinct(), key, "left_anti"))
     base = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar()
-    keys = assign_surrogate_keys(unknown, key, sk_col=sk)
+    keys = assign_surrogate_keys(unknown, key, sk_col=sk, distinct=True)
     rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields
             if f.name not in (sk, key, "valid_from", "is_inferred")]
     return keys.select((base + F.col(sk)).cast("bigint").alias(sk), key, F.lit(None).cast("date").alias("valid_from"),
@@ -91,8 +92,8 @@ def star_join(facts: DataFrame, lookups: list[tuple[Lookup, DataFrame, str]]) ->
     """
     out, dims = facts, {}
     for lookup, dim, key in lookups:
-        dim = checkpointed(dim)
-        dims[lookup.name] = checkpointed(dim.unionByName(inferred_members(facts, lookup, dim, key)))
+        dim = stored(dim)
+        dims[lookup.name] = stored(dim.unionByName(inferred_members(facts, lookup, dim, key)))
         out = resolve(out, lookup, dims[lookup.name], key)
     return out, dims
 

@@ -58,3 +58,12 @@ def test_empty_dimension_and_empty_facts(spark):
     assert sorted((r.id, r.sk_p) for r in out.collect() if r.sk_p) == [(1, 1), (2, 1)] and dims["product"].count() == 1
     out, dims = star_join(facts.where("false"), [(Lookup("product", "product", "sk_p"), new_dimension(none, "product"), "product")])
     assert out.count() == 0 and dims["product"].count() == 0
+
+
+def test_versions_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(k, D(n), "New") for k in range(20) for n in (1, 2, 3)]
+    counted = spark.sparkContext.parallelize(rows, 2).map(lambda x: seen.add(1) or x)
+    dim = new_versions(spark.createDataFrame(counted, "customer long, valid_from date, segment string"), "customer")
+    assert sorted(r.sk for r in dim.collect()) == list(range(1, 61))
+    assert seen.value == 60
